@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pitwall import oracle
 from pitwall.functions.timing import time_to_ms
 from pitwall.plans import base_tables as bt
+from pitwall.plans import evaluate as ev
 from pitwall.plans import features as ft
 from pitwall.plans.base_tables import RaceTables
 
@@ -80,6 +81,15 @@ from lap_kept_o k left join (
   select circuitId, cast(dense_rank() over (order by circuitId) - 1 as int) as code
   from (select distinct circuitId from lap_kept_o where circuitId is not null) d) c
   on c.circuitId = k.circuitId""",
+    "lap_features_o": """
+select season, round, driverId, lap, position, is_pit_stop_lap, is_pit_exit_lap,
+  coalesce(normalized_lap_time_lag_1, m.m1) as normalized_lap_time_lag_1,
+  coalesce(normalized_lap_time_lag_2, m.m2) as normalized_lap_time_lag_2,
+  coalesce(normalized_lap_time_lag_3, m.m3) as normalized_lap_time_lag_3,
+  circuitId_code,
+  coalesce(mean_temp, m.mt) as mean_temp, coalesce(precipitation_sum, m.mp) as precipitation_sum,
+  coalesce(windspeed_mean, m.mw) as windspeed_mean, normalized_lap_time
+from lap_coded_o, lap_med_o m""",
     "lap_med_o": """
 select median(normalized_lap_time_lag_1) as m1, median(normalized_lap_time_lag_2) as m2,
   median(normalized_lap_time_lag_3) as m3, median(mean_temp) as mt,
@@ -144,15 +154,7 @@ def q_lap_outlier_filter(t):
         "season", "round", "driverId", "lap", "normalized_lap_time")
 
 
-@query("lap_features", """
-select season, round, driverId, lap, position, is_pit_stop_lap, is_pit_exit_lap,
-  coalesce(normalized_lap_time_lag_1, m.m1) as normalized_lap_time_lag_1,
-  coalesce(normalized_lap_time_lag_2, m.m2) as normalized_lap_time_lag_2,
-  coalesce(normalized_lap_time_lag_3, m.m3) as normalized_lap_time_lag_3,
-  circuitId_code,
-  coalesce(mean_temp, m.mt) as mean_temp, coalesce(precipitation_sum, m.mp) as precipitation_sum,
-  coalesce(windspeed_mean, m.mw) as windspeed_mean, normalized_lap_time
-from lap_coded_o, lap_med_o m""", OX)
+@query("lap_features", "select * from lap_features_o", OX)
 def q_lap_features(t):
     return ft.lap_features(t)
 
@@ -169,4 +171,333 @@ def _view_query(name: str):
 for _name in ("laps", "races", "lap_times", "pit_stops", "qualifying", "race_results",
               "driver_standings", "constructor_standings", "weather", "circuits"):
     _view_query(_name)
-FLAGSHIP = "lap_features"
+
+
+# --- oracle helpers for the entry-level tables ---------------------------------
+
+def _fmt_ms(c: str) -> str:
+    return (f"case when {c} is null then null else "
+            f"cast(cast(floor({c}/60000) as int) as varchar) || ':' || "
+            f"lpad(cast(cast(floor(({c}%60000)/1000) as int) as varchar), 2, '0') || '.' || "
+            f"lpad(cast({c}%1000 as varchar), 3, '0') end")
+
+
+def _qual_ms(c: str) -> str:
+    return (f"coalesce(case when len(string_split({c}, ':')) = 2 then "
+            f"cast(split_part({c}, ':', 1) as bigint) * 60000 + "
+            f"cast(trunc(cast(split_part({c}, ':', 2) as decimal(18,3)) * 1000) as bigint) "
+            f"else cast(trunc(try_cast(split_part({c}, ':', 1) as decimal(18,3)) * 1000) as bigint) "
+            f"end, -1)")
+
+
+def _codes(src: str, col: str) -> str:
+    return (f"(select {col}, cast(dense_rank() over (order by {col}) - 1 as int) as code "
+            f"from (select distinct {col} from {src} where {col} is not null) d)")
+
+
+_PREV_SQL = """
+left join driver_standings ds on ds.driverId = b0.driverId and ds.season + 1 = b0.season
+left join constructor_standings cs on cs.constructorId = b0.constructorId and cs.season + 1 = b0.season
+left join weather w on w.season = b0.season and w.round = b0.round"""
+_PREV_COLS = """
+  ds.points as driver_prev_season_points, ds.position as driver_prev_season_position,
+  ds.wins as driver_prev_season_wins, cs.points as constructor_prev_season_points,
+  cs.position as constructor_prev_season_position, cs.wins as constructor_prev_season_wins,
+  w.mean_temp, w.precipitation_sum, w.windspeed_mean"""
+
+OX.update({
+    "rq_o": f"""
+select rr.*, coalesce(try_cast(rr.position as double) in (1, 2, 3), false) as on_podium,
+  cast(q.position as double) as grid, {_fmt_ms('q.q1')} as qual_q1,
+  {_fmt_ms('q.q2')} as qual_q2, {_fmt_ms('q.q3')} as qual_q3
+from race_results rr left join qualifying q
+  on q.season = rr.season and q.round = rr.round and q.driverId = rr.driverId""",
+    "podium_base_o": f"""
+select b0.*, ra.circuitId, ra.raceName, {_PREV_COLS}
+from rq_o b0 left join races ra on ra.season = b0.season and ra.round = b0.round {_PREV_SQL}""",
+    "podium_coded_o": f"""
+select b.*, coalesce(cc.code, -1) as circuitId_code, coalesce(kc.code, -1) as constructorId_code,
+  {_qual_ms('b.qual_q1')} as qual_q1_ms, {_qual_ms('b.qual_q2')} as qual_q2_ms,
+  {_qual_ms('b.qual_q3')} as qual_q3_ms
+from podium_base_o b
+left join {_codes('podium_base_o', 'circuitId')} cc on cc.circuitId = b.circuitId
+left join {_codes('podium_base_o', 'constructorId')} kc on kc.constructorId = b.constructorId""",
+    "podium_med_o": """
+select median(grid) as g, median(driver_prev_season_points) as dp,
+  median(driver_prev_season_position) as dpo, median(driver_prev_season_wins) as dw,
+  median(constructor_prev_season_points) as cp, median(constructor_prev_season_position) as cpo,
+  median(constructor_prev_season_wins) as cw, median(mean_temp) as mt,
+  median(precipitation_sum) as mp, median(windspeed_mean) as mw
+from podium_coded_o""",
+    "podium_features_o": """
+select season, round, raceName, driverId, constructorId, position,
+  coalesce(grid, m.g) as grid, circuitId_code,
+  coalesce(driver_prev_season_points, m.dp) as driver_prev_season_points,
+  coalesce(driver_prev_season_position, m.dpo) as driver_prev_season_position,
+  coalesce(driver_prev_season_wins, m.dw) as driver_prev_season_wins,
+  constructorId_code,
+  coalesce(constructor_prev_season_points, m.cp) as constructor_prev_season_points,
+  coalesce(constructor_prev_season_position, m.cpo) as constructor_prev_season_position,
+  coalesce(constructor_prev_season_wins, m.cw) as constructor_prev_season_wins,
+  qual_q1_ms, qual_q2_ms, qual_q3_ms,
+  coalesce(mean_temp, m.mt) as mean_temp, coalesce(precipitation_sum, m.mp) as precipitation_sum,
+  coalesce(windspeed_mean, m.mw) as windspeed_mean, on_podium
+from podium_coded_o, podium_med_o m""",
+    "scored_o": """
+select *, 1.0E0 / (1.0E0 + grid) as p, 1.0E0 / (1.0E0 + grid) >= 0.25 as predicted
+from podium_features_o""",
+    "pole_base_o": f"""
+select b0.season, b0.round, b0.driverId, b0.constructorId, {_fmt_ms('b0.q3')} as pole_lap_time,
+  1 as grid, ra.circuitId, ra.raceName, {_PREV_COLS}
+from (select * from qualifying where position = 1) b0
+left join races ra on ra.season = b0.season and ra.round = b0.round {_PREV_SQL}""",
+    "pole_coded_o": f"""
+select b.*, coalesce(dc.code, -1) as driverId_code, coalesce(cc.code, -1) as circuitId_code,
+  coalesce(kc.code, -1) as constructorId_code
+from pole_base_o b
+left join {_codes('pole_base_o', 'driverId')} dc on dc.driverId = b.driverId
+left join {_codes('pole_base_o', 'circuitId')} cc on cc.circuitId = b.circuitId
+left join {_codes('pole_base_o', 'constructorId')} kc on kc.constructorId = b.constructorId""",
+    "pole_med_o": """
+select median(driver_prev_season_points) as dp, median(driver_prev_season_position) as dpo,
+  median(driver_prev_season_wins) as dw, median(constructor_prev_season_points) as cp,
+  median(constructor_prev_season_position) as cpo, median(constructor_prev_season_wins) as cw
+from pole_coded_o""",
+    "pole_features_o": """
+select season, round, driverId, circuitId_code,
+  coalesce(driver_prev_season_points, m.dp) as driver_prev_season_points,
+  coalesce(driver_prev_season_position, m.dpo) as driver_prev_season_position,
+  coalesce(driver_prev_season_wins, m.dw) as driver_prev_season_wins,
+  constructorId_code,
+  coalesce(constructor_prev_season_points, m.cp) as constructor_prev_season_points,
+  coalesce(constructor_prev_season_position, m.cpo) as constructor_prev_season_position,
+  coalesce(constructor_prev_season_wins, m.cw) as constructor_prev_season_wins,
+  driverId_code
+from pole_coded_o, pole_med_o m""",
+})
+
+
+def scored(t: RaceTables) -> DataFrame:
+    return ev.stand_in_scores(ft.podium_features(t))
+
+
+# --- C2 / C3 and their joins -----------------------------------------------------
+
+@query("podium_base", "select * from podium_base_o", OX)
+def q_podium_base(t):
+    return bt.podium_base(t)
+
+
+@query("results_join_qualifying", "select * from rq_o", OX)
+def q_results_join_qualifying(t):
+    return bt.results_join_qualifying(t)
+
+
+@query("pole_sitters", f"""
+select season, round, driverId, constructorId, {_fmt_ms('q3')} as pole_lap_time, 1 as grid
+from qualifying where position = 1""")
+def q_pole_sitters(t):
+    return bt.pole_sitters(t)
+
+
+@query("pole_base", "select * from pole_base_o", OX)
+def q_pole_base(t):
+    return bt.pole_base(t)
+
+
+@query("podium_features", "select * from podium_features_o", OX)
+def q_podium_features(t):
+    return ft.podium_features(t)
+
+
+@query("pole_features", "select * from pole_features_o", OX)
+def q_pole_features(t):
+    return ft.pole_features(t)
+
+
+@query("qual_time_to_ms", """
+select season, round, driverId, qual_q1, qual_q2, qual_q3, qual_q1_ms, qual_q2_ms, qual_q3_ms
+from podium_coded_o""", OX)
+def q_qual_time_to_ms(t):
+    from pitwall.functions.timing import qual_time_to_ms
+    df = bt.podium_base(t)
+    return df.select("season", "round", "driverId", "qual_q1", "qual_q2", "qual_q3",
+                     *[qual_time_to_ms(c).alias(f"{c}_ms") for c in ("qual_q1", "qual_q2", "qual_q3")])
+
+
+@query("category_codes", f"""
+select circuitId, code as circuitId_code from {_codes('podium_base_o', 'circuitId')} x""", OX)
+def q_category_codes(t):
+    from pitwall.operators.windows import category_codes
+    d = bt.podium_base(t).select("circuitId").distinct()
+    return category_codes(d, "circuitId", "circuitId_code").filter(F.col("circuitId").isNotNull())
+
+
+# --- E1-E9 on stand-in scores ----------------------------------------------------
+
+@query("regression_metrics", """
+select avg((normalized_lap_time_lag_1 - normalized_lap_time) * (normalized_lap_time_lag_1 - normalized_lap_time)) as mse,
+  avg(abs(normalized_lap_time_lag_1 - normalized_lap_time)) as mae, count(*) as n,
+  case when season >= 2000 then 'test' else 'train' end as split
+from lap_features_o group by case when season >= 2000 then 'test' else 'train' end""", OX)
+def q_regression_metrics(t):
+    f = ft.lap_features(t).withColumn(
+        "split", F.when(F.col("season") >= 2000, "test").otherwise("train"))
+    return ev.regression_metrics(f, "normalized_lap_time", "normalized_lap_time_lag_1", ["split"])
+
+
+@query("classification_accuracy", """
+select avg(case when on_podium = predicted then 1.0E0 else 0.0E0 end) as accuracy, count(*) as n
+from scored_o""", OX)
+def q_classification_accuracy(t):
+    return ev.accuracy(scored(t), "on_podium", "predicted")
+
+
+@query("confusion_matrix", """
+select l.c as on_podium, p.c as predicted, count(s.on_podium) as n
+from (select distinct on_podium as c from scored_o union select distinct predicted from scored_o) l
+cross join (select distinct on_podium as c from scored_o union select distinct predicted from scored_o) p
+left join scored_o s on s.on_podium = l.c and s.predicted = p.c
+group by l.c, p.c""", OX)
+def q_confusion_matrix(t):
+    return ev.confusion_matrix(scored(t), "on_podium", "predicted")
+
+
+_REPORT_O = """
+per as (
+  select cls, sum(is_label) as support, sum(is_pred) as n_pred, sum(hit) as tp from (
+    select on_podium as cls, 1 as is_label, 0 as is_pred, case when on_podium = predicted then 1 else 0 end as hit from scored_o
+    union all select predicted, 0, 1, 0 from scored_o) u group by cls),
+pr as (
+  select cast(cls as varchar) as class_label,
+    coalesce(tp / nullif(cast(n_pred as double), 0), 0.0E0) as precision,
+    coalesce(tp / nullif(cast(support as double), 0), 0.0E0) as recall, cast(support as bigint) as support
+  from per),
+f as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0.0E0 end as f1 from pr)
+"""
+
+
+@query("classification_report", "with " + _REPORT_O + """
+select class_label, precision, recall, support, f1 from f
+union all select 'macro avg', avg(precision), avg(recall), sum(support), avg(f1) from f
+union all select 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(support), sum(f1 * support) / sum(support) from f""", OX)
+def q_classification_report(t):
+    return ev.classification_report(scored(t), "on_podium", "predicted")
+
+
+@query("weighted_f1", "with " + _REPORT_O + """
+select sum(f1 * support) / sum(support) as weighted_f1 from f""", OX)
+def q_weighted_f1(t):
+    return ev.weighted_f1(scored(t), "on_podium", "predicted")
+
+
+@query("roc_auc", """
+with d as (select p as s, count_if(on_podium) as pos, count_if(not on_podium) as neg
+           from scored_o group by p),
+c as (select *, coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as below from d)
+select case when sum(pos) > 0 and sum(neg) > 0
+            then sum(pos * (below + 0.5E0 * neg)) / (sum(pos) * sum(neg)) end as roc_auc,
+  cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg from c""", OX)
+def q_roc_auc(t):
+    return ev.roc_auc(scored(t), "on_podium", "p")
+
+
+_TOP3_O = """
+pt as (select *, row_number() over (partition by season, round order by p desc, driverId) as rk from scored_o),
+pred as (select season, round, min(raceName) as race,
+           max(case when rk = 1 then driverId end) as predicted_p1,
+           max(case when rk = 2 then driverId end) as predicted_p2,
+           max(case when rk = 3 then driverId end) as predicted_p3 from pt where rk <= 3 group by season, round),
+atop as (select *, row_number() over (partition by season, round order by try_cast(position as int), driverId) as rk
+       from scored_o where on_podium),
+act as (select season, round, count(*) as n_actual,
+          max(case when rk = 1 then driverId end) as actual_p1,
+          max(case when rk = 2 then driverId end) as actual_p2,
+          max(case when rk = 3 then driverId end) as actual_p3 from atop group by season, round),
+val as (
+  select pred.season, pred.round, race, predicted_p1 as predicted_winner, actual_p1 as actual_winner,
+    predicted_p1 = actual_p1 as winner_match,
+    cast(len(list_intersect(list_distinct([predicted_p1, predicted_p2, predicted_p3]),
+                            [actual_p1, actual_p2, actual_p3])) as int) as podium_matches,
+    predicted_p1, predicted_p2, predicted_p3, actual_p1, actual_p2, actual_p3
+  from pred join act on pred.season = act.season and pred.round = act.round
+  where act.n_actual >= 3)
+"""
+
+
+@query("season_validation", "with " + _TOP3_O + "select * from val", OX)
+def q_season_validation(t):
+    return ev.season_validation(scored(t))
+
+
+@query("season_summary", "with " + _TOP3_O + """
+select season, count(*) as races, avg(case when winner_match then 1.0E0 else 0.0E0 end) * 100 as winner_accuracy_pct,
+  count_if(winner_match) as winners_correct, avg(cast(podium_matches as double)) as avg_podium_matches,
+  count_if(podium_matches = 3 and winner_match) as perfect_races, count_if(podium_matches = 3) as races_all_three
+from val group by season""", OX)
+def q_season_summary(t):
+    return ev.season_summary(ev.season_validation(scored(t)))
+
+
+@query("match_distribution", "with " + _TOP3_O + """
+select season, podium_matches, count(*) as races,
+  count(*) * 100.0E0 / sum(count(*)) over (partition by season) as pct
+from val group by season, podium_matches""", OX)
+def q_match_distribution(t):
+    return ev.match_distribution(ev.season_validation(scored(t)))
+
+
+@query("perfect_races", "with " + _TOP3_O + """
+select season, round, race from val where podium_matches = 3 and winner_match""", OX)
+def q_perfect_races(t):
+    return ev.perfect_races(ev.season_validation(scored(t)))
+
+
+@query("top3_per_race", """
+select season, round, driverId, p, cast(rk as int) as pred_rank from (
+  select *, row_number() over (partition by season, round order by p desc, driverId) as rk from scored_o) x
+where rk <= 3""", OX)
+def q_top3_per_race(t):
+    return ev.predicted_top3(scored(t)).select("season", "round", "driverId", "p", "pred_rank")
+
+
+@query("podium_sets", """
+with pr as (select season, round, min(raceName) as raceName,
+              array_to_string(list_sort(list(distinct driverId)), ',') as predicted_podium from (
+              select *, row_number() over (partition by season, round order by p desc, driverId) as rk
+              from scored_o) x where rk <= 3 group by season, round),
+ac as (select season, round, array_to_string(list_sort(list(distinct driverId)), ',') as actual_podium,
+         count(*) as n_actual from scored_o where on_podium group by season, round)
+select pr.*, ac.actual_podium, ac.n_actual from pr join ac on pr.season = ac.season and pr.round = ac.round""", OX)
+def q_podium_sets(t):
+    return ev.podium_sets(scored(t))
+
+
+@query("podium_set_eval", """
+with pr as (select season, round, list_sort(list(distinct driverId)) as ps from (
+              select *, row_number() over (partition by season, round order by p desc, driverId) as rk
+              from scored_o) x where rk <= 3 group by season, round),
+ac as (select season, round, list_sort(list(distinct driverId)) as acs from scored_o where on_podium group by season, round),
+e as (select ps = acs as exact, len(list_intersect(ps, acs)) as correct
+      from pr join ac on pr.season = ac.season and pr.round = ac.round)
+select avg(case when exact then 1.0E0 else 0.0E0 end) as exact_podium_accuracy,
+  cast(sum(correct) as bigint) as correct_drivers, count(*) * 3 as podium_slots,
+  sum(correct) / (count(*) * 3.0E0) as correct_ratio, avg(correct) as avg_correct_per_race,
+  count(*) as races from e""", OX)
+def q_podium_set_eval(t):
+    return ev.podium_set_eval(scored(t))
+
+
+@query("race_accuracy", """
+select season, round, count_if(predicted = on_podium) as correct, count(*) as total,
+  count_if(predicted) as predicted_podiums, count_if(on_podium) as actual_podiums,
+  count_if(predicted and on_podium) as true_positives,
+  count_if(predicted = on_podium) * 100.0E0 / count(*) as accuracy_pct,
+  case when count_if(on_podium) > 0 then count_if(predicted and on_podium) * 100.0E0 / count_if(on_podium) end as recall_pct
+from scored_o group by season, round""", OX)
+def q_race_accuracy(t):
+    return ev.race_accuracy(scored(t))
+
+
+FLAGSHIP = "season_validation"

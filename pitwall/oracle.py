@@ -86,24 +86,32 @@ def _uses(text: str, name: str) -> bool:
 
 
 def sql(body: str, extra: dict[str, str] | None = None) -> str:
-    """Prefix ``body`` with the CTEs it (transitively) references.
+    """Prefix ``body`` with the CTEs it (transitively) references, dependencies first.
 
-    ``extra`` adds statement-specific CTEs (evaluated after the views).
+    ``extra`` adds statement-specific CTEs.  A body that starts with its own
+    ``with`` clause is merged into the same clause.
     """
     defs = dict(VIEW_SQL)
-    order = list(VIEW_ORDER)
     if extra:
         defs.update(extra)
-        order += list(extra)
-    needed: set[str] = set()
-    frontier = [body]
-    while frontier:
-        text = frontier.pop()
-        for name in order:
-            if name not in needed and _uses(text, name):
-                needed.add(name)
-                frontier.append(defs[name])
-    ctes = [f"{n} as ({defs[n]}\n)" for n in order if n in needed]
-    if not ctes:
+    names = list(defs)
+    ordered: list[str] = []
+    visiting: set[str] = set()
+
+    def visit(text: str):
+        for name in names:
+            if name in ordered or name in visiting or not _uses(text, name):
+                continue
+            visiting.add(name)
+            visit(defs[name])
+            visiting.discard(name)
+            ordered.append(name)
+
+    visit(body)
+    if not ordered:
         return body
-    return "with " + ",\n".join(ctes) + "\n" + body
+    ctes = ",\n".join(f"{n} as ({defs[n]}\n)" for n in ordered)
+    stripped = body.lstrip()
+    if stripped[:4].lower() == "with" and stripped[4:5].isspace():
+        return "with " + ctes + ",\n" + stripped[5:]
+    return "with " + ctes + "\n" + body
