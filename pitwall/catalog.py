@@ -24,9 +24,10 @@ QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(key: str, sql: str | None = None, extra: dict[str, str] | None = None):
+def query(key: str, sql: str | None = None, extra: dict[str, str] | None = None,
+          conformed: bool = True):
     def deco(fn: Callable[[RaceTables], DataFrame]):
-        QUERIES[key] = lambda spark, sf_dir: fn(RaceTables(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: fn(RaceTables(spark, sf_dir, conformed))
         if sql is not None:
             ORACLE[key] = oracle.sql(sql, extra)
         return fn
@@ -162,7 +163,7 @@ def q_lap_features(t):
 # --- race-shaped source views (read from the given tables) ---------------------
 
 def _view_query(name: str):
-    @query(f"view_{name}", f"select * from {name}")
+    @query(f"view_{name}", f"select * from {name}", conformed=False)
     def _q(t):
         return getattr(t, name)
     return _q

@@ -6,25 +6,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.operators import joins
+from pitwall.sources import conform
 from pitwall.sources import fixtures as fx
 
+# column order of each conformed table (partition columns come back last)
+_COLUMNS = {
+    "laps": ["season", "round", "driverId", "constructorId", "lap", "lap_ms", "is_pit", "qty",
+             "disc", "tax"],
+    "lap_times": ["season", "round", "driverId", "lap", "position", "time"],
+    "pit_stops": ["season", "round", "driverId", "lap", "stop", "duration"],
+    "qualifying": ["season", "round", "driverId", "constructorId", "position", "q1", "q2", "q3"],
+    "race_results": ["season", "round", "driverId", "constructorId", "position", "points", "laps"],
+    "driver_standings": ["season", "driverId", "points", "wins", "position"],
+    "constructor_standings": ["season", "constructorId", "points", "wins", "position"],
+    "weather": ["season", "round", "mean_temp", "precipitation_sum", "windspeed_mean"],
+    "races": ["season", "round", "raceName", "circuitId"],
+}
+
 
 class RaceTables:
-    """The race-shaped inputs of one dataset, built lazily and shared.
+    """The race-shaped inputs of one dataset.
 
-    ``laps`` feeds lap_times and pit_stops, so it is built once per plan;
-    Spark reuses the identical exchange when both branches read it.
+    ``conformed=True`` (default) reads the conformed Parquet tables, built
+    once per application (see :mod:`pitwall.sources.conform`);
+    ``conformed=False`` derives each view from the given tables inside the
+    query's own plan.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, conformed: bool = True):
+        self.spark, self.sf_dir, self.conformed = spark, sf_dir, conformed
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in fx.VIEWS:
             raise AttributeError(name)
         if name not in self._cache:
-            if name == "lap_times":
+            if self.conformed:
+                df = conform.read(self.spark, self.sf_dir, name).select(
+                    *_COLUMNS.get(name, ["*"]))
+            elif name == "lap_times":
                 df = fx.lap_times_from(self.laps)
             elif name == "pit_stops":
                 df = fx.pit_stops_from(self.laps)

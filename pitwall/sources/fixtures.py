@@ -60,7 +60,11 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def races(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (season, round); circuit from a fixed rotation of 23."""
-    r = lap_rows(spark, sf_dir).select(*RACE).distinct()
+    return races_from(lap_rows(spark, sf_dir))
+
+
+def races_from(rows: DataFrame) -> DataFrame:
+    r = rows.select(*RACE).distinct()
     return r.select(
         "season", "round",
         F.concat(F.lit("GP "), F.col("season").cast("string"), F.lit("-"),
@@ -106,7 +110,10 @@ def _entry_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lap numbers are not needed here, so this reads the un-numbered rows and
     aggregates map-side before the shuffle.
     """
-    lp = lap_rows(spark, sf_dir)
+    return entry_rollup_from(lap_rows(spark, sf_dir))
+
+
+def entry_rollup_from(lp: DataFrame) -> DataFrame:
     return lp.groupBy(*ENTRY).agg(
         F.min("constructorId").alias("constructorId"),
         F.min(F.when(F.col("disc") <= 0.04, F.col("lap_ms"))).alias("q1"),
@@ -119,7 +126,10 @@ def _entry_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Qualifying order: q3, then q2, then q1 (missing last), then driverId."""
-    e = _entry_rollup(spark, sf_dir)
+    return qualifying_from(_entry_rollup(spark, sf_dir))
+
+
+def qualifying_from(e: DataFrame) -> DataFrame:
     order = [Key("q3", nulls_last=True), Key("q2", nulls_last=True),
              Key("q1", nulls_last=True), Key("driverId")]
     # A race holds all its entries: slice by 256 ms of q3 (missing q3 last).
@@ -132,7 +142,10 @@ def qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finishing order by mean lap time; fewer than 4 laps = retired ('R')."""
-    e = _entry_rollup(spark, sf_dir)
+    return race_results_from(_entry_rollup(spark, sf_dir))
+
+
+def race_results_from(e: DataFrame) -> DataFrame:
     ranked = row_number_by(e, RACE, [Key("avg_ms"), Key("driverId")], "pos",
                            slices=[numeric_slice(Key("avg_ms"), 256)], broadcast_offsets=True)
     pos, n = F.col("pos"), F.col("n")
@@ -145,7 +158,7 @@ def race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         points.alias("points"), n.alias("laps"))
 
 
-def _standings(results: DataFrame, who: str) -> DataFrame:
+def standings_from(results: DataFrame, who: str) -> DataFrame:
     agg = results.groupBy("season", who).agg(
         F.sum("points").alias("points"),
         F.sum(F.when(F.col("position") == "1", 1).otherwise(0)).cast("int").alias("wins"))
@@ -160,16 +173,20 @@ def _standings(results: DataFrame, who: str) -> DataFrame:
 
 def driver_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End-of-season standings per driver."""
-    return _standings(race_results(spark, sf_dir), "driverId")
+    return standings_from(race_results(spark, sf_dir), "driverId")
 
 
 def constructor_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _standings(race_results(spark, sf_dir), "constructorId")
+    return standings_from(race_results(spark, sf_dir), "constructorId")
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily weather per race; round 7 is missing on purpose."""
-    lp = lap_rows(spark, sf_dir).filter(F.col("round") != 7)
+    return weather_from(lap_rows(spark, sf_dir))
+
+
+def weather_from(rows: DataFrame) -> DataFrame:
+    lp = rows.filter(F.col("round") != 7)
     return lp.groupBy(*RACE).agg(
         F.round(F.avg("qty"), 4).alias("mean_temp"),
         F.round(F.sum("tax"), 4).alias("precipitation_sum"),
