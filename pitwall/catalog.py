@@ -17,6 +17,10 @@ from pitwall.functions.timing import time_to_ms
 from pitwall.plans import base_tables as bt
 from pitwall.plans import evaluate as ev
 from pitwall.plans import features as ft
+from pitwall.plans import notebook as nb
+from pitwall.plans import reports as rp
+from pitwall.operators import aggregates as ag
+from pitwall.operators import joins as jn
 from pitwall.plans.base_tables import RaceTables
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -501,4 +505,338 @@ def q_race_accuracy(t):
     return ev.race_accuracy(scored(t))
 
 
+
+
+# --- P: projections, filters, predicates ----------------------------------------
+
+@query("project_subset", "select season, round, circuitId, raceName from races")
+def q_project_subset(t):
+    return t.races.select("season", "round", "circuitId", "raceName")
+
+
+@query("project_rename", """
+select season, round, driverId, position as grid_position_raw, q1 as qual_q1, q2 as qual_q2,
+  q3 as qual_q3 from qualifying""")
+def q_project_rename(t):
+    return t.qualifying.withColumnsRenamed({
+        "position": "grid_position_raw", "q1": "qual_q1", "q2": "qual_q2", "q3": "qual_q3"}
+    ).drop("constructorId")
+
+
+@query("project_drop", """
+select season, round, driverId, lap, position, time, circuitId, raceName, circuitName, lat, long,
+  is_pit_stop_lap, mean_temp, precipitation_sum, windspeed_mean from lap_base_o""", OX)
+def q_project_drop(t):
+    return bt.lap_base(t).drop("stop", "duration_pitstop", "no_such_column")
+
+
+@query("project_constants", """
+select season, round, driverId, lap, position, time, false as is_pit_stop_lap, 0 as stop,
+  cast(null as varchar) as duration_pitstop, cast(null as double) as mean_temp,
+  cast(null as double) as precipitation_sum, cast(null as double) as windspeed_mean
+from lap_times""")
+def q_project_constants(t):
+    """The 'no pit data / no weather' branch: constants and typed NULL placeholders."""
+    return t.lap_times.withColumns({
+        "is_pit_stop_lap": F.lit(False), "stop": F.lit(0),
+        "duration_pitstop": F.lit(None).cast("string"),
+        **{c: F.lit(None).cast("double") for c in ft.WEATHER}})
+
+
+@query("lenient_numeric", """
+select season, round, driverId, position, try_cast(position as double) as position_numeric
+from race_results""")
+def q_lenient_numeric(t):
+    return t.race_results.select("season", "round", "driverId", "position",
+                                 F.col("position").try_cast("double").alias("position_numeric"))
+
+
+@query("podium_label", """
+select season, round, driverId, position,
+  coalesce(try_cast(position as double) in (1, 2, 3), false) as on_podium from race_results""")
+def q_podium_label(t):
+    return t.race_results.select("season", "round", "driverId", "position",
+                                 bt.podium_label(F.col("position")).cast("boolean").alias("on_podium"))
+
+
+@query("temporal_split", """
+select season, round, driverId,
+  case when season between 1995 and 1999 then 'train' else 'test' end as split
+from podium_features_o where season between 1995 and 2001""", OX)
+def q_temporal_split(t):
+    from pitwall.operators.splits import temporal_split
+    return temporal_split(ft.podium_features(t), TRAIN_SEASONS, TEST_SEASONS).select(
+        "season", "round", "driverId", "split")
+
+
+@query("complete_cases", """
+select * from podium_base_o where grid is not null and driver_prev_season_points is not null
+  and constructor_prev_season_points is not null and mean_temp is not null""", OX)
+def q_complete_cases(t):
+    return ft.complete_cases(bt.podium_base(t), ["grid", "driver_prev_season_points",
+                                                 "constructor_prev_season_points", "mean_temp"])
+
+
+@query("latest_round", """
+select b.season, b.round, b.driverId, b.position from race_results b
+join (select season, max(round) as round from race_results group by season) m
+  on m.season = b.season and m.round = b.round""")
+def q_latest_round(t):
+    return rp.latest_round(t.race_results.select("season", "round", "driverId", "position"))
+
+
+@query("probability_bands", """
+select season, round, driverId, p,
+  case when p >= 0.7 then '[HIGH]' when p >= 0.4 then '[ MED]' else '[ LOW]' end as band,
+  case when predicted then '[PODIUM]' else '[  --  ]' end as prediction_tag from scored_o""", OX)
+def q_probability_bands(t):
+    return rp.probability_bands(scored(t))
+
+
+# --- J: joins ------------------------------------------------------------------
+
+@query("lap_join_races", """
+select lt.*, r.circuitId, r.raceName from lap_times lt
+left join races r on r.season = lt.season and r.round = lt.round""")
+def q_lap_join_races(t):
+    return jn.join_races(t.lap_times, t.races, ["circuitId", "raceName"])
+
+
+@query("lap_join_circuits", """
+select lt.*, r.circuitId, c.circuitName, c.lat, c.long from lap_times lt
+left join races r on r.season = lt.season and r.round = lt.round
+left join circuits c on c.circuitId = r.circuitId""")
+def q_lap_join_circuits(t):
+    df = jn.join_races(t.lap_times, t.races, ["circuitId"])
+    return jn.join_circuits(df, t.circuits)
+
+
+@query("lap_pit_marker", """
+select lt.*, coalesce(p.stop, 0) as stop, p.duration as duration_pitstop,
+  p.season is not null as is_pit_stop_lap
+from lap_times lt left join pit_stops p
+  on p.season = lt.season and p.round = lt.round and p.driverId = lt.driverId and p.lap = lt.lap""")
+def q_lap_pit_marker(t):
+    return jn.pit_marker(t.lap_times, t.pit_stops)
+
+
+@query("lap_join_weather", """
+select lt.*, w.mean_temp, w.precipitation_sum, w.windspeed_mean from lap_times lt
+left join weather w on w.season = lt.season and w.round = lt.round""")
+def q_lap_join_weather(t):
+    return jn.join_weather(t.lap_times, t.weather)
+
+
+@query("prev_driver_standings", """
+select r.season, r.round, r.driverId, ds.points as driver_prev_season_points,
+  ds.position as driver_prev_season_position, ds.wins as driver_prev_season_wins
+from race_results r left join driver_standings ds on ds.driverId = r.driverId and ds.season + 1 = r.season""")
+def q_prev_driver_standings(t):
+    return jn.join_prev_season(t.race_results.select("season", "round", "driverId"),
+                               t.driver_standings, "driverId", "driver")
+
+
+@query("prev_constructor_standings", """
+select r.season, r.round, r.driverId, r.constructorId, cs.points as constructor_prev_season_points,
+  cs.position as constructor_prev_season_position, cs.wins as constructor_prev_season_wins
+from race_results r left join constructor_standings cs
+  on cs.constructorId = r.constructorId and cs.season + 1 = r.season""")
+def q_prev_constructor_standings(t):
+    return jn.join_prev_season(t.race_results.select("season", "round", "driverId", "constructorId"),
+                               t.constructor_standings, "constructorId", "constructor")
+
+
+OX.update({
+    "nb_join_o": """
+select l.season * 100 + l.round as raceId, l.driverId, l.lap, l.lap_ms as milliseconds,
+  cast(substr(r.circuitId, 2) as int) as circuitId
+from laps l left join races r on r.season = l.season and r.round = l.round""",
+    "nb_norm_o": """
+select j.*, j.milliseconds / m.mn as normalized_time
+from nb_join_o j join (select raceId, min(milliseconds) as mn from nb_join_o group by raceId) m
+  on m.raceId = j.raceId""",
+    "nb_pit_o": """
+select n.*, p.raceId is not null as is_pit_stop from nb_norm_o n
+left join (select season * 100 + round as raceId, driverId, lap from pit_stops) p
+  on p.raceId = n.raceId and p.driverId = n.driverId and p.lap = n.lap""",
+    "nb_exit_o": """
+select *, coalesce(lag(is_pit_stop) over (partition by raceId, driverId order by lap), false) as is_pit_exit
+from nb_pit_o""",
+})
+
+
+@query("nb_join_races", "select * from nb_join_o", OX)
+def q_nb_join_races(t):
+    return nb.nb_join_races(t)
+
+
+@query("nb_pit_indicator", "select raceId, driverId, lap, is_pit_stop from nb_pit_o", OX)
+def q_nb_pit_indicator(t):
+    return nb.nb_pit_indicator(t).select("raceId", "driverId", "lap", "is_pit_stop")
+
+
+@query("nb_pit_exit", "select raceId, driverId, lap, is_pit_stop, is_pit_exit from nb_exit_o", OX)
+def q_nb_pit_exit(t):
+    return nb.nb_pit_exit(t).select("raceId", "driverId", "lap", "is_pit_stop", "is_pit_exit")
+
+
+@query("nb_lap_lags", """
+select raceId, driverId, circuitId, lap, is_pit_stop, is_pit_exit, lag_1, lag_2, normalized_time from (
+  select *, lag(normalized_time, 1) over w as lag_1, lag(normalized_time, 2) over w as lag_2
+  from nb_exit_o where normalized_time <= 1.5
+  window w as (partition by raceId, driverId order by lap)) x
+where circuitId is not null and lag_1 is not null and lag_2 is not null and normalized_time is not null""", OX)
+def q_nb_lap_lags(t):
+    return nb.nb_lap_lags(t)
+
+
+# --- A: aggregations -----------------------------------------------------------
+
+@query("median_features", """
+select median(grid) as grid, median(driver_prev_season_points) as driver_prev_season_points,
+  median(constructor_prev_season_points) as constructor_prev_season_points,
+  median(mean_temp) as mean_temp, median(precipitation_sum) as precipitation_sum,
+  median(windspeed_mean) as windspeed_mean from podium_base_o""", OX)
+def q_median_features(t):
+    cols = ["grid", "driver_prev_season_points", "constructor_prev_season_points", *ft.WEATHER]
+    return bt.podium_base(t).agg(*[F.median(c).alias(c) for c in cols])
+
+
+@query("season_stats", """
+select season, count(distinct round) as total_races, count(distinct driverId) as unique_drivers,
+  count(*) as total_entries from race_results group by season""")
+def q_season_stats(t):
+    return rp.season_stats(t.race_results)
+
+
+@query("table_counts", """
+select 'races' as table_name, count(*) as row_count from races
+union all select 'race_results', count(*) from race_results
+union all select 'qualifying', count(*) from qualifying
+union all select 'lap_times', count(*) from lap_times
+union all select 'pit_stops', count(*) from pit_stops""")
+def q_table_counts(t):
+    return ag.table_counts({n: getattr(t, n) for n in
+                            ("races", "race_results", "qualifying", "lap_times", "pit_stops")})
+
+
+_NULL_COLS = ["grid", "qual_q1", "qual_q2", "qual_q3", "driver_prev_season_points",
+              "constructor_prev_season_points", "mean_temp", "circuitId"]
+
+
+@query("null_counts", " union all ".join(
+    f"select '{c}' as column_name, count_if({c} is null) as null_count, count(*) as row_count, "
+    f"count_if({c} is null) = count(*) as all_null from podium_base_o" for c in _NULL_COLS), OX)
+def q_null_counts(t):
+    return ag.null_counts(bt.podium_base(t), _NULL_COLS)
+
+
+@query("class_weights", """
+select on_podium, count(*) as n_class, sum(count(*)) over () / (count(*) over () * count(*)) as class_weight
+from podium_features_o group by on_podium""", OX)
+def q_class_weights(t):
+    return ag.class_weights(ft.podium_features(t), "on_podium")
+
+
+TRAIN_SEASONS = [1995, 1996, 1997, 1998, 1999]
+TEST_SEASONS = [2000, 2001]
+
+
+@query("season_availability", """
+select s.season, r.season is not null as has_results, q.season is not null as has_qualifying,
+  d.season is not null as has_prev_standings
+from (select unnest(range(1995, 2002)) as season) s
+left join (select distinct season from race_results) r on r.season = s.season
+left join (select distinct season from qualifying) q on q.season = s.season
+left join (select distinct season + 1 as season from driver_standings) d on d.season = s.season""")
+def q_season_availability(t):
+    from pitwall.operators.splits import season_availability
+    return season_availability(t, TRAIN_SEASONS + TEST_SEASONS)
+
+
+# --- W / O: windows and ordering --------------------------------------------------
+
+@query("race_ranking", """
+select season, round, rpad(substr(raceName, 1, 30), 30, ' ') as race_label, cast(rk as int) as rank,
+  driverId, substr(constructorId, 1, 22) as team, cast(grid as int) as grid,
+  round(p * 100, 1) as probability_pct,
+  case when predicted then '[PODIUM]' else '[  --  ]' end as prediction,
+  case when predicted and rk = 1 then '[1]' when predicted and rk = 2 then '[2]'
+       when predicted and rk = 3 then '[3]' else '   ' end as rank_icon,
+  case when p >= 0.7 then '[HIGH]' when p >= 0.4 then '[ MED]' else '[ LOW]' end as band
+from (select s.*, row_number() over (partition by s.season, s.round order by p desc, driverId) as rk
+      from scored_o s join (select season, max(round) as round from scored_o group by season) m
+        on m.season = s.season and m.round = s.round) x
+where rk <= 10""", OX)
+def q_race_ranking(t):
+    return rp.race_report(scored(t))
+
+
+@query("actual_podium", """
+select season, round, 'P' || cast(pos_num as varchar) as place, driverId,
+  round(p * 100, 1) as probability_pct, case when predicted then '[OK]' else '[XX]' end as called
+from (select *, try_cast(position as int) as pos_num,
+        row_number() over (partition by season, round order by try_cast(position as int), driverId) as rk
+      from scored_o where on_podium) x where rk <= 3""", OX)
+def q_actual_podium(t):
+    return rp.actual_podium(scored(t))
+
+
+@query("season_rounds", "select distinct season, round from race_results order by season, round")
+def q_season_rounds(t):
+    return t.race_results.select("season", "round").distinct().orderBy("season", "round")
+
+
+# --- U: set operations -------------------------------------------------------------
+
+@query("union_seasons", """
+select season, round, driverId, grid, cast(null as double) as mean_temp from podium_base_o where season <= 1998
+union all select season, round, driverId, grid, mean_temp from podium_base_o where season > 1998""", OX)
+def q_union_seasons(t):
+    """Frames with different columns, aligned by name; the missing one becomes NULL."""
+    b = bt.podium_base(t)
+    early = b.filter(F.col("season") <= 1998).select("season", "round", "driverId", "grid")
+    late = b.filter(F.col("season") > 1998).select("season", "round", "driverId", "grid", "mean_temp")
+    return early.unionByName(late, allowMissingColumns=True)
+
+
+# --- F: scalar functions --------------------------------------------------------------
+
+@query("fill_constants", """
+select lt.season, lt.round, lt.driverId, lt.lap, coalesce(p.stop, 0) as stop,
+  coalesce(p.is_pit, false) as is_pit_stop_lap
+from lap_times lt left join (select season, round, driverId, lap, stop, true as is_pit from pit_stops) p
+  on p.season = lt.season and p.round = lt.round and p.driverId = lt.driverId and p.lap = lt.lap""")
+def q_fill_constants(t):
+    """F3 via ``na.fill`` on the raw left join."""
+    marks = t.pit_stops.select("season", "round", "driverId", "lap", "stop",
+                               F.lit(True).alias("is_pit_stop_lap"))
+    j = t.lap_times.select("season", "round", "driverId", "lap").join(
+        marks, ["season", "round", "driverId", "lap"], "left")
+    return j.na.fill({"stop": 0, "is_pit_stop_lap": False})
+
+
+@query("composite_key", """
+select concat_ws('_', season, round, driverId, lap) as pit_stop_key, stop, duration from pit_stops""")
+def q_composite_key(t):
+    return t.pit_stops.select(
+        F.concat_ws("_", "season", "round", "driverId", "lap").alias("pit_stop_key"),
+        "stop", "duration")
+
+
+@query("report_labels", """
+select season, round, upper(replace(raceName, ' ', '_')) as race_key,
+  rpad(substr(raceName, 1, 30), 30, ' ') as race_label,
+  rpad(substr(coalesce(driverId, 'Unknown'), 1, 15), 15, ' ') as driver_label,
+  substr(coalesce(constructorId, 'Unknown'), 1, 22) as team
+from podium_base_o""", OX)
+def q_report_labels(t):
+    b = bt.podium_base(t)
+    return b.select(
+        "season", "round", F.upper(F.replace("raceName", F.lit(" "), F.lit("_"))).alias("race_key"),
+        F.rpad(F.substring("raceName", 1, 30), 30, " ").alias("race_label"),
+        F.rpad(F.substring(F.coalesce("driverId", F.lit("Unknown")), 1, 15), 15, " ").alias("driver_label"),
+        rp.team_label(b).alias("team"))
+
+
 FLAGSHIP = "season_validation"
