@@ -839,4 +839,262 @@ def q_report_labels(t):
         rp.team_label(b).alias("team"))
 
 
+
+
+# --- M9-M12, M14: splits and folds ----------------------------------------------------
+
+@query("hash_split", """
+select season, round, driverId, lap,
+  case when substr(md5(concat_ws('_', season, round, driverId, lap)), 1, 2) < '33' then 'test' else 'train' end as split
+from lap_features_o""", OX)
+def q_hash_split(t):
+    from pitwall.operators.splits import hash_split
+    f = ft.lap_features(t).select("season", "round", "driverId", "lap")
+    return hash_split(f, ["season", "round", "driverId", "lap"])
+
+
+@query("ordered_split", """
+select season, round, driverId, lap,
+  case when row_number() over (order by season, round, driverId, lap)
+            <= count(*) over () - ceil(count(*) over () * 0.2) then 'train' else 'test' end as split
+from lap_features_o""", OX)
+def q_ordered_split(t):
+    from pitwall.operators.splits import ordered_split
+    f = ft.lap_features(t).select("season", "round", "driverId", "lap")
+    return ordered_split(f, ["season", "round", "driverId", "lap"])
+
+
+@query("stratified_split", """
+select season, round, driverId, on_podium,
+  case when row_number() over (partition by on_podium
+              order by md5(concat_ws('_', season, round, driverId)), season, round, driverId)
+            <= floor(count(*) over (partition by on_podium) * 0.75) then 'train' else 'test' end as split
+from podium_features_o""", OX)
+def q_stratified_split(t):
+    from pitwall.operators.splits import stratified_split
+    f = ft.podium_features(t).select("season", "round", "driverId", "on_podium")
+    return stratified_split(f, "on_podium", ["season", "round", "driverId"])
+
+
+@query("cv_folds", """
+with c as (select on_podium, count(*) as n from podium_features_o group by on_podium),
+a as (select on_podium, n, coalesce(sum(n) over (order by on_podium rows between unbounded preceding and 1 preceding), 0) as s from c),
+r as (select season, round, driverId, on_podium,
+        row_number() over (partition by on_podium order by season, round, driverId) as rn from podium_features_o)
+select r.season, r.round, r.driverId, r.on_podium,
+  case when rn <= floor((a.s + a.n + 1) / 2) - floor((a.s + 1) / 2) then 0 else 1 end as fold
+from r join a on a.on_podium = r.on_podium""", OX)
+def q_cv_folds(t):
+    from pitwall.operators.splits import stratified_kfold2
+    f = ft.podium_features(t).select("season", "round", "driverId", "on_podium")
+    return stratified_kfold2(f, "on_podium", ["season", "round", "driverId"])
+
+
+@query("cv_folds_regression", """
+select season, round, driverId, lap,
+  case when row_number() over (order by season, round, driverId, lap) <= ceil(count(*) over () / 2) then 0 else 1 end as fold
+from lap_features_o""", OX)
+def q_cv_folds_regression(t):
+    from pitwall.operators.splits import kfold2
+    f = ft.lap_features(t).select("season", "round", "driverId", "lap")
+    return kfold2(f, ["season", "round", "driverId", "lap"])
+
+
+
+
+# --- S: landed pages, scans and sinks ---------------------------------------------------
+
+def _pages(t, endpoint, schema=None):
+    from pitwall.sources import landed as ld
+    return ld.read_pages(t.spark, ld.landed_paths(t)[endpoint], schema or ld.PAGE_SCHEMA)
+
+
+def _ld():
+    from pitwall.sources import landed as ld
+    return ld
+
+
+_DRV_O = """cast(substr(driverId, 2) as int) as permanentNumber, cast(null as varchar) as driverCode,
+  cast(null as varchar) as givenName, cast(null as varchar) as familyName"""
+
+
+@query("flatten_races", """
+select r.season, r.round, r.raceName, r.circuitId, c.circuitName, cast(null as varchar) as circuitLocality,
+  c.circuitName as circuitCountry, make_date(r.season, r.round, 1) as date,
+  case when r.round % 2 = 0 then '14:00:00Z' end as time
+from races r left join circuits c on c.circuitId = r.circuitId""")
+def q_flatten_races(t):
+    return _ld().flatten_races(_pages(t, "races"))
+
+
+@query("flatten_qualifying", f"""
+select q.season, q.round, r.raceName, q.driverId, {_DRV_O}, q.constructorId,
+  'Team ' || q.constructorId as constructorName, q.position,
+  {_fmt_ms('q.q1')} as q1, {_fmt_ms('q.q2')} as q2, {_fmt_ms('q.q3')} as q3
+from qualifying q join races r on r.season = q.season and r.round = q.round""")
+def q_flatten_qualifying(t):
+    return _ld().flatten_qualifying(_pages(t, "qualifying"))
+
+
+@query("flatten_results", f"""
+select x.season, x.round, r.raceName, x.driverId, {_DRV_O}, x.constructorId,
+  'Team ' || x.constructorId as constructorName, cast(null as int) as carNumber, x.position,
+  x.points, cast(null as int) as grid, x.laps,
+  case when x.position = 'R' then 'Retired' else 'Finished' end as status
+from race_results x join races r on r.season = x.season and r.round = x.round""")
+def q_flatten_results(t):
+    return _ld().flatten_results(_pages(t, "results"))
+
+
+@query("flatten_laps", "select * from lap_times")
+def q_flatten_laps(t):
+    return _ld().flatten_laps(_pages(t, "laps"))
+
+
+@query("merge_pages", "select * from lap_times")
+def q_merge_pages(t):
+    ld = _ld()
+    return ld.merge_pages(ld.flatten_laps(_pages(t, "laps_overlap")),
+                          ["season", "round", "driverId", "lap"])
+
+
+@query("flatten_pit_stops", """
+select season, round, driverId, lap, stop, cast(null as varchar) as time, duration from pit_stops""")
+def q_flatten_pit_stops(t):
+    return _ld().flatten_pit_stops(_pages(t, "pit_stops"))
+
+
+@query("flatten_driver_standings", f"""
+select d.season, l.last_round as round, d.driverId, {_DRV_O}, cast(null as varchar) as constructorId,
+  cast(null as varchar) as constructorName, d.position, d.points, d.wins
+from driver_standings d join (select season, max(round) as last_round from races group by season) l
+  on l.season = d.season""")
+def q_flatten_driver_standings(t):
+    return _ld().flatten_driver_standings(_pages(t, "driver_standings"))
+
+
+@query("flatten_constructor_standings", """
+select d.season, l.last_round as round, d.constructorId, 'Team ' || d.constructorId as constructorName,
+  cast(null as varchar) as nationality, d.position, d.points, d.wins
+from constructor_standings d join (select season, max(round) as last_round from races group by season) l
+  on l.season = d.season""")
+def q_flatten_constructor_standings(t):
+    return _ld().flatten_constructor_standings(_pages(t, "constructor_standings"))
+
+
+@query("flatten_circuits", """
+select x.season, c.circuitId, c.circuitName, cast(null as varchar) as locality, c.circuitName as country,
+  c.lat, c.long, cast(null as varchar) as url
+from (select distinct season, circuitId from races) x join circuits c on c.circuitId = x.circuitId""")
+def q_flatten_circuits(t):
+    return _ld().flatten_circuits(_pages(t, "circuits"))
+
+
+@query("flatten_seasons", "select distinct season from races")
+def q_flatten_seasons(t):
+    return _ld().flatten_seasons(_pages(t, "seasons"))
+
+
+@query("flatten_weather", """
+select c.lat, c.long, make_date(r.season, r.round, 1) as date, w.mean_temp, w.precipitation_sum,
+  w.windspeed_mean
+from races r join circuits c on c.circuitId = r.circuitId
+join weather w on w.season = r.season and w.round = r.round""")
+def q_flatten_weather(t):
+    ld = _ld()
+    return ld.flatten_weather(_pages(t, "weather", ld.WEATHER_SCHEMA))
+
+
+@query("weather_for_races", """
+select r.season, r.round, r.circuitId, w.mean_temp, w.precipitation_sum, w.windspeed_mean
+from races r join circuits c on c.circuitId = r.circuitId
+join weather w on w.season = r.season and w.round = r.round""")
+def q_weather_for_races(t):
+    ld = _ld()
+    landed_races = ld.flatten_races(_pages(t, "races")).withColumn(
+        "date", ld.race_date(F.col("season"), F.col("round")))
+    weather = ld.flatten_weather(_pages(t, "weather", ld.WEATHER_SCHEMA))
+    return ld.weather_for_races(landed_races.select("season", "round", "circuitId", "date"),
+                                t.circuits, weather)
+
+
+@query("clean_date", """
+select season, round, make_date(season, round, 1) as date from races""")
+def q_clean_date(t):
+    ld = _ld()
+    r = t.races.select("season", "round", ld.race_date(F.col("season"), F.col("round")).alias("txt"))
+    return r.select("season", "round", ld.clean_date(F.col("txt")).alias("date"))
+
+
+# Partitioned scans and sinks on the conformed store
+
+def _store_root(t):
+    from pitwall.sources.conform import conformed_root
+    return conformed_root(t.spark, t.sf_dir)
+
+
+@query("scan_season", """
+select 'race_results' as table_name, count(*) as row_count from race_results where season = 1997
+union all select 'qualifying', count(*) from qualifying where season = 1997
+union all select 'lap_times', count(*) from lap_times where season = 1997
+union all select 'pit_stops', count(*) from pit_stops where season = 1997
+union all select 'driver_standings', count(*) from driver_standings where season = 1997
+union all select 'constructor_standings', count(*) from constructor_standings where season = 1997
+union all select 'weather', count(*) from weather where season = 1997
+union all select 'races', count(*) from races where season = 1997
+union all select 'no_such_table', 0""")
+def q_scan_season(t):
+    """The nine tables of one season (partition-pruned); an absent table is empty."""
+    from pitwall import schemas
+    from pitwall.sources.tables import scan_table
+    root = _store_root(t)
+    named = {n: scan_table(t.spark, root, n, schemas.CONFORMED[n], seasons=[1997])
+             for n in ("race_results", "qualifying", "lap_times", "pit_stops", "driver_standings",
+                       "constructor_standings", "weather", "races", "no_such_table")}
+    return ag.table_counts(named)
+
+
+@query("scan_multi_season", "select * from race_results where season between 1995 and 1999")
+def q_scan_multi_season(t):
+    """One scan over a season list (partition filter), no per-season loop."""
+    from pitwall import schemas
+    from pitwall.sources.tables import scan_table
+    return scan_table(t.spark, _store_root(t), "race_results", schemas.CONFORMED["race_results"],
+                      seasons=TRAIN_SEASONS).select(*schemas.CONFORMED["race_results"].fieldNames())
+
+
+@query("scan_projected", "select season, round, driverId, lap from pit_stops")
+def q_scan_projected(t):
+    """S3: a projected scan: only the listed columns are read."""
+    from pitwall import schemas
+    from pitwall.sources.tables import scan_table
+    return scan_table(t.spark, _store_root(t), "pit_stops", schemas.CONFORMED["pit_stops"],
+                      columns=["season", "round", "driverId", "lap"])
+
+
+@query("sink_roundtrip", "select * from race_results")
+def q_sink_roundtrip(t):
+    """Write season-partitioned CSV with a header, read back with the declared schema."""
+    from pitwall import schemas
+    from pitwall.session import scratch_path
+    from pitwall.sources.tables import scan_table, write_table
+    root = scratch_path(t.spark, "sink")
+    write_table(t.race_results, root, "race_results", fmt="csv")
+    return scan_table(t.spark, root, "race_results", schemas.CONFORMED["race_results"],
+                      fmt="csv").select(*schemas.CONFORMED["race_results"].fieldNames())
+
+
+@query("incremental_seasons", "select * from race_results")
+def q_incremental_seasons(t):
+    """Land seasons up to 1998, then append only the seasons not yet landed."""
+    from pitwall import schemas
+    from pitwall.session import scratch_path
+    from pitwall.sources.tables import incremental_append, scan_table, write_table
+    sch = schemas.CONFORMED["race_results"]
+    root = scratch_path(t.spark, "incremental")
+    write_table(t.race_results.filter(F.col("season") <= 1998), root, "race_results")
+    incremental_append(t.spark, t.race_results, root, "race_results", sch)
+    return scan_table(t.spark, root, "race_results", sch).select(*sch.fieldNames())
+
+
 FLAGSHIP = "season_validation"
