@@ -1097,4 +1097,146 @@ def q_incremental_seasons(t):
     return scan_table(t.spark, root, "race_results", sch).select(*sch.fieldNames())
 
 
+
+
+# --- M: Spark ML (rows-only checks) --------------------------------------------------------
+
+def _md():
+    from pitwall.plans import models as md
+    return md
+
+
+def _fit_predict(t, family: str, name: str):
+    md = _md()
+    train, test, cols = getattr(md, f"{family}_sets")(t)
+    model = getattr(md, f"{family}_estimators")(cols)[name].fit(train)
+    return model, model.transform(test), cols
+
+
+@query("ml_lap_linear")
+def q_ml_lap_linear(t):
+    _, pred, _ = _fit_predict(t, "lap", "lap_linear")
+    return pred.select("season", "round", "driverId", "lap", "label", "prediction")
+
+
+@query("ml_lap_forest")
+def q_ml_lap_forest(t):
+    _, pred, _ = _fit_predict(t, "lap", "lap_forest")
+    return pred.select("season", "round", "driverId", "lap", "label", "prediction")
+
+
+@query("ml_lap_gbt")
+def q_ml_lap_gbt(t):
+    _, pred, _ = _fit_predict(t, "lap", "lap_gbt")
+    return pred.select("season", "round", "driverId", "lap", "label", "prediction")
+
+
+@query("ml_model_comparison")
+def q_ml_model_comparison(t):
+    md = _md()
+    train, test, cols = md.lap_sets(t)
+    preds = {n: e.fit(train).transform(test) for n, e in md.lap_estimators(cols).items()}
+    return md.model_comparison(preds)
+
+
+def _podium_scored(t, name: str):
+    md = _md()
+    model, pred, cols = _fit_predict(t, "podium", name)
+    return model, md.with_probability(pred), cols
+
+
+@query("ml_podium_logistic")
+def q_ml_podium_logistic(t):
+    _, pred, _ = _podium_scored(t, "podium_logistic")
+    return pred.select("season", "round", "driverId", "on_podium", "p", "predicted")
+
+
+@query("ml_podium_forest")
+def q_ml_podium_forest(t):
+    _, pred, _ = _podium_scored(t, "podium_forest")
+    return pred.select("season", "round", "driverId", "on_podium", "p", "predicted")
+
+
+@query("ml_pole_logistic")
+def q_ml_pole_logistic(t):
+    _, pred, _ = _fit_predict(t, "pole", "pole_logistic")
+    return _md().decode_pole(pred, t).select("season", "round", "driverId", "prediction",
+                                            "predicted_driverId")
+
+
+@query("ml_pole_forest")
+def q_ml_pole_forest(t):
+    _, pred, _ = _fit_predict(t, "pole", "pole_forest")
+    return _md().decode_pole(pred, t).select("season", "round", "driverId", "prediction",
+                                            "predicted_driverId")
+
+
+@query("ml_podium_evaluation")
+def q_ml_podium_evaluation(t):
+    """E2-E6 on the fitted forest's test predictions, one plan."""
+    _, pred, _ = _podium_scored(t, "podium_forest")
+    acc = ev.accuracy(pred, "on_podium", "predicted").select(
+        F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
+    auc = ev.roc_auc(pred, "on_podium", "p").select(
+        F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
+    rep = ev.classification_report(pred, "on_podium", "predicted").select(
+        F.concat(F.lit("f1 "), F.col("class_label")).alias("metric"), F.col("f1").alias("value"))
+    return acc.unionByName(auc).unionByName(rep)
+
+
+@query("ml_season_validation")
+def q_ml_season_validation(t):
+    """R2 with model scores: per-race predicted vs actual podium on the test seasons."""
+    _, pred, _ = _podium_scored(t, "podium_forest")
+    return ev.season_validation(pred)
+
+
+@query("ml_race_prediction")
+def q_ml_race_prediction(t):
+    """R1 with the fitted forest: ranked candidates of the latest race of each test season."""
+    _, pred, _ = _podium_scored(t, "podium_forest")
+    return rp.race_report(pred)
+
+
+@query("ml_feature_importance")
+def q_ml_feature_importance(t):
+    model, _, cols = _podium_scored(t, "podium_forest")
+    return _md().feature_importance(model, cols, t.spark)
+
+
+@query("ml_tune_podium_forest")
+def q_ml_tune_podium_forest(t):
+    md = _md()
+    cv, grid = md.tune_podium_forest(t)
+    return md.tuning_table(cv, grid, "podium_forest", t.spark)
+
+
+@query("ml_tune_pole_forest")
+def q_ml_tune_pole_forest(t):
+    md = _md()
+    cv, grid = md.tune_pole_forest(t)
+    return md.tuning_table(cv, grid, "pole_forest", t.spark)
+
+
+@query("ml_tune_lap_forest")
+def q_ml_tune_lap_forest(t):
+    md = _md()
+    cv, grid = md.tune_lap_forest(t)
+    return md.tuning_table(cv, grid, "lap_forest", t.spark)
+
+
+@query("ml_model_save_load")
+def q_ml_model_save_load(t):
+    """S17 + S18: save timestamped, load the latest by name, score the test rows."""
+    md = _md()
+    model, _, _ = _fit_predict(t, "podium", "podium_logistic")
+    root = md.model_root(t.spark)
+    md.save_model(model, root, "podium_predictor")
+    md.save_model(model, root, "podium_predictor")
+    latest = md.load_latest(t.spark, root, "podium_predictor_")
+    _, test, _ = md.podium_sets(t, weighted=False)
+    return md.with_probability(latest.transform(test)).select(
+        "season", "round", "driverId", "p", "predicted")
+
+
 FLAGSHIP = "season_validation"
