@@ -1153,7 +1153,7 @@ def q_ml_podium_logistic(t):
 
 @query("ml_podium_forest")
 def q_ml_podium_forest(t):
-    _, pred, _ = _podium_scored(t, "podium_forest")
+    pred = _md().podium_test_predictions(t)
     return pred.select("season", "round", "driverId", "on_podium", "p", "predicted")
 
 
@@ -1174,7 +1174,7 @@ def q_ml_pole_forest(t):
 @query("ml_podium_evaluation")
 def q_ml_podium_evaluation(t):
     """E2-E6 on the fitted forest's test predictions, one plan."""
-    _, pred, _ = _podium_scored(t, "podium_forest")
+    pred = _md().podium_test_predictions(t)
     acc = ev.accuracy(pred, "on_podium", "predicted").select(
         F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
     auc = ev.roc_auc(pred, "on_podium", "p").select(
@@ -1187,21 +1187,21 @@ def q_ml_podium_evaluation(t):
 @query("ml_season_validation")
 def q_ml_season_validation(t):
     """R2 with model scores: per-race predicted vs actual podium on the test seasons."""
-    _, pred, _ = _podium_scored(t, "podium_forest")
+    pred = _md().podium_test_predictions(t)
     return ev.season_validation(pred)
 
 
 @query("ml_race_prediction")
 def q_ml_race_prediction(t):
     """R1 with the fitted forest: ranked candidates of the latest race of each test season."""
-    _, pred, _ = _podium_scored(t, "podium_forest")
+    pred = _md().podium_test_predictions(t)
     return rp.race_report(pred)
 
 
 @query("ml_feature_importance")
 def q_ml_feature_importance(t):
-    model, _, cols = _podium_scored(t, "podium_forest")
-    return _md().feature_importance(model, cols, t.spark)
+    md = _md()
+    return md.feature_importance(md.trained_podium_model(t), ft.PODIUM_X, t.spark)
 
 
 @query("ml_tune_podium_forest")

@@ -249,6 +249,8 @@ def load_latest(spark, root: str, prefix: str) -> PipelineModel:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(root)
     names = sorted(s.getPath().getName() for s in fs.listStatus(p)
                    if s.getPath().getName().startswith(prefix))
     if not names:
@@ -256,5 +258,32 @@ def load_latest(spark, root: str, prefix: str) -> PipelineModel:
     return PipelineModel.load(os.path.join(root, names[-1]))
 
 
+_MODEL_ROOTS: dict[str, str] = {}
+
+
 def model_root(spark) -> str:
-    return scratch_path(spark, "models")
+    """This application's model folder below the shared checkpoint folder."""
+    app = spark.sparkContext.applicationId
+    if app not in _MODEL_ROOTS:
+        _MODEL_ROOTS[app] = scratch_path(spark, "models")
+    return _MODEL_ROOTS[app]
+
+
+def trained_podium_model(t: RaceTables, name: str = "podium_forest") -> PipelineModel:
+    """The latest saved podium model; fitted and saved first if there is none yet
+    (train once, then every report loads the latest, as the reference's scripts do)."""
+    root = model_root(t.spark)
+    prefix = f"{name}_{abs(hash(os.path.abspath(t.sf_dir))) % 10**8:08d}"
+    try:
+        return load_latest(t.spark, root, prefix + "_")
+    except FileNotFoundError:
+        train, _, cols = podium_sets(t)
+        model = podium_estimators(cols)[name].fit(train)
+        save_model(model, root, prefix)
+        return model
+
+
+def podium_test_predictions(t: RaceTables, name: str = "podium_forest") -> DataFrame:
+    model = trained_podium_model(t, name)
+    _, test, _ = podium_sets(t, weighted=False)
+    return with_probability(model.transform(test))
