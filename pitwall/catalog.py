@@ -1239,4 +1239,17 @@ def q_ml_model_save_load(t):
         "season", "round", "driverId", "p", "predicted")
 
 
+
+
+# --- streaming: incremental ingest of landed pages ------------------------------------
+
+@query("stream_landed_laps", "select * from lap_times")
+def q_stream_landed_laps(t):
+    """S13/S15 as a file stream: overlapping lap pages -> one de-duplicated table."""
+    from pitwall.session import scratch_path
+    from pitwall.streaming.ingest import ingested_laps
+    pages = _ld().landed_paths(t)["laps_overlap"]
+    return ingested_laps(t.spark, pages, scratch_path(t.spark, "stream"))
+
+
 FLAGSHIP = "season_validation"

@@ -9,6 +9,11 @@ per (group, slice) with a map-side partial aggregate, a running sum over
 that small table gives each slice its offset, and the window then runs per
 (group, slice).  The result is identical to the plain window, but no task
 holds more than one slice.
+
+Slice rule: the slice columns, compared left to right, must never decrease
+along the sort order.  A second slice column is therefore only valid when
+every earlier slice pins its key exactly (e.g. width 1 on an integer-valued
+key); a coarser first slice must be the only one.
 """
 
 from __future__ import annotations
@@ -54,14 +59,6 @@ def prefix_slice(key: Key, length: int) -> Column:
     return F.coalesce(F.substring(F.col(key.name), 1, length), sentinel)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,
             slices: list[Column] | None, broadcast_offsets: bool) -> DataFrame:
     order_cols = [k.column() for k in order]

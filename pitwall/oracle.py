@@ -68,9 +68,15 @@ select season, constructorId, points, wins,
 from (select season, constructorId, sum(points) as points,
         cast(sum(case when position='1' then 1 else 0 end) as int) as wins
       from race_results group by season, constructorId) x""",
+    # Same values as round(avg(qty),4), round(sum(tax),4), round(avg(disc)*100,4), but
+    # in exact integer arithmetic (half up): parallel double sums are order-dependent
+    # when a value sits on a rounding tie.
     "weather": """
-select season, round, round(avg(qty),4) as mean_temp, round(sum(tax),4) as precipitation_sum,
-  round(avg(disc)*100,4) as windspeed_mean
+select season, round,
+  cast((2 * sum(cast(qty as bigint)) * 10000 + count(*)) // (2 * count(*)) as double) / 10000 as mean_temp,
+  cast(sum(cast(round(tax * 100) as bigint)) as double) / 100 as precipitation_sum,
+  cast((2 * sum(cast(round(disc * 100) as bigint)) * 10000 + count(*)) // (2 * count(*)) as double) / 10000
+    as windspeed_mean
 from laps where round <> 7 group by season, round""",
     "circuits": """
 select concat('K', cast(n_nationkey as varchar)) as circuitId, n_name as circuitName,

@@ -16,6 +16,7 @@ quality, never value by value.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 import time
@@ -273,7 +274,7 @@ def trained_podium_model(t: RaceTables, name: str = "podium_forest") -> Pipeline
     """The latest saved podium model; fitted and saved first if there is none yet
     (train once, then every report loads the latest, as the reference's scripts do)."""
     root = model_root(t.spark)
-    prefix = f"{name}_{abs(hash(os.path.abspath(t.sf_dir))) % 10**8:08d}"
+    prefix = f"{name}_{hashlib.md5(os.path.abspath(t.sf_dir).encode()).hexdigest()[:8]}"
     try:
         return load_latest(t.spark, root, prefix + "_")
     except FileNotFoundError:

@@ -186,11 +186,14 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_from(rows: DataFrame) -> DataFrame:
+    # Exact decimal sums, so a value on a rounding tie (x.xxxx5) rounds the same
+    # way whatever order the partial sums arrive in.
     lp = rows.filter(F.col("round") != 7)
+    dec = lambda c: F.col(c).cast("decimal(18,6)")
     return lp.groupBy(*RACE).agg(
-        F.round(F.avg("qty"), 4).alias("mean_temp"),
-        F.round(F.sum("tax"), 4).alias("precipitation_sum"),
-        F.round(F.avg("disc") * 100, 4).alias("windspeed_mean"))
+        F.round(F.avg(dec("qty")), 4).cast("double").alias("mean_temp"),
+        F.round(F.sum(dec("tax")), 4).cast("double").alias("precipitation_sum"),
+        F.round(F.avg(dec("disc")) * 100, 4).cast("double").alias("windspeed_mean"))
 
 
 def circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
