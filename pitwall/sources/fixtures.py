@@ -53,7 +53,9 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = lap_rows(spark, sf_dir, with_order_cols=True)
     order = [Key("l_shipdate"), Key("l_orderkey"), Key("l_linenumber"), Key("l_partkey"),
              Key("l_extendedprice"), Key("l_quantity"), Key("l_discount"), Key("l_tax")]
-    out = row_number_by(base, ENTRY, order, "lap")
+    # a (race, driver) group can be hot: slice it by ship day (monotone in the order)
+    day = F.coalesce(F.unix_date(F.to_date("l_shipdate")), F.lit(-(10 ** 9)))
+    out = row_number_by(base, ENTRY, order, "lap", slices=[day])
     return out.select("season", "round", "driverId", "constructorId", "lap", "lap_ms",
                       "is_pit", "qty", "disc", "tax")
 
