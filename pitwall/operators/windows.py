@@ -112,6 +112,35 @@ def add_lags(df: DataFrame, value: str, lags: list[int], partition: list[str],
     return df.withColumns({f"{prefix}{k}": F.lag(value, k).over(w) for k in lags})
 
 
+def add_lags_by_position(df: DataFrame, lags: dict[str, list[tuple[int, str]]],
+                         partition: list[str], order: str, slice_width: float = 64.0,
+                         fill: dict[str, Column] | None = None) -> DataFrame:
+    """W1/W2/W4/W5 without a per-group window: positional lags as equi-joins.
+
+    Each row gets its 1-based position in ``partition`` ordered by ``order``
+    (skew-safe, slices of ``slice_width`` order values); the value k rows
+    back is the row at position - k, fetched with a left join whose key
+    includes the position, so a hot (race, driver) group is spread like any
+    other key.  Joins after the first reuse its partitioning.  ``lags`` maps
+    a value column to (k, output name) pairs; ``fill`` gives defaults.
+    """
+    key = Key(order)
+    pos = row_number_by(df, partition, [key], "__pos",
+                        slices=[numeric_slice(key, slice_width)])
+    by_k: dict[int, list[tuple[str, str]]] = {}
+    for value, pairs in lags.items():
+        for k, name in pairs:
+            by_k.setdefault(k, []).append((value, name))
+    out = pos
+    for k, cols in sorted(by_k.items()):
+        shifted = pos.select(*partition, (F.col("__pos") + k).alias("__pos"),
+                             *[F.col(v).alias(n) for v, n in cols])
+        out = out.join(shifted, [*partition, "__pos"], "left")
+    if fill:
+        out = out.withColumns({n: F.coalesce(F.col(n), c) for n, c in fill.items()})
+    return out.drop("__pos")
+
+
 def add_pit_exit(df: DataFrame, flag: str, out: str, partition: list[str],
                  order: str) -> DataFrame:
     """Previous lap of the same driver and race was a pit lap (first lap -> False)."""

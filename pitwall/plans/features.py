@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pitwall.functions.timing import qual_time_to_ms, time_to_ms
 from pitwall.operators.aggregates import fit_medians, impute, race_min
-from pitwall.operators.windows import ENTRY, add_lags, add_pit_exit, category_codes
+from pitwall.operators.windows import ENTRY, add_lags_by_position, category_codes
 from pitwall.plans.base_tables import RaceTables, lap_base, podium_base, pole_base
 
 RACE = ["season", "round"]
@@ -60,8 +60,10 @@ def normalized_laps(t: RaceTables, parity: bool = False) -> DataFrame:
 def lap_series(t: RaceTables, parity: bool = False) -> DataFrame:
     """W1 + W2 on top of the normalisation, computed before the outlier filter."""
     df = normalized_laps(t, parity)
-    df = add_lags(df, LAP_Y, [1, 2, 3], ENTRY, "lap", "normalized_lap_time_lag_")
-    return add_pit_exit(df, "is_pit_stop_lap", "is_pit_exit_lap", ENTRY, "lap")
+    lags = {LAP_Y: [(k, f"normalized_lap_time_lag_{k}") for k in (1, 2, 3)],
+            "is_pit_stop_lap": [(1, "is_pit_exit_lap")]}
+    return add_lags_by_position(df, lags, ENTRY, "lap",
+                                fill={"is_pit_exit_lap": F.lit(False)})
 
 
 def lap_outlier_filter(df: DataFrame, limit: float = 1.5) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.operators.joins import indicator_join
-from pitwall.operators.windows import add_lags, add_pit_exit
+from pitwall.operators.windows import add_lags_by_position
 from pitwall.plans.base_tables import RaceTables
 
 NB_ENTRY = ["raceId", "driverId"]
@@ -60,12 +60,14 @@ def nb_pit_indicator(t: RaceTables) -> DataFrame:
 
 def nb_pit_exit(t: RaceTables) -> DataFrame:
     """W5 (partitioned, see module docstring)."""
-    return add_pit_exit(nb_pit_indicator(t), "is_pit_stop", "is_pit_exit", NB_ENTRY, "lap")
+    return add_lags_by_position(nb_pit_indicator(t), {"is_pit_stop": [(1, "is_pit_exit")]},
+                                NB_ENTRY, "lap", fill={"is_pit_exit": F.lit(False)})
 
 
 def nb_lap_lags(t: RaceTables, limit: float = 1.5) -> DataFrame:
     """Filter to <= limit first, then lags 1 and 2, then drop incomplete rows."""
     df = nb_pit_exit(t).filter(F.col("normalized_time") <= limit)
-    df = add_lags(df, "normalized_time", [1, 2], NB_ENTRY, "lap", "lag_")
+    df = add_lags_by_position(df, {"normalized_time": [(1, "lag_1"), (2, "lag_2")]},
+                              NB_ENTRY, "lap")
     df = df.na.drop(subset=NB_FEATURES + ["normalized_time"])
     return df.select("raceId", "driverId", *NB_FEATURES, "normalized_time")

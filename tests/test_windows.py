@@ -60,3 +60,22 @@ def test_top_k_and_codes(spark):
                            "c", "code")
     got = sorted((r["c"] or "", r["code"]) for r in codes.collect())
     assert got == [("", -1), ("a", 0), ("b", 1), ("b", 1)]
+
+
+def test_positional_lags_match_window_lags(spark):
+    from pitwall.operators.windows import add_lags, add_lags_by_position
+    rows = []
+    for i in range(2000):
+        d = "HOT" if i % 4 else f"D{i % 9}"             # one driver holds 3/4 of the rows
+        rows.append((2000, 1, d, i * 3 + (i % 7), float(i % 11), i % 5 == 0))  # gaps in laps
+    df = spark.createDataFrame(rows, "season int, round int, driverId string, lap int, "
+                                     "v double, pit boolean")
+    ent = ["season", "round", "driverId"]
+    want = add_lags(df, "v", [1, 2, 3], ent, "lap", "lag_")
+    want = want.withColumn("exit", F.coalesce(F.lag("pit", 1).over(
+        Window.partitionBy(*ent).orderBy("lap")), F.lit(False)))
+    got = add_lags_by_position(df, {"v": [(1, "lag_1"), (2, "lag_2"), (3, "lag_3")],
+                                    "pit": [(1, "exit")]}, ent, "lap", slice_width=16,
+                               fill={"exit": F.lit(False)})
+    cols = ["driverId", "lap", "lag_1", "lag_2", "lag_3", "exit"]
+    assert sorted(want.select(*cols).collect()) == sorted(got.select(*cols).collect())
