@@ -59,13 +59,36 @@ def prefix_slice(key: Key, length: int) -> Column:
     return F.coalesce(F.substring(F.col(key.name), 1, length), sentinel)
 
 
-def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,
-            slices: list[Column] | None, broadcast_offsets: bool) -> DataFrame:
-    order_cols = [k.column() for k in order]
-    if not slices:
-        w = Window.partitionBy(*group).orderBy(*order_cols)
-        return df.withColumn(out, fn().over(w).cast("int"))
+HOT_ROWS_CONF = "pitwall.hotGroupRows"
+HOT_ROWS_DEFAULT = 1_000_000
 
+
+def hot_group_keys(df: DataFrame, group: list[str]) -> DataFrame | None:
+    """Keys of groups holding more than ``pitwall.hotGroupRows`` rows, or None.
+
+    One partial aggregate; the keys that come back are at most
+    rows / threshold, a fitted statistic, returned as a broadcastable frame.
+    """
+    spark = df.sparkSession
+    limit = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
+    hot = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+             .filter(F.col("__n") > limit).select(*group).collect())
+    if not hot:
+        return None
+    return spark.createDataFrame(hot, df.select(*group).schema)
+
+
+def split_hot(df: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups or None)."""
+    keys = hot_group_keys(df, group)
+    if keys is None:
+        return df, None
+    keys = F.broadcast(keys)
+    return df.join(keys, group, "left_anti"), df.join(keys, group, "left_semi")
+
+
+def _sliced(df: DataFrame, group: list[str], order_cols: list[Column], out: str, fn,
+            slices: list[Column], broadcast_offsets: bool) -> DataFrame:
     names = [f"__slice{i}" for i in range(len(slices))]
     sliced = df.withColumns(dict(zip(names, slices)))
     counts = sliced.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("__n"))
@@ -86,6 +109,25 @@ def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,
     return res.drop(*names, "__off", *[f"__o_{c}" for c in group + names])
 
 
+def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,
+            slices: list[Column] | None, broadcast_offsets: bool) -> DataFrame:
+    order_cols = [k.column() for k in order]
+
+    def plain(x: DataFrame) -> DataFrame:
+        return x.withColumn(out, fn().over(Window.partitionBy(*group).orderBy(*order_cols))
+                            .cast("int"))
+
+    if not slices:
+        return plain(df)
+    if not group:  # one global order: always sliced
+        return _sliced(df, group, order_cols, out, fn, slices, broadcast_offsets)
+    cold, hot = split_hot(df, group)
+    if hot is None:
+        return plain(cold)
+    # hot groups are few (rows / threshold): their offsets table is small
+    return plain(cold).unionByName(_sliced(hot, group, order_cols, out, fn, slices, True))
+
+
 def row_number_by(df: DataFrame, group: list[str], order: list[Key], out: str,
                   slices: list[Column] | None = None,
                   broadcast_offsets: bool = False) -> DataFrame:
@@ -114,31 +156,47 @@ def add_lags(df: DataFrame, value: str, lags: list[int], partition: list[str],
 
 def add_lags_by_position(df: DataFrame, lags: dict[str, list[tuple[int, str]]],
                          partition: list[str], order: str, slice_width: float = 64.0,
-                         fill: dict[str, Column] | None = None) -> DataFrame:
-    """W1/W2/W4/W5 without a per-group window: positional lags as equi-joins.
-
-    Each row gets its 1-based position in ``partition`` ordered by ``order``
-    (skew-safe, slices of ``slice_width`` order values); the value k rows
-    back is the row at position - k, fetched with a left join whose key
-    includes the position, so a hot (race, driver) group is spread like any
-    other key.  Joins after the first reuse its partitioning.  ``lags`` maps
-    a value column to (k, output name) pairs; ``fill`` gives defaults.
+                         fill: dict[str, Column] | None = None,
+                         split: bool = True) -> DataFrame:
+    """Lags within ``partition`` ordered by ``order``.
+
+    Ordinary groups use a ``lag`` window.  Groups above the hot-group
+    threshold use positional lags as equi-joins: each row gets its 1-based
+    position (skew-safe, slices of ``slice_width`` order values), and the
+    value k rows back is the row at position - k, fetched with a left join
+    whose key includes the position, so a hot group is spread like any
+    other key.  ``lags`` maps a value column to (k, output name) pairs;
+    ``fill`` gives defaults.  ``split=False`` sends every group the
+    positional way.
     """
-    key = Key(order)
-    pos = row_number_by(df, partition, [key], "__pos",
-                        slices=[numeric_slice(key, slice_width)])
-    by_k: dict[int, list[tuple[str, str]]] = {}
-    for value, pairs in lags.items():
-        for k, name in pairs:
-            by_k.setdefault(k, []).append((value, name))
-    out = pos
-    for k, cols in sorted(by_k.items()):
-        shifted = pos.select(*partition, (F.col("__pos") + k).alias("__pos"),
-                             *[F.col(v).alias(n) for v, n in cols])
-        out = out.join(shifted, [*partition, "__pos"], "left")
+    def windowed(x: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*partition).orderBy(order)
+        return x.withColumns({n: F.lag(v, k).over(w)
+                              for v, pairs in lags.items() for k, n in pairs})
+
+    def positional(x: DataFrame) -> DataFrame:
+        key = Key(order)
+        pos = _sliced(x, partition, [key.column()], "__pos", F.row_number,
+                      [numeric_slice(key, slice_width)], False)
+        by_k: dict[int, list[tuple[str, str]]] = {}
+        for value, pairs in lags.items():
+            for k, name in pairs:
+                by_k.setdefault(k, []).append((value, name))
+        res = pos
+        for k, cols in sorted(by_k.items()):
+            shifted = pos.select(*partition, (F.col("__pos") + k).alias("__pos"),
+                                 *[F.col(v).alias(n) for v, n in cols])
+            res = res.join(shifted, [*partition, "__pos"], "left")
+        return res.drop("__pos")
+
+    if split:
+        cold, hot = split_hot(df, partition)
+        out = windowed(cold) if hot is None else windowed(cold).unionByName(positional(hot))
+    else:
+        out = positional(df)
     if fill:
         out = out.withColumns({n: F.coalesce(F.col(n), c) for n, c in fill.items()})
-    return out.drop("__pos")
+    return out
 
 
 def add_pit_exit(df: DataFrame, flag: str, out: str, partition: list[str],

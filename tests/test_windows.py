@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +10,14 @@ from pitwall.operators.windows import (Key, category_codes, numeric_slice, prefi
                                        rank_by, row_number_by, top_k_per_group)
 
 
+@pytest.fixture(autouse=True)
+def _low_hot_threshold(spark):
+    """Make the 2/3-of-rows group 'hot' so the sliced / positional paths run."""
+    spark.conf.set("pitwall.hotGroupRows", "100")
+    yield
+    spark.conf.unset("pitwall.hotGroupRows")
+
+
 def _data(spark):
     rnd = random.Random(7)
     rows = []
@@ -74,8 +83,18 @@ def test_positional_lags_match_window_lags(spark):
     want = add_lags(df, "v", [1, 2, 3], ent, "lap", "lag_")
     want = want.withColumn("exit", F.coalesce(F.lag("pit", 1).over(
         Window.partitionBy(*ent).orderBy("lap")), F.lit(False)))
-    got = add_lags_by_position(df, {"v": [(1, "lag_1"), (2, "lag_2"), (3, "lag_3")],
-                                    "pit": [(1, "exit")]}, ent, "lap", slice_width=16,
-                               fill={"exit": F.lit(False)})
     cols = ["driverId", "lap", "lag_1", "lag_2", "lag_3", "exit"]
-    assert sorted(want.select(*cols).collect()) == sorted(got.select(*cols).collect())
+    lags = {"v": [(1, "lag_1"), (2, "lag_2"), (3, "lag_3")], "pit": [(1, "exit")]}
+    for split in (False, True):
+        got = add_lags_by_position(df, lags, ent, "lap", slice_width=16,
+                                   fill={"exit": F.lit(False)}, split=split)
+        assert sorted(want.select(*cols).collect()) == sorted(got.select(*cols).collect())
+
+
+def test_hot_group_split_path(spark):
+    """With a low threshold the hot group takes the sliced path; results unchanged."""
+    df = _data(spark)
+    order = [Key("v", nulls_last=True), Key("d"), Key("i")]
+    plain = sorted(row_number_by(df, ["g"], order, "rn").select("i", "rn").collect())
+    split = row_number_by(df, ["g"], order, "rn", slices=[numeric_slice(order[0], 8)])
+    assert sorted(split.select("i", "rn").collect()) == plain
