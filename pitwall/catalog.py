@@ -1252,4 +1252,77 @@ def q_stream_landed_laps(t):
     return ingested_laps(t.spark, pages, scratch_path(t.spark, "stream"))
 
 
+
+
+# --- remaining section 2 keys -------------------------------------------------------------
+
+@query("median_impute", """
+select season, round, driverId,
+  coalesce(grid, m.g) as grid,
+  coalesce(driver_prev_season_points, m.dp) as driver_prev_season_points,
+  coalesce(driver_prev_season_position, m.dpo) as driver_prev_season_position,
+  coalesce(driver_prev_season_wins, m.dw) as driver_prev_season_wins,
+  coalesce(constructor_prev_season_points, m.cp) as constructor_prev_season_points,
+  coalesce(constructor_prev_season_position, m.cpo) as constructor_prev_season_position,
+  coalesce(constructor_prev_season_wins, m.cw) as constructor_prev_season_wins,
+  coalesce(mean_temp, m.mt) as mean_temp, coalesce(precipitation_sum, m.mp) as precipitation_sum,
+  coalesce(windspeed_mean, m.mw) as windspeed_mean
+from podium_base_o, (
+  select median(grid) as g, median(driver_prev_season_points) as dp,
+    median(driver_prev_season_position) as dpo, median(driver_prev_season_wins) as dw,
+    median(constructor_prev_season_points) as cp, median(constructor_prev_season_position) as cpo,
+    median(constructor_prev_season_wins) as cw, median(mean_temp) as mt,
+    median(precipitation_sum) as mp, median(windspeed_mean) as mw from podium_base_o) m""", OX)
+def q_median_impute(t):
+    """Fit the medians in one aggregate, fill NULLs with them."""
+    b = bt.podium_base(t).select("season", "round", "driverId", *ft.PODIUM_IMPUTE)
+    return ag.impute(b, ag.fit_medians(b, ft.PODIUM_IMPUTE))
+
+
+@query("pole_label_decode", f"""
+select p.season, p.round, p.driverId_code, c.driverId as decoded_driverId
+from pole_features_o p left join {_codes('pole_base_o', 'driverId')} c on c.code = p.driverId_code""", OX)
+def q_pole_label_decode(t):
+    """Code -> driverId through the fitted code table (a join, not a driver-side map)."""
+    f = ft.pole_features(t)
+    codes = f.select(F.col(ft.POLE_Y).alias("code"), F.col("driverId").alias("decoded_driverId")) \
+             .distinct()
+    return f.select("season", "round", ft.POLE_Y).join(
+        F.broadcast(codes), F.col(ft.POLE_Y) == F.col("code"), "left").drop("code")
+
+
+@query("feature_guard", """
+select grid, circuitId, driver_prev_season_points, mean_temp from podium_base_o""", OX)
+def q_feature_guard(t):
+    """Keep only the wanted feature columns that exist (absent names are dropped)."""
+    b = bt.podium_base(t)
+    wanted = ["grid", "circuitId", "driver_prev_season_points", "mean_temp",
+              "grid_official", "humidity"]
+    return b.select(*ft.feature_guard(b, wanted))
+
+
+@query("ml_training_summary")
+def q_ml_training_summary(t):
+    """One row per trained model: parameters and its test metric."""
+    md = _md()
+    train, test, cols = md.lap_sets(t)
+    rows = None
+    for name, est in md.lap_estimators(cols).items():
+        model = est.fit(train)
+        stage = model.stages[-1]
+        params = ", ".join(f"{p.name}={v}" for p, v in sorted(
+            stage.extractParamMap().items(), key=lambda kv: kv[0].name)
+            if p.name in ("numTrees", "maxDepth", "maxIter", "stepSize", "regParam", "solver",
+                          "featureSubsetStrategy", "minInstancesPerNode", "subsamplingRate"))
+        r = md.regression_scores(model.transform(test), name).select(
+            "model", F.lit(params).alias("params"), F.lit("test_mse").alias("metric"),
+            F.col("mse").alias("value"))
+        rows = r if rows is None else rows.unionByName(r)
+    pred = md.podium_test_predictions(t)
+    auc = ev.roc_auc(pred, "on_podium", "p").select(
+        F.lit("podium_forest").alias("model"), F.lit("numTrees=100, maxDepth=30").alias("params"),
+        F.lit("test_roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
+    return rows.unionByName(auc)
+
+
 FLAGSHIP = "season_validation"
