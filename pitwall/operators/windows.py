@@ -63,26 +63,36 @@ HOT_ROWS_CONF = "pitwall.hotGroupRows"
 HOT_ROWS_DEFAULT = 1_000_000
 
 
-def hot_group_keys(df: DataFrame, group: list[str]) -> DataFrame | None:
-    """Keys of groups holding more than ``pitwall.hotGroupRows`` rows, or None.
+MAX_HOT_KEYS = 10_000
+ALL_HOT = "all"
 
-    One partial aggregate; the keys that come back are at most
-    rows / threshold, a fitted statistic, returned as a broadcastable frame.
+
+def hot_group_keys(df: DataFrame, group: list[str]):
+    """Keys of groups holding more than ``pitwall.hotGroupRows`` rows.
+
+    One partial aggregate.  Returns None (no hot group), a broadcastable
+    frame of at most ``MAX_HOT_KEYS`` keys, or ``ALL_HOT`` when there are
+    more hot groups than that (then nothing is collected and every group
+    takes the skew-safe path).
     """
     spark = df.sparkSession
     limit = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     hot = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-             .filter(F.col("__n") > limit).select(*group).collect())
+             .filter(F.col("__n") > limit).select(*group).limit(MAX_HOT_KEYS + 1).collect())
     if not hot:
         return None
+    if len(hot) > MAX_HOT_KEYS:
+        return ALL_HOT
     return spark.createDataFrame(hot, df.select(*group).schema)
 
 
-def split_hot(df: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups or None)."""
+def split_hot(df: DataFrame, group: list[str]) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of ordinary groups or None, rows of hot groups or None)."""
     keys = hot_group_keys(df, group)
     if keys is None:
         return df, None
+    if isinstance(keys, str):
+        return None, df
     keys = F.broadcast(keys)
     return df.join(keys, group, "left_anti"), df.join(keys, group, "left_semi")
 
@@ -124,7 +134,9 @@ def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,
     cold, hot = split_hot(df, group)
     if hot is None:
         return plain(cold)
-    # hot groups are few (rows / threshold): their offsets table is small
+    if cold is None:  # more hot groups than keys worth collecting: slice everything
+        return _sliced(hot, group, order_cols, out, fn, slices, broadcast_offsets)
+    # hot groups are few (at most MAX_HOT_KEYS): their offsets table is small
     return plain(cold).unionByName(_sliced(hot, group, order_cols, out, fn, slices, True))
 
 
@@ -191,7 +203,12 @@ def add_lags_by_position(df: DataFrame, lags: dict[str, list[tuple[int, str]]],
 
     if split:
         cold, hot = split_hot(df, partition)
-        out = windowed(cold) if hot is None else windowed(cold).unionByName(positional(hot))
+        if hot is None:
+            out = windowed(cold)
+        elif cold is None:
+            out = positional(hot)
+        else:
+            out = windowed(cold).unionByName(positional(hot))
     else:
         out = positional(df)
     if fill:

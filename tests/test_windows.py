@@ -98,3 +98,15 @@ def test_hot_group_split_path(spark):
     plain = sorted(row_number_by(df, ["g"], order, "rn").select("i", "rn").collect())
     split = row_number_by(df, ["g"], order, "rn", slices=[numeric_slice(order[0], 8)])
     assert sorted(split.select("i", "rn").collect()) == plain
+
+
+def test_every_group_hot_slices_everything(spark, monkeypatch):
+    from pitwall.operators import windows as w
+    monkeypatch.setattr(w, "MAX_HOT_KEYS", 2)          # 18 groups > 2 keys -> all hot
+    spark.conf.set("pitwall.hotGroupRows", "0")
+    df = _data(spark)
+    order = [Key("v", nulls_last=True), Key("d"), Key("i")]
+    plain = sorted(row_number_by(df, ["g"], order, "rn").select("i", "rn").collect())
+    assert w.hot_group_keys(df, ["g"]) == w.ALL_HOT
+    got = row_number_by(df, ["g"], order, "rn", slices=[numeric_slice(order[0], 8)])
+    assert sorted(got.select("i", "rn").collect()) == plain
