@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,17 +37,32 @@ def _put(spark: SparkSession, root: str, name: str, df: DataFrame,
 
 
 def build(spark: SparkSession, sf_dir: str, root: str) -> None:
-    laps = _put(spark, root, "laps", fx.laps(spark, sf_dir))
-    _put(spark, root, "lap_times", fx.lap_times_from(laps))
-    _put(spark, root, "pit_stops", fx.pit_stops_from(laps))
-    entries = _put(spark, root, "entries", fx.entry_rollup_from(laps))
-    _put(spark, root, "qualifying", fx.qualifying_from(entries))
-    results = _put(spark, root, "race_results", fx.race_results_from(entries))
-    _put(spark, root, "driver_standings", fx.standings_from(results, "driverId"))
-    _put(spark, root, "constructor_standings", fx.standings_from(results, "constructorId"))
-    _put(spark, root, "weather", fx.weather_from(laps))
-    _put(spark, root, "races", fx.races_from(entries))
-    _put(spark, root, "circuits", fx.circuits(spark, sf_dir), by_season=False)
+    """Write the tables level by level; tables of one level are independent
+    Spark jobs submitted together, so small stages overlap on the cluster."""
+
+    def level(jobs: dict) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            futures = {name: pool.submit(_put, spark, root, name, make(), by_season)
+                       for name, (make, by_season) in jobs.items()}
+            return {name: f.result() for name, f in futures.items()}
+
+    laps = level({"laps": (lambda: fx.laps(spark, sf_dir), True),
+                  "circuits": (lambda: fx.circuits(spark, sf_dir), False)})["laps"]
+    entries = level({
+        "lap_times": (lambda: fx.lap_times_from(laps), True),
+        "pit_stops": (lambda: fx.pit_stops_from(laps), True),
+        "entries": (lambda: fx.entry_rollup_from(laps), True),
+        "weather": (lambda: fx.weather_from(laps), True),
+    })["entries"]
+    results = level({
+        "qualifying": (lambda: fx.qualifying_from(entries), True),
+        "race_results": (lambda: fx.race_results_from(entries), True),
+        "races": (lambda: fx.races_from(entries), True),
+    })["race_results"]
+    level({
+        "driver_standings": (lambda: fx.standings_from(results, "driverId"), True),
+        "constructor_standings": (lambda: fx.standings_from(results, "constructorId"), True),
+    })
 
 
 def conformed_root(spark: SparkSession, sf_dir: str) -> str:
