@@ -77,12 +77,14 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
     if per.count() <= BROADCAST_SOURCES:
         per = F.broadcast(per)
     names = [c for c in df.columns if c not in ("copy", "copies", "shuffle_key")]
-    counted = df.select(*names).join(per, F.col(source).eqNullSafe(F.col("__source")))
-    draw = lambda i: F.size(F.filter(F.col("__steps"), lambda s: s <= uniform(seed, F.col(id_column), i)))
+    # The row travels as one struct, so that its columns can't clash with the names here.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(source).alias("__from"),
+                     F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("__id"))
+    rows = rows.join(per, F.col("__from").eqNullSafe(F.col("__source")))
+    draw = lambda i: F.size(F.filter(F.col("__steps"), lambda s: s <= uniform(seed, F.col("__id"), i)))
     several = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), lambda n, i: n + draw(i))
-    counted = counted.withColumn("copies", F.when(F.col("__rate") > 0, several).otherwise(0))
-    copies = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    key = F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.coalesce(F.col(id_column).cast("string"), F.lit("")),
-                            F.col("copy").cast("string")).cast("binary"))
-    out = copies.withColumn("shuffle_key", key).select(*names, "copy", "copies", "shuffle_key")
+    rows = rows.withColumn("copies", F.when(F.col("__rate") > 0, several).otherwise(0)).where("copies > 0")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    key = F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.col("__id"), F.col("copy").cast("string")).cast("binary"))
+    out = rows.select("row.*", "copy", "copies", key.alias("shuffle_key"))
     return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
