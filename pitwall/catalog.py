@@ -699,7 +699,8 @@ select median(grid) as grid, median(driver_prev_season_points) as driver_prev_se
   median(windspeed_mean) as windspeed_mean from podium_base_o""", OX)
 def q_median_features(t):
     cols = ["grid", "driver_prev_season_points", "constructor_prev_season_points", *ft.WEATHER]
-    return bt.podium_base(t).agg(*[F.median(c).alias(c) for c in cols])
+    found = ag.medians(bt.podium_base(t), cols)
+    return found.agg(*[F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(c) for c in cols])
 
 
 @query("season_stats", """
@@ -1274,9 +1275,10 @@ from podium_base_o, (
     median(constructor_prev_season_wins) as cw, median(mean_temp) as mt,
     median(precipitation_sum) as mp, median(windspeed_mean) as mw from podium_base_o) m""", OX)
 def q_median_impute(t):
-    """Fit the medians in one aggregate, fill NULLs with them."""
+    """Fit the medians (one row), fill NULLs with them."""
     b = bt.podium_base(t).select("season", "round", "driverId", *ft.PODIUM_IMPUTE)
-    return ag.impute(b, ag.fit_medians(b, ft.PODIUM_IMPUTE))
+    filled = ag.with_statistics(b, ag.fit_statistics(b, ft.PODIUM_IMPUTE, []))
+    return filled.withColumns(ag.impute(ft.PODIUM_IMPUTE)).drop("medians", "codes")
 
 
 @query("pole_label_decode", f"""

@@ -28,13 +28,14 @@ def _seconds_double(p: Column) -> Column:
 
 
 def _seconds_exact(p: Column) -> Column:
-    return p.try_cast("decimal(38,9)")
+    return p.try_cast("decimal(28,9)")
 
 
 def _ms(minutes: Column, seconds: Column, parity: bool) -> Column:
+    """NULL where the result is no 64-bit number (overflow, infinite seconds)."""
     if parity:
-        return ((minutes.cast("double") * 60 + seconds) * 1000).cast("bigint")
-    return (minutes * 60000 + seconds * 1000).cast("bigint")
+        return ((minutes.cast("double") * 60 + seconds) * 1000).try_cast("bigint")
+    return (minutes.cast("decimal(20,0)") * 60000 + seconds * 1000).try_cast("bigint")
 
 
 def time_to_ms(col: str | Column, parity: bool = False) -> Column:

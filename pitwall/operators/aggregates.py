@@ -11,27 +11,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def fit_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """A2: exact median of each column in ONE aggregate pass.
+#: Slices per unit of asinh(value): how finely the value axis is cut for medians.
+MEDIAN_SLICES = 4096
 
-    ``median`` keeps a count per distinct value; the feature columns here are
-    millisecond ratios, positions, points and daily weather, whose distinct
-    values are bounded by their value grids, not by the row count.
+
+def medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A2: exact (column_name, median) of each column, NULLs left out; all-NULL columns are absent.
+
+    Rows become counts per (column, value).  Slices of the value axis carry running sums, and
+    only the slices that hold a middle row are looked into, so no task gathers a column's values.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols]))
+    cells = df.select(cells.alias("c")).select("c.*").filter(F.col("v").isNotNull())
+    counts = cells.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("slice", F.floor(F.asinh("v") * MEDIAN_SLICES))
+    whole = Window.partitionBy("column_name")
+    before = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = counts.groupBy("column_name", "slice").agg(F.sum("n").alias("in_slice")).select(
+        "column_name", "slice", "in_slice", F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("before"),
+        F.sum("in_slice").over(whole).alias("total"))
+    lower, upper = F.expr("(total - 1) div 2"), F.expr("total div 2")  # 0-based middle rows
+    slices = slices.filter((F.col("before") <= upper) & (F.col("before") + F.col("in_slice") > lower))
+    inside = Window.partitionBy("column_name", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    hit = counts.join(slices, ["column_name", "slice"]).withColumn(
+        "start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    at = lambda row: F.max(F.when((F.col("start") <= row) & (F.col("start") + F.col("n") > row), F.col("v")))
+    return hit.groupBy("column_name").agg((at(lower) * 0.5 + at(upper) * 0.5).alias("median"))
+
+
+def fit_statistics(df: DataFrame, numeric: list[str], categories: list[str]) -> DataFrame:
+    """One row: ``medians`` (map of column -> median) and ``codes`` (map of column -> sorted values).
+
+    The categories are bounded sets (circuits, teams, pole winners).
     """
-    if not cols:
-        return {}
-    row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    return {c: (None if row[c] is None else float(row[c])) for c in cols}
+    entry = F.struct("column_name", "median")
+    fitted = (medians(df, numeric) if numeric else df.sparkSession.createDataFrame([], "column_name string, median double"))
+    fitted = fitted.agg(F.map_from_entries(F.collect_list(entry)).alias("medians"))
+    pairs = [x for c in categories for x in (F.lit(c), F.sort_array(F.collect_set(c)))]
+    codes = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,array<string>>")
+    return fitted.join(df.agg(codes.alias("codes")))  # one row with one row
+
+
+def with_statistics(df: DataFrame, fitted: DataFrame) -> DataFrame:
+    """``df`` with the columns of the one-row frame ``fitted`` (broadcast: a single row)."""
+    return df.join(F.broadcast(fitted))
 
 
-def impute(df: DataFrame, fills: dict[str, float | None]) -> DataFrame:
-    """replace NULLs by the fitted value (columns keep their type when possible)."""
-    exprs = {}
-    for c, v in fills.items():
-        if v is None:
-            continue
-        exprs[c] = F.coalesce(F.col(c).cast("double"), F.lit(v))
-    return df.withColumns(exprs) if exprs else df
+def impute(numeric: list[str]) -> dict[str, Column]:
+    """columns with NULLs replaced by the median in ``medians``; without one they stay NULL."""
+    return {c: F.coalesce(F.col(c).cast("double"), F.col("medians")[c]) for c in numeric}
+
+
+def code_of(col: str) -> Column:
+    """0-based position in the sorted values of ``codes``; NULL or unseen -> -1."""
+    return (F.coalesce(F.array_position(F.col("codes")[col], F.col(col)), F.lit(0)) - 1).cast("int")
 
 
 def race_min(df: DataFrame, value: str, out: str, group: list[str]) -> DataFrame:
@@ -72,8 +105,3 @@ def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataF
     return per.select(label, F.col("n_class").cast("bigint").alias("n_class"),
                       (F.sum("n_class").over(everything)
                        / (F.count(F.lit(1)).over(everything) * F.col("n_class"))).alias(out))
-
-
-def pct(part: Column, whole: Column) -> Column:
-    """percentage with a guarded denominator."""
-    return F.when(whole != 0, part * 100.0 / whole)

@@ -30,14 +30,20 @@ def join_races(fact: DataFrame, races: DataFrame, carry: list[str]) -> DataFrame
                      bounded_dim=True)
 
 
-def join_circuits(fact: DataFrame, circuits: DataFrame) -> DataFrame:
-    """Attach circuit attributes by circuitId.
+def one_per_circuit(circuits: DataFrame) -> DataFrame:
+    """One row per circuitId: of a per-season table the latest season's row (ties: smallest values)."""
+    others = [c for c in circuits.columns if c not in ("circuitId", "season")]
+    row = F.struct(*[F.col(c) for c in others])
+    if "season" in circuits.columns:
+        row = F.struct((-F.col("season")).alias("__latest"), *[F.col(c) for c in others])
+    best = circuits.groupBy("circuitId").agg(F.min(row).alias("__row"))
+    return best.select("circuitId", *[F.col(f"__row.{c}").alias(c) for c in others])
 
-    The circuit table must have one row per circuitId (deduplicated by the
-    caller when it is per season); otherwise rows would fan out.
-    """
-    cols = [c for c in circuits.columns if c != "season"]
-    return left_join(fact, circuits.select(*cols), ["circuitId"], bounded_dim=True)
+
+def join_circuits(fact: DataFrame, circuits: DataFrame) -> DataFrame:
+    """Attach circuit attributes by circuitId; a circuit listed in several seasons
+    counts once, so no row of ``fact`` is repeated."""
+    return left_join(fact, one_per_circuit(circuits), ["circuitId"])
 
 
 def pit_marker(laps: DataFrame, pit_stops: DataFrame) -> DataFrame:

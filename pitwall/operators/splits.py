@@ -8,15 +8,11 @@ majority class (or the whole table) is never numbered in one task.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.operators.windows import Key, numeric_slice, prefix_slice, row_number_by
 
-ORDER = ["season", "round", "driverId"]
-
 
 def _order_keys(cols: list[str]) -> tuple[list[Key], list]:
     keys = [Key(c) for c in cols]
@@ -46,19 +42,23 @@ def hash_split(df: DataFrame, keys: list[str], cut: str = "33") -> DataFrame:
     return df.withColumn("split", F.when(h < cut, "test").otherwise("train"))
 
 
-def global_position(df: DataFrame, order: list[str], out: str = "pos") -> DataFrame:
-    """1-based position of each row in the total order ``order`` (no single-task window)."""
+def global_position(df: DataFrame, order: list[str], out: str = "pos",
+                    total: str | None = None) -> DataFrame:
+    """1-based position of each row in the total order ``order`` (no single-task window).
+
+    Rows are counted per slice (season, round, id prefix), a running sum over the counts
+    gives the offsets, and rows are ranked within their slice.  ``total`` adds the row count.
+    """
     keys, slices = _order_keys(order)
-    return row_number_by(df, [], keys, out, slices=slices)
+    return row_number_by(df, [], keys, out, slices=slices, total=total)
 
 
 def ordered_split(df: DataFrame, order: list[str], test_size: float = 0.2) -> DataFrame:
     """Unshuffled split: the first n - ceil(test_size * n) rows in ``order`` train."""
-    n = df.count()  # one scalar, fitted like an estimator's statistic
-    n_train = n - math.ceil(n * test_size)
-    pos = global_position(df, order, "__pos")
+    pos = global_position(df, order, "__pos", "__n")
+    n_train = F.col("__n") - F.ceil(F.col("__n") * F.lit(test_size))
     return pos.withColumn("split", F.when(F.col("__pos") <= n_train, "train")
-                          .otherwise("test")).drop("__pos")
+                          .otherwise("test")).drop("__pos", "__n")
 
 
 def _class_positions(df: DataFrame, label: str, order: list[str]) -> DataFrame:
@@ -69,23 +69,21 @@ def _class_positions(df: DataFrame, label: str, order: list[str]) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, keys: list[str],
                      train_size: float = 0.75) -> DataFrame:
     """Per class, rows ordered by md5(keys) then keys; the first
-    floor(train_size * n_class) rows train."""
+    floor(train_size * n_class) rows train.  A class is ranked in 65,536 even slices."""
     h = F.md5(F.concat_ws("_", *[F.col(k).cast("string") for k in keys]))
     tagged = df.withColumn("__h", h)
     order = [Key("__h"), *[Key(k) for k in keys]]
-    ranked = row_number_by(tagged, [label], order, "__rn", slices=[prefix_slice(order[0], 2)])
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    j = ranked.join(F.broadcast(counts), label)
+    ranked = row_number_by(tagged, [label], order, "__rn", slices=[prefix_slice(order[0], 4)], total="__n")
     cut = F.floor(F.col("__n") * F.lit(train_size))
-    return j.withColumn("split", F.when(F.col("__rn") <= cut, "train").otherwise("test")) \
-            .drop("__h", "__rn", "__n")
+    return ranked.withColumn("split", F.when(F.col("__rn") <= cut, "train").otherwise("test")) \
+                 .drop("__h", "__rn", "__n")
 
 
 def kfold2(df: DataFrame, order: list[str]) -> DataFrame:
     """M14 (regression): two contiguous folds; the first has ceil(n / 2) rows."""
-    first = math.ceil(df.count() / 2)  # one scalar
-    pos = global_position(df, order, "__pos")
-    return pos.withColumn("fold", F.when(F.col("__pos") <= first, 0).otherwise(1)).drop("__pos")
+    pos = global_position(df, order, "__pos", "__n")
+    return pos.withColumn("fold", F.when(F.col("__pos") <= F.ceil(F.col("__n") / 2), 0).otherwise(1)) \
+              .drop("__pos", "__n")
 
 
 def stratified_kfold2(df: DataFrame, label: str, order: list[str]) -> DataFrame:
@@ -96,15 +94,15 @@ def stratified_kfold2(df: DataFrame, label: str, order: list[str]) -> DataFrame:
     positions in that range, in row order.  Only the class-count table
     (one row per class) needs a running sum.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(F.col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__label").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__s", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     alloc0 = F.floor((F.col("__s") + F.col("__n") + 1) / 2) - F.floor((F.col("__s") + 1) / 2)
     counts = counts.withColumn("__a0", alloc0)
     ranked = _class_positions(df, label, order)
-    j = ranked.join(F.broadcast(counts), label)
+    j = ranked.join(counts, ranked[label].eqNullSafe(counts["__label"]))
     return j.withColumn("fold", F.when(F.col("__rn") <= F.col("__a0"), 0).otherwise(1)) \
-            .drop("__rn", "__n", "__s", "__a0")
+            .drop("__rn", "__label", "__n", "__s", "__a0")
 
 
 def season_availability(t, seasons: list[int]) -> DataFrame:

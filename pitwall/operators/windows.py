@@ -3,7 +3,7 @@
 Ranking inside a group is a Spark window.  A plain window sends a whole
 group to one task, which is fine for a (race, driver) group but not for a
 race, a season, or a (race, lap) group that may hold a large share of all
-rows.  For those, :func:`row_number_by` / :func:`rank_by` accept ordered
+rows.  For those, :func:`row_number_by` / :func:`rank_by` take ordered
 *slices*: columns that are monotone in the sort order.  Rows are counted
 per (group, slice) with a map-side partial aggregate, a running sum over
 that small table gives each slice its offset, and the window then runs per
@@ -59,56 +59,17 @@ def prefix_slice(key: Key, length: int) -> Column:
     return F.coalesce(F.substring(F.col(key.name), 1, length), sentinel)
 
 
-HOT_ROWS_CONF = "pitwall.hotGroupRows"
-HOT_ROWS_DEFAULT = 1_000_000
-
-
-MAX_HOT_KEYS = 10_000
-ALL_HOT = "all"
-
-
-def hot_group_keys(df: DataFrame, group: list[str]):
-    """Keys of groups holding more than ``pitwall.hotGroupRows`` rows.
-
-    One partial aggregate.  Returns None (no hot group), a broadcastable
-    frame of at most ``MAX_HOT_KEYS`` keys, or ``ALL_HOT`` when there are
-    more hot groups than that (then nothing is collected and every group
-    takes the skew-safe path).
-    """
-    spark = df.sparkSession
-    limit = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
-    hot = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-             .filter(F.col("__n") > limit).select(*group).limit(MAX_HOT_KEYS + 1).collect())
-    if not hot:
-        return None
-    if len(hot) > MAX_HOT_KEYS:
-        return ALL_HOT
-    return spark.createDataFrame(hot, df.select(*group).schema)
-
-
-def split_hot(df: DataFrame, group: list[str]) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows of ordinary groups or None, rows of hot groups or None)."""
-    keys = hot_group_keys(df, group)
-    if keys is None:
-        return df, None
-    if isinstance(keys, str):
-        return None, df
-    keys = F.broadcast(keys)
-    return df.join(keys, group, "left_anti"), df.join(keys, group, "left_semi")
-
-
 def _sliced(df: DataFrame, group: list[str], order_cols: list[Column], out: str, fn,
-            slices: list[Column], broadcast_offsets: bool) -> DataFrame:
+            slices: list[Column], total: str | None) -> DataFrame:
     names = [f"__slice{i}" for i in range(len(slices))]
     sliced = df.withColumns(dict(zip(names, slices)))
     counts = sliced.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("__n"))
-    before = (Window.partitionBy(*group).orderBy(*names)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*group, *names,
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    offsets = offsets.select(*[F.col(c).alias(f"__o_{c}") for c in group + names], "__off")
-    if broadcast_offsets:
-        offsets = F.broadcast(offsets)
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(c).alias(f"__o_{c}") for c in group + names],
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+        F.sum("__n").over(whole).alias("__total"))
     cond = None
     for c in group + names:
         e = sliced[c].eqNullSafe(offsets[f"__o_{c}"])
@@ -116,42 +77,36 @@ def _sliced(df: DataFrame, group: list[str], order_cols: list[Column], out: str,
     joined = sliced.join(offsets, cond, "inner")
     w = Window.partitionBy(*group, *names).orderBy(*order_cols)
     res = joined.withColumn(out, (F.col("__off") + fn().over(w)).cast("int"))
-    return res.drop(*names, "__off", *[f"__o_{c}" for c in group + names])
+    if total:
+        res = res.withColumn(total, F.col("__total"))
+    return res.drop(*names, "__off", "__total", *[f"__o_{c}" for c in group + names])
 
 
 def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,
-            slices: list[Column] | None, broadcast_offsets: bool) -> DataFrame:
+            slices: list[Column] | None, total: str | None) -> DataFrame:
     order_cols = [k.column() for k in order]
-
-    def plain(x: DataFrame) -> DataFrame:
-        return x.withColumn(out, fn().over(Window.partitionBy(*group).orderBy(*order_cols))
-                            .cast("int"))
-
-    if not slices:
-        return plain(df)
-    if not group:  # one global order: always sliced
-        return _sliced(df, group, order_cols, out, fn, slices, broadcast_offsets)
-    cold, hot = split_hot(df, group)
-    if hot is None:
-        return plain(cold)
-    if cold is None:  # more hot groups than keys worth collecting: slice everything
-        return _sliced(hot, group, order_cols, out, fn, slices, broadcast_offsets)
-    # hot groups are few (at most MAX_HOT_KEYS): their offsets table is small
-    return plain(cold).unionByName(_sliced(hot, group, order_cols, out, fn, slices, True))
+    if slices:
+        return _sliced(df, group, order_cols, out, fn, slices, total)
+    whole = Window.partitionBy(*group)
+    res = df.withColumn(out, fn().over(whole.orderBy(*order_cols)).cast("int"))
+    return res.withColumn(total, F.count(F.lit(1)).over(whole)) if total else res
 
 
 def row_number_by(df: DataFrame, group: list[str], order: list[Key], out: str,
-                  slices: list[Column] | None = None,
-                  broadcast_offsets: bool = False) -> DataFrame:
-    """``row_number() over (partition by group order by order)`` as column ``out``."""
-    return _ranked(df, group, order, out, F.row_number, slices, broadcast_offsets)
+                  slices: list[Column] | None = None, total: str | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by order)`` as column ``out``.
+
+    Operators on groups that can hold a large share of all rows (races, seasons,
+    classes, the whole table) pass ``slices``; those on (race, driver) groups, which
+    the laps of one race bound, don't.  ``total`` adds the group's number of rows.
+    """
+    return _ranked(df, group, order, out, F.row_number, slices, total)
 
 
 def rank_by(df: DataFrame, group: list[str], order: list[Key], out: str,
-            slices: list[Column] | None = None,
-            broadcast_offsets: bool = False) -> DataFrame:
+            slices: list[Column] | None = None) -> DataFrame:
     """``rank() over (...)``; ties share a slice because slices derive from keys."""
-    return _ranked(df, group, order, out, F.rank, slices, broadcast_offsets)
+    return _ranked(df, group, order, out, F.rank, slices, None)
 
 
 # --- lap-series windows -------------------------------------------------------
@@ -159,68 +114,15 @@ def rank_by(df: DataFrame, group: list[str], order: list[Key], out: str,
 ENTRY = ["season", "round", "driverId"]
 
 
-def add_lags(df: DataFrame, value: str, lags: list[int], partition: list[str],
-             order: str, prefix: str) -> DataFrame:
-    """``lag(value, k)`` for each k within ``partition`` ordered by ``order``."""
-    w = Window.partitionBy(*partition).orderBy(order)
-    return df.withColumns({f"{prefix}{k}": F.lag(value, k).over(w) for k in lags})
-
-
-def add_lags_by_position(df: DataFrame, lags: dict[str, list[tuple[int, str]]],
-                         partition: list[str], order: str, slice_width: float = 64.0,
-                         fill: dict[str, Column] | None = None,
-                         split: bool = True) -> DataFrame:
-    """Lags within ``partition`` ordered by ``order``.
-
-    Ordinary groups use a ``lag`` window.  Groups above the hot-group
-    threshold use positional lags as equi-joins: each row gets its 1-based
-    position (skew-safe, slices of ``slice_width`` order values), and the
-    value k rows back is the row at position - k, fetched with a left join
-    whose key includes the position, so a hot group is spread like any
-    other key.  ``lags`` maps a value column to (k, output name) pairs;
-    ``fill`` gives defaults.  ``split=False`` sends every group the
-    positional way.
+def add_lags(df: DataFrame, lags: dict[str, list[tuple[int, str]]], partition: list[str],
+             order: str, fill: dict[str, Column] | None = None) -> DataFrame:
+    """Lags within ``partition`` (one driver's laps of one race) by ``order``.
+
+    ``lags`` maps a value column to (k, output name) pairs; ``fill`` gives defaults.
     """
-    def windowed(x: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*partition).orderBy(order)
-        return x.withColumns({n: F.lag(v, k).over(w)
-                              for v, pairs in lags.items() for k, n in pairs})
-
-    def positional(x: DataFrame) -> DataFrame:
-        key = Key(order)
-        pos = _sliced(x, partition, [key.column()], "__pos", F.row_number,
-                      [numeric_slice(key, slice_width)], False)
-        by_k: dict[int, list[tuple[str, str]]] = {}
-        for value, pairs in lags.items():
-            for k, name in pairs:
-                by_k.setdefault(k, []).append((value, name))
-        res = pos
-        for k, cols in sorted(by_k.items()):
-            shifted = pos.select(*partition, (F.col("__pos") + k).alias("__pos"),
-                                 *[F.col(v).alias(n) for v, n in cols])
-            res = res.join(shifted, [*partition, "__pos"], "left")
-        return res.drop("__pos")
-
-    if split:
-        cold, hot = split_hot(df, partition)
-        if hot is None:
-            out = windowed(cold)
-        elif cold is None:
-            out = positional(hot)
-        else:
-            out = windowed(cold).unionByName(positional(hot))
-    else:
-        out = positional(df)
-    if fill:
-        out = out.withColumns({n: F.coalesce(F.col(n), c) for n, c in fill.items()})
-    return out
-
-
-def add_pit_exit(df: DataFrame, flag: str, out: str, partition: list[str],
-                 order: str) -> DataFrame:
-    """Previous lap of the same driver and race was a pit lap (first lap -> False)."""
     w = Window.partitionBy(*partition).orderBy(order)
-    return df.withColumn(out, F.coalesce(F.lag(flag, 1).over(w), F.lit(False)))
+    out = df.withColumns({n: F.lag(v, k).over(w) for v, pairs in lags.items() for k, n in pairs})
+    return out.withColumns({n: F.coalesce(F.col(n), c) for n, c in (fill or {}).items()})
 
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list[Key], k: int,
@@ -235,20 +137,15 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Key], k: int,
     return df.withColumn(out, F.row_number().over(w).cast("int")).filter(F.col(out) <= k)
 
 
-def category_codes(df: DataFrame, col: str, out: str, codes_from: DataFrame | None = None,
-                   bounded: bool = True) -> DataFrame:
+def category_codes(df: DataFrame, col: str, out: str, codes_from: DataFrame | None = None) -> DataFrame:
     """0-based position of the value among sorted distinct values; null -> -1.
 
-    Codes are computed on the *distinct* values only (a tiny table when the
-    category set is bounded, e.g. circuits or teams) and joined back.
-    ``codes_from`` fits the codes on another frame (train rows); values it
-    has not seen get -1.
+    Only the *distinct* values are ranked, in slices, and joined back; the optimizer
+    broadcasts them if they turn out small.  ``codes_from`` fits the codes on another
+    frame (train rows); values it has not seen get -1.
     """
-    src = (codes_from if codes_from is not None else df).select(col).distinct()
-    src = src.filter(F.col(col).isNotNull())
-    codes = src.select(F.col(col).alias(f"__v_{col}"),
-                       (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int").alias(out))
-    if bounded:
-        codes = F.broadcast(codes)
-    j = df.join(codes, df[col] == codes[f"__v_{col}"], "left")
-    return j.withColumn(out, F.coalesce(F.col(out), F.lit(-1))).drop(f"__v_{col}")
+    src = (codes_from if codes_from is not None else df).select(F.col(col).alias("__v")).distinct()
+    src = src.filter(F.col("__v").isNotNull())
+    codes = row_number_by(src, [], [Key("__v")], "__code", slices=[prefix_slice(Key("__v"), 4)])
+    j = df.join(codes, df[col] == codes["__v"], "left")
+    return j.withColumn(out, F.coalesce(F.col("__code") - 1, F.lit(-1))).drop("__v", "__code")

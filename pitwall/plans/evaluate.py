@@ -8,13 +8,16 @@ here is a plain Spark aggregate, so it runs for all races in one job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.operators.windows import Key, top_k_per_group
 
 RACE = ["season", "round"]
-AUC_SLICES = 1024
+#: Score slices per doubling of the odds, for the exact AUC.
+AUC_SLICES = 128
+#: Parts of a race in the first step of the per-race evaluation.
+PARTS = 16
 
 
 def stand_in_scores(features: DataFrame, threshold: float = 0.25) -> DataFrame:
@@ -39,53 +42,55 @@ def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
                   F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+def confusion_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """Rows per observed (label, prediction): all that E3-E5 need, in one pass."""
+    return df.groupBy(F.col(label).alias("label"), F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Counts over the full (label x prediction) grid of observed classes.
 
-    The class list is a tiny aggregate (one array); the grid is made by
-    exploding it twice, then the observed counts are left-joined on.
+    The observed counts are gathered into one row of class-bounded size, and the grid
+    (the result's own size) is exploded from it.
     """
-    classes = df.select(F.col(label).alias("c")).union(df.select(F.col(pred).alias("c")))
-    arr = classes.agg(F.array_sort(F.collect_set("c")).alias("cs"))
-    grid = (arr.select(F.explode("cs").alias(label), "cs")
-               .select(label, F.explode("cs").alias(pred)))
-    counts = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("n"))
-    j = grid.join(counts, [label, pred], "left")
-    return j.select(label, pred, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+    cell = F.struct(F.struct("label", "pred").alias("cell"), "n")
+    one = confusion_counts(df, label, pred).filter("label is not null and pred is not null").agg(
+        F.map_from_entries(F.collect_list(cell)).alias("counts"),
+        F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("pred"))).alias("classes"))
+    grid = one.select("counts", "classes", F.explode("classes").alias("l"))
+    grid = grid.select("counts", "l", F.explode("classes").alias("p"))
+    n = F.col("counts")[F.struct(F.col("l").alias("label"), F.col("p").alias("pred"))]
+    return grid.select(F.col("l").alias(label), F.col("p").alias(pred), F.coalesce(n, F.lit(0)).cast("bigint").alias("n"))
 
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Precision / recall / F1 / support per class, then macro and weighted
-    averages; a zero denominator gives 0, as the reference's metric does."""
-    cls_col = F.col("cls")
-    lab = df.select(F.col(label).alias("cls"), F.lit(1).alias("is_label"), F.lit(0).alias("is_pred"),
-                    (F.col(label) == F.col(pred)).cast("int").alias("hit"))
-    prd = df.select(F.col(pred).alias("cls"), F.lit(0).alias("is_label"), F.lit(1).alias("is_pred"),
-                    F.lit(0).alias("hit"))
-    per = lab.unionByName(prd).groupBy("cls").agg(
-        F.sum("is_label").alias("support"), F.sum("is_pred").alias("n_pred"),
-        F.sum("hit").alias("tp"))
-    precision = F.coalesce(F.try_divide(F.col("tp"), F.col("n_pred").cast("double")), F.lit(0.0))
-    recall = F.coalesce(F.try_divide(F.col("tp"), F.col("support").cast("double")), F.lit(0.0))
-    per = per.select(cls_col.cast("string").alias("class_label"), precision.alias("precision"),
-                     recall.alias("recall"), F.col("support").cast("bigint").alias("support"))
-    f1 = F.when(F.col("precision") + F.col("recall") > 0,
-                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
-                ).otherwise(F.lit(0.0))
-    per = per.withColumn("f1", f1)
-    summary = per.agg(
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"),
-        F.sum("support").cast("bigint").alias("n"))
-    macro = summary.select(F.lit("macro avg").alias("class_label"), F.col("mp").alias("precision"),
-                           F.col("mr").alias("recall"), F.col("n").alias("support"),
-                           F.col("mf").alias("f1"))
-    weighted = summary.select(F.lit("weighted avg").alias("class_label"),
-                              F.col("wp").alias("precision"), F.col("wr").alias("recall"),
-                              F.col("n").alias("support"), F.col("wf").alias("f1"))
-    return per.unionByName(macro).unionByName(weighted)
+    averages; a zero denominator gives 0, as the reference's metric does.
+
+    Everything follows from the confusion counts; a rollup over the classes adds the averages.
+    """
+    counts = confusion_counts(df, label, pred)
+    own = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
+    nil = F.lit(0).cast("bigint")
+    sides = counts.select(F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), nil.alias("n_pred"), own.cast("bigint").alias("tp")),
+        F.struct(F.col("pred").alias("cls"), nil.alias("support"), F.col("n").alias("n_pred"), nil.alias("tp")))).alias("s"))
+    per = sides.select("s.*").groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")])
+    ratio = lambda of: F.coalesce(F.try_divide(F.col("tp"), F.col(of).cast("double")), F.lit(0.0))
+    per = per.select(F.col("cls").cast("string").alias("cls"), ratio("n_pred").alias("precision"),
+                     ratio("support").alias("recall"), F.col("support").cast("bigint").alias("support"))
+    both = F.col("precision") + F.col("recall")
+    per = per.withColumn("f1", F.when(both > 0, 2 * F.col("precision") * F.col("recall") / both).otherwise(F.lit(0.0)))
+    metrics = ("precision", "recall", "f1")
+    means = per.rollup("cls").agg(
+        F.grouping("cls").alias("all"), F.sum("support").alias("support"),
+        *[F.avg(m).alias(f"m_{m}") for m in metrics],
+        *[F.try_divide(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(f"w_{m}") for m in metrics])
+    line = lambda name, kind: F.struct(name.alias("class_label"), *[F.col(f"{kind}_{m}").alias(m) for m in metrics])
+    lines = F.when(F.col("all") == 0, F.array(line(F.col("cls"), "m"))).otherwise(
+        F.array(line(F.lit("macro avg"), "m"), line(F.lit("weighted avg"), "w")))
+    out = means.select(F.explode(lines).alias("line"), F.col("support").cast("bigint").alias("support"))
+    return out.select("line.class_label", "line.precision", "line.recall", "support", "line.f1")
 
 
 def weighted_f1(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -98,16 +103,17 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact ROC AUC with tied scores counted half (NULL with one class).
 
     AUC = sum over positives of (#negatives scored lower + half the tied
-    negatives) / (P * N).  Scores are counted per distinct value, then
-    ordered slices of the [0, 1] score range give every slice the number
-    of negatives below it (a running sum over at most 1026 rows), and a
+    negatives) / (P * N).  Scores are counted per distinct value.  Slices of the
+    log-odds axis, which stay fine towards 0 and 1, give every slice the number of
+    negatives below it (a running sum over the slices), and a
     window inside each slice adds the negatives below within the slice.
-    No task ever sees more than one slice of distinct scores.
     """
     s = F.col(score).cast("double")
     per = df.groupBy(s.alias("s")).agg(
         F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
-    sl = F.least(F.greatest(F.floor(F.col("s") * AUC_SLICES), F.lit(-1)), F.lit(AUC_SLICES))
+    odds = F.floor(F.log2(F.col("s") / (1 - F.col("s"))) * AUC_SLICES)
+    out_of_range = F.floor(F.least(F.greatest(F.col("s"), F.lit(-1e6)), F.lit(1e6))) + F.when(F.col("s") < 1, -10**6).otherwise(10**6)
+    sl = F.when((F.col("s") > 0) & (F.col("s") < 1), odds).otherwise(out_of_range)
     per = per.withColumn("slice", sl.cast("int"))
     slice_neg = per.groupBy("slice").agg(F.sum("neg").alias("slice_neg"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,7 +121,7 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
                                                    F.lit(0)).alias("neg_before"))
     inside = Window.partitionBy("slice").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("neg_below_in", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-    j = per.join(F.broadcast(offsets), "slice")
+    j = per.join(offsets, per["slice"].eqNullSafe(offsets["slice"]))
     contrib = F.col("pos") * (F.col("neg_before") + F.col("neg_below_in") + 0.5 * F.col("neg"))
     tot = j.agg(F.sum(contrib).alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return tot.select(
@@ -126,10 +132,6 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 # --- E7-E9: per-race podium evaluation -------------------------------------------
 
-def _set_text(arr: Column) -> Column:
-    return F.array_join(F.array_sort(arr), ",")
-
-
 def predicted_top3(scored: DataFrame) -> DataFrame:
     """Three highest scores per race, ties to the smaller driverId."""
     return top_k_per_group(scored, RACE, [Key("p", desc=True), Key("driverId")], 3, "pred_rank")
@@ -141,25 +143,38 @@ def actual_top3(scored: DataFrame) -> DataFrame:
     return top_k_per_group(pod, RACE, [Key("pos_num"), Key("driverId")], 3, "act_rank")
 
 
+def race_podiums(scored: DataFrame) -> DataFrame:
+    """Per race the predicted top three and the actual podium, in one pass.
+
+    A race is cut into parts; each part keeps its three best scores and its podium rows, and
+    the few rows left of a race are put together.  ``predicted``: driverIds by falling score;
+    ``actual``: driverIds by position.  Races without actual podium rows are absent.
+    """
+    part = F.pmod(F.xxhash64("driverId"), F.lit(PARTS)).alias("__part")
+    rows = scored.select(*RACE, "raceName", "driverId", "p", "on_podium", F.col("position").try_cast("int").alias("pos_num"), part)
+    best = Window.partitionBy(*RACE, "__part").orderBy(F.desc("p"), "driverId")
+    rows = rows.withColumn("__rk", F.row_number().over(best)).filter((F.col("__rk") <= 3) | F.col("on_podium"))
+    score = F.struct(F.col("p").isNull().alias("no_score"), (-F.col("p")).alias("less"), "driverId", "raceName")
+    per = rows.groupBy(*RACE).agg(
+        F.slice(F.sort_array(F.collect_list(score)), 1, 3).alias("best"),
+        F.sort_array(F.collect_list(F.when(F.col("on_podium"), F.struct("pos_num", "driverId")))).alias("podium"))
+    return per.filter(F.size("podium") > 0).select(
+        *RACE, F.array_min(F.col("best.raceName")).alias("raceName"),
+        F.col("best.driverId").alias("predicted"), F.col("podium.driverId").alias("actual"))
+
+
 def podium_sets(scored: DataFrame) -> DataFrame:
     """Predicted and actual podium sets per race (sets as sorted text)."""
-    pred = predicted_top3(scored).groupBy(*RACE).agg(
-        F.min("raceName").alias("raceName"),
-        _set_text(F.collect_set("driverId")).alias("predicted_podium"))
-    act = scored.filter(F.col("on_podium")).groupBy(*RACE).agg(
-        _set_text(F.collect_set("driverId")).alias("actual_podium"),
-        F.count(F.lit(1)).cast("bigint").alias("n_actual"))
-    # Races without actual podium rows are dropped (left join + not-null = inner).
-    return pred.join(act, RACE, "inner")
+    text = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    return race_podiums(scored).select(
+        *RACE, "raceName", text("predicted").alias("predicted_podium"), text("actual").alias("actual_podium"),
+        F.size("actual").cast("bigint").alias("n_actual"))
 
 
 def podium_set_eval(scored: DataFrame) -> DataFrame:
     """Exact-set accuracy, correct drivers, ratio to 3 slots per race."""
-    sets = podium_sets(scored)
-    p = F.split("predicted_podium", ",")
-    a = F.split("actual_podium", ",")
-    per = sets.select((F.col("predicted_podium") == F.col("actual_podium")).alias("exact"),
-                      F.size(F.array_intersect(p, a)).alias("correct"))
+    p, a = F.array_sort(F.array_distinct("predicted")), F.array_sort(F.array_distinct("actual"))
+    per = race_podiums(scored).select((p == a).alias("exact"), F.size(F.array_intersect(p, a)).alias("correct"))
     return per.agg(
         F.avg(F.col("exact").cast("double")).alias("exact_podium_accuracy"),
         F.sum("correct").cast("bigint").alias("correct_drivers"),
@@ -174,23 +189,15 @@ def season_validation(scored: DataFrame) -> DataFrame:
 
     Races with fewer than three actual podium rows are skipped.
     """
-    pr = predicted_top3(scored).groupBy(*RACE).agg(
-        F.min("raceName").alias("race"),
-        *[F.max(F.when(F.col("pred_rank") == i, F.col("driverId"))).alias(f"predicted_p{i}")
-          for i in (1, 2, 3)])
-    n_act = scored.groupBy(*RACE).agg(F.count_if(F.col("on_podium")).alias("n_actual"))
-    ac = actual_top3(scored).groupBy(*RACE).agg(
-        *[F.max(F.when(F.col("act_rank") == i, F.col("driverId"))).alias(f"actual_p{i}")
-          for i in (1, 2, 3)])
-    j = pr.join(ac, RACE, "inner").join(n_act.filter(F.col("n_actual") >= 3), RACE, "inner")
-    pred_set = F.array("predicted_p1", "predicted_p2", "predicted_p3")
-    act_set = F.array("actual_p1", "actual_p2", "actual_p3")
+    j = race_podiums(scored).filter(F.size("actual") >= 3)
+    place = lambda c, i: F.get(F.col(c), F.lit(i - 1))
+    act_set = F.slice("actual", 1, 3)
     return j.select(
-        "season", "round", "race",
-        F.col("predicted_p1").alias("predicted_winner"), F.col("actual_p1").alias("actual_winner"),
-        (F.col("predicted_p1") == F.col("actual_p1")).alias("winner_match"),
-        F.size(F.array_intersect(pred_set, act_set)).alias("podium_matches"),
-        "predicted_p1", "predicted_p2", "predicted_p3", "actual_p1", "actual_p2", "actual_p3")
+        "season", "round", F.col("raceName").alias("race"),
+        place("predicted", 1).alias("predicted_winner"), place("actual", 1).alias("actual_winner"),
+        (place("predicted", 1) == place("actual", 1)).alias("winner_match"),
+        F.size(F.array_intersect("predicted", act_set)).alias("podium_matches"),
+        *[place(c, i).alias(f"{c}_p{i}") for c in ("predicted", "actual") for i in (1, 2, 3)])
 
 
 def season_summary(validation: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.timing import qual_time_to_ms, time_to_ms
-from pitwall.operators.aggregates import fit_medians, impute, race_min
-from pitwall.operators.windows import ENTRY, add_lags_by_position, category_codes
+from pitwall.operators.aggregates import code_of, fit_statistics, impute, race_min, with_statistics
+from pitwall.operators.windows import ENTRY, add_lags
 from pitwall.plans.base_tables import RaceTables, lap_base, podium_base, pole_base
 
 RACE = ["season", "round"]
@@ -47,12 +47,13 @@ def _fit_rows(df: DataFrame, scope) -> DataFrame:
 def normalized_laps(t: RaceTables, parity: bool = False) -> DataFrame:
     """F1 + W3/A1/P14: lap ms and lap / race-fastest-lap (NULL when that is 0 or NULL).
 
-    The race minimum is a partial aggregate (one row per race) broadcast back,
+    The race minimum is a partial aggregate of the lap times alone (one row per race),
     so the fact rows are never gathered per race.
     """
-    df = lap_base(t).withColumn("lap_time_milliseconds", time_to_ms("time", parity))
-    mins = race_min(df, "lap_time_milliseconds", "min_lap_time_race", RACE)
-    df = df.join(F.broadcast(mins), RACE, "left")
+    ms = time_to_ms("time", parity)
+    df = lap_base(t).withColumn("lap_time_milliseconds", ms)
+    mins = race_min(t.lap_times.select(*RACE, ms.alias("__ms")), "__ms", "min_lap_time_race", RACE)
+    df = df.join(mins, RACE, "left")
     m = F.col("min_lap_time_race")
     return df.withColumn(LAP_Y, F.when(m != 0, F.col("lap_time_milliseconds") / m))
 
@@ -62,7 +63,7 @@ def lap_series(t: RaceTables, parity: bool = False) -> DataFrame:
     df = normalized_laps(t, parity)
     lags = {LAP_Y: [(k, f"normalized_lap_time_lag_{k}") for k in (1, 2, 3)],
             "is_pit_stop_lap": [(1, "is_pit_exit_lap")]}
-    return add_lags_by_position(df, lags, ENTRY, "lap",
+    return add_lags(df, lags, ENTRY, "lap",
                                 fill={"is_pit_exit_lap": F.lit(False)})
 
 
@@ -81,37 +82,47 @@ def feature_guard(df: DataFrame, wanted: list[str]) -> list[str]:
     return [c for c in wanted if c in df.columns]
 
 
+def fitted_features(df: DataFrame, scope, codes: dict[str, str], numeric: list[str],
+                    wanted: list[str], label: str) -> DataFrame:
+    """Fit codes and medians in one row, apply them, and keep the complete rows.
+
+    A feature that is NULL in all fit rows has no median: it stays NULL, and
+    costs no row (D3); :func:`usable_features` names the others.
+    ``codes`` maps category columns to code columns.
+    """
+    fitted = fit_statistics(_fit_rows(df, scope), numeric, list(codes))
+    df = with_statistics(df, fitted).withColumns({out: code_of(c) for c, out in codes.items()})
+    cols = feature_guard(df, wanted)
+    df = df.withColumns(impute(numeric))
+    whole = F.lit(True)
+    for c in [*cols, label]:
+        known = F.col(c).isNotNull()
+        whole = whole & (known | F.col("medians")[c].isNull() if c in numeric else known)
+    return df.filter(whole).drop("medians", "codes")
+
+
+def usable_features(df: DataFrame, cols: list[str]) -> list[str]:
+    """The columns with any value, in order: what a model can be fitted on (one small aggregate)."""
+    row = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
+    return [c for c in cols if row[c]] or list(cols)
+
+
 def lap_features(t: RaceTables, scope="batch", parity: bool = False) -> DataFrame:
     df = lap_outlier_filter(lap_series(t, parity))
-    fit = _fit_rows(df, scope)
-    df = category_codes(df, "circuitId", "circuitId_code", codes_from=fit)
-    cols = feature_guard(df, LAP_X)
-    df = impute(df, fit_medians(_fit_rows(df, scope), LAP_IMPUTE))
-    df = complete_cases(df, cols + [LAP_Y])
-    return df.select("season", "round", "driverId", *cols, LAP_Y)
+    df = fitted_features(df, scope, {"circuitId": "circuitId_code"}, LAP_IMPUTE, LAP_X, LAP_Y)
+    return df.select("season", "round", "driverId", *feature_guard(df, LAP_X), LAP_Y)
 
 
 def pole_features(t: RaceTables, scope="batch") -> DataFrame:
-    df = pole_base(t)
-    fit = _fit_rows(df, scope)
-    df = category_codes(df, "driverId", POLE_Y, codes_from=fit)
-    df = category_codes(df, "circuitId", "circuitId_code", codes_from=fit)
-    df = category_codes(df, "constructorId", "constructorId_code", codes_from=fit)
-    cols = feature_guard(df, POLE_X)
-    df = impute(df, fit_medians(_fit_rows(df, scope), PREV))
-    df = complete_cases(df, cols + [POLE_Y])
-    return df.select("season", "round", "driverId", *cols, POLE_Y)
+    codes = {"driverId": POLE_Y, "circuitId": "circuitId_code", "constructorId": "constructorId_code"}
+    df = fitted_features(pole_base(t), scope, codes, PREV, POLE_X, POLE_Y)
+    return df.select("season", "round", "driverId", *feature_guard(df, POLE_X), POLE_Y)
 
 
 def podium_features(t: RaceTables, scope="batch", parity: bool = False) -> DataFrame:
-    df = podium_base(t)
-    fit = _fit_rows(df, scope)
-    df = category_codes(df, "circuitId", "circuitId_code", codes_from=fit)
-    df = category_codes(df, "constructorId", "constructorId_code", codes_from=fit)
-    df = df.withColumns({f"{q}_ms": qual_time_to_ms(q, parity)
-                         for q in ("qual_q1", "qual_q2", "qual_q3")})
-    cols = feature_guard(df, PODIUM_X)
-    df = impute(df, fit_medians(_fit_rows(df, scope), PODIUM_IMPUTE))
-    df = complete_cases(df, cols + [PODIUM_Y])
+    df = podium_base(t).withColumns({f"{q}_ms": qual_time_to_ms(q, parity)
+                                     for q in ("qual_q1", "qual_q2", "qual_q3")})
+    codes = {"circuitId": "circuitId_code", "constructorId": "constructorId_code"}
+    df = fitted_features(df, scope, codes, PODIUM_IMPUTE, PODIUM_X, PODIUM_Y)
     return df.select("season", "round", "raceName", "driverId", "constructorId",
-                     "position", *cols, PODIUM_Y)
+                     "position", *feature_guard(df, PODIUM_X), PODIUM_Y)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.operators.joins import indicator_join
-from pitwall.operators.windows import add_lags_by_position
+from pitwall.operators.windows import add_lags
 from pitwall.plans.base_tables import RaceTables
 
 NB_ENTRY = ["raceId", "driverId"]
@@ -46,7 +46,7 @@ def nb_join_races(t: RaceTables) -> DataFrame:
 def nb_normalized(t: RaceTables) -> DataFrame:
     """A1: milliseconds / race minimum (race minimum as a broadcast aggregate)."""
     df = nb_join_races(t)
-    mins = df.groupBy("raceId").agg(F.min("milliseconds").alias("race_min"))
+    mins = nb_lap_times(t).groupBy("raceId").agg(F.min("milliseconds").alias("race_min"))
     df = df.join(F.broadcast(mins), "raceId", "left")
     return df.withColumn("normalized_time",
                          F.col("milliseconds") / F.col("race_min")).drop("race_min")
@@ -60,14 +60,14 @@ def nb_pit_indicator(t: RaceTables) -> DataFrame:
 
 def nb_pit_exit(t: RaceTables) -> DataFrame:
     """W5 (partitioned, see module docstring)."""
-    return add_lags_by_position(nb_pit_indicator(t), {"is_pit_stop": [(1, "is_pit_exit")]},
+    return add_lags(nb_pit_indicator(t), {"is_pit_stop": [(1, "is_pit_exit")]},
                                 NB_ENTRY, "lap", fill={"is_pit_exit": F.lit(False)})
 
 
 def nb_lap_lags(t: RaceTables, limit: float = 1.5) -> DataFrame:
     """Filter to <= limit first, then lags 1 and 2, then drop incomplete rows."""
     df = nb_pit_exit(t).filter(F.col("normalized_time") <= limit)
-    df = add_lags_by_position(df, {"normalized_time": [(1, "lag_1"), (2, "lag_2")]},
+    df = add_lags(df, {"normalized_time": [(1, "lag_1"), (2, "lag_2")]},
                               NB_ENTRY, "lap")
     df = df.na.drop(subset=NB_FEATURES + ["normalized_time"])
     return df.select("raceId", "driverId", *NB_FEATURES, "normalized_time")

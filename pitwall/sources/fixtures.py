@@ -135,9 +135,8 @@ def qualifying_from(e: DataFrame) -> DataFrame:
     order = [Key("q3", nulls_last=True), Key("q2", nulls_last=True),
              Key("q1", nulls_last=True), Key("driverId")]
     # A race holds all its entries: slice by 256 ms of q3 (missing q3 last).
-    # Offsets are (race x slice) rows: calendar- and time-range-bounded.
     out = row_number_by(e, RACE, order, "position",
-                        slices=[numeric_slice(order[0], 256)], broadcast_offsets=True)
+                        slices=[numeric_slice(order[0], 256)])
     return out.select("season", "round", "driverId", "constructorId", "position",
                       "q1", "q2", "q3")
 
@@ -149,7 +148,7 @@ def race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def race_results_from(e: DataFrame) -> DataFrame:
     ranked = row_number_by(e, RACE, [Key("avg_ms"), Key("driverId")], "pos",
-                           slices=[numeric_slice(Key("avg_ms"), 256)], broadcast_offsets=True)
+                           slices=[numeric_slice(Key("avg_ms"), 256)])
     pos, n = F.col("pos"), F.col("n")
     points = (F.when(n < 4, F.lit(0.0)).when(pos == 1, 25.0).when(pos == 2, 18.0)
               .when(pos == 3, 15.0).when(pos <= 10, (22 - 2 * pos).cast("double"))
@@ -183,7 +182,7 @@ def constructor_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily weather per race; round 7 is missing on purpose."""
+    """Daily weather per race; round 7 is missing on purpose (a data definition of FIXTURES.md)."""
     return weather_from(lap_rows(spark, sf_dir))
 
 
@@ -199,7 +198,7 @@ def weather_from(rows: DataFrame) -> DataFrame:
 
 
 def circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """23 circuits with coordinates, one per nation key below 23."""
+    """23 circuits with coordinates, one per nation key below 23 (a data definition of FIXTURES.md)."""
     n = driver_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     return n.filter(F.col("n_nationkey") < 23).select(
         F.concat(F.lit("K"), F.col("n_nationkey").cast("string")).alias("circuitId"),

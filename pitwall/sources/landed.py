@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitwall.operators.joins import one_per_circuit
 from pitwall.operators.windows import Key, prefix_slice, row_number_by
 
 PAGE = 100
@@ -212,19 +213,31 @@ def merge_pages(flat: DataFrame, key: list[str]) -> DataFrame:
     return flat.dropDuplicates(key)
 
 
+#: Fixed value: the date forms that are understood, by what the text looks like.
+DATE_FORMS = {r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$": "yyyy-MM-dd", r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$": "yyyy/MM/dd",
+              r"^[0-9]{8}$": "yyyyMMdd", r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$": "d MMM yyyy",
+              r"^[0-9]{1,2} [A-Za-z]{4,} [0-9]{4}$": "d MMMM yyyy", r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$": "MMM d, yyyy",
+              r"^[A-Za-z]{4,} [0-9]{1,2}, [0-9]{4}$": "MMMM d, yyyy"}
+
+
 def clean_date(text: Column) -> Column:
-    """cut a datetime text at 'T'; keep only a strict yyyy-MM-dd date."""
-    day = F.split(text, "T").getItem(0)
-    return F.when(day.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-                  F.try_to_date(day, "yyyy-MM-dd"))
+    """the day of a date or datetime text, else NULL.
+
+    A time part (after 'T' or a blank, with or without zone) is cut off.
+    """
+    day = F.regexp_replace(F.trim(text), r"(?:T|[ ]+)[0-9]{1,2}:[0-9]{2}.*$", "")
+    out = F.lit(None).cast("date")
+    for pattern, form in DATE_FORMS.items():
+        out = F.when(day.rlike(pattern), F.try_to_date(day, form)).otherwise(out)
+    return out
 
 
 def weather_for_races(races: DataFrame, circuits: DataFrame, weather: DataFrame) -> DataFrame:
     """Races with numeric coordinates, rounded to 2 dp, joined to
     landed daily weather by place and day.  Races without weather are absent."""
-    c = circuits.select("circuitId", F.col("lat").try_cast("double").alias("lat"),
-                        F.col("long").try_cast("double").alias("long"))
-    r = races.join(F.broadcast(c), "circuitId", "left") \
+    c = one_per_circuit(circuits).select("circuitId", F.col("lat").try_cast("double").alias("lat"),
+                                         F.col("long").try_cast("double").alias("long"))
+    r = races.join(c, "circuitId", "left") \
              .filter(F.col("lat").isNotNull() & F.col("long").isNotNull())
     r = r.select("season", "round", "circuitId", F.round("lat", 2).alias("lat2"),
                  F.round("long", 2).alias("long2"), clean_date(F.col("date")).alias("day"))

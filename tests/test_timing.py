@@ -39,3 +39,12 @@ def test_qualifying_time(spark):
     assert got[""] == -1
     # three parts: the first part is read as seconds
     assert got["1:2:3.0"] == 1000
+
+
+def test_numbers_out_of_range_are_bad_text(spark):
+    bad = ["inf", "1:inf", "-inf", "nan", "1:nan", "99999999999999999999", "1:99999999999999999999.5",
+           "99999999999999999999:1", "9223372036854775807:1", "1e400", "1:1e30"]
+    df = spark.createDataFrame([(x,) for x in bad], "t string")
+    for parity in (False, True):
+        rows = df.select("t", time_to_ms("t", parity).alias("lap"), qual_time_to_ms("t", parity).alias("qual")).collect()
+        assert all(r["lap"] is None and r["qual"] == -1 for r in rows), rows

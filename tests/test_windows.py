@@ -2,22 +2,13 @@
 
 import random
 
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pitwall.operators.windows import (Key, category_codes, numeric_slice, prefix_slice,
+from pitwall.operators.windows import (Key, add_lags, category_codes, numeric_slice, prefix_slice,
                                        rank_by, row_number_by, top_k_per_group)
 
 
-@pytest.fixture(autouse=True)
-def _low_hot_threshold(spark):
-    """Make the 2/3-of-rows group 'hot' so the sliced / positional paths run."""
-    spark.conf.set("pitwall.hotGroupRows", "100")
-    yield
-    spark.conf.unset("pitwall.hotGroupRows")
-
-
 def _data(spark):
     rnd = random.Random(7)
     rows = []
@@ -46,8 +37,7 @@ def test_rank_sliced_keeps_ties(spark):
     df = _data(spark)
     order = [Key("v", desc=True)]
     plain = rank_by(df, ["g"], order, "rk")
-    sliced = rank_by(df, ["g"], order, "rk", slices=[numeric_slice(order[0], 32)],
-                     broadcast_offsets=True)
+    sliced = rank_by(df, ["g"], order, "rk", slices=[numeric_slice(order[0], 32)])
     assert sorted(plain.select("i", "rk").collect()) == sorted(sliced.select("i", "rk").collect())
 
 
@@ -71,42 +61,44 @@ def test_top_k_and_codes(spark):
     assert got == [("", -1), ("a", 0), ("b", 1), ("b", 1)]
 
 
-def test_positional_lags_match_window_lags(spark):
-    from pitwall.operators.windows import add_lags, add_lags_by_position
+def test_lags_with_null_keys_and_one_driver_with_most_rows(spark):
     rows = []
     for i in range(2000):
-        d = "HOT" if i % 4 else f"D{i % 9}"             # one driver holds 3/4 of the rows
+        d = None if i % 4 else f"D{i % 9}"              # the NULL driver holds 3/4 of the rows
         rows.append((2000, 1, d, i * 3 + (i % 7), float(i % 11), i % 5 == 0))  # gaps in laps
-    df = spark.createDataFrame(rows, "season int, round int, driverId string, lap int, "
-                                     "v double, pit boolean")
-    ent = ["season", "round", "driverId"]
-    want = add_lags(df, "v", [1, 2, 3], ent, "lap", "lag_")
-    want = want.withColumn("exit", F.coalesce(F.lag("pit", 1).over(
-        Window.partitionBy(*ent).orderBy("lap")), F.lit(False)))
-    cols = ["driverId", "lap", "lag_1", "lag_2", "lag_3", "exit"]
-    lags = {"v": [(1, "lag_1"), (2, "lag_2"), (3, "lag_3")], "pit": [(1, "exit")]}
-    for split in (False, True):
-        got = add_lags_by_position(df, lags, ent, "lap", slice_width=16,
-                                   fill={"exit": F.lit(False)}, split=split)
-        assert sorted(want.select(*cols).collect()) == sorted(got.select(*cols).collect())
-
-
-def test_hot_group_split_path(spark):
-    """With a low threshold the hot group takes the sliced path; results unchanged."""
-    df = _data(spark)
-    order = [Key("v", nulls_last=True), Key("d"), Key("i")]
-    plain = sorted(row_number_by(df, ["g"], order, "rn").select("i", "rn").collect())
-    split = row_number_by(df, ["g"], order, "rn", slices=[numeric_slice(order[0], 8)])
-    assert sorted(split.select("i", "rn").collect()) == plain
-
-
-def test_every_group_hot_slices_everything(spark, monkeypatch):
-    from pitwall.operators import windows as w
-    monkeypatch.setattr(w, "MAX_HOT_KEYS", 2)          # 18 groups > 2 keys -> all hot
-    spark.conf.set("pitwall.hotGroupRows", "0")
-    df = _data(spark)
+    df = spark.createDataFrame(rows, "season int, round int, driverId string, lap int, v double, pit boolean")
+    got = add_lags(df, {"v": [(1, "lag_1"), (3, "lag_3")], "pit": [(1, "exit")]}, ["season", "round", "driverId"], "lap",
+                   fill={"exit": F.lit(False)})
+    want, series = [], {}
+    for r in sorted(rows, key=lambda r: r[3]):
+        past = series.setdefault(r[2], [])
+        want.append((r[2], r[3], past[-1][4] if past else None, past[-3][4] if len(past) > 2 else None,
+                     past[-1][5] if past else False))
+        past.append(r)
+    assert sorted(map(tuple, got.select("driverId", "lap", "lag_1", "lag_3", "exit").collect()), key=str) == sorted(want, key=str)
+
+
+def test_null_group_keys_and_totals(spark):
+    df = _data(spark).withColumn("g", F.when(F.col("g") != "hot", F.col("g")))
     order = [Key("v", nulls_last=True), Key("d"), Key("i")]
-    plain = sorted(row_number_by(df, ["g"], order, "rn").select("i", "rn").collect())
-    assert w.hot_group_keys(df, ["g"]) == w.ALL_HOT
-    got = row_number_by(df, ["g"], order, "rn", slices=[numeric_slice(order[0], 8)])
-    assert sorted(got.select("i", "rn").collect()) == plain
+    plain = row_number_by(df, ["g"], order, "rn", total="n").select("i", "rn", "n")
+    sliced = row_number_by(df, ["g"], order, "rn", slices=[numeric_slice(order[0], 8)], total="n").select("i", "rn", "n")
+    assert sorted(plain.collect()) == sorted(sliced.collect())
+    assert sliced.count() == df.count()
+
+
+def test_builders_run_no_job(spark):
+    """Rankings, lags and splits only build plans."""
+    from pitwall.operators import splits
+    df = _data(spark).withColumns({"season": F.lit(2000), "round": F.lit(1), "driverId": F.col("d"), "y": F.col("g")})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("builders", "builders")
+    try:
+        splits.ordered_split(df, ["season", "round", "driverId"])
+        splits.kfold2(df, ["season", "round", "driverId"])
+        splits.stratified_kfold2(df, "y", ["season", "round", "driverId"])
+        splits.stratified_split(df, "y", ["season", "round", "driverId"])
+        add_lags(df, {"v": [(1, "l")]}, ["g"], "i")
+        assert not list(tracker.getJobIdsForGroup("builders"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
