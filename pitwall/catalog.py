@@ -459,6 +459,22 @@ def q_perfect_races(t):
     return ev.perfect_races(ev.season_validation(scored(t)))
 
 
+OX_CALLED = {**OX, "scored_o": """
+select * exclude (p), p, p >= 0.25 as predicted from (
+  select *, 1.0E0 / (1.0E0 + case when round % 2 = 0 then coalesce(try_cast(position as double), 99) else grid end) as p
+  from podium_features_o) x"""}
+
+
+@query("perfect_races_called", "with " + _TOP3_O + """
+select season, round, race from val where podium_matches = 3 and winner_match""", OX_CALLED)
+def q_perfect_races_called(t):
+    """E8 with a stand-in score that calls every second round right."""
+    place = F.coalesce(F.col("position").try_cast("double"), F.lit(99.0))
+    p = 1.0 / (1.0 + F.when(F.col("round") % 2 == 0, place).otherwise(F.col("grid").cast("double")))
+    called = ft.podium_features(t).withColumn("p", p).withColumn("predicted", F.col("p") >= 0.25)
+    return ev.perfect_races(ev.season_validation(called))
+
+
 @query("top3_per_race", """
 select season, round, driverId, p, cast(rk as int) as pred_rank from (
   select *, row_number() over (partition by season, round order by p desc, driverId) as rk from scored_o) x
@@ -602,6 +618,13 @@ def q_lap_join_races(t):
     return jn.join_races(t.lap_times, t.races, ["circuitId", "raceName"])
 
 
+@query("lap_base_dated", """
+select *, make_date(season, round, 1) as date, '00:00:00Z' as time_race_start from lap_base_o""", OX)
+def q_lap_base_dated(t):
+    """J1 with the race's date and start time."""
+    return bt.lap_base(t, dated=True)
+
+
 @query("lap_join_circuits", """
 select lt.*, r.circuitId, c.circuitName, c.lat, c.long from lap_times lt
 left join races r on r.season = lt.season and r.round = lt.round
@@ -680,12 +703,15 @@ def q_nb_pit_exit(t):
     return nb.nb_pit_exit(t).select("raceId", "driverId", "lap", "is_pit_stop", "is_pit_exit")
 
 
-@query("nb_lap_lags", """
+OX["nb_lags_o"] = """
 select raceId, driverId, circuitId, lap, is_pit_stop, is_pit_exit, lag_1, lag_2, normalized_time from (
   select *, lag(normalized_time, 1) over w as lag_1, lag(normalized_time, 2) over w as lag_2
   from nb_exit_o where normalized_time <= 1.5
   window w as (partition by raceId, driverId order by lap)) x
-where circuitId is not null and lag_1 is not null and lag_2 is not null and normalized_time is not null""", OX)
+where circuitId is not null and lag_1 is not null and lag_2 is not null and normalized_time is not null"""
+
+
+@query("nb_lap_lags", "select * from nb_lags_o", OX)
 def q_nb_lap_lags(t):
     return nb.nb_lap_lags(t)
 
@@ -773,6 +799,22 @@ def q_race_ranking(t):
     return rp.race_report(scored(t))
 
 
+@query("race_ranking_of_round", """
+select season, round, make_date(season, round, 1) as date, rpad(substr(raceName, 1, 30), 30, ' ') as race_label,
+  cast(rk as int) as rank, driverId, substr(constructorId, 1, 22) as team, cast(grid as int) as grid,
+  round(p * 100, 1) as probability_pct,
+  case when predicted then '[PODIUM]' else '[  --  ]' end as prediction,
+  case when predicted and rk = 1 then '[1]' when predicted and rk = 2 then '[2]'
+       when predicted and rk = 3 then '[3]' else '   ' end as rank_icon,
+  case when p >= 0.7 then '[HIGH]' when p >= 0.4 then '[ MED]' else '[ LOW]' end as band
+from (select s.*, row_number() over (partition by s.season, s.round order by p desc, driverId) as rk
+      from scored_o s where season = 1998 and round = 5) x
+where rk <= 10""", OX)
+def q_race_ranking_of_round(t):
+    """R1/P12 for a race that the user chooses, with its date."""
+    return rp.race_report(scored(t), race_round=5, season=1998, races=bt.race_days(t.races))
+
+
 @query("actual_podium", """
 select season, round, 'P' || cast(pos_num as varchar) as place, driverId,
   round(p * 100, 1) as probability_pct, case when predicted then '[OK]' else '[XX]' end as called
@@ -1027,6 +1069,17 @@ def q_clean_date(t):
     return r.select("season", "round", ld.clean_date(F.col("txt")).alias("date"))
 
 
+@query("incomplete_laps", """
+select r.season, r.round, r.driverId, r.laps, coalesce(max(l.lap), 0) as landed_laps
+from race_results r left join (select * from lap_times where round <> 3 and lap % 5 <> 0) l
+  on l.season = r.season and l.round = r.round and l.driverId = r.driverId
+group by r.season, r.round, r.driverId, r.laps having coalesce(max(l.lap), 0) < r.laps""")
+def q_incomplete_laps(t):
+    """D11 on lap times of which round 3 and every fifth lap have not landed."""
+    landed = t.lap_times.filter((F.col("round") != 3) & (F.col("lap") % 5 != 0))
+    return _ld().incomplete_laps(landed, t.race_results)
+
+
 # Partitioned scans and sinks on the conformed store
 
 def _store_root(t):
@@ -1051,8 +1104,9 @@ def q_scan_season(t):
     root = _store_root(t)
     named = {n: scan_table(t.spark, root, n, schemas.CONFORMED[n], seasons=[1997])
              for n in ("race_results", "qualifying", "lap_times", "pit_stops", "driver_standings",
-                       "constructor_standings", "weather", "races", "no_such_table")}
-    return ag.table_counts(named)
+                       "constructor_standings", "weather", "races")}
+    absent = scan_table(t.spark, root, "no_such_table", schemas.CONFORMED["races"], seasons=[1997])
+    return ag.table_counts({**named, "no_such_table": absent})
 
 
 @query("scan_multi_season", "select * from race_results where season between 1995 and 1999")
@@ -1110,7 +1164,8 @@ def _md():
 def _fit_predict(t, family: str, name: str):
     md = _md()
     train, test, cols = getattr(md, f"{family}_sets")(t)
-    model = getattr(md, f"{family}_estimators")(cols)[name].fit(train)
+    rows = (train.count(),) if family in ("pole", "podium") else ()
+    model = getattr(md, f"{family}_estimators")(cols, *rows)[name].fit(train)
     return model, model.transform(test), cols
 
 
@@ -1205,25 +1260,75 @@ def q_ml_feature_importance(t):
     return md.feature_importance(md.trained_podium_model(t), ft.PODIUM_X, t.spark)
 
 
+@query("ml_pole_coefficients")
+def q_ml_pole_coefficients(t):
+    """M18 for the multinomial pole model: one row per class and feature."""
+    model, _, cols = _fit_predict(t, "pole", "pole_logistic")
+    return _md().feature_importance(model, cols, t.spark)
+
+
+@query("ml_pole_one_vs_rest")
+def q_ml_pole_one_vs_rest(t):
+    """M5 one-vs-rest with the L2 penalty of C = 1."""
+    _, pred, _ = _fit_predict(t, "pole", "pole_one_vs_rest")
+    return _md().decode_pole(pred, t).select("season", "round", "driverId", "prediction", "predicted_driverId")
+
+
+@query("nb_split_features", """
+select *, case when substr(md5(concat_ws('_', raceId, driverId, lap)), 1, 2) < '33' then 'test' else 'train' end as split
+from nb_lags_o""", OX)
+def q_nb_split_features(t):
+    """The rows the notebook's models learn from, with the 80/20 split."""
+    from pitwall.operators.splits import hash_split
+    return hash_split(nb.nb_lap_lags(t), ["raceId", "driverId", "lap"])
+
+
+def _nb_predictions(t, name: str):
+    md = _md()
+    train, test, cols = md.nb_sets(t)
+    return md.nb_estimators(cols)[name].fit(train).transform(test)
+
+
+@query("ml_nb_linear")
+def q_ml_nb_linear(t):
+    return _nb_predictions(t, "nb_linear").select("raceId", "driverId", "label", "prediction")
+
+
+@query("ml_nb_forest")
+def q_ml_nb_forest(t):
+    return _nb_predictions(t, "nb_forest").select("raceId", "driverId", "label", "prediction")
+
+
+@query("ml_nb_gbt")
+def q_ml_nb_gbt(t):
+    return _nb_predictions(t, "nb_gbt").select("raceId", "driverId", "label", "prediction")
+
+
+@query("ml_nb_comparison")
+def q_ml_nb_comparison(t):
+    """M19 on the notebook's features and split: test MSE and improvement over the linear model."""
+    md = _md()
+    train, test, cols = md.nb_sets(t)
+    preds = {n: e.fit(train).transform(test) for n, e in md.nb_estimators(cols).items()}
+    return md.model_comparison(preds, "nb_linear")
+
+
 @query("ml_tune_podium_forest")
 def q_ml_tune_podium_forest(t):
     md = _md()
-    cv, grid = md.tune_podium_forest(t)
-    return md.tuning_table(cv, grid, "podium_forest", t.spark)
+    return md.tuning_table(md.tuned(t, "podium"), "podium_forest", t.spark)
 
 
 @query("ml_tune_pole_forest")
 def q_ml_tune_pole_forest(t):
     md = _md()
-    cv, grid = md.tune_pole_forest(t)
-    return md.tuning_table(cv, grid, "pole_forest", t.spark)
+    return md.tuning_table(md.tuned(t, "pole"), "pole_forest", t.spark)
 
 
 @query("ml_tune_lap_forest")
 def q_ml_tune_lap_forest(t):
     md = _md()
-    cv, grid = md.tune_lap_forest(t)
-    return md.tuning_table(cv, grid, "lap_forest", t.spark)
+    return md.tuning_table(md.tuned(t, "lap"), "lap_forest", t.spark)
 
 
 @query("ml_model_save_load")
@@ -1305,26 +1410,8 @@ def q_feature_guard(t):
 
 @query("ml_training_summary")
 def q_ml_training_summary(t):
-    """One row per trained model: parameters and its test metric."""
-    md = _md()
-    train, test, cols = md.lap_sets(t)
-    rows = None
-    for name, est in md.lap_estimators(cols).items():
-        model = est.fit(train)
-        stage = model.stages[-1]
-        params = ", ".join(f"{p.name}={v}" for p, v in sorted(
-            stage.extractParamMap().items(), key=lambda kv: kv[0].name)
-            if p.name in ("numTrees", "maxDepth", "maxIter", "stepSize", "regParam", "solver",
-                          "featureSubsetStrategy", "minInstancesPerNode", "subsamplingRate"))
-        r = md.regression_scores(model.transform(test), name).select(
-            "model", F.lit(params).alias("params"), F.lit("test_mse").alias("metric"),
-            F.col("mse").alias("value"))
-        rows = r if rows is None else rows.unionByName(r)
-    pred = md.podium_test_predictions(t)
-    auc = ev.roc_auc(pred, "on_podium", "p").select(
-        F.lit("podium_forest").alias("model"), F.lit("numTrees=100, maxDepth=30").alias("params"),
-        F.lit("test_roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
-    return rows.unionByName(auc)
+    """The three tuned models: best parameters, as the models state them, and test metrics."""
+    return _md().training_summary(t)
 
 
 FLAGSHIP = "season_validation"

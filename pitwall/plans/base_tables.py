@@ -54,9 +54,24 @@ class RaceTables:
         return self._cache[name]
 
 
-def lap_base(t: RaceTables) -> DataFrame:
-    """C1 = J1 + J2 + J3 + J4: laps with race, circuit, pit and weather columns."""
-    df = joins.join_races(t.lap_times, t.races, ["circuitId", "raceName"])
+def race_days(races: DataFrame) -> DataFrame:
+    """Races with ``date`` and ``time_race_start``; where the table has none, the day of the
+    fixtures (the month's first, at midnight UTC)."""
+    out = races
+    if "date" not in races.columns:
+        out = out.withColumn("date", F.make_date("season", "round", F.lit(1)))
+    if "time_race_start" not in races.columns:
+        out = out.withColumn("time_race_start", F.lit("00:00:00Z"))
+    return out
+
+
+def lap_base(t: RaceTables, dated: bool = False) -> DataFrame:
+    """C1 = J1 + J2 + J3 + J4: laps with race, circuit, pit and weather columns.
+
+    ``dated`` carries the race's date and start time too.
+    """
+    more = ["date", "time_race_start"] if dated else []
+    df = joins.join_races(t.lap_times, race_days(t.races) if dated else t.races, ["circuitId", "raceName", *more])
     df = joins.join_circuits(df, t.circuits)
     df = joins.pit_marker(df, t.pit_stops)
     return joins.join_weather(df, t.weather)
@@ -92,8 +107,16 @@ def results_join_qualifying(t: RaceTables) -> DataFrame:
         fx.format_ms(F.col("q1")).alias("qual_q1"),
         fx.format_ms(F.col("q2")).alias("qual_q2"),
         fx.format_ms(F.col("q3")).alias("qual_q3"))
-    r = t.race_results.withColumn("on_podium", podium_label(F.col("position")))
-    return joins.left_join(r, q, ["season", "round", "driverId"])
+    return joined_grid(t.race_results, q)
+
+
+def joined_grid(results: DataFrame, qualifying: DataFrame) -> DataFrame:
+    """J8 on plain frames: the results' own starting grid, if there is one, stays as
+    ``grid_official`` (D5), and ``grid`` is the qualifying position."""
+    r = results.withColumn("on_podium", podium_label(F.col("position")))
+    if "grid" in r.columns:
+        r = r.withColumnRenamed("grid", "grid_official")
+    return joins.left_join(r, qualifying, ["season", "round", "driverId"])
 
 
 def podium_base(t: RaceTables) -> DataFrame:

@@ -10,19 +10,21 @@ follow the reference's chosen settings, mapped to Spark ML names:
 * ``class_weight='balanced'`` -> ``weightCol`` with n / (k * n_class);
   ``balanced_subsample`` has no Spark form and is treated as ``balanced``.
 
+* logistic ``C`` (L2) -> ``regParam = 1 / (C n)`` without standardization, as
+  Spark averages the loss over the n rows.
+
 Random streams differ from scikit-learn, so results are compared on
 quality, never value by value.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import os
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import VectorAssembler
@@ -33,16 +35,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwall.operators.aggregates import class_weights
-from pitwall.operators.splits import kfold2, stratified_kfold2, temporal_split
+from pitwall.operators.splits import hash_split, kfold2, stratified_kfold2, temporal_split
+from pitwall.plans import evaluate as ev
 from pitwall.plans import features as ft
+from pitwall.plans import notebook as nb
 from pitwall.plans.base_tables import RaceTables
-from pitwall.session import cut_lineage, scratch_path
+from pitwall.session import cut_lineage, input_stamp, scratch_path
+from pitwall.sources.conform import INPUTS
 
 TRAIN = [1995, 1996, 1997, 1998, 1999]
 TEST = [2000, 2001]
 SEED = 42
 MAX_DEPTH_NONE = 30
 
+# The reference's grids, in Spark's names (None -> MAX_DEPTH_NONE; a leaf
+# minimum and a split minimum become the larger per-child minimum).
+#: The training script's lap grid (100 trees on all features, split 5, leaf 2).
+LAP_GRID = {"numTrees": [100], "maxDepth": [20, MAX_DEPTH_NONE], "minInstancesPerNode": [3]}
+#: The training script's pole and podium grid (100 trees, split 5, balanced classes).
+CLASS_GRID = {"numTrees": [100], "maxDepth": [10, MAX_DEPTH_NONE], "minInstancesPerNode": [3], "weightCol": ["weight"]}
+#: The modules' larger grids: splits 2 and 5, leaves 1 and 2, with and without class weights.
+MODULE_CLASS_GRID = {"numTrees": [50, 100], "maxDepth": [5, 10, MAX_DEPTH_NONE], "minInstancesPerNode": [1, 2, 3],
+                     "weightCol": ["one", "weight"]}
+#: What the registered lap query tunes: the grid above takes over 6 minutes a fit at sf0.01 on 8 cores.
+LAP_GRID_SMALL = {"numTrees": [50], "maxDepth": [5, 10], "minInstancesPerNode": [3], "featureSubsetStrategy": ["sqrt"]}
+
 
 def min_instances(min_samples_split: int) -> int:
     return max(1, math.ceil(min_samples_split / 2))
@@ -65,7 +82,15 @@ def lap_sets(t: RaceTables) -> tuple[DataFrame, DataFrame, list[str]]:
     # ML makes several passes: materialise the feature rows once (shared folder)
     df = cut_lineage(_numeric(df, ft.LAP_X, ft.LAP_Y))
     s = temporal_split(df, TRAIN, TEST)
-    return s.filter("split = 'train'"), s.filter("split = 'test'"), ft.LAP_X
+    train = s.filter("split = 'train'")
+    return train, s.filter("split = 'test'"), ft.usable_features(train, ft.LAP_X)
+
+
+def nb_sets(t: RaceTables) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The notebook's rows and its 80/20 split."""
+    df = hash_split(nb.nb_lap_lags(t), ["raceId", "driverId", "lap"])
+    df = cut_lineage(_numeric(df, nb.NB_FEATURES, "normalized_time"))
+    return df.filter("split = 'train'"), df.filter("split = 'test'"), nb.NB_FEATURES
 
 
 def podium_sets(t: RaceTables, weighted: bool = True) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -76,8 +101,8 @@ def podium_sets(t: RaceTables, weighted: bool = True) -> tuple[DataFrame, DataFr
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
     if weighted:
         w = class_weights(train, "label", "weight").select("label", "weight")
-        train = train.join(F.broadcast(w), "label", "left")  # two classes
-    return train, test, ft.PODIUM_X
+        train = train.join(w, "label", "left").withColumn("one", F.lit(1.0))
+    return train, test, ft.usable_features(train, ft.PODIUM_X)
 
 
 def pole_sets(t: RaceTables, weighted: bool = True) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -89,18 +114,41 @@ def pole_sets(t: RaceTables, weighted: bool = True) -> tuple[DataFrame, DataFram
     test = s.filter("split = 'test'")
     if weighted:
         w = class_weights(train, "label", "weight").select("label", "weight")
-        train = train.join(F.broadcast(w), "label", "left")  # one row per pole winner class
-    return train, test, ft.POLE_X
+        train = train.join(w, "label", "left").withColumn("one", F.lit(1.0))
+    return train, test, ft.usable_features(train, ft.POLE_X)
 
 
 # --- estimators (reference settings) -------------------------------------------------------
 
+def l2(rows: int, c: float = 1.0) -> dict:
+    """The penalty of scikit-learn's ``C`` for a fit on ``rows`` rows."""
+    return {"regParam": 1.0 / (c * max(rows, 1)), "elasticNetParam": 0.0, "standardization": False}
+
+
+def module_lap_forest(cols: list[str], depth: int = 20) -> Pipeline:
+    """The module's lap forest: 100 trees, all features, deep (see LAP_GRID)."""
+    return Pipeline(stages=[_assembler(cols), RandomForestRegressor(
+        numTrees=100, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=3, maxMemoryInMB=1024, seed=SEED)])
+
+
+def nb_estimators(cols: list[str]) -> dict[str, Pipeline]:
+    """The notebook's three regressors."""
+    a = _assembler(cols)
+    return {
+        "nb_linear": Pipeline(stages=[a, LinearRegression(solver="normal", regParam=0.0)]),
+        "nb_forest": Pipeline(stages=[a, RandomForestRegressor(
+            numTrees=50, maxDepth=10, featureSubsetStrategy="sqrt", minInstancesPerNode=min_instances(5), seed=SEED)]),
+        "nb_gbt": Pipeline(stages=[a, GBTRegressor(
+            maxIter=50, stepSize=0.1, maxDepth=5, subsamplingRate=0.8, minInstancesPerNode=min_instances(10), seed=SEED)]),
+    }
+
+
 def lap_estimators(cols: list[str]) -> dict[str, Pipeline]:
     a = _assembler(cols)
     return {
         "lap_linear": Pipeline(stages=[a, LinearRegression(solver="normal", regParam=0.0)]),
-        # the notebook's forest (50 trees, depth 10, sqrt features): the module's
-        # depth-20/unbounded forest costs minutes per fit in Spark for no gain here
+        # the notebook's forest (50 trees, depth 10, sqrt features); the module's is
+        # module_lap_forest, which takes over 6 minutes a fit at sf0.01 on 8 cores
         "lap_forest": Pipeline(stages=[a, RandomForestRegressor(
             numTrees=50, maxDepth=10, featureSubsetStrategy="sqrt",
             minInstancesPerNode=min_instances(5), seed=SEED)]),
@@ -110,20 +158,26 @@ def lap_estimators(cols: list[str]) -> dict[str, Pipeline]:
     }
 
 
-def podium_estimators(cols: list[str]) -> dict[str, Pipeline]:
+def podium_estimators(cols: list[str], rows: int | None = None) -> dict[str, Pipeline]:
+    """``rows``: training rows, for the L2 penalty of C = 1 (None: no penalty)."""
     a = _assembler(cols)
+    penalty = l2(rows) if rows else {}
     return {
-        "podium_logistic": Pipeline(stages=[a, LogisticRegression(maxIter=100, weightCol="weight")]),
+        "podium_logistic": Pipeline(stages=[a, LogisticRegression(maxIter=100, weightCol="weight", **penalty)]),
         "podium_forest": Pipeline(stages=[a, RandomForestClassifier(
             numTrees=100, maxDepth=MAX_DEPTH_NONE, minInstancesPerNode=min_instances(5),
             weightCol="weight", seed=SEED)]),
     }
 
 
-def pole_estimators(cols: list[str]) -> dict[str, Pipeline]:
+def pole_estimators(cols: list[str], rows: int | None = None) -> dict[str, Pipeline]:
+    """``rows``: training rows, for the L2 penalty of C = 1 (None: no penalty)."""
     a = _assembler(cols)
     return {
-        # one multinomial fit instead of one binary fit per driver class
+        # one binary fit per driver class, as the reference's solver does
+        "pole_one_vs_rest": Pipeline(stages=[a, OneVsRest(
+            classifier=LogisticRegression(maxIter=100, **(l2(rows) if rows else {})), parallelism=4)]),
+        # one multinomial fit for all classes
         "pole_logistic": Pipeline(stages=[a, LogisticRegression(
             family="multinomial", maxIter=100)]),
         "pole_forest": Pipeline(stages=[a, RandomForestClassifier(
@@ -146,7 +200,7 @@ def decode_pole(pred: DataFrame, t: RaceTables) -> DataFrame:
     codes = base.filter(F.col("season").isin(TRAIN)).select(
         F.col("driverId").alias("predicted_driverId"), F.col(ft.POLE_Y).cast("double").alias("prediction")
     ).distinct()
-    return pred.join(F.broadcast(codes), "prediction", "left")  # one row per pole winner
+    return pred.join(codes, "prediction", "left")  # one row per pole winner
 
 
 def regression_scores(pred: DataFrame, model: str) -> DataFrame:
@@ -156,32 +210,44 @@ def regression_scores(pred: DataFrame, model: str) -> DataFrame:
         F.lit(model).alias("model"), "mse", "mae", "n")
 
 
-def model_comparison(preds: dict[str, DataFrame]) -> DataFrame:
+def model_comparison(preds: dict[str, DataFrame], base: str = "lap_linear") -> DataFrame:
     """Test MSE per model and improvement over the linear model."""
     rows = None
     for name, p in preds.items():
         r = regression_scores(p, name)
         rows = r if rows is None else rows.unionByName(r)
     # one row per model: a frame over the whole (tiny) table
-    linear = F.max(F.when(F.col("model") == "lap_linear", F.col("mse"))).over(Window.partitionBy())
+    linear = F.max(F.when(F.col("model") == base, F.col("mse"))).over(Window.partitionBy())
     return rows.withColumn("improvement_over_linear", linear - F.col("mse"))
 
 
 def feature_importance(model: PipelineModel, cols: list[str], spark) -> DataFrame:
-    """Importances (forests) or coefficients (logistic), sorted."""
+    """Importances (forests) or coefficients (logistic, one row per class), sorted."""
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):
-        vals = last.featureImportances.toArray().tolist()
-        kind = "importance"
+        rows = [("importance", None, c, float(v)) for c, v in zip(cols, last.featureImportances.toArray(), strict=True)]
+    elif hasattr(last, "models"):  # one-vs-rest
+        rows = [("coefficient", k, c, float(v)) for k, m in enumerate(last.models)
+                for c, v in zip(cols, m.coefficients.toArray(), strict=True)]
+    elif getattr(last, "numClasses", 0) > 2:
+        matrix = last.coefficientMatrix.toArray()
+        rows = [("coefficient", k, c, float(v)) for k in range(len(matrix)) for c, v in zip(cols, matrix[k], strict=True)]
     else:
-        vals = last.coefficients.toArray().tolist()
-        kind = "coefficient"
-    df = spark.createDataFrame(list(zip(cols, vals)), f"feature string, value double")
-    return df.withColumn("kind", F.lit(kind)).orderBy(F.col("value").desc())
+        rows = [("coefficient", None, c, float(v)) for c, v in zip(cols, last.coefficients.toArray(), strict=True)]
+    df = spark.createDataFrame(rows, "kind string, class int, feature string, value double")
+    return df.select("feature", "value", "kind", "class").orderBy("class", F.col("value").desc())
 
 
 # --- tuning ----------------------------------------------------------------------------------
 
+def grid_of(estimator, grid: dict[str, list]) -> list[dict]:
+    """Spark's parameter maps of a grid {parameter name: values}."""
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(estimator.getParam(name), values)
+    return builder.build()
+
+
 def tune(train: DataFrame, estimator, grid, evaluator, fold_col: str,
          parallelism: int = 4):
     """Two-fold cross validation over ``grid`` with a deterministic fold column,
@@ -191,49 +257,90 @@ def tune(train: DataFrame, estimator, grid, evaluator, fold_col: str,
     return cv.fit(train)
 
 
-def tune_podium_forest(t: RaceTables):
-    train, _, cols = podium_sets(t)
-    train = stratified_kfold2(train, "label", ["season", "round", "driverId"])
-    rf = RandomForestClassifier(numTrees=100, minInstancesPerNode=min_instances(5),
-                                weightCol="weight", seed=SEED)
-    pipe = Pipeline(stages=[_assembler(cols), rf])
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, [10, MAX_DEPTH_NONE]).build()
-    ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
-    return tune(train, pipe, grid, ev, "fold"), grid
+class Tuned:
+    """A tuned model: the cross validation, its grid, the test rows and the features."""
+
+    def __init__(self, cv, grid, larger_is_better: bool, test: DataFrame, cols: list[str]) -> None:
+        self.cv, self.grid, self.test, self.cols = cv, grid, test, cols
+        pick = max if larger_is_better else min
+        self.best = pick(range(len(grid)), key=lambda i: cv.avgMetrics[i])
 
+    @property
+    def model(self) -> PipelineModel:
+        return self.cv.bestModel
 
-def tune_pole_forest(t: RaceTables):
-    train, _, cols = pole_sets(t)
+    def params(self, i: int) -> str:
+        return ", ".join(f"{p.name}={v}" for p, v in sorted(self.grid[i].items(), key=lambda x: x[0].name))
+
+    def fitted_params(self) -> str:
+        """The tuned parameters as the refitted model itself states them."""
+        stage = self.model.stages[-1]
+        return ", ".join(f"{p.name}={stage.getOrDefault(p.name)}" for p in sorted(self.grid[self.best], key=lambda p: p.name))
+
+
+def _tune_classes(train: DataFrame, test: DataFrame, cols: list[str], grid: dict[str, list], evaluator) -> Tuned:
     train = stratified_kfold2(train, "label", ["season", "round", "driverId"])
-    rf = RandomForestClassifier(numTrees=100, minInstancesPerNode=min_instances(5),
-                                weightCol="weight", seed=SEED)
-    pipe = Pipeline(stages=[_assembler(cols), rf])
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, [10, MAX_DEPTH_NONE]).build()
-    ev = MulticlassClassificationEvaluator(metricName="f1")  # support-weighted F1
-    return tune(train, pipe, grid, ev, "fold"), grid
+    rf = RandomForestClassifier(seed=SEED)
+    maps = grid_of(rf, grid)
+    return Tuned(tune(train, Pipeline(stages=[_assembler(cols), rf]), maps, evaluator, "fold"), maps, True, test, cols)
+
+
+def tune_podium_forest(t: RaceTables, grid: dict[str, list] = CLASS_GRID) -> Tuned:
+    # numBins = 0: the exact area, however many distinct scores there are
+    return _tune_classes(*podium_sets(t), grid, BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0))
 
 
-def tune_lap_forest(t: RaceTables):
-    train, _, cols = lap_sets(t)
+def tune_pole_forest(t: RaceTables, grid: dict[str, list] = CLASS_GRID) -> Tuned:
+    # Spark's "f1" is weighted by support
+    return _tune_classes(*pole_sets(t), grid, MulticlassClassificationEvaluator(metricName="f1"))
+
+
+def tune_lap_forest(t: RaceTables, grid: dict[str, list] = LAP_GRID) -> Tuned:
+    train, test, cols = lap_sets(t)
     train = kfold2(train, ["season", "round", "driverId", "lap"])
-    rf = RandomForestRegressor(numTrees=50, featureSubsetStrategy="sqrt",
-                               minInstancesPerNode=min_instances(5), seed=SEED)
-    pipe = Pipeline(stages=[_assembler(cols), rf])
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, [5, 10]).build()
-    ev = RegressionEvaluator(metricName="mse")
-    return tune(train, pipe, grid, ev, "fold"), grid
-
-
-def tuning_table(cv_model, grid, name: str, spark) -> DataFrame:
-    """One row per parameter map with its mean fold metric; best flagged."""
-    rows = []
-    best = cv_model.bestModel.stages[-1]
-    for pm, m in zip(grid, cv_model.avgMetrics):
-        params = ", ".join(f"{p.name}={v}" for p, v in pm.items())
-        rows.append((name, params, float(m)))
-    df = spark.createDataFrame(rows, "model string, params string, metric double")
-    depth = best.getOrDefault("maxDepth")
-    return df.withColumn("best", F.col("params").contains(f"maxDepth={depth}"))
+    rf = RandomForestRegressor(featureSubsetStrategy="all", seed=SEED)
+    maps = grid_of(rf, grid)
+    return Tuned(tune(train, Pipeline(stages=[_assembler(cols), rf]), maps, RegressionEvaluator(metricName="mse"), "fold"),
+                 maps, False, test, cols)
+
+
+_TUNED: dict[tuple[str, str, str], Tuned] = {}
+
+
+def tuned(t: RaceTables, family: str) -> Tuned:
+    """The tuned model of a family, fitted once per application and input, and saved."""
+    key = (t.spark.sparkContext.applicationId, input_stamp(t.spark, t.sf_dir, INPUTS), family)
+    if key not in _TUNED:
+        make = {"lap": lambda: tune_lap_forest(t, LAP_GRID_SMALL), "pole": lambda: tune_pole_forest(t),
+                "podium": lambda: tune_podium_forest(t)}[family]
+        _TUNED[key] = make()
+        save_model(_TUNED[key].model, model_root(t.spark), f"tuned_{family}_{key[1]}")
+    return _TUNED[key]
+
+
+def tuning_table(found: Tuned, name: str, spark) -> DataFrame:
+    """One row per parameter map with its mean fold metric; the best is flagged."""
+    rows = [(name, found.params(i), float(m), i == found.best) for i, m in enumerate(found.cv.avgMetrics)]
+    return spark.createDataFrame(rows, "model string, params string, metric double, best boolean")
+
+
+def training_summary(t: RaceTables) -> DataFrame:
+    """Tune, refit, score on the test seasons and save all three models."""
+
+    def line(family: str, metrics: DataFrame) -> DataFrame:
+        found = tuned(t, family)
+        return metrics.select(F.lit(family).alias("model"), F.lit(found.fitted_params()).alias("best_params"), "metric", "value")
+
+    lap, pole, podium = (tuned(t, f) for f in ("lap", "pole", "podium"))
+    laps = regression_scores(lap.model.transform(lap.test), "lap")
+    laps = laps.select(F.explode(F.create_map(F.lit("test_mse"), "mse", F.lit("test_mae"), "mae")).alias("metric", "value"))
+    poles = ev.accuracy(pole.model.transform(pole.test), "label", "prediction").select(
+        F.lit("test_accuracy").alias("metric"), F.col("accuracy").alias("value"))
+    scored = with_probability(podium.model.transform(podium.test))
+    podiums = ev.accuracy(scored, "on_podium", "predicted").select(
+        F.lit("test_accuracy").alias("metric"), F.col("accuracy").alias("value")).unionByName(
+        ev.roc_auc(scored, "on_podium", "p").select(F.lit("test_roc_auc").alias("metric"), F.col("roc_auc").alias("value")))
+    return line("lap", laps).unionByName(line("pole", poles)).unionByName(line("podium", podiums))
 
 
 # --- persistence (S17, S18) ----------------------------------------------------------------
@@ -274,12 +381,12 @@ def trained_podium_model(t: RaceTables, name: str = "podium_forest") -> Pipeline
     """The latest saved podium model; fitted and saved first if there is none yet
     (train once, then every report loads the latest, as the reference's scripts do)."""
     root = model_root(t.spark)
-    prefix = f"{name}_{hashlib.md5(os.path.abspath(t.sf_dir).encode()).hexdigest()[:8]}"
+    prefix = f"{name}_{input_stamp(t.spark, t.sf_dir, INPUTS)}"
     try:
         return load_latest(t.spark, root, prefix + "_")
     except FileNotFoundError:
         train, _, cols = podium_sets(t)
-        model = podium_estimators(cols)[name].fit(train)
+        model = podium_estimators(cols, train.count())[name].fit(train)
         save_model(model, root, prefix)
         return model
 

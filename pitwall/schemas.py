@@ -30,5 +30,4 @@ CONFORMED: dict[str, T.StructType] = {
     "weather": _schema(("season", I), ("round", I), ("mean_temp", D),
                        ("precipitation_sum", D), ("windspeed_mean", D)),
     "races": _schema(("season", I), ("round", I), ("raceName", S), ("circuitId", S)),
-    "no_such_table": _schema(("season", I), ("round", I)),
 }

@@ -8,6 +8,7 @@ only when it is unset (local tests, the smoke driver) do we create one.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -42,28 +43,45 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Only a single-machine session (tests, smoke runs) may leave it unset and gets a
+    temporary folder; on a cluster a folder of one machine would not do, so that is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-    else:
-        # Unset: tests and single-machine runs only.
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pitwall-ckpt-"))
+    if not conf_dir:
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="pitwall-ckpt-")
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "pitwall", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder below the shared checkpoint folder, scheme kept."""
+    return os.path.join(ensure_checkpoint_dir(spark), "pitwall", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def input_stamp(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    """Path and change times of input tables: what is kept per input is rebuilt when they change."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [sf_dir.rstrip("/")]
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        files = list(fs.listStatus(path)) if fs.exists(path) else []
+        parts += [f"{t}:{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files]
+    return hashlib.md5("|".join(parts).encode()).hexdigest()[:12]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -12,69 +12,84 @@ from __future__ import annotations
 
 import os
 import threading
+from collections import defaultdict
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitwall.session import scratch_path
+from pitwall.session import input_stamp, scratch_path
 from pitwall.sources import fixtures as fx
 
-_STORES: dict[tuple[str, str], str] = {}
+#: The given tables that the race tables come from.
+INPUTS = ("lineitem", "orders", "supplier", "nation")
+
+#: Per table: the conformed tables it is made from, and how.
+RECIPES: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "laps": ((), fx.laps),
+    "circuits": ((), fx.circuits),
+    "lap_times": (("laps",), fx.lap_times_from),
+    "pit_stops": (("laps",), fx.pit_stops_from),
+    "entries": (("laps",), fx.entry_rollup_from),
+    "weather": (("laps",), fx.weather_from),
+    "qualifying": (("entries",), fx.qualifying_from),
+    "race_results": (("entries",), fx.race_results_from),
+    "races": (("entries",), fx.races_from),
+    "driver_standings": (("race_results",), lambda r: fx.standings_from(r, "driverId")),
+    "constructor_standings": (("race_results",), lambda r: fx.standings_from(r, "constructorId")),
+}
+TABLES = tuple(RECIPES)
+
+
+class Store:
+    """The conformed tables of one input, each written when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self.root = scratch_path(spark, "conformed")
+        self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
+        self._done: set[str] = set()
+
+    def table(self, name: str) -> DataFrame:
+        sources, make = RECIPES[name]
+        path = os.path.join(self.root, name)
+        with self._locks[name]:
+            if name not in self._done:
+                df = make(*map(self.table, sources)) if sources else make(self.spark, self.sf_dir)
+                writer = df.write.mode("overwrite")
+                if "season" in df.columns:
+                    # Seasons come together before the write, and large ones are split again.
+                    writer = df.hint("rebalance", F.col("season")).write.mode("overwrite").partitionBy("season")
+                writer.parquet(path)
+                self._done.add(name)
+        return self.spark.read.parquet(path)
+
+    def all_tables(self) -> None:
+        """Write every table; independent ones are submitted together."""
+        with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+            list(pool.map(self.table, TABLES))
+
+
+_STORES: dict[tuple[str, str], Store] = {}
 _LOCK = threading.Lock()
 
-TABLES = ("laps", "lap_times", "pit_stops", "entries", "qualifying", "race_results",
-          "driver_standings", "constructor_standings", "weather", "races", "circuits")
-
-
-def _put(spark: SparkSession, root: str, name: str, df: DataFrame,
-         by_season: bool = True) -> DataFrame:
-    path = os.path.join(root, name)
-    w = df.write.mode("overwrite")
-    if by_season:
-        w = w.partitionBy("season")
-    w.parquet(path)
-    return spark.read.parquet(path).select(*df.columns)
-
-
-def build(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write the tables level by level; tables of one level are independent
-    Spark jobs submitted together, so small stages overlap on the cluster."""
-
-    def level(jobs: dict) -> dict[str, DataFrame]:
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-            futures = {name: pool.submit(_put, spark, root, name, make(), by_season)
-                       for name, (make, by_season) in jobs.items()}
-            return {name: f.result() for name, f in futures.items()}
-
-    laps = level({"laps": (lambda: fx.laps(spark, sf_dir), True),
-                  "circuits": (lambda: fx.circuits(spark, sf_dir), False)})["laps"]
-    entries = level({
-        "lap_times": (lambda: fx.lap_times_from(laps), True),
-        "pit_stops": (lambda: fx.pit_stops_from(laps), True),
-        "entries": (lambda: fx.entry_rollup_from(laps), True),
-        "weather": (lambda: fx.weather_from(laps), True),
-    })["entries"]
-    results = level({
-        "qualifying": (lambda: fx.qualifying_from(entries), True),
-        "race_results": (lambda: fx.race_results_from(entries), True),
-        "races": (lambda: fx.races_from(entries), True),
-    })["race_results"]
-    level({
-        "driver_standings": (lambda: fx.standings_from(results, "driverId"), True),
-        "constructor_standings": (lambda: fx.standings_from(results, "constructorId"), True),
-    })
 
-
-def conformed_root(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the conformed tables for this application and dataset (built on first use)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+def store(spark: SparkSession, sf_dir: str) -> Store:
+    """This application's store for an input (a new one if the input's files have changed)."""
+    key = (spark.sparkContext.applicationId, input_stamp(spark, sf_dir, INPUTS))
     with _LOCK:
         if key not in _STORES:
-            root = scratch_path(spark, "conformed")
-            build(spark, sf_dir, root)
-            _STORES[key] = root
+            _STORES[key] = Store(spark, sf_dir)
         return _STORES[key]
 
 
+def conformed_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with all conformed tables of an input."""
+    own = store(spark, sf_dir)
+    own.all_tables()
+    return own.root
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(conformed_root(spark, sf_dir), name))
+    return store(spark, sf_dir).table(name)

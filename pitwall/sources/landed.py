@@ -398,9 +398,18 @@ _LANDED: dict[tuple[str, str], dict[str, str]] = {}
 
 def landed_paths(t) -> dict[str, str]:
     """Pages landed once per application and dataset, below the shared folder."""
-    from pitwall.session import scratch_path
+    from pitwall.session import input_stamp, scratch_path
+    from pitwall.sources.conform import INPUTS
 
-    key = (t.spark.sparkContext.applicationId, os.path.abspath(t.sf_dir))
+    key = (t.spark.sparkContext.applicationId, input_stamp(t.spark, t.sf_dir, INPUTS))
     if key not in _LANDED:
         _LANDED[key] = land(t, scratch_path(t.spark, "landed"))
     return _LANDED[key]
+
+
+def incomplete_laps(lap_times: DataFrame, results: DataFrame) -> DataFrame:
+    """Drivers of whom fewer laps have landed than their result counts."""
+    landed = lap_times.groupBy("season", "round", "driverId").agg(F.max("lap").alias("landed_laps"))
+    j = results.select("season", "round", "driverId", "laps").join(landed, ["season", "round", "driverId"], "left")
+    j = j.withColumn("landed_laps", F.coalesce("landed_laps", F.lit(0)))
+    return j.filter(F.col("landed_laps") < F.col("laps"))

@@ -3,11 +3,11 @@
 New page files arriving in a folder are picked up by a file stream, run
 with ``availableNow`` (process everything present, then stop; rerun to pick
 up what landed since).  Each micro-batch is flattened, de-duplicated within
-itself, and anti-joined against the rows already written for the seasons
+itself, and anti-joined against the rows already written for the races
 it touches, so overlapping pages never produce duplicate rows.  No
 streaming de-duplication state is kept: the state would grow with every
 key ever seen, while the anti join reads only the partitions of the
-seasons in the batch.
+races in the batch.
 """
 
 from __future__ import annotations
@@ -29,14 +29,22 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_batch(batch: DataFrame, out: str, key: list[str]) -> None:
-    """Append the batch's rows whose key is not yet in ``out`` (partitioned by season)."""
+    """Append the batch's rows whose key is not yet in ``out`` (partitioned by season and round).
+
+    The batch is kept for its two uses, and only the partitions of its races are read back.
+    """
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(key)
-    if _path_exists(spark, out):
-        seasons = [r[0] for r in fresh.select("season").distinct().collect()]  # a few ints
-        have = spark.read.parquet(out).filter(F.col("season").isin(seasons)).select(*key)
-        fresh = fresh.join(have, key, "left_anti")
-    fresh.write.mode("append").partitionBy("season").parquet(out)
+    fresh = batch.dropDuplicates(key).persist()
+    try:
+        if _path_exists(spark, out):
+            races = fresh.select("season", "round").distinct().collect()  # at most the races of one batch of pages
+            have = spark.read.parquet(out).filter(F.col("season").isin(sorted({r[0] for r in races}))
+                                                  & F.col("round").isin(sorted({r[1] for r in races}))).select(*key)
+            fresh.join(have, key, "left_anti").write.mode("append").partitionBy("season", "round").parquet(out)
+        else:
+            fresh.write.mode("append").partitionBy("season", "round").parquet(out)
+    finally:
+        fresh.unpersist()
 
 
 def ingest_laps(spark: SparkSession, pages_dir: str, out: str, checkpoint: str,
