@@ -21,6 +21,9 @@ from pitwall.session import ensure_checkpoint_dir
 #: Bytes of text that one numpy pass works on (a longer text is a block of its own).
 BLOCK_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch, about.
+BATCH_BYTES = 8 << 20
+
 #: The white space of the word contracts.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -52,6 +55,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Limit the bytes of the Arrow batches that tasks exchange with Python (a session setting).
+
+    The default goes by rows, so that long texts make large batches.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

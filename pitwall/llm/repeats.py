@@ -32,12 +32,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import Rolling, flat_texts, mix64, text_blocks, written
+from pitwall.llm.common import Rolling, bounded_batches, flat_texts, mix64, text_blocks, written
 
 LENGTH, GRAM = 200, 64
 REACH = LENGTH - GRAM
 #: Distinct contexts of an anchor that one task indexes, and bytes of contexts in one index.
-WIDE, INDEX_BYTES = 20_000, 1_500_000
+WIDE, INDEX_BYTES = 20_000, 1_000_000
 
 #: What a row of the anchor exchange is: an occurrence, a span that is already known, or the
 #: representative of a context that its batch holds several times.
@@ -399,6 +399,7 @@ def _contexts(asked: DataFrame, texts: DataFrame, first: DataFrame) -> DataFrame
 
 def remove_repeats(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, n_bytes, the removed spans (array of start, stop) and the kept bytes of every row."""
+    df = bounded_batches(df)
     texts = packed(df, text, id_column)
     rows = written(packed(df, text, id_column, row=False), "rows")
     copies = rows.where(F.col("n_bytes") >= LENGTH).groupBy("tid").agg(
