@@ -1395,7 +1395,7 @@ def q_pole_label_decode(t):
     codes = f.select(F.col(ft.POLE_Y).alias("code"), F.col("driverId").alias("decoded_driverId")) \
              .distinct()
     return f.select("season", "round", ft.POLE_Y).join(
-        F.broadcast(codes), F.col(ft.POLE_Y) == F.col("code"), "left").drop("code")
+        codes, F.col(ft.POLE_Y) == F.col("code"), "left").drop("code")
 
 
 @query("feature_guard", """

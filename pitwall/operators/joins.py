@@ -1,11 +1,8 @@
 """Join operators (J1-J14).  Every reference join is an equi left outer join.
 
-Broadcast policy: a side is hinted for broadcast only when its row count
-has a bound that does not grow with the data (one row per race: bounded by
-the calendar; one row per circuit or team).  Everything else is left to
-the optimizer, where AQE turns a join into a broadcast only after it has
-measured the side at run time, and otherwise keeps the shuffle join (with
-skew splitting enabled).
+Broadcast policy: no side is hinted.  The optimizer broadcasts a side whose
+size it knows to be small, AQE does after it has measured the side at run
+time, and otherwise the shuffle join stays (with skew splitting enabled).
 """
 
 from __future__ import annotations
@@ -14,20 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join(fact: DataFrame, dim: DataFrame, keys: list[str],
-              bounded_dim: bool = False) -> DataFrame:
-    """Plain left join on equal-named keys; ``bounded_dim`` broadcasts the dim."""
+def left_join(fact: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
+    """Plain left join on equal-named keys."""
     overlap = (set(fact.columns) & set(dim.columns)) - set(keys)
     if overlap:
         raise ValueError(f"ambiguous columns after join: {sorted(overlap)}")
-    right = F.broadcast(dim) if bounded_dim else dim
-    return fact.join(right, on=keys, how="left")
+    return fact.join(dim, on=keys, how="left")
 
 
 def join_races(fact: DataFrame, races: DataFrame, carry: list[str]) -> DataFrame:
-    """Attach race attributes on (season, round); races are calendar-bounded."""
-    return left_join(fact, races.select("season", "round", *carry), ["season", "round"],
-                     bounded_dim=True)
+    """Attach race attributes on (season, round)."""
+    return left_join(fact, races.select("season", "round", *carry), ["season", "round"])
 
 
 def one_per_circuit(circuits: DataFrame) -> DataFrame:
@@ -69,7 +63,7 @@ def join_weather(fact: DataFrame, weather: DataFrame) -> DataFrame:
     """Weather by (season, round).  Only the metric columns are carried, so
     a circuitId in the weather table cannot collide with the fact's."""
     w = weather.select("season", "round", *WEATHER_COLS)
-    return left_join(fact, w, ["season", "round"], bounded_dim=True)
+    return left_join(fact, w, ["season", "round"])
 
 
 def join_prev_season(fact: DataFrame, standings: DataFrame, key: str,

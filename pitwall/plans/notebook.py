@@ -39,15 +39,15 @@ def nb_pit_stops(t: RaceTables) -> DataFrame:
 
 
 def nb_join_races(t: RaceTables) -> DataFrame:
-    """Laps left-join races on raceId (races are calendar-bounded: broadcast)."""
-    return nb_lap_times(t).join(F.broadcast(nb_races(t)), "raceId", "left")
+    """Laps left-join races on raceId (one row per race)."""
+    return nb_lap_times(t).join(nb_races(t), "raceId", "left")
 
 
 def nb_normalized(t: RaceTables) -> DataFrame:
-    """A1: milliseconds / race minimum (race minimum as a broadcast aggregate)."""
+    """A1: milliseconds / race minimum (race minimum as an aggregate, joined back)."""
     df = nb_join_races(t)
     mins = nb_lap_times(t).groupBy("raceId").agg(F.min("milliseconds").alias("race_min"))
-    df = df.join(F.broadcast(mins), "raceId", "left")
+    df = df.join(mins, "raceId", "left")
     return df.withColumn("normalized_time",
                          F.col("milliseconds") / F.col("race_min")).drop("race_min")
 

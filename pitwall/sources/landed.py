@@ -289,7 +289,7 @@ def land(t, root: str) -> dict[str, str]:
         "races", "qualifying", "results", "laps", "laps_overlap", "pit_stops",
         "driver_standings", "constructor_standings", "circuits", "seasons", "weather")}
     races, circuits = t.races, t.circuits
-    race_info = races.join(F.broadcast(circuits), "circuitId", "left")
+    race_info = races.join(circuits, "circuitId", "left")
     loc = F.struct(F.col("lat").cast("string").alias("lat"), F.col("long").cast("string").alias("long"),
                    F.col("circuitName").alias("country"))
     circuit = F.struct("circuitId", "circuitName", loc.alias("Location"))
@@ -304,7 +304,7 @@ def land(t, root: str) -> dict[str, str]:
     def race_pages(items: DataFrame, arr_name: str, item: Column, bucket: Column, out: str):
         g = items.withColumn("__b", bucket).groupBy("season", "round", "__b").agg(
             F.collect_list(item).alias("items"))
-        g = g.join(F.broadcast(races.select("season", "round", "raceName")), ["season", "round"])
+        g = g.join(races.select("season", "round", "raceName"), ["season", "round"])
         one = F.struct(F.col("season").cast("string").alias("season"),
                        F.col("round").cast("string").alias("round"), "raceName",
                        F.col("items").alias(arr_name))
@@ -355,7 +355,7 @@ def land(t, root: str) -> dict[str, str]:
         last = t.races.groupBy("season").agg(F.max("round").alias("last_round"))
         g = src.withColumn("__b", F.floor((F.col("position") - 1) / PAGE)) \
                .groupBy("season", "__b").agg(F.collect_list(item).alias("items")) \
-               .join(F.broadcast(last), "season", "left")
+               .join(last, "season", "left")
         sl = F.struct(F.col("season").cast("string").alias("season"),
                       F.col("last_round").cast("string").alias("round"), F.col("items").alias(arr))
         _write(g, _page_doc("StandingsTable", F.struct(F.array(sl).alias("StandingsLists"))), out)
@@ -372,7 +372,7 @@ def land(t, root: str) -> dict[str, str]:
                     paths["constructor_standings"])
 
     # circuits per season: the circuits raced that season (bounded by the calendar)
-    cps = races.select("season", "circuitId").distinct().join(F.broadcast(circuits), "circuitId")
+    cps = races.select("season", "circuitId").distinct().join(circuits, "circuitId")
     g = cps.groupBy("season").agg(F.collect_list(circuit).alias("cs"))
     _write(g, _page_doc("CircuitTable", F.struct(F.col("season").cast("string").alias("season"), F.col("cs").alias("Circuits"))), paths["circuits"])
 
