@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import Words, flat_texts, mix64, text_blocks, written
+from pitwall.llm.common import Words, bounded_batches, flat_texts, mix64, text_blocks, written
 from pitwall.llm.graph import components
 
 #: Words per shingle and the least similarity of a link, as a ratio of whole numbers.
@@ -318,8 +318,11 @@ def candidates(members: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, MEMBER)
 
 
-def confirmed(members: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) of blocks: a spanning forest of the pairs confirmed on full sets."""
+def confirmed(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of blocks: a spanning forest of the pairs confirmed on full sets.
+
+    ``texts``: vid and packed text of all members.
+    """
 
     def run(batches):
         for table in _blocks(batches):
@@ -341,8 +344,7 @@ def confirmed(members: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFram
             if a_side:
                 yield pa.RecordBatch.from_arrays([pa.array(a_side, pa.binary()), pa.array(b_side, pa.binary())], ["a", "b"])
 
-    rows = members.join(reps.select("vid", "doc_id"), "vid").join(texts, "doc_id")
-    rows = rows.select(*BLOCK, "side", "comp", "vid", "packed").repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+    rows = members.join(texts, "vid").select(*BLOCK, "side", "comp", "vid", "packed").repartition(*BLOCK).sortWithinPartitions(*BLOCK)
     return rows.mapInArrow(run, "a binary, b binary")
 
 
@@ -377,6 +379,7 @@ def _second_round(buckets: DataFrame, comps: DataFrame) -> DataFrame:
 
 def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Every row's doc_id, n_shingles, component_id and kept."""
+    df = bounded_batches(df)
     rows = written(sketches(df, text, id_column), "sketches")
     first = rows.where("vid is not null and doc_id is not null").groupBy("vid").agg(F.min("doc_id").alias("doc_id"))
     reps = written(rows.join(first, ["vid", "doc_id"]).dropDuplicates(["vid", "doc_id"])
@@ -384,16 +387,18 @@ def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     bands = _bands(reps)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     buckets = written(bands.join(shared, "key").select("key", "vid", "m"), "buckets")
-    texts = packed_texts(df, text, id_column)
-
-    def links(blocks: DataFrame) -> DataFrame:
-        return written(confirmed(written(candidates(blocks, reps), "candidates"), reps, texts), "links")
-
-    found = links(buckets.select("key", F.concat_ws("-", F.lit("r"), _chunk(F.col("m"))).alias("part"),
-                                 F.lit(0).alias("side"), F.col("vid").alias("comp"), "vid"))
+    blocks = buckets.select("key", F.concat_ws("-", F.lit("r"), _chunk(F.col("m"))).alias("part"),
+                            F.lit(0).alias("side"), F.col("vid").alias("comp"), "vid")
+    members = written(candidates(blocks, reps), "candidates")
+    # The texts move once: those that either round can ask for.
+    large = buckets.where(F.col("m") > CHUNK).select("vid")
+    needed = members.select("vid").unionByName(large).distinct().join(reps.select("vid", "doc_id"), "vid")
+    texts = written(needed.join(packed_texts(df, text, id_column), "doc_id").select("vid", "packed"), "texts")
+    found = written(confirmed(members, texts), "links")
     comps = components(found)
-    if not buckets.where(F.col("m") > CHUNK).isEmpty():
-        comps = components(found.unionByName(links(_second_round(buckets, comps))))
+    if not large.isEmpty():
+        members = written(candidates(_second_round(buckets, comps), reps), "candidates")
+        comps = components(found.unionByName(written(confirmed(members, texts), "links")))
     comps = comps.select(F.col("v").alias("vid"), "root")
     classes = written(reps.select("vid", "doc_id").join(comps, "vid", "left")
                       .select("vid", "doc_id", F.coalesce("root", "vid").alias("root")), "roots")
