@@ -28,7 +28,7 @@ from pitwall.llm.common import written
 
 SCALE = 256
 #: Vectors of a shard and queries of a block, on average; vectors of a leaf, at most.
-SHARD_ROWS, BLOCK_ROWS, LEAF = 8192, 512, 64
+SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 512, 64
 
 
 def scaled(df: DataFrame, vector: str, id_column: str) -> DataFrame:
@@ -203,9 +203,8 @@ def wave(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
                                         "vec_id": np.concatenate([x for _, x, _ in found]),
                                         "score": np.concatenate([s for _, _, s in found])})
 
-    pairs = asked.withColumnRenamed("ids", "q_ids").join(trees, ["dim", "shard"])
-    pairs = pairs.repartition("dim", "shard", "block")
-    return pairs.mapInPandas(run, FOUND)
+    # The join deals by shard: a tree moves once and meets all its blocks in that task.
+    return asked.withColumnRenamed("ids", "q_ids").join(trees, ["dim", "shard"]).mapInPandas(run, FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
