@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitwall.llm.common import bounded_batches
+
 #: Fixed value: the public pre-tokeniser pattern of byte-level BPE vocabularies.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -345,7 +347,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             for part in _slices(batch, column):
                 yield _assemble(part, keep, {ids: _id_lists(c.encode(part.column(column).to_pylist()))})
 
-    return df.mapInArrow(run, schema)
+    return bounded_batches(df).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -363,7 +365,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
                          (v.values.to_numpy(zero_copy_only=False) if v.is_valid else None for v in part.column(column))]
                 yield _assemble(part, keep, {text: pa.array(texts, pa.string())})
 
-    return df.mapInArrow(run, schema)
+    return bounded_batches(df).mapInArrow(run, schema)
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
@@ -380,7 +382,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
                 yield _assemble(part, keep, {ids: _id_lists(found),
                                              decoded: pa.array(map(c.decode, found), pa.string())})
 
-    return df.mapInArrow(run, schema)
+    return bounded_batches(df).mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, id_column: str = "doc_id") -> DataFrame:

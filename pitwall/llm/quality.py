@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.llm.common import Words, flat_texts, is_in_fold, text_blocks, written
+from pitwall.llm.common import Words, bounded_batches, flat_texts, is_in_fold, text_blocks, written
 
 FEATURES = ("log_bytes", "log_words", "word_length", "upper", "digit", "symbol", "stop", "newline", "space",
             "non_ascii", "distinct", "top_word", "repeat_next", "symbol_words", "sentence", "distinct_pairs")
@@ -92,7 +92,8 @@ def features(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Da
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], ["doc_id", "x"])
 
-    return df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    df = bounded_batches(df).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return df.mapInArrow(run, schema)
 
 
 class Discriminant(NamedTuple):
