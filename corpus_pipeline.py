@@ -17,6 +17,8 @@ from pitwall.llm.common import table, written
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.3
+#: Near copies share four fifths of their five-word shingles; a pair at that similarity misses all bands with 3.0e-6.
+NEAR = near.Similarity((80, 100), bands=32, rows=5, step=32)
 SEED = 9
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -44,7 +46,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    return _staying(docs, near.near_components(docs).where("kept")).select(*COLUMNS)
+    return _staying(docs, near.near_components(docs, like=NEAR).where("kept")).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

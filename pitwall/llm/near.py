@@ -23,7 +23,9 @@ row without id joins its class but represents none (it is kept only if nobody do
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cache
 from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +47,35 @@ HASHES = BANDS * ROWS
 STEP = 24
 MISS = 1e-6
 
+
+
+class Similarity(NamedTuple):
+    """The least similarity of a link, and the bands and looks that go with it."""
+
+    least: tuple[int, int] = LEAST
+    bands: int = BANDS
+    rows: int = ROWS
+    step: int = STEP
+
+    @property
+    def hashes(self) -> int:
+        return self.bands * self.rows
+
+    def missed(self) -> float:
+        """The probability that a pair at the least similarity shares no band."""
+        return (1 - (self.least[0] / self.least[1]) ** self.rows) ** self.bands
+
+
+#: Operator 4's contract.
+STRICT = Similarity()
+
+#: Hash functions that any similarity can ask for.
+_MOST = 256
 _RNG = np.random.default_rng(41)
 _MASK = _RNG.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
 _ODD = (_RNG.integers(0, 2**31, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
+_MASK = np.concatenate((_MASK, _RNG.integers(0, 2**32, _MOST - HASHES, dtype=np.uint64).astype(np.uint32)))
+_ODD = np.concatenate((_ODD, (_RNG.integers(0, 2**31, _MOST - HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)))
 _FACTORS = np.array([pow(0xC2B2AE3D27D4EB4F, i, 1 << 64) for i in range(WORDS)], np.uint64)
 
 
@@ -75,12 +103,12 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the smallest hash of the set under each of the hash functions."""
-    low = np.full(HASHES, 2**32 - 1, np.uint32)
+def signature(shingles: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """16 bits of the smallest hash of the set under each of the first ``hashes`` hash functions."""
+    low = np.full(hashes, 2**32 - 1, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     for a in range(0, len(x), 2048):
-        np.minimum(low, ((x[None, a:a + 2048] ^ _MASK[:, None]) * _ODD[:, None]).min(axis=1), out=low)
+        np.minimum(low, ((x[None, a:a + 2048] ^ _MASK[:hashes, None]) * _ODD[:hashes, None]).min(axis=1), out=low)
     return (mix64(low.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
 
@@ -91,24 +119,25 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return mix64(np.array([a, b + np.uint64(len(shingles))], np.uint64)).tobytes()
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_keys(signatures: np.ndarray, like: Similarity = STRICT) -> np.ndarray:
     """Keys (rows x bands, int64) of the bands of a signature matrix."""
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(signatures), BANDS)).copy()
-    parts = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    for j in range(ROWS):
+    keys = np.broadcast_to(np.arange(1, like.bands + 1, dtype=np.uint64), (len(signatures), like.bands)).copy()
+    parts = signatures.reshape(-1, like.bands, like.rows).astype(np.uint64)
+    for j in range(like.rows):
         keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
     return keys.view(np.int64)
 
 
-def least_matches(step: int = STEP, miss: float = MISS) -> list[int]:
+@cache
+def least_matches(like: Similarity = STRICT, miss: float = MISS) -> list[int]:
     """For 1, 2, ... steps: the fewest matching hashes that keep a pair.
 
     With a uniform prior, after m matches of n the posterior probability of a similarity of
     at least t is P(Binomial(n + 1, t) <= m); a pair is pruned once that falls below ``miss``.
     """
-    t = LEAST[0] / LEAST[1]
+    t = like.least[0] / like.least[1]
     out = []
-    for n in range(step, HASHES + 1, step):
+    for n in range(like.step, like.hashes + 1, like.step):
         tail, m = 0.0, -1
         while tail < miss:
             m += 1
@@ -117,23 +146,21 @@ def least_matches(step: int = STEP, miss: float = MISS) -> list[int]:
     return out
 
 
-_LEAST_MATCHES = least_matches()
-
-
-def survivors(signatures: np.ndarray, keys: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def survivors(signatures: np.ndarray, keys: np.ndarray, i: np.ndarray, j: np.ndarray,
+              like: Similarity = STRICT) -> np.ndarray:
     """Which of the pairs (i, j) of signature rows are left after all looks at the posterior.
 
     ``keys``: the bucket key of each row; a pair counts only in its first common band.
     """
     left = np.arange(len(i))
     matches = np.zeros(len(i), np.int64)
-    for look, least in enumerate(_LEAST_MATCHES):
-        a, b = look * STEP, (look + 1) * STEP
+    for look, least in enumerate(least_matches(like)):
+        a, b = look * like.step, (look + 1) * like.step
         matches[left] += (signatures[i[left], a:b] == signatures[j[left], a:b]).sum(axis=1)
         left = left[matches[left] >= least]
     if len(left):
-        equal = (signatures[i[left]] == signatures[j[left]]).reshape(-1, BANDS, ROWS).all(axis=2)
-        own = band_keys(signatures[i[left]]) == keys[i[left]][:, None]
+        equal = (signatures[i[left]] == signatures[j[left]]).reshape(-1, like.bands, like.rows).all(axis=2)
+        own = band_keys(signatures[i[left]], like) == keys[i[left]][:, None]
         left = left[equal.argmax(axis=1) == own.argmax(axis=1)]
     return left
 
@@ -147,7 +174,7 @@ def block_pairs(sides: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.n
     return i[ok], j[ok]
 
 
-def links_of(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+def links_of(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, like: Similarity = STRICT) -> list[tuple[int, int]]:
     """A spanning forest of the pairs whose full sets are similar enough."""
     parent = list(range(len(sets)))
 
@@ -165,7 +192,7 @@ def links_of(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> list[tuple
         if (x := top(a)) == (y := top(b)):
             continue
         common = int(shared[n]) if many else len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if LEAST[1] * common >= LEAST[0] * (int(sizes[a] + sizes[b]) - common):
+        if like.least[1] * common >= like.least[0] * (int(sizes[a] + sizes[b]) - common):
             parent[x] = y
             out.append((a, b))
     return out
@@ -196,7 +223,7 @@ CHUNK = 256
 BLOCK = ["key", "part"]
 
 
-def sketches(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def sketches(df: DataFrame, text: str = "text", id_column: str = "doc_id", like: Similarity = STRICT) -> DataFrame:
     """doc_id, n_shingles, set digest and signature of each whole text."""
 
     def run(batches):
@@ -207,7 +234,7 @@ def sketches(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Da
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())],
+                    pa.array([signature(s, like.hashes).tobytes() if len(s) else None for s in sets], pa.binary())],
                     ["doc_id", "n_shingles", "vid", "signature"])
 
     return (df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -239,20 +266,20 @@ def unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), off
 
 
-def _bands(reps: DataFrame) -> DataFrame:
+def _bands(reps: DataFrame, like: Similarity) -> DataFrame:
     def run(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
-                keys = band_keys(_signatures(part.column(1)))
+                keys = band_keys(_signatures(part.column(1), like), like)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column(0).take(
-                    pa.array(np.repeat(np.arange(len(keys)), BANDS)))], ["key", "vid"])
+                    pa.array(np.repeat(np.arange(len(keys)), like.bands)))], ["key", "vid"])
 
     return reps.select("vid", "signature").mapInArrow(run, "key long, vid binary")
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES)
+def _signatures(column: pa.Array, like: Similarity) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, like.hashes)
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -290,12 +317,12 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
 MEMBER = "key long, part string, side int, comp binary, vid binary"
 
 
-def candidates(members: DataFrame, reps: DataFrame) -> DataFrame:
+def candidates(members: DataFrame, reps: DataFrame, like: Similarity = STRICT) -> DataFrame:
     """Members of blocks that have a pair left after comparing signatures."""
 
     def run(batches):
         for table in _blocks(batches):
-            sig = _signatures(table.column("signature"))
+            sig = _signatures(table.column("signature"), like)
             keys, sides, groups = table.column(0).to_numpy(), table.column("side").to_numpy(), _codes(table.column("comp"))
             take = np.zeros(len(sig), bool)
             found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -307,7 +334,7 @@ def candidates(members: DataFrame, reps: DataFrame) -> DataFrame:
                 size += len(i)
                 if size > 100_000 or n + 1 == len(cuts):
                     i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-                    left = survivors(sig, keys, i, j)
+                    left = survivors(sig, keys, i, j, like)
                     take[i[left]] = take[j[left]] = True
                     found, size = [], 0
             if take.any():
@@ -318,7 +345,7 @@ def candidates(members: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, MEMBER)
 
 
-def confirmed(members: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(members: DataFrame, texts: DataFrame, like: Similarity = STRICT) -> DataFrame:
     """Links (a, b) of blocks: a spanning forest of the pairs confirmed on full sets.
 
     ``texts``: vid and packed text of all members.
@@ -337,8 +364,8 @@ def confirmed(members: DataFrame, texts: DataFrame) -> DataFrame:
                 sets = [sets[n] for n in own]
                 if not len(i):
                     continue
-                left = survivors(np.array([signature(s) for s in sets]), keys[a:b][own], i, j)
-                for x, y in links_of(sets, i[left], j[left]):
+                left = survivors(np.array([signature(s, like.hashes) for s in sets]), keys[a:b][own], i, j, like)
+                for x, y in links_of(sets, i[left], j[left], like):
                     a_side.append(vid[a + own[x]])
                     b_side.append(vid[a + own[y]])
             if a_side:
@@ -377,28 +404,28 @@ def _second_round(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     return among.unionByName(across).unionByName(inside)
 
 
-def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id", like: Similarity = STRICT) -> DataFrame:
     """Every row's doc_id, n_shingles, component_id and kept."""
     df = bounded_batches(df)
-    rows = written(sketches(df, text, id_column), "sketches")
+    rows = written(sketches(df, text, id_column, like), "sketches")
     first = rows.where("vid is not null and doc_id is not null").groupBy("vid").agg(F.min("doc_id").alias("doc_id"))
     reps = written(rows.join(first, ["vid", "doc_id"]).dropDuplicates(["vid", "doc_id"])
                    .select("vid", "doc_id", "signature"), "classes")
-    bands = _bands(reps)
+    bands = _bands(reps, like)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     buckets = written(bands.join(shared, "key").select("key", "vid", "m"), "buckets")
     blocks = buckets.select("key", F.concat_ws("-", F.lit("r"), _chunk(F.col("m"))).alias("part"),
                             F.lit(0).alias("side"), F.col("vid").alias("comp"), "vid")
-    members = written(candidates(blocks, reps), "candidates")
+    members = written(candidates(blocks, reps, like), "candidates")
     # The texts move once: those that either round can ask for.
     large = buckets.where(F.col("m") > CHUNK).select("vid")
     needed = members.select("vid").unionByName(large).distinct().join(reps.select("vid", "doc_id"), "vid")
     texts = written(needed.join(packed_texts(df, text, id_column), "doc_id").select("vid", "packed"), "texts")
-    found = written(confirmed(members, texts), "links")
+    found = written(confirmed(members, texts, like), "links")
     comps = components(found)
     if not large.isEmpty():
-        members = written(candidates(_second_round(buckets, comps), reps), "candidates")
-        comps = components(found.unionByName(written(confirmed(members, texts), "links")))
+        members = written(candidates(_second_round(buckets, comps), reps, like), "candidates")
+        comps = components(found.unionByName(written(confirmed(members, texts, like), "links")))
     comps = comps.select(F.col("v").alias("vid"), "root")
     classes = written(reps.select("vid", "doc_id").join(comps, "vid", "left")
                       .select("vid", "doc_id", F.coalesce("root", "vid").alias("root")), "roots")
