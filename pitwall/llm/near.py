@@ -88,7 +88,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     h, first = words.hash, words.first
     n = len(h)
     runs = np.zeros(max(n - WORDS + 1, 0), np.uint64)
-    for j in range(WORDS):
+    for j in range(WORDS if n >= WORDS else 0):
         runs += h[j:n - WORDS + 1 + j] * _FACTORS[j]
     runs = mix64(runs)
     out = []
