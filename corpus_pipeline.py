@@ -23,17 +23,27 @@ SEED = 9
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+MARK = "__mark"
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """The documents with their texts' digests, so that rows without id or with a repeated one can be told apart."""
+    return docs.select(*COLUMNS,
+                       F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias(MARK))
+
+
 def _staying(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is among ``kept`` (distinct ids); rows without id stay."""
-    ids = kept.where("doc_id is not null").select("doc_id").distinct()
-    return docs.where("doc_id is not null").join(ids, "doc_id", "left_semi").select(*docs.columns).unionByName(
-        docs.where("doc_id is null"))
+    """The rows of marked ``docs`` whose id and text are among ``kept``; a null id is an id like others here."""
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col(MARK).alias("__kept")).distinct()
+    own = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(MARK) == F.col("__kept"))
+    return docs.join(kept, own, "left_semi").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts.  Rows that repeat an id share the best score."""
-    scored = quality.classify(docs, table(spark, sf_dir, "labels"), LEAST_QUALITY)
-    return _staying(docs, scored.where("predicted = 1")).select(*COLUMNS)
+    """Documents that the quality classifier accepts, row by row."""
+    docs = _marked(docs)
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"), LEAST_QUALITY, mark=MARK)
+    return _staying(docs, scored.where("predicted = 1"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +56,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    return _staying(docs, near.near_components(docs, like=NEAR).where("kept")).select(*COLUMNS)
+    docs = _marked(docs)
+    return _staying(docs, near.near_components(docs, like=NEAR, mark=MARK).where("kept"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,8 +223,10 @@ CHUNK = 256
 BLOCK = ["key", "part"]
 
 
-def sketches(df: DataFrame, text: str = "text", id_column: str = "doc_id", like: Similarity = STRICT) -> DataFrame:
-    """doc_id, n_shingles, set digest and signature of each whole text."""
+def sketches(df: DataFrame, text: str = "text", id_column: str = "doc_id", like: Similarity = STRICT,
+             mark: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, set digest and signature of each whole text, and the binary column ``mark`` as it is."""
+    marks = [mark] if mark else []
 
     def run(batches):
         for batch in batches:
@@ -234,11 +236,12 @@ def sketches(df: DataFrame, text: str = "text", id_column: str = "doc_id", like:
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signature(s, like.hashes).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "vid", "signature"])
+                    pa.array([signature(s, like.hashes).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    *[batch.column(2).slice(a, b - a) for _ in marks]],
+                    ["doc_id", "n_shingles", "vid", "signature", *marks])
 
-    return (df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, vid binary, signature binary"))
+    return (df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), *marks)
+            .mapInArrow(run, "doc_id long, n_shingles long, vid binary, signature binary" + "".join(f", `{m}` binary" for m in marks)))
 
 
 def packed_texts(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -404,10 +407,12 @@ def _second_round(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     return among.unionByName(across).unionByName(inside)
 
 
-def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id", like: Similarity = STRICT) -> DataFrame:
-    """Every row's doc_id, n_shingles, component_id and kept."""
+def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id", like: Similarity = STRICT,
+                    mark: str | None = None) -> DataFrame:
+    """Every row's doc_id, n_shingles, component_id and kept, after the binary column ``mark`` if there is one."""
+    marks = [mark] if mark else []
     df = bounded_batches(df)
-    rows = written(sketches(df, text, id_column, like), "sketches")
+    rows = written(sketches(df, text, id_column, like, mark), "sketches")
     first = rows.where("vid is not null and doc_id is not null").groupBy("vid").agg(F.min("doc_id").alias("doc_id"))
     reps = written(rows.join(first, ["vid", "doc_id"]).dropDuplicates(["vid", "doc_id"])
                    .select("vid", "doc_id", "signature"), "classes")
@@ -431,7 +436,7 @@ def near_components(df: DataFrame, text: str = "text", id_column: str = "doc_id"
                       .select("vid", "doc_id", F.coalesce("root", "vid").alias("root")), "roots")
     smallest = classes.groupBy("root").agg(F.min("doc_id").alias("smallest"))
     classes = classes.join(smallest, "root").select("vid", "smallest")
-    out = rows.select("doc_id", "n_shingles", "vid").join(classes, "vid", "left")
+    out = rows.select(*marks, "doc_id", "n_shingles", "vid").join(classes, "vid", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select(*marks, "doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

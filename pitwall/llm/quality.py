@@ -80,9 +80,11 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         np.sqrt(again / per_word), np.sqrt(odd / per_word), np.sqrt(ends / per_word), pairs / per_word])
 
 
-def features(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """(doc_id, x) with the statistics of each whole text."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
+def features(df: DataFrame, text: str = "text", id_column: str = "doc_id", mark: str | None = None) -> DataFrame:
+    """(doc_id, x) with the statistics of each whole text, and the binary column ``mark`` as it is."""
+    marks = [mark] if mark else []
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("x", T.ArrayType(T.DoubleType())),
+                           *[T.StructField(m, T.BinaryType()) for m in marks]])
 
     def run(batches):
         for batch in batches:
@@ -90,9 +92,10 @@ def features(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> Da
             for a, b, part, cuts in text_blocks(data, off):
                 x = statistics(part, cuts)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], ["doc_id", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists, *[batch.column(2).slice(a, b - a) for _ in marks]],
+                                                 ["doc_id", "x", *marks])
 
-    df = bounded_batches(df).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    df = bounded_batches(df).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), *marks)
     return df.mapInArrow(run, schema)
 
 
@@ -166,24 +169,30 @@ def fit(rows: DataFrame) -> Discriminant:
     return Discriminant(centre, scale, means, np.array(factors), np.array(offsets), None)
 
 
-def score(rows: DataFrame, model: Discriminant) -> DataFrame:
-    """Add the column ``score`` to (doc_id, x) rows."""
+def score(rows: DataFrame, model: Discriminant, mark: str | None = None) -> DataFrame:
+    """doc_id, score and, if there is one, ``mark`` of (doc_id, x) rows."""
     size = len(FEATURES)
+    marks = [mark] if mark else []
 
     def run(batches):
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x), pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x), pa.float64()),
+                                              *[batch.column(2) for _ in marks]], ["doc_id", "score", *marks])
 
-    return rows.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
+    return rows.select("doc_id", "x", *marks).mapInArrow(
+        run, "doc_id long, score double" + "".join(f", `{m}` binary" for m in marks))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float, folds: int = 5, fold: int = 0,
-             label: str = "quality") -> DataFrame:
-    """doc_id, held_out, score, predicted of every row; rows of the fold teach nothing."""
-    x = written(features(docs), "statistics")
+             label: str = "quality", mark: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row, after the binary column ``mark`` if there is one.
+
+    Rows of the fold teach nothing.
+    """
+    x = written(features(docs, mark=mark), "statistics")
     teach = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("long").alias("label"))
     teach = written(teach.where(~is_in_fold("doc_id", folds, fold)).join(x, "doc_id").select("label", "x"), "taught")
-    scored = score(x, fit(teach))
-    return scored.select("doc_id", is_in_fold("doc_id", folds, fold).alias("held_out"), "score",
+    scored = score(x, fit(teach), mark)
+    return scored.select(*([mark] if mark else []), "doc_id", is_in_fold("doc_id", folds, fold).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
