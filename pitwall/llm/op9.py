@@ -16,7 +16,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, seed=SEED)
 
 
-QUERIES = {"op9_mix_sources": op9_mix_sources}
+def op9_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each copy as the whole document: all columns of the table, copy number, copies, shuffle key."""
+    return mixing.mix(table(spark, sf_dir, "documents"), seed=SEED)
+
+
+QUERIES = {"op9_mix_documents": op9_mix_documents, "op9_mix_sources": op9_mix_sources}
 ORACLE = {"op9_mix_sources": f"""
 with recursive per as (
   select source, count(*) as n, (select count(*) from documents) * 1.0::double as total,
@@ -42,3 +47,10 @@ counted as (
 select doc_id, source, copy::int as copy, copies,
        md5('{SEED}s|' || coalesce(doc_id::varchar, '') || '|' || copy) as shuffle_key
 from (select *, unnest(generate_series(1, copies)) as copy from counted where copies > 0)"""}
+
+#: Rows that repeat an id are copied row by row here, so that each brings its own text.
+ORACLE["op9_mix_documents"] = f"""
+with copies as ({ORACLE["op9_mix_sources"]}),
+once as (select distinct * from copies)
+select d.*, c.copy, c.copies, c.shuffle_key
+from documents d join once c on d.doc_id is not distinct from c.doc_id and d.source is not distinct from c.source"""
