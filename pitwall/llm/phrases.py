@@ -8,10 +8,10 @@ distinct (first, last) pairs with their counts are grouped over all chunks, grou
 least count are left out, and the frequent ones come back to their chunks (the semi-join),
 where they make the next, again sorted and written, relation.
 
-All keys are exact: words are compared as strings, phrases as pairs of codes, and a code is
-the place (chunk, index) of one of the group's entries.  Piece and position are folded into
-one *slot* number that leaves a gap between pieces, so that adjacent words are those one
-slot apart.
+All keys are exact: words are compared as strings, phrases as pairs of codes, and codes are
+unique row ids of the written frequent groups.  Piece and position are folded into one *slot*
+number that leaves a gap between pieces, so that adjacent words are those one slot apart.
+Relations are kept as compressed differences and byte planes, a byte or two per occurrence.
 
 Defined cases: null texts are empty; a null language is ``und``; rows count as often as they
 are there (ids don't matter, null or repeated); a language without frequent phrases has no
@@ -20,11 +20,12 @@ rows; an empty table gives an empty result; further columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,7 @@ PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 #: Words of the longest phrase; the least count; rows of a language.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Text bytes of a chunk (a longer text makes one of its own).
-CHUNK_BYTES = 8 << 20
-#: A code is (task, chunk of the task, index in the chunk) in 63 bits.
-TASK_BITS, CHUNK_BITS, INDEX_BITS = 19, 13, 31
+CHUNK_BYTES = 4 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[list(PIECE_ENDS)] = True
@@ -47,8 +46,6 @@ _APART[list(BLANKS)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_I32, _I64 = np.dtype("<i4"), np.dtype("<i8")
-
 
 def occurrences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Slots and words of some texts, in order; words of two pieces or texts are never one slot apart."""
@@ -68,61 +65,62 @@ def occurrences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.Array
     return slots, words
 
 
-def _number(counter: int) -> int:
-    """The chunk's number: the task's number and how many chunks came before in it."""
-    task = TaskContext.get().partitionId()
-    if task >> TASK_BITS or counter >> CHUNK_BITS:
-        raise OverflowError("more tasks or chunks of a task than a code can tell apart")
-    return task << CHUNK_BITS | counter
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(x.astype("<i4")).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
-def _binary(x: np.ndarray, kind: np.dtype) -> pa.Array:
-    return pa.array([x.astype(kind).tobytes()], pa.binary())
+def _relation(slots: np.ndarray, entries: np.ndarray) -> list[pa.Array]:
+    return [pa.array([packed(np.diff(slots, prepend=0))], pa.binary()), pa.array([packed(entries)], pa.binary())]
 
 
 CHUNKS = T.StructType([
-    T.StructField("chunk", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("words", T.ArrayType(T.StringType())),
+    T.StructField("chunk", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("words", T.ArrayType(T.StringType())),
     T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType())])
 
 
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The whole occurrence relation: per chunk its distinct words, their counts, and slot and word index of each occurrence."""
 
-    def emit(texts: list[pa.Array], langs: list[pa.Array], counter: int) -> Iterator[pa.RecordBatch]:
+    def emit(texts: list[pa.Array], langs: list[pa.Array]) -> Iterator[pa.RecordBatch]:
         column, kinds = pa.concat_arrays(texts), pa.concat_arrays(langs).dictionary_encode()
         for k, name in enumerate(kinds.dictionary.to_pylist()):
-            own = column.filter(pa.array(kinds.indices.to_numpy() == k))
-            slots, words = occurrences(*flat_texts(own))
+            slots, words = occurrences(*flat_texts(column.filter(pa.array(kinds.indices.to_numpy() == k))))
             if len(words):
                 coded = words.dictionary_encode()
-                index = coded.indices.to_numpy()
-                counts = np.bincount(index, minlength=len(coded.dictionary))
+                counts = np.bincount(coded.indices.to_numpy())
+                # the most frequent words have the smallest indexes
+                order = np.argsort(-counts, kind="stable")
+                rank = np.empty(len(order), np.int32)
+                rank[order] = np.arange(len(order))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([_number(counter)]), pa.array([name]), pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
-                    pa.array([counts], pa.list_(pa.int64())), _binary(slots, _I32), _binary(index, _I32)], CHUNKS.names)
-                counter += 1
+                    pa.array([uuid.uuid4().hex]), pa.array([name]), pa.ListArray.from_arrays([0, len(order)], coded.dictionary.take(pa.array(order))),
+                    pa.array([counts[order]], pa.list_(pa.int64())), *_relation(slots, rank[coded.indices.to_numpy()])], CHUNKS.names)
 
     def run(batches):
-        texts, langs, size, counter = [], [], 0, 0
+        texts, langs, size = [], [], 0
         for batch in batches:
             t, l = batch.column(0), batch.column(1)
             row = 0
             while row < batch.num_rows:
                 # rows up to about CHUNK_BYTES, one at least
                 sizes = np.cumsum(np.diff(flat_texts(t.slice(row))[1]))
-                rows = max(1, int(np.searchsorted(sizes, CHUNK_BYTES - size, "right")))
-                rows = min(rows, batch.num_rows - row)
+                rows = min(max(1, int(np.searchsorted(sizes, CHUNK_BYTES - size, "right"))), batch.num_rows - row)
                 texts.append(t.slice(row, rows).fill_null(""))
                 langs.append(l.slice(row, rows))
                 size += int(sizes[rows - 1])
                 row += rows
                 if size >= CHUNK_BYTES or row < batch.num_rows:
-                    for out in emit(texts, langs, counter):
-                        yield out
-                        counter += 1
+                    yield from emit(texts, langs)
                     texts, langs, size = [], [], 0
         if texts:
-            yield from emit(texts, langs, counter)
+            yield from emit(texts, langs)
 
     rows = bounded_batches(docs).select(F.col(text).cast("string").alias("text"),
                                         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
@@ -130,28 +128,20 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
 
 def _groups(entries: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The frequent entries (chunk, index, keys, f, code): f counts the whole group, code is its first place."""
-    place = F.shiftleft("chunk", INDEX_BITS) + F.col("index").cast("long")
-    group = Window.partitionBy(*keys)
-    found = entries.withColumn("place", place).select(
-        "*", F.sum("count").over(group).alias("f"), F.min("place").over(group).alias("code"))
-    return found.filter(F.col("f") >= least).drop("count")
-
-
-def _phrases(found: DataFrame) -> DataFrame:
-    """One row per group."""
-    return found.filter(F.col("place") == F.col("code")).drop("place", "chunk", "index")
+    """The frequent groups with their counts ``f`` and codes."""
+    found = entries.groupBy(*keys).agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
+    return found.withColumn("code", F.monotonically_increasing_id())
 
 
-def _back(found: DataFrame) -> DataFrame:
+def _back(entries: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """Per chunk the indexes and codes of its frequent entries (no more than the chunk has)."""
     pairs = F.collect_list(F.struct("index", "code"))
-    return found.groupBy("chunk").agg(pairs.alias("pairs")).select(
-        "chunk", F.col("pairs.index").alias("index"), F.col("pairs.code").alias("code"))
+    kept = entries.drop("count").join(found.select(*keys, "code"), keys).groupBy("chunk").agg(pairs.alias("pairs"))
+    return kept.select("chunk", F.col("pairs.index").alias("index"), F.col("pairs.code").alias("code"))
 
 
 RELATION = T.StructType([
-    T.StructField("chunk", T.LongType()), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType()),
+    T.StructField("chunk", T.StringType()), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType()),
     T.StructField("first", T.ArrayType(T.LongType())), T.StructField("last", T.ArrayType(T.LongType())),
     T.StructField("counts", T.ArrayType(T.LongType()))])
 
@@ -168,8 +158,8 @@ def _extended(relation: DataFrame, back: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                slots = np.frombuffer(batch.column(1)[i].as_buffer(), _I32)
-                entries = np.frombuffer(batch.column(2)[i].as_buffer(), _I32)
+                slots = np.cumsum(unpacked(batch.column(1)[i].as_py()))
+                entries = unpacked(batch.column(2)[i].as_py())
                 index = batch.column(3)[i].values.to_numpy()
                 code = np.full(int(entries.max()) + 1, -1, np.int64)
                 code[index] = batch.column(4)[i].values.to_numpy()
@@ -186,8 +176,7 @@ def _extended(relation: DataFrame, back: DataFrame) -> DataFrame:
                 new[order] = np.cumsum(fresh) - 1
                 at = np.flatnonzero(fresh)
                 lists = [pa.array([x], pa.list_(pa.int64())) for x in (f[at], l[at], np.diff(np.append(at, len(f))))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), _binary(slots, _I32), _binary(new, _I32), *lists],
-                                                 RELATION.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), *_relation(slots, new), *lists], RELATION.names)
 
     rows = relation.select("chunk", "slots", "entries").join(back, "chunk")
     return rows.mapInArrow(run, RELATION)
@@ -210,16 +199,18 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str
     relation = written(chunks(docs, text, lang), "occurrences")
     entries = _exploded(relation, {"words": "word"})
     totals = relation.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("c")).groupBy("lang").agg(F.sum("c").alias("n"))
-    found = written(_groups(entries, ["lang", "word"], least), "words")
-    shorter = _phrases(found).select(
+    keys = ["lang", "word"]
+    found = written(_groups(entries, keys, least), "words")
+    shorter = found.select(
         "code", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("tail"),
         F.array().cast("array<long>").alias("lefts"), F.array().cast("array<long>").alias("rights"))
     sizes = []
     for size in range(2, longest + 1):
-        relation = written(_extended(relation, _back(found)), f"occurrences-{size}")
-        found = written(_groups(_exploded(relation, {"first": "first", "last": "last"}), ["first", "last"], least), f"groups-{size}")
+        relation = written(_extended(relation, _back(entries, found, keys)), f"occurrences-{size}")
+        entries, keys = _exploded(relation, {"first": "first", "last": "last"}), ["first", "last"]
+        found = written(_groups(entries, keys, least), f"groups-{size}")
         one = lambda side: shorter.select(*[F.col(c).alias(f"{side}_{c}") for c in shorter.columns])
-        longer = _phrases(found).join(one("a"), F.col("first") == F.col("a_code")).join(one("b"), F.col("last") == F.col("b_code"))
+        longer = found.join(one("a"), F.col("first") == F.col("a_code")).join(one("b"), F.col("last") == F.col("b_code"))
         longer = written(longer.select(
             "code", "first", "last", F.col("a_lang").alias("lang"), "f",
             F.concat_ws(" ", "a_phrase", "b_tail").alias("phrase"), F.col("b_tail").alias("tail"),
