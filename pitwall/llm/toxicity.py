@@ -43,8 +43,8 @@ SELECT, FINAL = 4e-4, 2e-5
 def word_sets(data: np.ndarray, off: np.ndarray, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The features of each text, as distinct hashes: (text, hash), ordered by text.
 
-    They are the restored words and, for the first ``STEMS`` bytes of longer words, that there
-    is one, are two, or are more distinct words with them.
+    They are the restored words and, for the first ``STEMS`` bytes of longer words, whether one,
+    two or more distinct words have them.
     """
     words = Words(*noisy.restored(data, off, costs))
     order = np.lexsort((words.hash, words.text))
@@ -59,11 +59,9 @@ def word_sets(data: np.ndarray, off: np.ndarray, costs: np.ndarray) -> tuple[np.
         order = np.lexsort((h, t))
         t, h = t[order], h[order]
         lead = np.flatnonzero(_fresh(t, h))
-        many = np.diff(np.append(lead, len(t)))
-        for k in (1, 2, 3):
-            some = lead[many >= k]
-            texts.append(t[some])
-            hashes.append(mix64(h[some] + np.uint64(4 * stem + k)))
+        many = np.minimum(np.diff(np.append(lead, len(t))), 3)
+        texts.append(t[lead])
+        hashes.append(mix64(h[lead] + (4 * stem + many).astype(np.uint64)))
     text, hashes = np.concatenate(texts), np.concatenate(hashes).view(np.int64)
     order = np.argsort(text, kind="stable")
     return text[order], hashes[order]
