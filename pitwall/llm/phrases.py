@@ -1,17 +1,19 @@
 """Operator 13: phrase collocations by set-oriented relational mining (SETM).
 
-The occurrence relation R1 holds one entry (piece and position, word) per frequent word,
-sorted, packed by *chunk*: the texts of one language among a few megabytes.  Each round
-merge-joins the sorted relation of k-word phrases with itself one position on, which gives
-the occurrences of k + 1 words with the codes of their first and last k words.  A chunk's
-distinct (first, last) pairs with their counts are grouped over all chunks, groups below the
-least count are left out, and the frequent ones come back to their chunks (the semi-join),
-where they make the next, again sorted and written, relation.
-
-All keys are exact: words are compared as strings, phrases as pairs of codes, and codes are
-unique row ids of the written frequent groups.  Piece and position are folded into one *slot*
-number that leaves a gap between pieces, so that adjacent words are those one slot apart.
-Relations are kept as compressed differences and byte planes, a byte or two per occurrence.
+The occurrence relation R1 holds one entry (piece and position, word) per word, sorted, packed
+by *chunk*: the texts of one language among a few megabytes.  Each round merge-joins the sorted
+relation of frequent k-word phrases with itself one position on, which gives the occurrences of
+k + 1 words with the codes of their first and last k words.  The distinct keys of a chunk with
+their counts are cut into slices by a hash of the key; the slices of a *bucket* come together,
+are added up, and the groups below the least count are left out; codes of the frequent ones go
+back to their chunks (the semi-join), where they make the next, again sorted and written,
+relation.  Buckets are as many as the entries ask for.
+
+All keys are exact: words are compared as strings, phrases as pairs of codes; hashes only deal
+them to buckets.  Piece and position are folded into one *slot* number that leaves a gap
+between pieces, so that adjacent words are those one slot apart.  Relations and slices are
+compressed differences and byte planes, a few bytes per entry, and a task holds one chunk, or
+the distinct keys and packed slices of one bucket (a key has at most one entry per chunk).
 
 Defined cases: null texts are empty; a null language is ``und``; rows count as often as they
 are there (ids don't matter, null or repeated); a language without frequent phrases has no
@@ -25,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.llm.common import bounded_batches, flat_texts, union, written
+from pitwall.llm.common import Rolling, bounded_batches, flat_texts, mix64, union, written
 
 #: What ends a piece, and what separates words within one.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -38,6 +41,8 @@ PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Text bytes of a chunk (a longer text makes one of its own).
 CHUNK_BYTES = 4 << 20
+#: Entries of a bucket, about.
+BUCKET = 1 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[list(PIECE_ENDS)] = True
@@ -65,28 +70,89 @@ def occurrences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.Array
     return slots, words
 
 
-def packed(x: np.ndarray) -> bytes:
+def packed(x: np.ndarray, kind: str = "<i4") -> bytes:
     """Whole numbers as compressed byte planes."""
-    planes = np.ascontiguousarray(x.astype("<i4")).view(np.uint8).reshape(-1, 4).T
+    width = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(-1, width).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+def unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _relation(slots: np.ndarray, entries: np.ndarray) -> list[pa.Array]:
-    return [pa.array([packed(np.diff(slots, prepend=0))], pa.binary()), pa.array([packed(entries)], pa.binary())]
+class Words:
+    """Keys of the first relation: distinct words, most frequent first."""
 
+    def __init__(self, words: pa.Array, lang: str) -> None:
+        self.words, self.lang = words, lang
 
-CHUNKS = T.StructType([
-    T.StructField("chunk", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("words", T.ArrayType(T.StringType())),
-    T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType())])
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def hashes(self) -> np.ndarray:
+        data, off = flat_texts(self.words)
+        return Rolling(data).of(off[:-1], off[1:])
+
+    def take(self, at: np.ndarray) -> Words:
+        return Words(self.words.take(pa.array(at)), self.lang)
+
+    def payload(self) -> bytes:
+        lang = self.lang.encode()
+        # no word holds a line end
+        words = "\n".join(self.words.to_pylist()).encode()
+        return len(lang).to_bytes(4, "little") + lang + zstandard.ZstdCompressor(level=1).compress(words)
+
+    @staticmethod
+    def load(data: bytes) -> Words:
+        cut = 4 + int.from_bytes(data[:4], "little")
+        words = zstandard.ZstdDecompressor().decompress(data[cut:]).decode().split("\n")
+        return Words(pa.array(words, pa.string()), data[4:cut].decode())
+
+
+class Pairs:
+    """Keys of the other relations: codes of the first and the last words, ascending."""
+
+    def __init__(self, first: np.ndarray, last: np.ndarray) -> None:
+        self.first, self.last = first, last
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def hashes(self) -> np.ndarray:
+        return mix64(self.first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.last.view(np.uint64))
+
+    def take(self, at: np.ndarray) -> Pairs:
+        return Pairs(self.first[at], self.last[at])
+
+    def payload(self) -> bytes:
+        first = packed(np.diff(self.first, prepend=0), "<i8")
+        return len(first).to_bytes(4, "little") + first + packed(self.last, "<i8")
+
+    @staticmethod
+    def load(data: bytes) -> Pairs:
+        cut = 4 + int.from_bytes(data[:4], "little")
+        return Pairs(np.cumsum(unpacked(data[4:cut], "<i8")), unpacked(data[cut:], "<i8"))
+
+
+RELATION = T.StructType([
+    T.StructField("chunk", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType()),
+    T.StructField("words", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("keys", T.BinaryType()),
+    T.StructField("counts", T.BinaryType()), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType())])
+_RELATION = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("words", pa.int64()), ("lang", pa.string()),
+                       ("keys", pa.binary()), ("counts", pa.binary()), ("slots", pa.binary()), ("entries", pa.binary())])
+
+
+def _row(chunk: str, lang: str | None, keys: Words | Pairs, counts: np.ndarray, slots: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
+    """One chunk of a relation; in front of what comes back from the buckets."""
+    row = {"chunk": chunk, "bucket": -1, "n": len(keys), "words": len(slots), "lang": lang, "keys": keys.payload(),
+           "counts": packed(counts), "slots": packed(np.diff(slots, prepend=0)), "entries": packed(entries)}
+    return pa.RecordBatch.from_pylist([row], _RELATION)
 
 
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The whole occurrence relation: per chunk its distinct words, their counts, and slot and word index of each occurrence."""
+    """The whole occurrence relation: per chunk its distinct words, their counts, and slot and word of each occurrence."""
 
     def emit(texts: list[pa.Array], langs: list[pa.Array]) -> Iterator[pa.RecordBatch]:
         column, kinds = pa.concat_arrays(texts), pa.concat_arrays(langs).dictionary_encode()
@@ -94,14 +160,12 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
             slots, words = occurrences(*flat_texts(column.filter(pa.array(kinds.indices.to_numpy() == k))))
             if len(words):
                 coded = words.dictionary_encode()
-                counts = np.bincount(coded.indices.to_numpy())
-                # the most frequent words have the smallest indexes
+                index = coded.indices.to_numpy()
+                counts = np.bincount(index)
                 order = np.argsort(-counts, kind="stable")
                 rank = np.empty(len(order), np.int32)
                 rank[order] = np.arange(len(order))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([uuid.uuid4().hex]), pa.array([name]), pa.ListArray.from_arrays([0, len(order)], coded.dictionary.take(pa.array(order))),
-                    pa.array([counts[order]], pa.list_(pa.int64())), *_relation(slots, rank[coded.indices.to_numpy()])], CHUNKS.names)
+                yield _row(uuid.uuid4().hex, name, Words(coded.dictionary.take(pa.array(order)), name), counts[order], slots, rank[index])
 
     def run(batches):
         texts, langs, size = [], [], 0
@@ -124,26 +188,137 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
     rows = bounded_batches(docs).select(F.col(text).cast("string").alias("text"),
                                         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
-    return rows.mapInArrow(run, CHUNKS)
+    return rows.mapInArrow(run, RELATION)
 
 
-def _groups(entries: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The frequent groups with their counts ``f`` and codes."""
-    found = entries.groupBy(*keys).agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
-    return found.withColumn("code", F.monotonically_increasing_id())
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
+    """The rows of each key, which come together."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row[key] != held[0][key]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
 
-def _back(entries: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """Per chunk the indexes and codes of its frequent entries (no more than the chunk has)."""
-    pairs = F.collect_list(F.struct("index", "code"))
-    kept = entries.drop("count").join(found.select(*keys, "code"), keys).groupBy("chunk").agg(pairs.alias("pairs"))
-    return kept.select("chunk", F.col("pairs.index").alias("index"), F.col("pairs.code").alias("code"))
+def _slices(relation: DataFrame, kind: type, buckets: int) -> DataFrame:
+    """The keys of each chunk, cut by bucket: (bucket, chunk, keys, counts)."""
 
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, counts = kind.load(row["keys"]), unpacked(row["counts"])
+                bucket = keys.hashes() % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64)) if buckets < len(order) else None
+                if cuts is None:
+                    own, lead = np.unique(bucket[order], return_index=True)
+                    spans = zip(own.tolist(), lead.tolist(), [*lead[1:].tolist(), len(order)], strict=True)
+                else:
+                    spans = zip(range(buckets), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                out = [{"bucket": b, "chunk": row["chunk"], "keys": keys.take(order[x:y]).payload(), "counts": packed(counts[order[x:y]])}
+                       for b, x, y in spans if y > x]
+                for i in range(0, len(out), 512):
+                    yield pa.RecordBatch.from_pylist(out[i:i + 512], _SLICE)
+
+    return relation.select("chunk", "keys", "counts").mapInArrow(run, "bucket int, chunk string, keys binary, counts binary")
+
+
+_SLICE = pa.schema([("bucket", pa.int32()), ("chunk", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
+FOUND = "chunk string, bucket int, keys binary, code long, f long, first long, last long, lang string, word string"
+_FOUND = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("keys", pa.binary()), ("code", pa.int64()), ("f", pa.int64()),
+                    ("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string()), ("word", pa.string())])
+
+
+def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Add up the slices of a bucket: the frequent groups, then per slice the codes of its keys (-1: not frequent)."""
+    if kind is Words:
+        keys, counts = pa.array([], pa.string()), np.zeros(0, np.int64)
+        for row in _gathered(rows):
+            # a blank is in no word, so that word and language stay apart
+            own = pa.concat_arrays([pa.compute.binary_join_element_wise(w.words, w.lang, " ") for w in map(Words.load, row["keys"])])
+            coded = pa.concat_arrays([keys, own]).dictionary_encode()
+            total = np.concatenate([counts, *[unpacked(c) for c in row["counts"]]]).astype(np.int64)
+            keys, counts = coded.dictionary, np.bincount(coded.indices.to_numpy(), total).astype(np.int64)
+        kept = np.flatnonzero(counts >= least)
+        keys = keys.take(pa.array(kept))
+        names = [k.split(" ", 1) for k in keys.to_pylist()]
+        parts = {"word": [w for w, _ in names], "lang": [x for _, x in names]}
+
+        def place(data):
+            own = Words.load(data)
+            return pa.compute.index_in(pa.compute.binary_join_element_wise(own.words, own.lang, " "), keys).fill_null(-1).to_numpy(zero_copy_only=False)
+    else:
+        pairs, counts = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+        for row in _gathered(rows):
+            own = [Pairs.load(k) for k in row["keys"]]
+            first, last = (np.concatenate([pairs[:, i], *[getattr(p, n) for p in own]]) for i, n in ((0, "first"), (1, "last")))
+            total = np.concatenate([counts, *[unpacked(c) for c in row["counts"]]])
+            order = np.lexsort((last, first))
+            first, last = first[order], last[order]
+            lead = np.flatnonzero(_changes(first, last))
+            pairs, counts = np.column_stack((first[lead], last[lead])), np.add.reduceat(total[order], lead).astype(np.int64)
+        kept = np.flatnonzero(counts >= least)
+        pairs = pairs[kept]
+        parts = {"first": pairs[:, 0], "last": pairs[:, 1]}
+
+        def place(data):
+            own = Pairs.load(data)
+            # both sides ascend, so the place of a key is found by sorting them together
+            first, last = np.concatenate((pairs[:, 0], own.first)), np.concatenate((pairs[:, 1], own.last))
+            side = np.repeat((0, 1), (len(pairs), len(own)))
+            order = np.lexsort((side, last, first))
+            group = np.cumsum(_changes(first[order], last[order])) - 1
+            known = np.full(int(group[-1]) + 1 if len(group) else 0, -1, np.int64)
+            at = order < len(pairs)
+            known[group[at]] = order[at]
+            out = np.empty(len(own), np.int64)
+            out[order[~at] - len(pairs)] = known[group[~at]]
+            return out
+
+    n = len(kept)
+    if not n:
+        return
+    codes = code + step * np.arange(n, dtype=np.int64)
+    empty = {name: pa.nulls(n, _FOUND.field(name).type) for name in _FOUND.names}
+    cells = empty | {"code": pa.array(codes), "f": pa.array(counts[kept])} | {k: pa.array(v, _FOUND.field(k).type) for k, v in parts.items()}
+    whole = pa.RecordBatch.from_arrays([cells[name] for name in _FOUND.names], schema=_FOUND)
+    for i in range(0, n, 1 << 16):
+        yield whole.slice(i, 1 << 16)
+    for row in rows:
+        at = place(row["keys"])
+        found = np.where(at >= 0, codes[np.maximum(at, 0)], -1)
+        if (found >= 0).any():
+            yield pa.RecordBatch.from_pylist([{"chunk": row["chunk"], "bucket": row["bucket"], "keys": packed(found, "<i8")}], _FOUND)
+
+
+def _changes(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    fresh = np.ones(len(first), bool)
+    fresh[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+    return fresh
+
+
+def _gathered(rows: list[dict], size: int = 64) -> Iterator[dict[str, list]]:
+    """Some slices at a time, so that no more is unpacked than the distinct keys and these."""
+    for i in range(0, len(rows), size):
+        yield {k: [r[k] for r in rows[i:i + size]] for k in ("keys", "counts")}
+
+
+def _groups(relation: DataFrame, kind: type, least: int, name: str) -> tuple[DataFrame, int]:
+    """The frequent groups (code, f, first and last or lang and word; chunk null), what goes back to
+    the chunks (chunk, bucket, keys), and the number of buckets."""
+    total = relation.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    buckets = min(1 + total // BUCKET, (1 << 31) - 1)
 
-RELATION = T.StructType([
-    T.StructField("chunk", T.StringType()), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType()),
-    T.StructField("first", T.ArrayType(T.LongType())), T.StructField("last", T.ArrayType(T.LongType())),
-    T.StructField("counts", T.ArrayType(T.LongType()))])
+    def run(batches):
+        for rows in _runs(batches, "bucket"):
+            yield from _added(rows, kind, rows[0]["bucket"], buckets, least)
+
+    slices = _slices(relation, kind, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    return written(slices.mapInArrow(run, FOUND), name), buckets
 
 
 def joined(slots: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,42 +327,34 @@ def joined(slots: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return slots[at], codes[at], codes[at + 1]
 
 
-def _extended(relation: DataFrame, back: DataFrame) -> DataFrame:
+def _extended(relation: DataFrame, found: DataFrame, kind: type, buckets: int) -> DataFrame:
     """Semi-join a relation with its frequent groups and extend what is left by one word."""
 
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                slots = np.cumsum(unpacked(batch.column(1)[i].as_py()))
-                entries = unpacked(batch.column(2)[i].as_py())
-                index = batch.column(3)[i].values.to_numpy()
-                code = np.full(int(entries.max()) + 1, -1, np.int64)
-                code[index] = batch.column(4)[i].values.to_numpy()
-                codes = code[entries]
-                kept = codes >= 0
-                slots, first, last = joined(slots[kept], codes[kept])
-                if not len(slots):
-                    continue
+        for rows in _runs(batches, "chunk"):
+            if rows[0]["bucket"] != -1 or len(rows) < 2:
+                continue
+            own = rows[0]
+            keys = kind.load(own["keys"])
+            bucket = keys.hashes() % np.uint64(buckets)
+            code = np.full(len(keys), -1, np.int64)
+            for row in rows[1:]:
+                code[bucket == np.uint64(row["bucket"])] = unpacked(row["back"], "<i8")
+            codes = code[unpacked(own["entries"])]
+            kept = codes >= 0
+            slots, first, last = joined(np.cumsum(unpacked(own["slots"]))[kept], codes[kept])
+            if len(slots):
                 order = np.lexsort((last, first))
                 f, l = first[order], last[order]
-                fresh = np.ones(len(f), bool)
-                fresh[1:] = (f[1:] != f[:-1]) | (l[1:] != l[:-1])
-                new = np.empty(len(f), np.int32)
-                new[order] = np.cumsum(fresh) - 1
+                fresh = _changes(f, l)
                 at = np.flatnonzero(fresh)
-                lists = [pa.array([x], pa.list_(pa.int64())) for x in (f[at], l[at], np.diff(np.append(at, len(f))))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), *_relation(slots, new), *lists], RELATION.names)
-
-    rows = relation.select("chunk", "slots", "entries").join(back, "chunk")
-    return rows.mapInArrow(run, RELATION)
-
+                entries = np.empty(len(f), np.int32)
+                entries[order] = np.cumsum(fresh) - 1
+                yield _row(own["chunk"], None, Pairs(f[at], l[at]), np.diff(np.append(at, len(f))), slots, entries)
 
-def _exploded(relation: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """One row (chunk, index, keys, count) per distinct entry of a chunk."""
-    zipped = F.arrays_zip(*[F.col(c) for c in columns], "counts")
-    out = relation.select(*[c for c in relation.columns if c in ("chunk", "lang")], F.posexplode(zipped).alias("index", "e"))
-    return out.select(*[c for c in out.columns if c not in ("e",)], *[F.col(f"e.{c}").alias(n) for c, n in columns.items()],
-                      F.col("e.counts").alias("count"))
+    back = found.filter("chunk is not null").select("chunk", "bucket", F.col("keys").alias("back"))
+    rows = relation.select("chunk", "bucket", "keys", "slots", "entries").unionByName(back, allowMissingColumns=True)
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, RELATION)
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -196,21 +363,19 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str
     ``lefts`` are the counts of the first 1, 2, ... words, ``rights`` those of what follows
     them; ``whole`` tells whether no phrase one word longer has the same count.
     """
-    relation = written(chunks(docs, text, lang), "occurrences")
-    entries = _exploded(relation, {"words": "word"})
-    totals = relation.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("c")).groupBy("lang").agg(F.sum("c").alias("n"))
-    keys = ["lang", "word"]
-    found = written(_groups(entries, keys, least), "words")
-    shorter = found.select(
+    relation, kind = written(chunks(docs, text, lang), "occurrences"), Words
+    totals = relation.groupBy("lang").agg(F.sum("words").alias("n"))
+    found, buckets = _groups(relation, kind, least, "words")
+    shorter = found.filter("chunk is null").select(
         "code", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("tail"),
         F.array().cast("array<long>").alias("lefts"), F.array().cast("array<long>").alias("rights"))
     sizes = []
     for size in range(2, longest + 1):
-        relation = written(_extended(relation, _back(entries, found, keys)), f"occurrences-{size}")
-        entries, keys = _exploded(relation, {"first": "first", "last": "last"}), ["first", "last"]
-        found = written(_groups(entries, keys, least), f"groups-{size}")
+        relation, kind = written(_extended(relation, found, kind, buckets), f"occurrences-{size}"), Pairs
+        found, buckets = _groups(relation, kind, least, f"groups-{size}")
         one = lambda side: shorter.select(*[F.col(c).alias(f"{side}_{c}") for c in shorter.columns])
-        longer = found.join(one("a"), F.col("first") == F.col("a_code")).join(one("b"), F.col("last") == F.col("b_code"))
+        longer = found.filter("chunk is null").select("code", "f", "first", "last")
+        longer = longer.join(one("a"), F.col("first") == F.col("a_code")).join(one("b"), F.col("last") == F.col("b_code"))
         longer = written(longer.select(
             "code", "first", "last", F.col("a_lang").alias("lang"), "f",
             F.concat_ws(" ", "a_phrase", "b_tail").alias("phrase"), F.col("b_tail").alias("tail"),
