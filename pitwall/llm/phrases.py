@@ -82,8 +82,13 @@ def unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash, ascending with it."""
+    return (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
 class Words:
-    """Keys of the first relation: distinct words, most frequent first."""
+    """Keys of the first relation: distinct words."""
 
     def __init__(self, words: pa.Array, lang: str) -> None:
         self.words, self.lang = words, lang
@@ -95,9 +100,16 @@ class Words:
         data, off = flat_texts(self.words)
         return Rolling(data).of(off[:-1], off[1:])
 
+    def order(self) -> np.ndarray:
+        """Places by hash; a slice keeps the order that its chunk has."""
+        return np.argsort(self.hashes(), kind="stable")
+
     def take(self, at: np.ndarray) -> Words:
         return Words(self.words.take(pa.array(at)), self.lang)
 
+    def sliced(self) -> tuple[Words, np.ndarray]:
+        return self, np.arange(len(self))
+
     def payload(self) -> bytes:
         lang = self.lang.encode()
         # no word holds a line end
@@ -112,7 +124,7 @@ class Words:
 
 
 class Pairs:
-    """Keys of the other relations: codes of the first and the last words, ascending."""
+    """Keys of the other relations: codes of the first and the last words."""
 
     def __init__(self, first: np.ndarray, last: np.ndarray) -> None:
         self.first, self.last = first, last
@@ -123,9 +135,18 @@ class Pairs:
     def hashes(self) -> np.ndarray:
         return mix64(self.first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.last.view(np.uint64))
 
+    def order(self) -> np.ndarray:
+        """Places by hash, then key."""
+        return np.lexsort((self.last, self.first, self.hashes()))
+
     def take(self, at: np.ndarray) -> Pairs:
         return Pairs(self.first[at], self.last[at])
 
+    def sliced(self) -> tuple[Pairs, np.ndarray]:
+        """The ascending keys of a slice, which are smaller, and where each was."""
+        at = np.lexsort((self.last, self.first))
+        return self.take(at), at
+
     def payload(self) -> bytes:
         first = packed(np.diff(self.first, prepend=0), "<i8")
         return len(first).to_bytes(4, "little") + first + packed(self.last, "<i8")
@@ -137,16 +158,20 @@ class Pairs:
 
 
 RELATION = T.StructType([
-    T.StructField("chunk", T.StringType()), T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType()),
+    T.StructField("chunk", T.StringType()), T.StructField("place", T.IntegerType()), T.StructField("n", T.LongType()),
     T.StructField("words", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("keys", T.BinaryType()),
     T.StructField("counts", T.BinaryType()), T.StructField("slots", T.BinaryType()), T.StructField("entries", T.BinaryType())])
-_RELATION = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("words", pa.int64()), ("lang", pa.string()),
+_RELATION = pa.schema([("chunk", pa.string()), ("place", pa.int32()), ("n", pa.int64()), ("words", pa.int64()), ("lang", pa.string()),
                        ("keys", pa.binary()), ("counts", pa.binary()), ("slots", pa.binary()), ("entries", pa.binary())])
 
 
 def _row(chunk: str, lang: str | None, keys: Words | Pairs, counts: np.ndarray, slots: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
-    """One chunk of a relation; in front of what comes back from the buckets."""
-    row = {"chunk": chunk, "bucket": -1, "n": len(keys), "words": len(slots), "lang": lang, "keys": keys.payload(),
+    """One chunk of a relation with its keys by hash; in front of what comes back from the buckets."""
+    order = keys.order()
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    keys, counts, entries = keys.take(order), counts[order], rank[entries]
+    row = {"chunk": chunk, "place": -1, "n": len(keys), "words": len(slots), "lang": lang, "keys": keys.payload(),
            "counts": packed(counts), "slots": packed(np.diff(slots, prepend=0)), "entries": packed(entries)}
     return pa.RecordBatch.from_pylist([row], _RELATION)
 
@@ -161,11 +186,7 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
             if len(words):
                 coded = words.dictionary_encode()
                 index = coded.indices.to_numpy()
-                counts = np.bincount(index)
-                order = np.argsort(-counts, kind="stable")
-                rank = np.empty(len(order), np.int32)
-                rank[order] = np.arange(len(order))
-                yield _row(uuid.uuid4().hex, name, Words(coded.dictionary.take(pa.array(order)), name), counts[order], slots, rank[index])
+                yield _row(uuid.uuid4().hex, name, Words(coded.dictionary, name), np.bincount(index), slots, index)
 
     def run(batches):
         texts, langs, size = [], [], 0
@@ -205,36 +226,33 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
 
 
 def _slices(relation: DataFrame, kind: type, buckets: int) -> DataFrame:
-    """The keys of each chunk, cut by bucket: (bucket, chunk, keys, counts)."""
+    """The keys of each chunk, cut by bucket: (bucket, chunk, place of the first, keys, counts)."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = kind.load(row["keys"]), unpacked(row["counts"])
-                bucket = keys.hashes() % np.uint64(buckets)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64)) if buckets < len(order) else None
-                if cuts is None:
-                    own, lead = np.unique(bucket[order], return_index=True)
-                    spans = zip(own.tolist(), lead.tolist(), [*lead[1:].tolist(), len(order)], strict=True)
-                else:
-                    spans = zip(range(buckets), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
-                out = [{"bucket": b, "chunk": row["chunk"], "keys": keys.take(order[x:y]).payload(), "counts": packed(counts[order[x:y]])}
-                       for b, x, y in spans if y > x]
+                bucket = bucket_of(keys.hashes(), buckets)
+                own, lead = np.unique(bucket, return_index=True)
+                out = []
+                for b, x, y in zip(own.tolist(), lead.tolist(), [*lead[1:].tolist(), len(keys)], strict=True):
+                    part, at = keys.take(np.arange(x, y)).sliced()
+                    out.append({"bucket": b, "chunk": row["chunk"], "place": x, "keys": part.payload(), "counts": packed(counts[x:y][at])})
                 for i in range(0, len(out), 512):
                     yield pa.RecordBatch.from_pylist(out[i:i + 512], _SLICE)
 
-    return relation.select("chunk", "keys", "counts").mapInArrow(run, "bucket int, chunk string, keys binary, counts binary")
+    return relation.select("chunk", "keys", "counts").mapInArrow(run, "bucket int, chunk string, place int, keys binary, counts binary")
 
 
-_SLICE = pa.schema([("bucket", pa.int32()), ("chunk", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
-FOUND = "chunk string, bucket int, keys binary, code long, f long, first long, last long, lang string, word string"
-_FOUND = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("keys", pa.binary()), ("code", pa.int64()), ("f", pa.int64()),
+_SLICE = pa.schema([("bucket", pa.int32()), ("chunk", pa.string()), ("place", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+FOUND = "chunk string, place int, keys binary, code long, f long, first long, last long, lang string, word string"
+_FOUND = pa.schema([("chunk", pa.string()), ("place", pa.int32()), ("keys", pa.binary()), ("code", pa.int64()), ("f", pa.int64()),
                     ("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string()), ("word", pa.string())])
 
 
 def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Add up the slices of a bucket: the frequent groups, then per slice the codes of its keys (-1: not frequent)."""
+    """Add up the slices of a bucket: the frequent groups, then per slice the codes of its keys in
+    the order of its chunk (-1: not frequent)."""
     if kind is Words:
         keys, counts = pa.array([], pa.string()), np.zeros(0, np.int64)
         for row in _gathered(rows):
@@ -277,7 +295,7 @@ def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> It
             known[group[at]] = order[at]
             out = np.empty(len(own), np.int64)
             out[order[~at] - len(pairs)] = known[group[~at]]
-            return out
+            return out[own.order()]
 
     n = len(kept)
     if not n:
@@ -292,7 +310,7 @@ def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> It
         at = place(row["keys"])
         found = np.where(at >= 0, codes[np.maximum(at, 0)], -1)
         if (found >= 0).any():
-            yield pa.RecordBatch.from_pylist([{"chunk": row["chunk"], "bucket": row["bucket"], "keys": packed(found, "<i8")}], _FOUND)
+            yield pa.RecordBatch.from_pylist([{"chunk": row["chunk"], "place": row["place"], "keys": packed(found, "<i8")}], _FOUND)
 
 
 def _changes(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -307,9 +325,9 @@ def _gathered(rows: list[dict], size: int = 64) -> Iterator[dict[str, list]]:
         yield {k: [r[k] for r in rows[i:i + size]] for k in ("keys", "counts")}
 
 
-def _groups(relation: DataFrame, kind: type, least: int, name: str) -> tuple[DataFrame, int]:
-    """The frequent groups (code, f, first and last or lang and word; chunk null), what goes back to
-    the chunks (chunk, bucket, keys), and the number of buckets."""
+def _groups(relation: DataFrame, kind: type, least: int, name: str) -> DataFrame:
+    """The frequent groups (code, f, first and last or lang and word; chunk null), and what goes
+    back to the chunks (chunk, place, codes as ``keys``)."""
     total = relation.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     buckets = min(1 + total // BUCKET, (1 << 31) - 1)
 
@@ -318,7 +336,7 @@ def _groups(relation: DataFrame, kind: type, least: int, name: str) -> tuple[Dat
             yield from _added(rows, kind, rows[0]["bucket"], buckets, least)
 
     slices = _slices(relation, kind, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    return written(slices.mapInArrow(run, FOUND), name), buckets
+    return written(slices.mapInArrow(run, FOUND), name)
 
 
 def joined(slots: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -327,19 +345,16 @@ def joined(slots: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return slots[at], codes[at], codes[at + 1]
 
 
-def _extended(relation: DataFrame, found: DataFrame, kind: type, buckets: int) -> DataFrame:
+def _extended(relation: DataFrame, found: DataFrame) -> DataFrame:
     """Semi-join a relation with its frequent groups and extend what is left by one word."""
 
     def run(batches):
         for rows in _runs(batches, "chunk"):
-            if rows[0]["bucket"] != -1 or len(rows) < 2:
-                continue
             own = rows[0]
-            keys = kind.load(own["keys"])
-            bucket = keys.hashes() % np.uint64(buckets)
-            code = np.full(len(keys), -1, np.int64)
+            code = np.full(own["n"], -1, np.int64)
             for row in rows[1:]:
-                code[bucket == np.uint64(row["bucket"])] = unpacked(row["back"], "<i8")
+                codes = unpacked(row["back"], "<i8")
+                code[row["place"]:row["place"] + len(codes)] = codes
             codes = code[unpacked(own["entries"])]
             kept = codes >= 0
             slots, first, last = joined(np.cumsum(unpacked(own["slots"]))[kept], codes[kept])
@@ -352,9 +367,9 @@ def _extended(relation: DataFrame, found: DataFrame, kind: type, buckets: int) -
                 entries[order] = np.cumsum(fresh) - 1
                 yield _row(own["chunk"], None, Pairs(f[at], l[at]), np.diff(np.append(at, len(f))), slots, entries)
 
-    back = found.filter("chunk is not null").select("chunk", "bucket", F.col("keys").alias("back"))
-    rows = relation.select("chunk", "bucket", "keys", "slots", "entries").unionByName(back, allowMissingColumns=True)
-    return rows.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, RELATION)
+    back = found.filter("chunk is not null").select("chunk", "place", F.col("keys").alias("back"))
+    rows = relation.select("chunk", "place", "n", "slots", "entries").unionByName(back, allowMissingColumns=True)
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "place").mapInArrow(run, RELATION)
 
 
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -363,16 +378,16 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text: str
     ``lefts`` are the counts of the first 1, 2, ... words, ``rights`` those of what follows
     them; ``whole`` tells whether no phrase one word longer has the same count.
     """
-    relation, kind = written(chunks(docs, text, lang), "occurrences"), Words
+    relation = written(chunks(docs, text, lang), "occurrences")
     totals = relation.groupBy("lang").agg(F.sum("words").alias("n"))
-    found, buckets = _groups(relation, kind, least, "words")
+    found = _groups(relation, Words, least, "words")
     shorter = found.filter("chunk is null").select(
         "code", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("tail"),
         F.array().cast("array<long>").alias("lefts"), F.array().cast("array<long>").alias("rights"))
     sizes = []
     for size in range(2, longest + 1):
-        relation, kind = written(_extended(relation, found, kind, buckets), f"occurrences-{size}"), Pairs
-        found, buckets = _groups(relation, kind, least, f"groups-{size}")
+        relation = written(_extended(relation, found), f"occurrences-{size}")
+        found = _groups(relation, Pairs, least, f"groups-{size}")
         one = lambda side: shorter.select(*[F.col(c).alias(f"{side}_{c}") for c in shorter.columns])
         longer = found.filter("chunk is null").select("code", "f", "first", "last")
         longer = longer.join(one("a"), F.col("first") == F.col("a_code")).join(one("b"), F.col("last") == F.col("b_code"))
