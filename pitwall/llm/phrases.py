@@ -166,13 +166,12 @@ _RELATION = pa.schema([("chunk", pa.string()), ("place", pa.int32()), ("n", pa.i
 
 
 def _row(chunk: str, lang: str | None, keys: Words | Pairs, counts: np.ndarray, slots: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
-    """One chunk of a relation with its keys by hash; in front of what comes back from the buckets."""
+    """One chunk of a relation, entries numbered by their keys' hashes; in front of what comes back from the buckets."""
     order = keys.order()
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
-    keys, counts, entries = keys.take(order), counts[order], rank[entries]
     row = {"chunk": chunk, "place": -1, "n": len(keys), "words": len(slots), "lang": lang, "keys": keys.payload(),
-           "counts": packed(counts), "slots": packed(np.diff(slots, prepend=0)), "entries": packed(entries)}
+           "counts": packed(counts), "slots": packed(np.diff(slots, prepend=0)), "entries": packed(rank[entries])}
     return pa.RecordBatch.from_pylist([row], _RELATION)
 
 
@@ -232,12 +231,13 @@ def _slices(relation: DataFrame, kind: type, buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = kind.load(row["keys"]), unpacked(row["counts"])
-                bucket = bucket_of(keys.hashes(), buckets)
+                order = keys.order()
+                bucket = bucket_of(keys.hashes()[order], buckets)
                 own, lead = np.unique(bucket, return_index=True)
                 out = []
                 for b, x, y in zip(own.tolist(), lead.tolist(), [*lead[1:].tolist(), len(keys)], strict=True):
-                    part, at = keys.take(np.arange(x, y)).sliced()
-                    out.append({"bucket": b, "chunk": row["chunk"], "place": x, "keys": part.payload(), "counts": packed(counts[x:y][at])})
+                    part, at = keys.take(order[x:y]).sliced()
+                    out.append({"bucket": b, "chunk": row["chunk"], "place": x, "keys": part.payload(), "counts": packed(counts[order[x:y]][at])})
                 for i in range(0, len(out), 512):
                     yield pa.RecordBatch.from_pylist(out[i:i + 512], _SLICE)
 
