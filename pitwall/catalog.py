@@ -1162,11 +1162,12 @@ def _md():
 
 
 def _fit_predict(t, family: str, name: str):
+    """A fitted model, its predictions on the test seasons, and the stage that made its features."""
     md = _md()
-    train, test, cols = getattr(md, f"{family}_sets")(t)
-    rows = (train.count(),) if family in ("pole", "podium") else ()
-    model = getattr(md, f"{family}_estimators")(cols, *rows)[name].fit(train)
-    return model, model.transform(test), cols
+    data = md.prepared(t, family, weighted=family != "lap")
+    rows = (data.train.count(),) if family in ("pole", "podium") else ()
+    model = getattr(md, f"{family}_estimators")(data.cols, *rows)[name].fit(data.train)
+    return model, model.transform(data.test), data.features
 
 
 @query("ml_lap_linear")
@@ -1197,8 +1198,8 @@ def q_ml_model_comparison(t):
 
 def _podium_scored(t, name: str):
     md = _md()
-    model, pred, cols = _fit_predict(t, "podium", name)
-    return model, md.with_probability(pred), cols
+    model, pred, features = _fit_predict(t, "podium", name)
+    return model, md.with_probability(pred), features
 
 
 @query("ml_podium_logistic")
@@ -1215,15 +1216,15 @@ def q_ml_podium_forest(t):
 
 @query("ml_pole_logistic")
 def q_ml_pole_logistic(t):
-    _, pred, _ = _fit_predict(t, "pole", "pole_logistic")
-    return _md().decode_pole(pred, t).select("season", "round", "driverId", "prediction",
+    _, pred, features = _fit_predict(t, "pole", "pole_logistic")
+    return _md().decode_pole(pred, features).select("season", "round", "driverId", "prediction",
                                             "predicted_driverId")
 
 
 @query("ml_pole_forest")
 def q_ml_pole_forest(t):
-    _, pred, _ = _fit_predict(t, "pole", "pole_forest")
-    return _md().decode_pole(pred, t).select("season", "round", "driverId", "prediction",
+    _, pred, features = _fit_predict(t, "pole", "pole_forest")
+    return _md().decode_pole(pred, features).select("season", "round", "driverId", "prediction",
                                             "predicted_driverId")
 
 
@@ -1257,21 +1258,21 @@ def q_ml_race_prediction(t):
 @query("ml_feature_importance")
 def q_ml_feature_importance(t):
     md = _md()
-    return md.feature_importance(md.trained_podium_model(t), ft.PODIUM_X, t.spark)
+    return md.feature_importance(md.trained_podium_model(t), t.spark)
 
 
 @query("ml_pole_coefficients")
 def q_ml_pole_coefficients(t):
     """M18 for the multinomial pole model: one row per class and feature."""
-    model, _, cols = _fit_predict(t, "pole", "pole_logistic")
-    return _md().feature_importance(model, cols, t.spark)
+    model, _, _ = _fit_predict(t, "pole", "pole_logistic")
+    return _md().feature_importance(model, t.spark)
 
 
 @query("ml_pole_one_vs_rest")
 def q_ml_pole_one_vs_rest(t):
     """M5 one-vs-rest with the L2 penalty of C = 1."""
-    _, pred, _ = _fit_predict(t, "pole", "pole_one_vs_rest")
-    return _md().decode_pole(pred, t).select("season", "round", "driverId", "prediction", "predicted_driverId")
+    _, pred, features = _fit_predict(t, "pole", "pole_one_vs_rest")
+    return _md().decode_pole(pred, features).select("season", "round", "driverId", "prediction", "predicted_driverId")
 
 
 @query("nb_split_features", """
@@ -1333,18 +1334,75 @@ def q_ml_tune_lap_forest(t):
 
 @query("ml_model_save_load")
 def q_ml_model_save_load(t):
-    """S17 + S18: save timestamped, load the latest by name, score the test rows."""
+    """S17 + S18: save two versions with their features, load the latest by name, score the test seasons."""
+    from pitwall.plans.registry import ModelRegistry
     md = _md()
-    model, _, _ = _fit_predict(t, "podium", "podium_logistic")
-    root = md.model_root(t.spark)
-    md.save_model(model, root, "podium_predictor")
-    md.save_model(model, root, "podium_predictor")
-    latest = md.load_latest(t.spark, root, "podium_predictor_")
-    _, test, _ = md.podium_sets(t, weighted=False)
-    return md.with_probability(latest.transform(test)).select(
-        "season", "round", "driverId", "p", "predicted")
+    model, _, features = _fit_predict(t, "podium", "podium_logistic")
+    registry = ModelRegistry(t.spark)
+    for _ in range(2):
+        registry.save(md.complete(features, model), "podium_predictor")
+    return md.score_podium(registry.latest("podium_predictor"), t, md.TEST).select("season", "round", "driverId", "p", "predicted")
 
 
+_FIT = "season between 1995 and 1999"
+
+
+def _fitted_codes(col: str) -> str:
+    return (f"(select {col}, cast(dense_rank() over (order by {col}) - 1 as int) as code "
+            f"from (select distinct {col} from podium_base_o where {_FIT} and {col} is not null) d)")
+
+
+@query("podium_stored_features", f"""
+with m as (
+  select {', '.join(f'median({c}) as {c}' for c in ft.PODIUM_IMPUTE)} from podium_coded_o where {_FIT})
+select b.season, b.round, b.raceName, b.driverId, b.constructorId, b.position,
+  coalesce(cc.code, -1) as circuitId_code, coalesce(kc.code, -1) as constructorId_code,
+  {', '.join(f'coalesce(cast(b.{c} as double), m.{c}) as {c}' for c in ft.PODIUM_IMPUTE)},
+  b.qual_q1_ms, b.qual_q2_ms, b.qual_q3_ms, b.on_podium
+from podium_coded_o b cross join m
+left join {_fitted_codes('circuitId')} cc on cc.circuitId = b.circuitId
+left join {_fitted_codes('constructorId')} kc on kc.constructorId = b.constructorId
+where b.season in (2000, 2001)""", OX)
+def q_podium_stored_features(t):
+    """Features fitted on the training seasons, saved, loaded, and applied to the test seasons alone."""
+    from pyspark.ml import PipelineModel
+
+    from pitwall.plans.registry import ModelRegistry
+    md, recipe = _md(), ft.RECIPES["podium"]
+    rows = recipe.inputs(t)
+    registry = ModelRegistry(t.spark)
+    registry.save(PipelineModel(stages=[recipe.fitter().fit(rows.filter(F.col("season").isin(md.TRAIN)))]), "podium_features")
+    return registry.latest("podium_features").transform(rows.filter(F.col("season").isin(md.TEST)))
+
+
+@query("ml_quick_predict")
+def q_ml_quick_predict(t):
+    """S18 + R1: the latest stored model on the last race of the last season, from that race's rows alone."""
+    md = _md()
+    return rp.race_report(md.score_podium(md.trained_podium_model(t), t, md.TEST[-1:], latest_round=True))
+
+
+@query("ml_lap_forest_module")
+def q_ml_lap_forest_module(t):
+    """M3: the module's lap forest, 100 trees on all features at depth 20."""
+    md = _md()
+    data = md.prepared(t, "lap")
+    pred = md.module_lap_forest(data.cols).fit(md.in_tasks(data.train)).transform(data.test)
+    return pred.select("season", "round", "driverId", "lap", "label", "prediction")
+
+
+@query("ml_tune_podium_forest_module")
+def q_ml_tune_podium_forest_module(t):
+    """The podium module's 36 points."""
+    md = _md()
+    return md.tuning_table(md.tune_podium_forest(t, md.MODULE_CLASS_GRID), "podium_forest", t.spark)
+
+
+@query("ml_tune_pole_forest_module")
+def q_ml_tune_pole_forest_module(t):
+    """The pole module's 36 points."""
+    md = _md()
+    return md.tuning_table(md.tune_pole_forest(t, md.MODULE_CLASS_GRID), "pole_forest", t.spark)
 
 
 # --- streaming: incremental ingest of landed pages ------------------------------------

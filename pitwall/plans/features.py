@@ -9,6 +9,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from pitwall.functions.timing import qual_time_to_ms, time_to_ms
 from pitwall.operators.aggregates import code_of, fit_statistics, impute, race_min, with_statistics
 from pitwall.operators.windows import ENTRY, add_lags
 from pitwall.plans.base_tables import RaceTables, lap_base, podium_base, pole_base
+from pitwall.plans.fitted import FeatureFitter, known_rows
 
 RACE = ["season", "round"]
 
@@ -84,7 +88,7 @@ def feature_guard(df: DataFrame, wanted: list[str]) -> list[str]:
 
 def fitted_features(df: DataFrame, scope, codes: dict[str, str], numeric: list[str],
                     wanted: list[str], label: str) -> DataFrame:
-    """Fit codes and medians in one row, apply them, and keep the complete rows.
+    """Fit codes and medians in one row, apply them, and keep the complete rows, in one plan.
 
     A feature that is NULL in all fit rows has no median: it stays NULL, and
     costs no row (D3); :func:`usable_features` names the others.
@@ -93,12 +97,7 @@ def fitted_features(df: DataFrame, scope, codes: dict[str, str], numeric: list[s
     fitted = fit_statistics(_fit_rows(df, scope), numeric, list(codes))
     df = with_statistics(df, fitted).withColumns({out: code_of(c) for c, out in codes.items()})
     cols = feature_guard(df, wanted)
-    df = df.withColumns(impute(numeric))
-    whole = F.lit(True)
-    for c in [*cols, label]:
-        known = F.col(c).isNotNull()
-        whole = whole & (known | F.col("medians")[c].isNull() if c in numeric else known)
-    return df.filter(whole).drop("medians", "codes")
+    return known_rows(df.withColumns(impute(numeric)), cols, numeric, label).drop("medians", "codes")
 
 
 def usable_features(df: DataFrame, cols: list[str]) -> list[str]:
@@ -107,22 +106,55 @@ def usable_features(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if row[c]] or list(cols)
 
 
+@dataclass(frozen=True)
+class Recipe:
+    """One model family's features: its rows before anything is fitted, and what is fitted on them."""
+
+    inputs: Callable[..., DataFrame]
+    codes: dict[str, str]
+    numeric: list[str]
+    wanted: list[str]
+    label: str
+    keep: list[str]
+
+    def fitter(self) -> FeatureFitter:
+        """The recipe as a Spark ML stage, to be fitted on training rows and saved with a model."""
+        return FeatureFitter(categories=self.codes, numeric=self.numeric, wanted=self.wanted, label=self.label, keep=self.keep)
+
+    def features(self, t: RaceTables, scope, **options) -> DataFrame:
+        """The features with codes and medians fitted on the rows of ``scope``, in one plan."""
+        df = fitted_features(self.inputs(t, **options), scope, self.codes, self.numeric, self.wanted, self.label)
+        return df.select(*dict.fromkeys([*self.keep, *feature_guard(df, self.wanted), self.label]))
+
+
+def lap_inputs(t: RaceTables, parity: bool = False) -> DataFrame:
+    return lap_outlier_filter(lap_series(t, parity))
+
+
+def pole_inputs(t: RaceTables) -> DataFrame:
+    return pole_base(t)
+
+
+def podium_inputs(t: RaceTables, parity: bool = False) -> DataFrame:
+    return podium_base(t).withColumns({f"{q}_ms": qual_time_to_ms(q, parity) for q in ("qual_q1", "qual_q2", "qual_q3")})
+
+
+RECIPES = {
+    "lap": Recipe(lap_inputs, {"circuitId": "circuitId_code"}, LAP_IMPUTE, LAP_X, LAP_Y, ["season", "round", "driverId"]),
+    "pole": Recipe(pole_inputs, {"driverId": POLE_Y, "circuitId": "circuitId_code", "constructorId": "constructorId_code"},
+                   PREV, POLE_X, POLE_Y, ["season", "round", "driverId"]),
+    "podium": Recipe(podium_inputs, {"circuitId": "circuitId_code", "constructorId": "constructorId_code"}, PODIUM_IMPUTE,
+                     PODIUM_X, PODIUM_Y, ["season", "round", "raceName", "driverId", "constructorId", "position"]),
+}
+
+
 def lap_features(t: RaceTables, scope="batch", parity: bool = False) -> DataFrame:
-    df = lap_outlier_filter(lap_series(t, parity))
-    df = fitted_features(df, scope, {"circuitId": "circuitId_code"}, LAP_IMPUTE, LAP_X, LAP_Y)
-    return df.select("season", "round", "driverId", *feature_guard(df, LAP_X), LAP_Y)
+    return RECIPES["lap"].features(t, scope, parity=parity)
 
 
 def pole_features(t: RaceTables, scope="batch") -> DataFrame:
-    codes = {"driverId": POLE_Y, "circuitId": "circuitId_code", "constructorId": "constructorId_code"}
-    df = fitted_features(pole_base(t), scope, codes, PREV, POLE_X, POLE_Y)
-    return df.select("season", "round", "driverId", *feature_guard(df, POLE_X), POLE_Y)
+    return RECIPES["pole"].features(t, scope)
 
 
 def podium_features(t: RaceTables, scope="batch", parity: bool = False) -> DataFrame:
-    df = podium_base(t).withColumns({f"{q}_ms": qual_time_to_ms(q, parity)
-                                     for q in ("qual_q1", "qual_q2", "qual_q3")})
-    codes = {"circuitId": "circuitId_code", "constructorId": "constructorId_code"}
-    df = fitted_features(df, scope, codes, PODIUM_IMPUTE, PODIUM_X, PODIUM_Y)
-    return df.select("season", "round", "raceName", "driverId", "constructorId",
-                     "position", *feature_guard(df, PODIUM_X), PODIUM_Y)
+    return RECIPES["podium"].features(t, scope, parity=parity)

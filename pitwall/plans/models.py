@@ -19,9 +19,10 @@ quality, never value by value.
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
-import time
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, OneVsRest, RandomForestClassifier
@@ -30,7 +31,6 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +40,11 @@ from pitwall.plans import evaluate as ev
 from pitwall.plans import features as ft
 from pitwall.plans import notebook as nb
 from pitwall.plans.base_tables import RaceTables
-from pitwall.session import cut_lineage, input_stamp, scratch_path
+from pitwall.plans.fitted import FeatureModel
+from pitwall.plans.registry import ModelRegistry
+from pitwall.plans.search import Search
+from pitwall.session import cut_lineage, input_stamp
+from pitwall.sources.commit import shared_root
 from pitwall.sources.conform import INPUTS
 
 TRAIN = [1995, 1996, 1997, 1998, 1999]
@@ -57,8 +61,13 @@ CLASS_GRID = {"numTrees": [100], "maxDepth": [10, MAX_DEPTH_NONE], "minInstances
 #: The modules' larger grids: splits 2 and 5, leaves 1 and 2, with and without class weights.
 MODULE_CLASS_GRID = {"numTrees": [50, 100], "maxDepth": [5, 10, MAX_DEPTH_NONE], "minInstancesPerNode": [1, 2, 3],
                      "weightCol": ["one", "weight"]}
-#: What the registered lap query tunes: the grid above takes over 6 minutes a fit at sf0.01 on 8 cores.
-LAP_GRID_SMALL = {"numTrees": [50], "maxDepth": [5, 10], "minInstancesPerNode": [3], "featureSubsetStrategy": ["sqrt"]}
+#: The module's lap grid: splits 2 and 5, leaves 1 and 2.
+MODULE_LAP_GRID = {"numTrees": [50, 100], "maxDepth": [10, 20], "minInstancesPerNode": [1, 2, 3]}
+#: Deep trees grow by groups of nodes: the rows remember the node they are in, which is
+#: checkpointed, and a group's statistics stay within this many megabytes a task.
+DEEP = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 512}
+#: Training rows of a task; each task of a forest fit holds statistics of a whole group of nodes.
+ROWS_A_TASK = 1 << 15
 
 
 def min_instances(min_samples_split: int) -> int:
@@ -77,13 +86,33 @@ def _assembler(cols: list[str]) -> VectorAssembler:
 
 # --- data sets ------------------------------------------------------------------------
 
-def lap_sets(t: RaceTables) -> tuple[DataFrame, DataFrame, list[str]]:
-    df = ft.lap_features(t, scope=TRAIN)
+class Prepared(NamedTuple):
+    """Training and test rows of a model family, its usable features, and the stage that made them."""
+
+    train: DataFrame
+    test: DataFrame
+    cols: list[str]
+    features: FeatureModel
+
+
+def prepared(t: RaceTables, family: str, weighted: bool = False) -> Prepared:
+    """Fit the family's recipe on the training seasons and apply it to all; ``weighted`` adds
+    balanced class weights (and ``one``) to the training rows."""
+    recipe = ft.RECIPES[family]
+    inputs = recipe.inputs(t).filter(F.col("season").isin(TRAIN + TEST))
+    stage = recipe.fitter().fit(inputs.filter(F.col("season").isin(TRAIN)))
     # ML makes several passes: materialise the feature rows once (shared folder)
-    df = cut_lineage(_numeric(df, ft.LAP_X, ft.LAP_Y))
+    df = cut_lineage(_numeric(stage.transform(inputs), recipe.wanted, recipe.label))
     s = temporal_split(df, TRAIN, TEST)
-    train = s.filter("split = 'train'")
-    return train, s.filter("split = 'test'"), ft.usable_features(train, ft.LAP_X)
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    if weighted:
+        w = class_weights(train, "label", "weight").select("label", "weight")
+        train = train.join(w, "label", "left").withColumn("one", F.lit(1.0))
+    return Prepared(train, test, stage.usable, stage)
+
+
+def lap_sets(t: RaceTables) -> tuple[DataFrame, DataFrame, list[str]]:
+    return prepared(t, "lap")[:3]
 
 
 def nb_sets(t: RaceTables) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -94,28 +123,21 @@ def nb_sets(t: RaceTables) -> tuple[DataFrame, DataFrame, list[str]]:
 
 
 def podium_sets(t: RaceTables, weighted: bool = True) -> tuple[DataFrame, DataFrame, list[str]]:
-    df = ft.podium_features(t, scope=TRAIN)
-    # ML makes several passes: materialise the feature rows once (shared folder)
-    df = cut_lineage(_numeric(df, ft.PODIUM_X, ft.PODIUM_Y))
-    s = temporal_split(df, TRAIN, TEST)
-    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
-    if weighted:
-        w = class_weights(train, "label", "weight").select("label", "weight")
-        train = train.join(w, "label", "left").withColumn("one", F.lit(1.0))
-    return train, test, ft.usable_features(train, ft.PODIUM_X)
+    return prepared(t, "podium", weighted)[:3]
 
 
 def pole_sets(t: RaceTables, weighted: bool = True) -> tuple[DataFrame, DataFrame, list[str]]:
-    df = ft.pole_features(t, scope=TRAIN)
-    # ML makes several passes: materialise the feature rows once (shared folder)
-    df = cut_lineage(_numeric(df, ft.POLE_X, ft.POLE_Y))
-    s = temporal_split(df, TRAIN, TEST)
-    train = s.filter("split = 'train'")
-    test = s.filter("split = 'test'")
-    if weighted:
-        w = class_weights(train, "label", "weight").select("label", "weight")
-        train = train.join(w, "label", "left").withColumn("one", F.lit(1.0))
-    return train, test, ft.usable_features(train, ft.POLE_X)
+    return prepared(t, "pole", weighted)[:3]
+
+
+def in_tasks(train: DataFrame) -> DataFrame:
+    """Training rows in as many partitions as they fill."""
+    return cut_lineage(train.repartition(1 + train.count() // ROWS_A_TASK))
+
+
+def complete(features: FeatureModel, fitted: PipelineModel) -> PipelineModel:
+    """The model as it is saved: fitted features first."""
+    return PipelineModel(stages=[features, *fitted.stages])
 
 
 # --- estimators (reference settings) -------------------------------------------------------
@@ -128,7 +150,7 @@ def l2(rows: int, c: float = 1.0) -> dict:
 def module_lap_forest(cols: list[str], depth: int = 20) -> Pipeline:
     """The module's lap forest: 100 trees, all features, deep (see LAP_GRID)."""
     return Pipeline(stages=[_assembler(cols), RandomForestRegressor(
-        numTrees=100, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=3, maxMemoryInMB=1024, seed=SEED)])
+        numTrees=100, maxDepth=depth, featureSubsetStrategy="all", minInstancesPerNode=3, seed=SEED, **DEEP)])
 
 
 def nb_estimators(cols: list[str]) -> dict[str, Pipeline]:
@@ -147,8 +169,7 @@ def lap_estimators(cols: list[str]) -> dict[str, Pipeline]:
     a = _assembler(cols)
     return {
         "lap_linear": Pipeline(stages=[a, LinearRegression(solver="normal", regParam=0.0)]),
-        # the notebook's forest (50 trees, depth 10, sqrt features); the module's is
-        # module_lap_forest, which takes over 6 minutes a fit at sf0.01 on 8 cores
+        # the notebook's forest (50 trees, depth 10, sqrt features); the module's is module_lap_forest
         "lap_forest": Pipeline(stages=[a, RandomForestRegressor(
             numTrees=50, maxDepth=10, featureSubsetStrategy="sqrt",
             minInstancesPerNode=min_instances(5), seed=SEED)]),
@@ -166,7 +187,7 @@ def podium_estimators(cols: list[str], rows: int | None = None) -> dict[str, Pip
         "podium_logistic": Pipeline(stages=[a, LogisticRegression(maxIter=100, weightCol="weight", **penalty)]),
         "podium_forest": Pipeline(stages=[a, RandomForestClassifier(
             numTrees=100, maxDepth=MAX_DEPTH_NONE, minInstancesPerNode=min_instances(5),
-            weightCol="weight", seed=SEED)]),
+            weightCol="weight", seed=SEED, **DEEP)]),
     }
 
 
@@ -194,12 +215,10 @@ def with_probability(pred: DataFrame) -> DataFrame:
                .withColumn("predicted", F.col("prediction") == 1.0)
 
 
-def decode_pole(pred: DataFrame, t: RaceTables) -> DataFrame:
-    """Predicted code -> driverId through the code table fitted on train rows."""
-    base = ft.pole_features(t, scope=TRAIN)
-    codes = base.filter(F.col("season").isin(TRAIN)).select(
-        F.col("driverId").alias("predicted_driverId"), F.col(ft.POLE_Y).cast("double").alias("prediction")
-    ).distinct()
+def decode_pole(pred: DataFrame, features: FeatureModel) -> DataFrame:
+    """Predicted code -> driverId through the codes that the fitted features hold."""
+    codes = features.decoder(pred, "driverId").select(F.col("code").cast("double").alias("prediction"),
+                                                      F.col("value").alias("predicted_driverId"))
     return pred.join(codes, "prediction", "left")  # one row per pole winner
 
 
@@ -221,9 +240,14 @@ def model_comparison(preds: dict[str, DataFrame], base: str = "lap_linear") -> D
     return rows.withColumn("improvement_over_linear", linear - F.col("mse"))
 
 
-def feature_importance(model: PipelineModel, cols: list[str], spark) -> DataFrame:
+def model_features(model: PipelineModel) -> list[str]:
+    """The features a model was fitted on, in order, as its assembler names them."""
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+
+
+def feature_importance(model: PipelineModel, spark) -> DataFrame:
     """Importances (forests) or coefficients (logistic, one row per class), sorted."""
-    last = model.stages[-1]
+    last, cols = model.stages[-1], model_features(model)
     if hasattr(last, "featureImportances"):
         rows = [("importance", None, c, float(v)) for c, v in zip(cols, last.featureImportances.toArray(), strict=True)]
     elif hasattr(last, "models"):  # one-vs-rest
@@ -240,87 +264,90 @@ def feature_importance(model: PipelineModel, cols: list[str], spark) -> DataFram
 
 # --- tuning ----------------------------------------------------------------------------------
 
-def grid_of(estimator, grid: dict[str, list]) -> list[dict]:
-    """Spark's parameter maps of a grid {parameter name: values}."""
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), values)
-    return builder.build()
-
-
-def tune(train: DataFrame, estimator, grid, evaluator, fold_col: str,
-         parallelism: int = 4):
-    """Two-fold cross validation over ``grid`` with a deterministic fold column,
-    then a refit on all training rows with the best parameters."""
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
-                        numFolds=2, foldCol=fold_col, parallelism=parallelism, seed=SEED)
-    return cv.fit(train)
+def grid_points(grid: dict[str, list]) -> list[dict]:
+    """All combinations of a grid {parameter name: values}."""
+    return [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
 
 
 class Tuned:
-    """A tuned model: the cross validation, its grid, the test rows and the features."""
-
-    def __init__(self, cv, grid, larger_is_better: bool, test: DataFrame, cols: list[str]) -> None:
-        self.cv, self.grid, self.test, self.cols = cv, grid, test, cols
-        pick = max if larger_is_better else min
-        self.best = pick(range(len(grid)), key=lambda i: cv.avgMetrics[i])
+    """A tuned model: the mean metric of every point, the refitted model, the test rows and the features."""
 
-    @property
-    def model(self) -> PipelineModel:
-        return self.cv.bestModel
+    def __init__(self, points: list[dict], metrics: list[float], larger_is_better: bool, test: DataFrame, model: PipelineModel,
+                 features: FeatureModel) -> None:
+        self.points, self.metrics, self.test, self.model, self.features = points, metrics, test, model, features
+        self.best = best_of(metrics, larger_is_better)
 
     def params(self, i: int) -> str:
-        return ", ".join(f"{p.name}={v}" for p, v in sorted(self.grid[i].items(), key=lambda x: x[0].name))
+        return ", ".join(f"{k}={v}" for k, v in sorted(self.points[i].items()))
 
     def fitted_params(self) -> str:
         """The tuned parameters as the refitted model itself states them."""
         stage = self.model.stages[-1]
-        return ", ".join(f"{p.name}={stage.getOrDefault(p.name)}" for p in sorted(self.grid[self.best], key=lambda p: p.name))
+        return ", ".join(f"{k}={stage.getOrDefault(k)}" for k in sorted(self.points[self.best]))
+
+
+def best_of(metrics: list[float], larger_is_better: bool) -> int:
+    return (max if larger_is_better else min)(range(len(metrics)), key=lambda i: metrics[i])
+
+
+def search_folder(t: RaceTables, name: str) -> str:
+    """Where a search on this input keeps its finished units, for every application."""
+    return os.path.join(shared_root(t.spark), "search", f"{name}-{input_stamp(t.spark, t.sf_dir, INPUTS)}")
 
 
-def _tune_classes(train: DataFrame, test: DataFrame, cols: list[str], grid: dict[str, list], evaluator) -> Tuned:
-    train = stratified_kfold2(train, "label", ["season", "round", "driverId"])
-    rf = RandomForestClassifier(seed=SEED)
-    maps = grid_of(rf, grid)
-    return Tuned(tune(train, Pipeline(stages=[_assembler(cols), rf]), maps, evaluator, "fold"), maps, True, test, cols)
+def tune(t: RaceTables, name: str, data: Prepared, train: DataFrame, make, grid: dict[str, list], evaluator) -> Tuned:
+    """Two-fold cross validation over ``grid`` with a deterministic fold column, unit by
+    unit (see :mod:`pitwall.plans.search`), then a refit on all training rows with the best point."""
+    train = in_tasks(train)
+    points = grid_points(grid)
+    metrics = Search(t.spark, search_folder(t, name)).run(train, make, points, evaluator)
+    best = best_of(metrics, evaluator.isLargerBetter())
+    return Tuned(points, metrics, evaluator.isLargerBetter(), data.test, make(points[best]).fit(train), data.features)
+
+
+def _tune_classes(t: RaceTables, family: str, name: str, grid: dict[str, list], evaluator) -> Tuned:
+    data = prepared(t, family, weighted=True)
+    train = stratified_kfold2(data.train, "label", ["season", "round", "driverId"])
+    return tune(t, name, data, train, lambda p: Pipeline(stages=[_assembler(data.cols), RandomForestClassifier(seed=SEED, **DEEP, **p)]),
+                grid, evaluator)
 
 
 def tune_podium_forest(t: RaceTables, grid: dict[str, list] = CLASS_GRID) -> Tuned:
     # numBins = 0: the exact area, however many distinct scores there are
-    return _tune_classes(*podium_sets(t), grid, BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0))
+    return _tune_classes(t, "podium", "podium_forest", grid, BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0))
 
 
 def tune_pole_forest(t: RaceTables, grid: dict[str, list] = CLASS_GRID) -> Tuned:
     # Spark's "f1" is weighted by support
-    return _tune_classes(*pole_sets(t), grid, MulticlassClassificationEvaluator(metricName="f1"))
+    return _tune_classes(t, "pole", "pole_forest", grid, MulticlassClassificationEvaluator(metricName="f1"))
 
 
 def tune_lap_forest(t: RaceTables, grid: dict[str, list] = LAP_GRID) -> Tuned:
-    train, test, cols = lap_sets(t)
-    train = kfold2(train, ["season", "round", "driverId", "lap"])
-    rf = RandomForestRegressor(featureSubsetStrategy="all", seed=SEED)
-    maps = grid_of(rf, grid)
-    return Tuned(tune(train, Pipeline(stages=[_assembler(cols), rf]), maps, RegressionEvaluator(metricName="mse"), "fold"),
-                 maps, False, test, cols)
+    data = prepared(t, "lap")
+    train = kfold2(data.train, ["season", "round", "driverId", "lap"])
+    return tune(t, "lap_forest", data, train, lambda p: Pipeline(stages=[_assembler(data.cols), RandomForestRegressor(
+        featureSubsetStrategy="all", seed=SEED, **DEEP, **p)]), grid, RegressionEvaluator(metricName="mse"))
 
 
+TUNERS = {"lap": tune_lap_forest, "pole": tune_pole_forest, "podium": tune_podium_forest}
 _TUNED: dict[tuple[str, str, str], Tuned] = {}
 
 
 def tuned(t: RaceTables, family: str) -> Tuned:
-    """The tuned model of a family, fitted once per application and input, and saved."""
-    key = (t.spark.sparkContext.applicationId, input_stamp(t.spark, t.sf_dir, INPUTS), family)
+    """The tuned model of a family, fitted once per application and input, and saved (S17) with its
+    parameters and metric."""
+    stamp = input_stamp(t.spark, t.sf_dir, INPUTS)
+    key = (t.spark.sparkContext.applicationId, stamp, family)
     if key not in _TUNED:
-        make = {"lap": lambda: tune_lap_forest(t, LAP_GRID_SMALL), "pole": lambda: tune_pole_forest(t),
-                "podium": lambda: tune_podium_forest(t)}[family]
-        _TUNED[key] = make()
-        save_model(_TUNED[key].model, model_root(t.spark), f"tuned_{family}_{key[1]}")
+        found = _TUNED[key] = TUNERS[family](t)
+        ModelRegistry(t.spark).save(complete(found.features, found.model), f"tuned_{family}", stamp,
+                                    found.points[found.best], {"cv": found.metrics[found.best]})
     return _TUNED[key]
 
 
 def tuning_table(found: Tuned, name: str, spark) -> DataFrame:
     """One row per parameter map with its mean fold metric; the best is flagged."""
-    rows = [(name, found.params(i), float(m), i == found.best) for i, m in enumerate(found.cv.avgMetrics)]
+    rows = [(name, found.params(i), float(m), i == found.best) for i, m in enumerate(found.metrics)]
     return spark.createDataFrame(rows, "model string, params string, metric double, best boolean")
 
 
@@ -343,55 +370,30 @@ def training_summary(t: RaceTables) -> DataFrame:
     return line("lap", laps).unionByName(line("pole", poles)).unionByName(line("podium", podiums))
 
 
-# --- persistence (S17, S18) ----------------------------------------------------------------
-
-def save_model(model: PipelineModel, root: str, name: str) -> str:
-    """Timestamped folder name, so the latest sorts last."""
-    path = os.path.join(root, f"{name}_{time.strftime('%Y%m%d_%H%M%S')}_{time.time_ns() % 10**9:09d}")
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_latest(spark, root: str, prefix: str) -> PipelineModel:
-    """List the model folder, take the last name with the prefix, load it."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        raise FileNotFoundError(root)
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                   if s.getPath().getName().startswith(prefix))
-    if not names:
-        raise FileNotFoundError(f"no model with prefix {prefix} in {root}")
-    return PipelineModel.load(os.path.join(root, names[-1]))
-
-
-_MODEL_ROOTS: dict[str, str] = {}
-
-
-def model_root(spark) -> str:
-    """This application's model folder below the shared checkpoint folder."""
-    app = spark.sparkContext.applicationId
-    if app not in _MODEL_ROOTS:
-        _MODEL_ROOTS[app] = scratch_path(spark, "models")
-    return _MODEL_ROOTS[app]
-
+# --- stored models (S17, S18) ---------------------------------------------------------------
 
 def trained_podium_model(t: RaceTables, name: str = "podium_forest") -> PipelineModel:
-    """The latest saved podium model; fitted and saved first if there is none yet
-    (train once, then every report loads the latest, as the reference's scripts do)."""
-    root = model_root(t.spark)
-    prefix = f"{name}_{input_stamp(t.spark, t.sf_dir, INPUTS)}"
+    """The latest saved podium model for this input, features included; fitted and saved first if
+    there is none yet (train once, then every report loads the latest, in any application)."""
+    registry, stamp = ModelRegistry(t.spark), input_stamp(t.spark, t.sf_dir, INPUTS)
     try:
-        return load_latest(t.spark, root, prefix + "_")
+        return registry.latest(name, stamp)
     except FileNotFoundError:
-        train, _, cols = podium_sets(t)
-        model = podium_estimators(cols, train.count())[name].fit(train)
-        save_model(model, root, prefix)
-        return model
+        data = prepared(t, "podium", weighted=True)
+        train = in_tasks(data.train)
+        fitted = podium_estimators(data.cols, train.count())[name].fit(train)
+        registry.save(complete(data.features, fitted), name, stamp, {"seasons": TRAIN})
+        return registry.latest(name, stamp)
+
+
+def score_podium(model: PipelineModel, t: RaceTables, seasons: list[int], latest_round: bool = False) -> DataFrame:
+    """A stored model on the entries of some seasons (or of their last races): no training row is read."""
+    rows = ft.podium_inputs(t).filter(F.col("season").isin(list(seasons)))
+    if latest_round:
+        last = t.races.filter(F.col("season").isin(list(seasons))).groupBy("season").agg(F.max("round").alias("round"))
+        rows = rows.join(last, ["season", "round"], "left_semi")
+    return with_probability(model.transform(rows))
 
 
 def podium_test_predictions(t: RaceTables, name: str = "podium_forest") -> DataFrame:
-    model = trained_podium_model(t, name)
-    _, test, _ = podium_sets(t, weighted=False)
-    return with_probability(model.transform(test))
+    return score_podium(trained_podium_model(t, name), t, TEST)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pitwall.plans import evaluate as ev
 from pitwall.plans import models as md
 from pitwall.plans.base_tables import RaceTables
+from pitwall.plans.registry import ModelRegistry
+from pitwall.plans.search import Search
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +35,7 @@ def podiums(tables):
 
 @pytest.fixture(scope="module")
 def poles(tables):
-    return md.pole_sets(tables)
+    return md.prepared(tables, "pole", weighted=True)
 
 
 def _beats_mean(train, test, pipeline):
@@ -86,22 +88,22 @@ def test_podium_models(spark, podiums, name):
     assert 0.0 <= bounds["lo"] <= bounds["hi"] <= 1.0
     top = ev.predicted_top3(pred).groupBy("season", "round").count()
     assert top.filter("count > 3").count() == 0
-    root = md.model_root(spark)
-    md.save_model(model, root, f"t_{name}")
-    again = md.load_latest(spark, root, f"t_{name}_")
+    registry = ModelRegistry(spark)
+    registry.save(model, f"t_{name}")
+    again = registry.latest(f"t_{name}")
     assert sorted(r["p"] for r in md.with_probability(again.transform(test)).collect()) == sorted(r["p"] for r in pred.collect())
-    assert md.feature_importance(model, cols, spark).count() == len(cols)
+    assert md.feature_importance(model, spark).count() == len(cols)
 
 
 @pytest.mark.parametrize("name", ["pole_logistic", "pole_one_vs_rest", "pole_forest"])
 def test_pole_models(spark, tables, poles, name):
-    train, test, cols = poles
+    train, test, cols, features = poles
     model = md.pole_estimators(cols, train.count())[name].fit(train)
     pred = model.transform(test)
     classes = {r["label"] for r in train.select("label").distinct().collect()}
     assert {r["prediction"] for r in pred.collect()} <= classes
-    assert md.decode_pole(pred, tables).filter("predicted_driverId is null").count() == 0
-    rows = md.feature_importance(model, cols, spark).collect()
+    assert md.decode_pole(pred, features).filter("predicted_driverId is null").count() == 0
+    rows = md.feature_importance(model, spark).collect()
     if name == "pole_forest":
         assert len(rows) == len(cols)
     else:
@@ -143,3 +145,37 @@ def test_a_lap_grid_of_two_points(spark, tables):
     found = md.tune_lap_forest(tables, {"numTrees": [2], "maxDepth": [1, 3]})
     rows = md.tuning_table(found, "lap", spark).collect()
     assert next(r for r in rows if r["best"])["metric"] == min(r["metric"] for r in rows)
+
+
+def test_module_lap_grid():
+    assert md.MODULE_LAP_GRID["minInstancesPerNode"] == sorted({max(leaf, md.min_instances(split)) for split in (2, 5) for leaf in (1, 2)})
+    assert (md.MODULE_LAP_GRID["numTrees"], md.MODULE_LAP_GRID["maxDepth"]) == ([50, 100], [10, 20])
+    assert len(md.grid_points(md.MODULE_LAP_GRID)) == 12 and len(md.grid_points(md.MODULE_CLASS_GRID)) == 36
+
+
+def test_a_search_that_was_stopped_fits_only_what_is_missing(spark, podiums, tmp_path):
+    train, _, cols = podiums
+    train = train.withColumn("fold", (F.col("round") % 2).cast("int"))
+    fits = []
+
+    class Stopped(Exception):
+        pass
+
+    def make(point, stop_after=None):
+        if stop_after is not None and len(fits) >= stop_after:
+            raise Stopped
+        fits.append(point)
+        return md.Pipeline(stages=[md._assembler(cols), md.RandomForestClassifier(seed=1, **point)])
+
+    points = md.grid_points({"numTrees": [2, 3], "maxDepth": [2, 3]})
+    score = md.BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+    search = Search(spark, str(tmp_path / "search"))
+    with pytest.raises(Stopped):
+        search.run(train, lambda p: make(p, 3), points, score, parallelism=1)
+    assert len(fits) == 3 and search.finished().count() == 3
+    # a unit whose writer died half-way counts as missing
+    (tmp_path / "search" / f"{Search.unit(points[2], 1)}.json").write_text('{"point":')
+    got = Search(spark, str(tmp_path / "search")).run(train, make, points, score)
+    assert len(fits) == 8 and search.finished().count() == 8
+    assert got == Search(spark, str(tmp_path / "other")).run(train, make, points, score)
+    assert got == search.run(train, lambda p: make(p, 0), points, score)
