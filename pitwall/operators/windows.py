@@ -4,11 +4,16 @@ Ranking inside a group is a Spark window.  A plain window sends a whole
 group to one task, which is fine for a (race, driver) group but not for a
 race, a season, or a (race, lap) group that may hold a large share of all
 rows.  For those, :func:`row_number_by` / :func:`rank_by` take ordered
-*slices*: columns that are monotone in the sort order.  Rows are counted
-per (group, slice) with a map-side partial aggregate, a running sum over
-that small table gives each slice its offset, and the window then runs per
-(group, slice).  The result is identical to the plain window, but no task
-holds more than one slice.
+*slices*: columns that are monotone in the sort order.  The rows are dealt by
+(group, slice) once.  That one exchange feeds two branches: the window that
+numbers the rows of each slice, and the count of each slice, whose running
+sum over a small table is the slice's offset.  The offsets are joined back on
+(group, slice), by which the rows are dealt already.  So the input is read
+once and its rows are shuffled once; the result is identical to the plain
+window, but no task holds more than one slice.
+
+An exchange is shared only while both branches ask it for the same columns,
+so the count refers to all of them; pass frames of just the columns needed.
 
 Slice rule: the slice columns, compared left to right, must never decrease
 along the sort order.  A second slice column is therefore only valid when
@@ -62,24 +67,26 @@ def prefix_slice(key: Key, length: int) -> Column:
 def _sliced(df: DataFrame, group: list[str], order_cols: list[Column], out: str, fn,
             slices: list[Column], total: str | None) -> DataFrame:
     names = [f"__slice{i}" for i in range(len(slices))]
-    sliced = df.withColumns(dict(zip(names, slices)))
-    counts = sliced.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("__n"))
+    dealt = df.withColumns(dict(zip(names, slices))).repartition(*group, *names)
+    # one for each row, and a use of every column: the exchange stays the same as the window's
+    one = F.pmod(F.xxhash64(*dealt.columns), F.lit(1)) + 1
+    counts = dealt.groupBy(*group, *names).agg(F.sum(one).alias("__n"))
     whole = Window.partitionBy(*group)
     before = whole.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *[F.col(c).alias(f"__o_{c}") for c in group + names],
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
         F.sum("__n").over(whole).alias("__total"))
+    w = Window.partitionBy(*group, *names).orderBy(*order_cols)
+    local = dealt.withColumn("__local", fn().over(w))
     cond = None
     for c in group + names:
-        e = sliced[c].eqNullSafe(offsets[f"__o_{c}"])
+        e = local[c].eqNullSafe(offsets[f"__o_{c}"])
         cond = e if cond is None else cond & e
-    joined = sliced.join(offsets, cond, "inner")
-    w = Window.partitionBy(*group, *names).orderBy(*order_cols)
-    res = joined.withColumn(out, (F.col("__off") + fn().over(w)).cast("int"))
+    res = local.join(offsets, cond, "inner").withColumn(out, (F.col("__off") + F.col("__local")).cast("int"))
     if total:
         res = res.withColumn(total, F.col("__total"))
-    return res.drop(*names, "__off", "__total", *[f"__o_{c}" for c in group + names])
+    return res.drop(*names, "__local", "__off", "__total", *[f"__o_{c}" for c in group + names])
 
 
 def _ranked(df: DataFrame, group: list[str], order: list[Key], out: str, fn,

@@ -85,6 +85,7 @@ def format_ms(ms: Column) -> Column:
 
 def lap_times_from(lp: DataFrame) -> DataFrame:
     # (race, lap) groups hold every driver of a race: slice by 512 ms of lap time.
+    lp = lp.select("season", "round", "lap", "driverId", "lap_ms")
     ranked = rank_by(lp, ["season", "round", "lap"], [Key("lap_ms"), Key("driverId")],
                      "position", slices=[numeric_slice(Key("lap_ms"), 512)])
     return ranked.select("season", "round", "driverId", "lap", "position",
@@ -135,6 +136,7 @@ def qualifying_from(e: DataFrame) -> DataFrame:
     order = [Key("q3", nulls_last=True), Key("q2", nulls_last=True),
              Key("q1", nulls_last=True), Key("driverId")]
     # A race holds all its entries: slice by 256 ms of q3 (missing q3 last).
+    e = e.select(*ENTRY, "constructorId", "q1", "q2", "q3")
     out = row_number_by(e, RACE, order, "position",
                         slices=[numeric_slice(order[0], 256)])
     return out.select("season", "round", "driverId", "constructorId", "position",
@@ -147,6 +149,7 @@ def race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def race_results_from(e: DataFrame) -> DataFrame:
+    e = e.select(*ENTRY, "constructorId", "avg_ms", "n")
     ranked = row_number_by(e, RACE, [Key("avg_ms"), Key("driverId")], "pos",
                            slices=[numeric_slice(Key("avg_ms"), 256)])
     pos, n = F.col("pos"), F.col("n")
