@@ -1082,9 +1082,9 @@ def q_incomplete_laps(t):
 
 # Partitioned scans and sinks on the conformed store
 
-def _store_root(t):
-    from pitwall.sources.conform import conformed_root
-    return conformed_root(t.spark, t.sf_dir)
+def _located(t, name: str) -> tuple[str, str]:
+    from pitwall.sources.conform import located
+    return located(t.spark, t.sf_dir, name)
 
 
 @query("scan_season", """
@@ -1101,11 +1101,10 @@ def q_scan_season(t):
     """The nine tables of one season (partition-pruned); an absent table is empty."""
     from pitwall import schemas
     from pitwall.sources.tables import scan_table
-    root = _store_root(t)
-    named = {n: scan_table(t.spark, root, n, schemas.CONFORMED[n], seasons=[1997])
+    named = {n: scan_table(t.spark, *_located(t, n), schemas.CONFORMED[n], seasons=[1997])
              for n in ("race_results", "qualifying", "lap_times", "pit_stops", "driver_standings",
                        "constructor_standings", "weather", "races")}
-    absent = scan_table(t.spark, root, "no_such_table", schemas.CONFORMED["races"], seasons=[1997])
+    absent = scan_table(t.spark, _located(t, "races")[0], "no_such_table", schemas.CONFORMED["races"], seasons=[1997])
     return ag.table_counts({**named, "no_such_table": absent})
 
 
@@ -1114,7 +1113,7 @@ def q_scan_multi_season(t):
     """One scan over a season list (partition filter), no per-season loop."""
     from pitwall import schemas
     from pitwall.sources.tables import scan_table
-    return scan_table(t.spark, _store_root(t), "race_results", schemas.CONFORMED["race_results"],
+    return scan_table(t.spark, *_located(t, "race_results"), schemas.CONFORMED["race_results"],
                       seasons=TRAIN_SEASONS).select(*schemas.CONFORMED["race_results"].fieldNames())
 
 
@@ -1123,7 +1122,7 @@ def q_scan_projected(t):
     """S3: a projected scan: only the listed columns are read."""
     from pitwall import schemas
     from pitwall.sources.tables import scan_table
-    return scan_table(t.spark, _store_root(t), "pit_stops", schemas.CONFORMED["pit_stops"],
+    return scan_table(t.spark, *_located(t, "pit_stops"), schemas.CONFORMED["pit_stops"],
                       columns=["season", "round", "driverId", "lap"])
 
 

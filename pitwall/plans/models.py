@@ -19,6 +19,7 @@ quality, never value by value.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import os
@@ -50,6 +51,8 @@ from pitwall.sources.conform import INPUTS
 TRAIN = [1995, 1996, 1997, 1998, 1999]
 TEST = [2000, 2001]
 SEED = 42
+#: Raise it when recipes or estimators change, so that stored models and searches of before don't count.
+VERSION = 1
 MAX_DEPTH_NONE = 30
 
 # The reference's grids, in Spark's names (None -> MAX_DEPTH_NONE; a leaf
@@ -290,9 +293,15 @@ def best_of(metrics: list[float], larger_is_better: bool) -> int:
     return (max if larger_is_better else min)(range(len(metrics)), key=lambda i: metrics[i])
 
 
-def search_folder(t: RaceTables, name: str) -> str:
-    """Where a search on this input keeps its finished units, for every application."""
-    return os.path.join(shared_root(t.spark), "search", f"{name}-{input_stamp(t.spark, t.sf_dir, INPUTS)}")
+def search_folder(t: RaceTables, name: str, cols: list[str]) -> str:
+    """Where a search on this input, these features and seasons keeps its finished units, for every application."""
+    setting = hashlib.md5(repr((cols, TRAIN, SEED, VERSION)).encode()).hexdigest()[:8]
+    return os.path.join(shared_root(t.spark), "search", f"{name}-{model_stamp(t)}-{setting}")
+
+
+def model_stamp(t: RaceTables) -> str:
+    """What a stored model or a finished unit of a search was fitted on."""
+    return f"{input_stamp(t.spark, t.sf_dir, INPUTS)}-{VERSION}"
 
 
 def tune(t: RaceTables, name: str, data: Prepared, train: DataFrame, make, grid: dict[str, list], evaluator) -> Tuned:
@@ -300,7 +309,7 @@ def tune(t: RaceTables, name: str, data: Prepared, train: DataFrame, make, grid:
     unit (see :mod:`pitwall.plans.search`), then a refit on all training rows with the best point."""
     train = in_tasks(train)
     points = grid_points(grid)
-    metrics = Search(t.spark, search_folder(t, name)).run(train, make, points, evaluator)
+    metrics = Search(t.spark, search_folder(t, name, data.cols)).run(train, make, points, evaluator)
     best = best_of(metrics, evaluator.isLargerBetter())
     return Tuned(points, metrics, evaluator.isLargerBetter(), data.test, make(points[best]).fit(train), data.features)
 
@@ -336,7 +345,7 @@ _TUNED: dict[tuple[str, str, str], Tuned] = {}
 def tuned(t: RaceTables, family: str) -> Tuned:
     """The tuned model of a family, fitted once per application and input, and saved (S17) with its
     parameters and metric."""
-    stamp = input_stamp(t.spark, t.sf_dir, INPUTS)
+    stamp = model_stamp(t)
     key = (t.spark.sparkContext.applicationId, stamp, family)
     if key not in _TUNED:
         found = _TUNED[key] = TUNERS[family](t)
@@ -375,7 +384,7 @@ def training_summary(t: RaceTables) -> DataFrame:
 def trained_podium_model(t: RaceTables, name: str = "podium_forest") -> PipelineModel:
     """The latest saved podium model for this input, features included; fitted and saved first if
     there is none yet (train once, then every report loads the latest, in any application)."""
-    registry, stamp = ModelRegistry(t.spark), input_stamp(t.spark, t.sf_dir, INPUTS)
+    registry, stamp = ModelRegistry(t.spark), model_stamp(t)
     try:
         return registry.latest(name, stamp)
     except FileNotFoundError:

@@ -2,13 +2,14 @@
 
 import json
 import os
+import shutil
 import types
 
 import pytest
 
 from pitwall import session
 from pitwall.plans.base_tables import joined_grid
-from pitwall.sources import conform, landed
+from pitwall.sources import commit, conform, landed
 from pitwall.streaming.ingest import LAP_KEY, upsert_batch
 
 SF = "/root/testdata/sf0.001"
@@ -41,12 +42,67 @@ def test_one_machine_may_use_a_temporary_folder():
     assert os.path.isdir(session.ensure_checkpoint_dir(_fake("local[8]")))
 
 
-def test_tables_are_written_when_asked_for(spark):
-    own = conform.Store(spark, SF)
+def test_tables_are_written_when_asked_for(spark, tmp_path):
+    own = conform.Store(spark, SF, str(tmp_path / "store"))
     assert own.table("races").count() > 0
-    assert own._done == {"races", "entries", "laps"}
+    assert set(own._done) == {"races", "entries", "laps"}
     own.all_tables()
-    assert own._done == set(conform.TABLES)
+    assert set(own._done) == set(conform.TABLES)
+
+
+def test_a_second_store_reuses_what_is_published_and_nothing_else(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    first = conform.Store(spark, SF, root)
+    path, rows = first.located("races"), first.table("races").count()
+    # a writer that died: files without a manifest
+    shutil.copytree(path, os.path.join(root, "weather-dead"))
+    monkeypatch.setitem(conform.RECIPES, "races", ((), None))
+    again = conform.Store(spark, SF, root)
+    assert again.buckets == first.buckets and again.located("races") == path and again.table("races").count() == rows
+    assert again.table("weather").columns[-1] == "season" and again.located("weather") != os.path.join(root, "weather-dead")
+    # a manifest cut short counts as none
+    os.remove(os.path.join(root, "circuits.json")) if os.path.exists(os.path.join(root, "circuits.json")) else None
+    with open(os.path.join(root, "circuits.json"), "w") as f:
+        f.write('{"data": ')
+    assert commit.manifest(spark, root, "circuits") is None
+
+
+def test_two_writers_publish_one_table(spark, tmp_path):
+    folder = str(tmp_path / "p")
+
+    def slow(path):
+        # another application is done first
+        commit.publish(spark, folder, "t", lambda other: spark.range(2).write.parquet(other))
+        spark.range(5).write.parquet(path)
+
+    found = commit.publish(spark, folder, "t", slow)
+    assert spark.read.parquet(found["path"]).count() == 2
+    assert sorted(n for n in os.listdir(folder) if n.startswith("t")) == sorted(["t.json", os.path.basename(found["path"])])
+
+
+def exchanges(df):
+    """Exchanges of the final plan, by the scan they are fed from: (keys, tables below)."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+
+
+def test_stored_facts_are_joined_and_windowed_where_they_lie(spark, tmp_path):
+    from pitwall.operators.windows import ENTRY, add_lags
+    from pitwall.plans import base_tables as bt
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no fact were small
+    try:
+        own = conform.Store(spark, SF, str(tmp_path / "store"))
+        laps, pits, results, quali = (own.table(n) for n in ("lap_times", "pit_stops", "race_results", "qualifying"))
+        joined = laps.join(pits.drop("stop"), ["season", "round", "driverId", "lap"], "left")
+        assert exchanges(joined) == []
+        assert exchanges(add_lags(joined, {"time": [(1, "before")]}, ENTRY, "lap")) == []
+        assert exchanges(bt.joined_grid(results, quali.select(*ENTRY, "q3"))) == []
+        plain = spark.read.parquet(own.located("lap_times")).join(
+            spark.read.parquet(own.located("pit_stops")).drop("stop"), ["season", "round", "driverId", "lap"], "left")
+        assert sorted(map(str, joined.collect())) == sorted(map(str, plain.select(*joined.columns).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_changed_input_gets_another_stamp(spark, tmp_path):

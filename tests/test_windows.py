@@ -102,3 +102,20 @@ def test_builders_run_no_job(spark):
         assert not list(tracker.getJobIdsForGroup("builders"))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_numbering_reads_its_input_once(spark, tmp_path):
+    """One scan and one exchange of the rows feed the ranks and the counts of the slices."""
+    spark.range(5000).selectExpr("cast(id % 7 as int) season", "cast(id % 50 as double) x", "id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = row_number_by(df, ["season"], [Key("x"), Key("id")], "pos", slices=[numeric_slice(Key("x"), 5.0)], total="n")
+    rows = sorted(tuple(r) for r in out.select("season", "x", "id", "pos", "n").collect())
+    want = []
+    for s in range(7):
+        own = sorted((float(i % 50), i) for i in range(5000) if i % 7 == s)
+        want += [(s, x, i, k, len(own)) for k, (x, i) in enumerate(own, 1)]
+    assert rows == sorted(want)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1 or plan.count("ReusedExchange") == 1
+    assert plan.count("ReusedExchange") >= 1
