@@ -994,6 +994,48 @@ def q_flatten_laps(t):
     return _ld().flatten_laps(_pages(t, "laps"))
 
 
+def _spoilt_laps(t):
+    """Lap pages with broken copies among them, landed and judged."""
+    from pitwall.session import scratch_path
+    ld = _ld()
+    path = scratch_path(t.spark, "spoilt")
+    ld.spoilt(ld.read_lines(t.spark, ld.landed_paths(t)["laps"])).write.text(path)
+    return ld.judged(ld.read_lines(t.spark, path))
+
+
+@query("landed_rejects", """
+with pages as (select distinct season, round, lap, (position - 1) // 100 as page from lap_times)
+select reason, cast(count(*) as bigint) as pages from (
+  select 'page' as reason from pages
+  union all select 'malformed' from pages where lap % 10 = 0
+  union all select 'no RaceTable' from pages where lap % 5 = 0 and lap % 10 <> 0) x group by reason""")
+def q_landed_rejects(t):
+    """Every landed line is a page or a reject with its reason."""
+    return _spoilt_laps(t).groupBy(F.coalesce("reason", F.lit("page")).alias("reason")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query("quarantined_laps", "select * from lap_times")
+def q_quarantined_laps(t):
+    """S7 + S13: the laps of the whole pages among broken ones."""
+    ld = _ld()
+    return ld.flatten_laps(ld.good_pages(_spoilt_laps(t)))
+
+
+@query("results_official_grid", f"""
+select rr.season, rr.round, rr.driverId, q.position + case when q.position % 7 = 0 then 5 else 0 end as grid_official,
+  cast(q.position as double) as grid, coalesce(try_cast(rr.position as double) in (1, 2, 3), false) as on_podium,
+  {_fmt_ms('q.q3')} as qual_q3
+from race_results rr left join qualifying q on q.season = rr.season and q.round = rr.round and q.driverId = rr.driverId""")
+def q_results_official_grid(t):
+    """A results table with a starting grid of its own (five places lost by every seventh qualifier)."""
+    q = t.qualifying.select("season", "round", "driverId", F.col("position").cast("double").alias("grid"),
+                            bt.fx.format_ms(F.col("q3")).alias("qual_q3"))
+    penalty = F.when(F.col("position") % 7 == 0, 5).otherwise(0)
+    official = t.qualifying.select("season", "round", "driverId", (F.col("position") + penalty).alias("grid"))
+    results = jn.left_join(t.race_results, official, ["season", "round", "driverId"])
+    return bt.joined_grid(results, q).select("season", "round", "driverId", "grid_official", "grid", "on_podium", "qual_q3")
+
+
 @query("merge_pages", "select * from lap_times")
 def q_merge_pages(t):
     ld = _ld()
@@ -1140,13 +1182,17 @@ def q_sink_roundtrip(t):
 
 @query("incremental_seasons", "select * from race_results")
 def q_incremental_seasons(t):
-    """Land seasons up to 1998, then append only the seasons not yet landed."""
+    """Land seasons up to 1998, let a writer die in 1999, then append what has not landed."""
+    import os
+
     from pitwall import schemas
     from pitwall.session import scratch_path
-    from pitwall.sources.tables import incremental_append, scan_table, write_table
+    from pitwall.sources.tables import incremental_append, scan_table
     sch = schemas.CONFORMED["race_results"]
     root = scratch_path(t.spark, "incremental")
-    write_table(t.race_results.filter(F.col("season") <= 1998), root, "race_results")
+    incremental_append(t.spark, t.race_results.filter(F.col("season") <= 1998), root, "race_results", sch)
+    half = t.race_results.filter((F.col("season") == 1999) & (F.col("round") <= 6)).drop("season")
+    half.write.parquet(os.path.join(root, "race_results", "season=1999"))  # no marker
     incremental_append(t.spark, t.race_results, root, "race_results", sch)
     return scan_table(t.spark, root, "race_results", sch).select(*sch.fieldNames())
 
@@ -1415,6 +1461,25 @@ def q_stream_landed_laps(t):
     return ingested_laps(t.spark, pages, scratch_path(t.spark, "stream"))
 
 
+@query("stream_rejects", """
+with pages as (select distinct season, round, lap, (position - 1) // 100 as page from lap_times)
+select reason, cast(count(*) as bigint) as pages from (
+  select 'malformed' as reason from pages where lap % 10 = 0
+  union all select 'no RaceTable' from pages where lap % 5 = 0 and lap % 10 <> 0) x group by reason""")
+def q_stream_rejects(t):
+    """S13 as a stream: broken pages go to a rejects table, batch by batch."""
+    import os
+
+    from pitwall.session import scratch_path
+    from pitwall.streaming.ingest import ingested_laps, rejected
+    ld = _ld()
+    root = scratch_path(t.spark, "stream")
+    pages = os.path.join(root, "pages")
+    ld.spoilt(ld.read_lines(t.spark, ld.landed_paths(t)["laps"])).write.text(pages)
+    ingested_laps(t.spark, pages, root)
+    return rejected(t.spark, root).groupBy("reason").agg(F.count(F.lit(1)).alias("pages"))
+
+
 
 
 # --- remaining section 2 keys -------------------------------------------------------------

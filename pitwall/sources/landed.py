@@ -74,6 +74,54 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEM
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+# --- quarantine (S4-S13) --------------------------------------------------------------
+
+#: Column of a text that is not one whole JSON document.
+BROKEN = "_corrupt_record"
+
+
+def judged(lines: DataFrame, table: str = "RaceTable", schema: T.StructType = PAGE_SCHEMA) -> DataFrame:
+    """Landed lines (``value``, ``file``) with the parsed page and the reason it is rejected for, if any.
+
+    ``malformed``: not a whole JSON document; ``no <table>``: it lacks the table it was asked
+    for; ``no race key``: a race in it has no season or round.  Nothing disappears: each line is
+    a page or a reject.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    page = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    out = lines.withColumn("page", page)
+    inside = F.col(f"page.MRData.{table}")
+    reason = F.when(F.col("page").isNull() | F.col(f"page.{BROKEN}").isNotNull(), F.lit("malformed")).when(inside.isNull(), F.lit(f"no {table}"))
+    if table == "RaceTable":
+        keyless = F.exists(F.coalesce(inside["Races"], F.array().cast(_arr(RACE))), lambda r: r["season"].isNull() | r["round"].isNull())
+        reason = reason.when(keyless, F.lit("no race key"))
+    return out.withColumn("reason", reason)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a folder of landed pages, as they came, with their file."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def good_pages(lines: DataFrame) -> DataFrame:
+    """The pages among judged lines, as the flatteners take them."""
+    return lines.filter(F.col("reason").isNull()).select("page.MRData")
+
+
+def rejects(lines: DataFrame) -> DataFrame:
+    """The rejected lines: file, reason and the text as it came."""
+    return lines.filter(F.col("reason").isNotNull()).select("file", "reason", F.col("value").alias("text"))
+
+
+def spoilt(lines: DataFrame) -> DataFrame:
+    """Landed lap pages with broken copies beside them, as failed requests leave them: of laps
+    divisible by ten the first half of the text, of the other multiples of five a page without its table."""
+    lap = F.get_json_object("value", "$.MRData.RaceTable.Races[0].Laps[0].number").cast("int")
+    copies = F.array(F.col("value"), F.when(lap % 10 == 0, F.expr("left(value, length(value) div 2)")).when(
+        lap % 5 == 0, F.lit('{"MRData":{"limit":"100"}}')))
+    return lines.select(F.explode(F.filter(copies, lambda c: c.isNotNull())).alias("value"))
+
+
 # --- flatteners ---------------------------------------------------------------------
 
 def _s(c: str | Column) -> Column:

@@ -4,7 +4,9 @@ New page files arriving in a folder are picked up by a file stream, run
 with ``availableNow`` (process everything present, then stop; rerun to pick
 up what landed since).  Each micro-batch is flattened, de-duplicated within
 itself, and anti-joined against the rows already written for the races
-it touches, so overlapping pages never produce duplicate rows.  No
+it touches, so overlapping pages never produce duplicate rows.  Lines that
+are no whole page go to a rejects table, one folder per micro-batch, which a
+repeated batch replaces.  No
 streaming de-duplication state is kept: the state would grow with every
 key ever seen, while the anti join reads only the partitions of the
 races in the batch.
@@ -17,7 +19,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.sources.landed import PAGE_SCHEMA, flatten_laps
+from pitwall.sources.landed import flatten_laps, good_pages, judged, rejects
 
 LAP_KEY = ["season", "round", "driverId", "lap"]
 
@@ -48,13 +50,22 @@ def upsert_batch(batch: DataFrame, out: str, key: list[str]) -> None:
 
 
 def ingest_laps(spark: SparkSession, pages_dir: str, out: str, checkpoint: str,
-                files_per_batch: int = 64) -> None:
+                files_per_batch: int = 64, rejects_dir: str | None = None) -> None:
     """Run the lap-page stream once over everything landed so far."""
-    stream = (spark.readStream.schema(PAGE_SCHEMA)
-              .option("maxFilesPerTrigger", files_per_batch).json(pages_dir))
-    flat = flatten_laps(stream)
-    q = (flat.writeStream
-         .foreachBatch(lambda df, _epoch: upsert_batch(df, out, LAP_KEY))
+    stream = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(pages_dir)
+              .select("value", F.col("_metadata.file_path").alias("file")))
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        lines = judged(batch).persist()
+        try:
+            upsert_batch(flatten_laps(good_pages(lines)), out, LAP_KEY)
+            if rejects_dir:
+                rejects(lines).write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={epoch}"))
+        finally:
+            lines.unpersist()
+
+    q = (stream.writeStream
+         .foreachBatch(take)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
@@ -63,5 +74,10 @@ def ingest_laps(spark: SparkSession, pages_dir: str, out: str, checkpoint: str,
 
 def ingested_laps(spark: SparkSession, pages_dir: str, root: str) -> DataFrame:
     out = os.path.join(root, "lap_times")
-    ingest_laps(spark, pages_dir, out, os.path.join(root, "_checkpoint"))
+    ingest_laps(spark, pages_dir, out, os.path.join(root, "_checkpoint"), rejects_dir=os.path.join(root, "rejects"))
     return spark.read.parquet(out).select("season", "round", "driverId", "lap", "position", "time")
+
+
+def rejected(spark: SparkSession, root: str) -> DataFrame:
+    """The rejects of all batches below ``root``."""
+    return spark.read.schema("file string, reason string, text string, batch long").parquet(os.path.join(root, "rejects"))

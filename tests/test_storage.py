@@ -67,6 +67,59 @@ def test_a_second_store_reuses_what_is_published_and_nothing_else(spark, tmp_pat
     assert commit.manifest(spark, root, "circuits") is None
 
 
+RESULTS = "season int, round int, driverId string"
+
+
+def test_a_half_written_season_is_completed_by_the_next_append(spark, tmp_path):
+    from pyspark.sql import types as T
+    from pitwall.sources import tables
+    schema = T._parse_datatype_string(RESULTS)
+    root, rows = str(tmp_path), [(s, r, f"D{d}") for s in (1999, 2000, 2001) for r in (1, 2) for d in range(5)]
+    new = spark.createDataFrame([*rows, (None, 1, "D9")], RESULTS)
+    read = lambda **k: sorted(tuple(r) for r in tables.scan_table(spark, root, "t", schema, **k).select("season", "round", "driverId").collect())
+    assert read() == []
+    out = tables.incremental_append(spark, new.filter("season = 1999"), root, "t", schema)
+    assert out.count() == 10 and read() == rows[:10]
+    # a writer dies: staged rows, one season half in place without its marker, one marker cut short
+    new.filter("season = 2000 and round = 1").drop("season").write.parquet(str(tmp_path / "t" / "season=2000"))
+    new.filter("season = 2001").drop("season").write.parquet(str(tmp_path / "t" / "season=2001"))
+    (tmp_path / "t" / "_committed" / "2001.json").write_text('{"sea')
+    new.write.partitionBy("season").parquet(str(tmp_path / "t" / "_staged-dead"))
+    assert read() == rows[:10] and tables.committed(spark, root, "t") == [1999]
+    again = tables.incremental_append(spark, new, root, "t", schema)
+    assert sorted({r["season"] for r in again.collect()}) == [2000, 2001]
+    assert read() == rows and read(seasons=[2000]) == rows[10:20]
+    assert tables.incremental_append(spark, new, root, "t", schema).count() == 0 and read() == rows
+
+
+def test_seasons_of_a_whole_table_count_as_landed(spark, tmp_path):
+    from pyspark.sql import types as T
+    from pitwall.sources import tables
+    schema, root = T._parse_datatype_string(RESULTS), str(tmp_path)
+    tables.write_table(spark.createDataFrame([(1999, 1, "a")], RESULTS), root, "t")
+    tables.incremental_append(spark, spark.createDataFrame([(1999, 2, "b"), (2000, 1, "c")], RESULTS), root, "t", schema)
+    assert sorted(r["driverId"] for r in tables.scan_table(spark, root, "t", schema).collect()) == ["a", "c"]
+
+
+def test_broken_lines_are_kept_with_their_reason(spark, tmp_path):
+    whole = json.dumps(race_page(Laps=[{"number": "1", "Timings": [{"driverId": "max", "position": "1", "time": "1:30.0"}]}]))
+    keyless = json.dumps({"MRData": {"RaceTable": {"Races": [{"raceName": "x"}]}}})
+    lines = [whole, whole[:len(whole) // 2], '{"MRData": {"StandingsTable": {}}}', "<html>busy</html>", keyless, "[]", "null", "{}"]
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages" / "a.json").write_text("\n".join(lines) + "\n")
+    got = landed.judged(landed.read_lines(spark, str(tmp_path / "pages")))
+    found = {r["text"]: r["reason"] for r in landed.rejects(got).collect()}
+    assert len(found) == len(lines) - 1 and whole not in found
+    assert (found[lines[1]], found[lines[2]], found[lines[3]], found[keyless]) == ("malformed", "no RaceTable", "malformed", "no race key")
+    assert [r["driverId"] for r in landed.flatten_laps(landed.good_pages(got)).collect()] == ["max"]
+    # the same in a stream, run twice
+    from pitwall.streaming.ingest import ingested_laps, rejected
+    root = str(tmp_path / "out")
+    for _ in range(2):
+        assert ingested_laps(spark, str(tmp_path / "pages"), root).count() == 1
+        assert rejected(spark, root).count() == len(lines) - 1
+
+
 def test_two_writers_publish_one_table(spark, tmp_path):
     folder = str(tmp_path / "p")
 
