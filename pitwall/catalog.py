@@ -1199,6 +1199,96 @@ def q_incremental_seasons(t):
 
 
 
+# --- E3-E5 with many classes; the pole as a choice (D9, D10) ----------------------------------
+
+_POLE_SCORED_O = """
+ps as (select p.season, p.round, p.driverId, p.driverId_code, coalesce(b.driverId_code, 0) as predicted_code
+       from pole_features_o p left join pole_features_o b on b.season = p.season and b.round + 1 = p.round),
+cl as (select distinct driverId_code as code, driverId as name from ps),
+per as (
+  select cl.code, cl.name, count_if(ps.driverId_code = cl.code) as support, count_if(ps.predicted_code = cl.code) as n_pred,
+    count_if(ps.driverId_code = cl.code and ps.predicted_code = cl.code) as tp
+  from cl cross join ps group by cl.code, cl.name),
+pr as (select *, case when n_pred = 0 then 0e0 else tp * 1e0 / n_pred end as precision,
+              case when support = 0 then 0e0 else tp * 1e0 / support end as recall from per),
+pf as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0e0 end as f1 from pr)"""
+
+
+def _pole_called(t):
+    """Pole rows with a stand-in prediction: the pole sitter of the round before (else the first code)."""
+    f = ft.pole_features(t).select("season", "round", "driverId", ft.POLE_Y)
+    before = f.select("season", (F.col("round") + 1).alias("round"), F.col(ft.POLE_Y).alias("predicted_code"))
+    return f.join(before, ["season", "round"], "left").withColumn("predicted_code", F.coalesce("predicted_code", F.lit(0)))
+
+
+@query("pole_report", "with " + _POLE_SCORED_O + """
+select name, precision, recall, cast(support as bigint) as support, f1 from pf
+union all select 'macro avg', avg(precision), avg(recall), cast(sum(support) as bigint), avg(f1) from pf
+union all select 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  cast(sum(support) as bigint), sum(f1 * support) / sum(support) from pf""", OX)
+def q_pole_report(t):
+    """The many-class report by driver, names found by code."""
+    df = _pole_called(t)
+    names = df.select(F.col(ft.POLE_Y).alias("code"), F.col("driverId").alias("name")).distinct()
+    return ev.named_report(df, ft.POLE_Y, "predicted_code", names)
+
+
+@query("pole_confusion", "with " + _POLE_SCORED_O + """
+, classes as (select driverId_code as c from ps union select predicted_code from ps)
+select a.c as driverId_code, b.c as predicted_code,
+  (select count(*) from ps where ps.driverId_code = a.c and ps.predicted_code = b.c) as n
+from classes a cross join classes b""", OX)
+def q_pole_confusion(t):
+    """E3 over all pole sitters."""
+    return ev.confusion_matrix(_pole_called(t), ft.POLE_Y, "predicted_code")
+
+
+@query("pole_weighted_f1", "with " + _POLE_SCORED_O + """
+select sum(f1 * support) / sum(support) as weighted_f1 from pf""", OX)
+def q_pole_weighted_f1(t):
+    """E5, the tuning score of the pole model, over all pole sitters."""
+    return ev.weighted_f1(_pole_called(t), ft.POLE_Y, "predicted_code")
+
+
+@query("ml_pole_report")
+def q_ml_pole_report(t):
+    """The pole forest's test report by driver, for every code its fitted features hold."""
+    _, pred, features = _fit_predict(t, "pole", "pole_forest")
+    names = features.decoder(pred, "driverId").select(F.col("code").cast("double").alias("code"), F.col("value").alias("name"))
+    return ev.named_report(pred, "label", "prediction", names)
+
+
+@query("pole_candidates", """
+with form as (select season + 1 as season, driverId, sum(position) * 1e0 / count(*) as prev_season_qualifying,
+                cast(count_if(position = 1) as bigint) as prev_season_poles from qualifying group by season, driverId)
+select q.season, q.round, q.driverId, q.constructorId, q.position = 1 as is_pole,
+  ds.points as driver_prev_season_points, ds.position as driver_prev_season_position, ds.wins as driver_prev_season_wins,
+  cs.points as constructor_prev_season_points, cs.position as constructor_prev_season_position,
+  cs.wins as constructor_prev_season_wins, f.prev_season_qualifying, f.prev_season_poles
+from qualifying q
+left join driver_standings ds on ds.driverId = q.driverId and ds.season + 1 = q.season
+left join constructor_standings cs on cs.constructorId = q.constructorId and cs.season + 1 = q.season
+left join form f on f.driverId = q.driverId and f.season = q.season""")
+def q_pole_candidates(t):
+    """All entrants of every race, by what is known before it."""
+    from pitwall.plans.candidates import candidates
+    return candidates(t)
+
+
+@query("ml_pole_choice")
+def q_ml_pole_choice(t):
+    """One predicted pole per race of the test seasons, chosen among its entrants."""
+    from pitwall.plans import candidates as cd
+    md = _md()
+    rows = md.cut_lineage(cd.candidates(t))
+    choice = cd.fit(rows.filter(F.col("season").isin(md.TRAIN)))
+    called = choice.poles(rows.filter(F.col("season").isin(md.TEST)))
+    actual = rows.filter("is_pole").select("season", "round", F.col("driverId").alias("actual_driverId"))
+    return called.join(actual, ["season", "round"], "left").select(
+        "season", "round", F.col("driverId").alias("predicted_driverId"), "p", "actual_driverId",
+        (F.col("driverId") == F.col("actual_driverId")).alias("hit"))
+
+
 # --- M: Spark ML (rows-only checks) --------------------------------------------------------
 
 def _md():

@@ -63,11 +63,13 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     return grid.select(F.col("l").alias(label), F.col("p").alias(pred), F.coalesce(n, F.lit(0)).cast("bigint").alias("n"))
 
 
-def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
+def classification_report(df: DataFrame, label: str, pred: str, classes: DataFrame | None = None) -> DataFrame:
     """Precision / recall / F1 / support per class, then macro and weighted
     averages; a zero denominator gives 0, as the reference's metric does.
 
     Everything follows from the confusion counts; a rollup over the classes adds the averages.
+    ``classes`` (column ``cls``) names the classes to report: those without rows are listed with
+    zeros, others are left out.
     """
     counts = confusion_counts(df, label, pred)
     own = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
@@ -75,7 +77,11 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     sides = counts.select(F.explode(F.array(
         F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), nil.alias("n_pred"), own.cast("bigint").alias("tp")),
         F.struct(F.col("pred").alias("cls"), nil.alias("support"), F.col("n").alias("n_pred"), nil.alias("tp")))).alias("s"))
-    per = sides.select("s.*").groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")])
+    sides = sides.select("s.*")
+    if classes is not None:
+        sides = sides.join(classes, "cls", "left_semi").unionByName(
+            classes.select("cls", *[nil.alias(c) for c in ("support", "n_pred", "tp")]))
+    per = sides.groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")])
     ratio = lambda of: F.coalesce(F.try_divide(F.col("tp"), F.col(of).cast("double")), F.lit(0.0))
     per = per.select(F.col("cls").cast("string").alias("cls"), ratio("n_pred").alias("precision"),
                      ratio("support").alias("recall"), F.col("support").cast("bigint").alias("support"))
@@ -93,6 +99,15 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return out.select("line.class_label", "line.precision", "line.recall", "support", "line.f1")
 
 
+def named_report(df: DataFrame, label: str, pred: str, names: DataFrame) -> DataFrame:
+    """The report of coded classes by name; ``names`` (code, name) lists the classes, and
+    each line finds its name by its code."""
+    rep = classification_report(df, label, pred, names.select(F.col("code").alias("cls")))
+    known = names.select(F.col("code").cast("string").alias("class_label"), "name")
+    return rep.join(known, "class_label", "left").select(
+        F.coalesce("name", "class_label").alias("name"), "precision", "recall", "support", "f1")
+
+
 def weighted_f1(df: DataFrame, label: str, pred: str) -> DataFrame:
     """E5: the support-weighted F1 (the tuning score of the pole model)."""
     rep = classification_report(df, label, pred)
@@ -114,8 +129,11 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     odds = F.floor(F.log2(F.col("s") / (1 - F.col("s"))) * AUC_SLICES)
     out_of_range = F.floor(F.least(F.greatest(F.col("s"), F.lit(-1e6)), F.lit(1e6))) + F.when(F.col("s") < 1, -10**6).otherwise(10**6)
     sl = F.when((F.col("s") > 0) & (F.col("s") < 1), odds).otherwise(out_of_range)
-    per = per.withColumn("slice", sl.cast("int"))
-    slice_neg = per.groupBy("slice").agg(F.sum("neg").alias("slice_neg"))
+    # dealt by slice once, for the counts and for the window; the nought uses every column, so
+    # that both ask the exchange for the same ones
+    per = per.withColumn("slice", sl.cast("int")).repartition("slice")
+    nought = F.pmod(F.xxhash64(*per.columns), F.lit(1))
+    slice_neg = per.groupBy("slice").agg(F.sum(F.col("neg") + nought).alias("slice_neg"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slice_neg.select("slice", F.coalesce(F.sum("slice_neg").over(before),
                                                    F.lit(0)).alias("neg_before"))
