@@ -7,7 +7,8 @@ end mark included.
 
 Defined cases: turns are ordered by turn, then role and text; null roles and texts render as
 empty; two nulls are equal; identical conversations give empty completions; a pair with one
-side only has an empty prompt and an empty completion on the other side; repeated turns stay.
+side only has an empty prompt and an empty completion on the other side; repeated turns stay;
+a null pair id is a pair of its own.  A pair's row holds its whole conversation, as it has to.
 """
 
 from __future__ import annotations
@@ -45,6 +46,26 @@ def _spans(turns: Column, learned: str) -> Column:
     return F.aggregate(turns, state, add)["spans"]
 
 
+def exchanged(turns: DataFrame, id_column: str = "conv_id", learned: str = "assistant") -> DataFrame:
+    """Pairs that share all but one answer, from rows (id, turn, role, text).
+
+    Chosen is each conversation; rejected the same with its last answer of ``learned`` (by turn,
+    then text; repeated rows alike) exchanged for that of its neighbour, whose id differs in the
+    last bit.  Without such a neighbour the answer is empty; a conversation without answer, or
+    whose neighbour gave the same, has two equal sides.  A null id has no neighbour.
+    """
+    turn = F.struct("turn", "role", "text")
+    base = turns.select(F.col(id_column).cast("long").alias("pair_id"), "turn", "role", "text")
+    last = base.where(F.col("role") == learned).groupBy("pair_id").agg(F.max(turn).alias("last"))
+    other = last.select((F.col("pair_id") + 1 - 2 * F.pmod("pair_id", F.lit(2))).alias("id"), F.coalesce("last.text", F.lit("")).alias("other"))
+    ends = last.join(other, F.col("pair_id") == F.col("id"), "left").select(F.col("pair_id").alias("id"), "last", "other")
+    both = base.join(ends, base["pair_id"].eqNullSafe(ends["id"]), "left")
+    instead = F.when(F.col("last").isNotNull() & turn.eqNullSafe(F.col("last")), F.coalesce("other", F.lit(""))).otherwise(F.col("text"))
+    sides = F.array(F.struct(F.lit(True).alias("chosen"), F.col("text").alias("text")),
+                    F.struct(F.lit(False).alias("chosen"), instead.alias("text")))
+    return both.select("pair_id", "turn", "role", F.explode(sides).alias("side")).select("pair_id", "side.chosen", "turn", "role", "side.text")
+
+
 def preference_pairs(turns: DataFrame, learned: str = "assistant") -> DataFrame:
     """One row per pair from rows (pair_id, chosen boolean, turn, role, text).
 

@@ -1,7 +1,8 @@
 """Query of operator 2: preference pairs from ``conversations``.
 
-The table marks no preferences, so neighbouring conversations make a pair: of ids 2n and
-2n + 1 the even one counts as chosen.
+The table marks no preferences, so each conversation is the chosen side of a pair, and the same
+turns with the last assistant's answer exchanged for its neighbour's (of ids 2n and 2n + 1) are
+the rejected side.  Up to that answer both sides agree: those turns are the prompt.
 """
 
 from __future__ import annotations
@@ -14,11 +15,8 @@ from pitwall.llm.common import table
 
 
 def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per pair: prompt, completions and learned spans (as text: start:stop, comma-separated)."""
-    turns = table(spark, sf_dir, "conversations").where("conv_id is not null")
-    turns = turns.select(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"),
-                         "turn", "role", "text")
-    out = chat.preference_pairs(turns)
+    """Per conversation: prompt, completions and learned spans (as text: start:stop, comma-separated)."""
+    out = chat.preference_pairs(chat.exchanged(table(spark, sf_dir, "conversations")))
     for side in ("chosen_spans", "rejected_spans"):
         out = out.withColumn(side, F.array_join(F.transform(side, lambda s: F.concat_ws(":", s["start"], s["stop"])), ","))
     return out
@@ -37,12 +35,15 @@ def _side(name: str) -> str:
 QUERIES = {"op2_preference_pairs": op2_preference_pairs}
 ORACLE = {"op2_preference_pairs": f"""
 with t as (
-  select conv_id // 2 as pair_id, conv_id % 2 as side, turn, coalesce(role, '') as role, coalesce(text, '') as text
-  from conversations where conv_id is not null),
+  select conv_id as pair_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
+l as (select pair_id, max({{'turn': turn, 'role': role, 'text': text}}) as last from t where role = 'assistant' group by pair_id),
+e as (select l.pair_id, l.last, coalesce(o.last.text, '') as other
+      from l left join l o on o.pair_id = l.pair_id + 1 - 2 * (l.pair_id % 2)),
+b as (select t.*, case when e.last = {{'turn': t.turn, 'role': t.role, 'text': t.text}} then e.other else t.text end as instead
+      from t left join e on e.pair_id is not distinct from t.pair_id),
 g as (
-  select pair_id, coalesce(list({{'role': role, 'text': text}} order by turn, role, text) filter (side = 0), []) as chosen,
-         coalesce(list({{'role': role, 'text': text}} order by turn, role, text) filter (side <> 0), []) as rejected
-  from t group by pair_id),
+  select pair_id, list({{'role': role, 'text': text}} order by turn, role, text) as chosen,
+         list({{'role': role, 'text': instead}} order by turn, role, instead) as rejected from b group by pair_id),
 q as (
   select *, least(len(chosen), len(rejected)) as both,
          coalesce(list_min(list_filter(generate_series(1, least(len(chosen), len(rejected))),

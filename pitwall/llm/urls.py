@@ -6,8 +6,8 @@ distributed connected components make the alias classes, and a class hands its d
 to the members without a rule of their own: allow if any member is explicitly allowed,
 else block if any member is blocked, else allow.
 
-Edges of a page: its ``<link rel="canonical">`` target, its ``<meta http-equiv="refresh">``
-target, and the address that the usual server redirects lead to (no scheme, ``www.`` or
+Edges of a page: the targets of all its ``<link rel="canonical">`` and ``<meta
+http-equiv="refresh">`` tags, quoted or not, resolved against the page's own url, and the address that the usual server redirects lead to (no scheme, ``www.`` or
 ``m.``, no fragment, no tracking parameters, no final ``/`` or ``.html``).
 
 Defined cases: a null url has empty host and path, no rule and no aliases (allow); a url
@@ -26,9 +26,12 @@ from pitwall.llm.graph import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-CANONICAL = (r"(?is)<link\s[^>]*rel\s*=\s*[\"']?canonical[\"']?[^>]*?href\s*=\s*[\"']([^\"'>]+)[\"']",
-             r"(?is)<link\s[^>]*href\s*=\s*[\"']([^\"'>]+)[\"'][^>]*?rel\s*=\s*[\"']?canonical")
-REFRESH = r"(?is)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[\"']?[^>]*?content\s*=\s*[\"'][^\"'>]*?url\s*=\s*([^\"'>]+)"
+LINK, META = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
+IS_CANONICAL, IS_REFRESH = r"(?is)\srel\s*=\s*(?:[\"']\s*canonical\b|canonical\b)", r"(?is)\shttp-equiv\s*=\s*[\"']?\s*refresh\b"
+#: A value in double quotes, in single quotes, or without quotes.
+HREF, CONTENT = (rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))" for name in ("href", "content"))
+#: What follows ``url=`` in the content of a refresh.
+GOES_TO = r"(?is)(?:^|[;,\s])url\s*=\s*[\"']?([^\"']*)"
 TRACKING = r"(?i)([?&])(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 
 
@@ -74,14 +77,45 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def resolved(target: Column, page: Column) -> Column:
+    """A link's target as an absolute url: as it stands, or with the page's scheme, host and path
+    (without ``.`` and ``..`` steps); null on a page without ``://`` or for an empty target."""
+    target = F.trim(F.regexp_replace(target, "&(?:amp|AMP);", "&"))
+    scheme = F.regexp_extract(page, r"(?s)^(.*?)://", 1)
+    site = F.regexp_extract(page, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = path_of(page)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    cut = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.substring(target, F.length(cut) + 1, F.lit(2**31 - 1))
+    whole = F.when(cut.startswith("/"), cut).otherwise(F.concat(folder, cut))
+    steps = F.aggregate(F.split(whole, "/"), F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(x))))
+    # a last step of dots leaves its folder open
+    straight = F.concat(F.array_join(steps, "/"), F.when(whole.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+    return (F.when(F.coalesce(target, F.lit("")) == "", F.lit(None))
+            .when(target.rlike(r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(site == "", F.lit(None))
+            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))  # mailto: and the like
+            .when(target.startswith("#"), F.regexp_extract(page, r"(?s)^([^#]*)", 1))
+            .when(target.startswith("?"), F.concat(site, path, target))
+            .otherwise(F.concat(site, straight, rest)))
+
+
+def _value(tag: Column, pattern: str) -> Column:
+    return F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
+
+
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Redirect and canonical edges (src, dst) of the pages, as urls."""
-    canonical = F.coalesce(*[F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in CANONICAL])
-    refresh = F.nullif(F.trim(F.regexp_extract(html, REFRESH, 1)), F.lit(""))
-    targets = F.array_compact(F.array(
-        F.when(F.contains(F.lower(html), F.lit("canonical")), canonical),
-        F.when(F.contains(F.lower(html), F.lit("refresh")), refresh)))
-    return pages.select(F.col(url).alias("src"), F.explode(targets).alias("dst"))
+    """Redirect and canonical edges (src, dst) of the pages, as absolute urls."""
+    tags = lambda pattern, kind: F.filter(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda t: t.rlike(kind))
+    canonical = F.transform(tags(LINK, IS_CANONICAL), lambda t: _value(t, HREF))
+    refresh = F.transform(tags(META, IS_REFRESH), lambda t: F.regexp_extract(_value(t, CONTENT), GOES_TO, 1))
+    none = F.array().cast("array<string>")
+    targets = F.concat(F.when(F.contains(F.lower(html), F.lit("canonical")), canonical).otherwise(none),
+                       F.when(F.contains(F.lower(html), F.lit("refresh")), refresh).otherwise(none))
+    found = pages.select(F.col(url).alias("src"), F.explode(targets).alias("target"))
+    return found.select("src", resolved(F.col("target"), F.col("src")).alias("dst")).where("dst is not null")
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", html: str | None = "html",

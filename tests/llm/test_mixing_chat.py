@@ -59,3 +59,23 @@ def test_preference_pairs(spark):
     assert got[4].rejected == "<|user|>\na<|end|>\n<|assistant|>\nb<|end|>\n" and got[4].chosen == ""
     assert got[5].prompt_turns == 0
     assert chat.preference_pairs(df.limit(0)).collect() == []
+
+
+def test_exchanged_answers_share_a_prompt(spark):
+    rows = [(2, 0, "user", "q"), (2, 1, "assistant", "one"), (2, 2, "user", "again"), (2, 3, "assistant", "two"), (3, 0, "user", "p"),
+            (3, 1, "assistant", "three"), (4, 0, "user", "alone"), (4, 1, "assistant", "four"), (6, 0, "user", "no answer"),
+            (None, 0, "user", None), (None, 1, "assistant", "five"), (-2, 0, "assistant", "minus two"), (-1, 0, "assistant", "minus one"),
+            (8, 0, "assistant", "same"), (9, 0, "assistant", "same"), (2, 3, "assistant", "two")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, last int, other string")
+    got = {r.pair_id: r for r in chat.preference_pairs(chat.exchanged(df.repartition(3))).collect()}
+    assert set(got) == {2, 3, 4, 6, None, -2, -1, 8, 9}
+    two = got[2]
+    assert (two.prompt_turns, two.prompt) == (3, "<|user|>\nq<|end|>\n<|assistant|>\none<|end|>\n<|user|>\nagain<|end|>\n")
+    assert two.chosen == "<|assistant|>\ntwo<|end|>\n" * 2 and two.rejected == "<|assistant|>\nthree<|end|>\n" * 2
+    assert [two.rejected[s.start:s.stop] for s in two.rejected_spans] == ["three<|end|>\n"] * 2
+    assert got[3].rejected == "<|assistant|>\ntwo<|end|>\n" and got[3].prompt_turns == 1
+    assert got[4].rejected == got[None].rejected == "<|assistant|>\n<|end|>\n" and got[None].prompt_turns == 1
+    assert (got[6].prompt_turns, got[6].chosen, got[6].rejected) == (1, "", "")
+    assert "minus one" in got[-2].rejected and "minus two" in got[-1].rejected
+    assert (got[8].prompt_turns, got[8].chosen) == (1, "")
+    assert chat.exchanged(df.limit(0)).collect() == []

@@ -1,6 +1,8 @@
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from pitwall.llm import urls
 from pitwall.llm.op8 import RULES
 
@@ -102,3 +104,28 @@ def test_given_edges_and_empty_tables(spark):
 def test_no_python_in_the_plan(spark):
     plan = urls.judge(pages(spark, ROWS), RULES)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_targets_are_resolved_against_their_page(spark):
+    cases = {
+        "http://a.net/x": "http://a.net/x", "HTTPS://B.org/y?q#f": "HTTPS://B.org/y?q#f", "//c.org/z": "https://c.org/z",
+        "/about": "https://h.com/about", "next.html": "https://h.com/d/e/next.html", "../up?a=1": "https://h.com/d/up?a=1", "../../../top": "https://h.com/top",
+        "./here/": "https://h.com/d/e/here/", "?page=2": "https://h.com/d/e/f?page=2", "#part": "https://h.com/d/e/f?old", "mailto:x@y.z": None, "": None, "  ": None,
+        "..": "https://h.com/d/", "/a?b=1&amp;c=2": "https://h.com/a?b=1&c=2"}
+    df = spark.createDataFrame([(k, "https://h.com/d/e/f?old#here") for k in cases], "t string, p string")
+    got = {r["t"]: r["u"] for r in df.select("t", urls.resolved(F.col("t"), F.col("p")).alias("u")).collect()}
+    assert got == cases
+    bare = spark.createDataFrame([("/about", "no scheme"), ("/about", None), ("x", "http://h.com")], "t string, p string")
+    assert [r[0] for r in bare.select(urls.resolved(F.col("t"), F.col("p"))).collect()] == [None, None, "http://h.com/x"]
+
+
+def test_relative_and_unquoted_links(spark):
+    """Two hosts with the canonical /about are no aliases; an unquoted canonical is read, and every tag."""
+    rows = [(1, "http://a.net/x", '<link rel="canonical" href="/about">'), (2, "http://b.com/y", '<link rel="canonical" href="/about">'),
+            (3, "http://c.org/z", "<link rel=canonical href=http://a.net/x>"),
+            (4, "http://d.org/1", '<link rel="stylesheet" href="http://a.net/x"><LINK href=\'http://a.net/x\' REL="canonical" />'),
+            (5, "http://e.org/1", '<link rel="canonical" href="http://e.org/2"><meta content="5;URL=http://a.net/x" http-equiv=refresh>'),
+            (6, "http://f.org/1", '<a href="http://a.net/x" title="canonical">'), (7, "http://g.org/1", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(df, RULES).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow"}
