@@ -14,7 +14,8 @@ Defined cases: vectors that are null, empty, or hold a null or non-finite compon
 part; vectors are compared with those of the same length; ties go to the smaller id; a
 query's own rows (all with its id) are no candidates for it; rows that repeat an id are each
 candidates, and a query id counts once (its smallest vector in sort order of the components);
-a null id takes no part.  Components must stay below 2^31 after scaling, and scores below 2^63.
+a null id takes no part.  Whole numbers of 64 bits hold components and scores; a component beyond
+that after scaling, or a score among a query's best beyond it, is an error.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 512, 64
 
 def scaled(df: DataFrame, vector: str, id_column: str) -> DataFrame:
     """(vec_id, v array<long>) of the rows that take part."""
-    v = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * SCALE))
+    whole = lambda x: x.cast("double") * SCALE
+    v = F.transform(F.col(vector), lambda x: F.when(F.abs(whole(x)) < 2.0**63, F.floor(whole(x))).otherwise(
+        F.raise_error(F.lit("a component has more than 64 bits after scaling")).cast("long")))
     fine = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (df.where(F.col(id_column).isNotNull() & (F.size(vector) > 0) & F.coalesce(fine, F.lit(False)))
             .select(F.col(id_column).cast("long").alias("vec_id"), v.alias("v")))
@@ -91,7 +94,7 @@ def shards(points: DataFrame, count: int) -> DataFrame:
         tree = BallTree(ids, v.astype(np.float64))
         return pd.DataFrame([{
             "dim": int(rows["dim"].iloc[0]), "shard": int(rows["shard"].iloc[0]),
-            "ids": ids[tree.order].tobytes(), "vectors": v[tree.order].astype(np.int32).tobytes(),
+            "ids": ids[tree.order].tobytes(), "vectors": v[tree.order].tobytes(),
             "leaf_sizes": tree.leaf_sizes.tobytes(), "centres": np.concatenate(tree.centres).tobytes(),
             "radii": np.concatenate(tree.radii).tobytes(),
             "level_sizes": np.array([len(r) for r in tree.radii], np.int64).tobytes()}])
@@ -110,17 +113,26 @@ def blocks(queries: DataFrame, count: int) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         q = _matrix(rows["v"])
         return pd.DataFrame([{"dim": int(rows["dim"].iloc[0]), "block": int(rows["block"].iloc[0]),
-                              "ids": rows["vec_id"].to_numpy(np.int64).tobytes(), "queries": q.astype(np.int32).tobytes(),
+                              "ids": rows["vec_id"].to_numpy(np.int64).tobytes(), "queries": q.tobytes(),
                               "least": np.full(len(q), np.iinfo(np.int64).min).tobytes()}])
 
     dealt = queries.withColumns({"dim": F.size("v"), "block": F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")})
     return dealt.groupBy("dim", "block").applyInPandas(run, BLOCK)
 
 
+def _whole(scores: np.ndarray) -> np.ndarray:
+    """Scores as 64-bit integers; a score beyond them would be among the best or is never needed."""
+    if scores.dtype == object:
+        if (scores > np.iinfo(np.int64).max).any():
+            raise OverflowError("a score has more than 64 bits")
+        scores = np.maximum(scores, np.iinfo(np.int64).min + 1)
+    return scores.astype(np.int64)
+
+
 def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, shard: dict, k: int) -> list[tuple]:
     """(query index, ids, scores) of the best at most k candidates of a shard that reach ``least``."""
     dim = queries.shape[1]
-    vectors = np.frombuffer(shard["vectors"], np.int32).reshape(-1, dim)
+    vectors = np.frombuffer(shard["vectors"], np.int64).reshape(-1, dim)
     ids = np.frombuffer(shard["ids"], np.int64)
     sizes = np.frombuffer(shard["leaf_sizes"], np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes)))
@@ -130,10 +142,11 @@ def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, shard:
     radii = np.frombuffer(shard["radii"], np.float64)
     q = queries.astype(np.float64)
     norms = np.sqrt((q**2).sum(axis=1))
-    # Whole numbers up to 2^53 are exact in floating point; larger sums take the integer path.
-    exact = float(np.abs(vectors).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim < 2.0**53
-    floats = vectors.astype(np.float64) if exact else vectors.astype(np.int64)
-    qx = q if exact else queries.astype(np.int64)
+    # Whole numbers up to 2^53 are exact in floating point; larger sums take 64-bit integers, and
+    # those that may pass 64 bits Python's.
+    largest = float(np.abs(vectors.astype(np.float64)).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim
+    kind = np.float64 if largest < 2.0**53 else np.int64 if largest < 2.0**62 else object
+    floats, qx = vectors.astype(kind), queries.astype(kind)
     least = least.astype(np.float64)
     # Top down: pairs of (query, node) whose bound reaches the query's k-th score so far.
     who, node = np.arange(len(q)), np.zeros(len(q), np.int64)
@@ -170,7 +183,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, shard:
             lo, hi = starts[leaf], starts[leaf + 1]
             if lo == hi:
                 continue
-            scores = (qx[asking] @ floats[lo:hi].T).astype(np.int64)
+            scores = _whole(qx[asking] @ floats[lo:hi].T)
             own = ids[lo:hi][None, :] == query_ids[asking][:, None]
             scores[own] = none
             all_scores = np.concatenate((best_score[asking], scores), axis=1)
@@ -195,7 +208,7 @@ def wave(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
         for rows in frames:
             for r in rows.to_dict("records"):
                 ids = np.frombuffer(r["q_ids"], np.int64)
-                q = np.frombuffer(r["queries"], np.int32).reshape(len(ids), -1)
+                q = np.frombuffer(r["queries"], np.int64).reshape(len(ids), -1)
                 found = search(q, ids, np.frombuffer(r["least"], np.int64), r, k)
                 if found:
                     yield pd.DataFrame({"dim": r["dim"], "block": r["block"],

@@ -6,6 +6,9 @@ by inversion of the distribution at a uniform number that a hash of (seed, id) g
 Rows are exploded by their counts, and the copies are shuffled globally: dealt to
 partitions by the hash of a shuffle key and ordered by that key within them.
 
+Where a source has so few rows that each is copied very often, the copies of one row are cut
+into ranges of at most ``RANGE``, which are dealt over the tasks before they are made.
+
 A rate above ``DRAW_RATE`` is the sum of several independent draws, so that exp(-rate)
 keeps its precision.
 
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 DRAW_RATE = 32.0
 #: Up to this many sources the table of rates is broadcast; beyond it the join shuffles.
 BROADCAST_SOURCES = 10_000
+#: Copies of a row that one task makes, where rates call for many.
+RANGE = 256
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -74,7 +79,8 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
         id_column: str = "doc_id", total: float | None = None, seed: int = 9) -> DataFrame:
     """Replicated and globally shuffled rows, with copy, copies and shuffle_key."""
     per = rates(df, weights, source, total)
-    if per.count() <= BROADCAST_SOURCES:
+    sources, highest = per.agg(F.count(F.lit(1)), F.coalesce(F.max("__rate"), F.lit(0.0))).first()
+    if sources <= BROADCAST_SOURCES:
         per = F.broadcast(per)
     names = [c for c in df.columns if c not in ("copy", "copies", "shuffle_key")]
     # The row travels as one struct, so that its columns can't clash with the names here.
@@ -84,7 +90,13 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, source: str = "s
     draw = lambda i: F.size(F.filter(F.col("__steps"), lambda s: s <= uniform(seed, F.col("__id"), i)))
     several = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), lambda n, i: n + draw(i))
     rows = rows.withColumn("copies", F.when(F.col("__rate") > 0, several).otherwise(0)).where("copies > 0")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    if highest > RANGE / 4:
+        # a row per range of copies, dealt by row and range; then the copies
+        rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.expr(f"int((copies - 1) div {RANGE})"))))
+        rows = rows.repartition("__id", "__from", "part")
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.col("part") * RANGE + 1, F.least("copies", (F.col("part") + 1) * RANGE))))
+    else:
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.col("__id"), F.col("copy").cast("string")).cast("binary"))
     out = rows.select("row.*", "copy", "copies", key.alias("shuffle_key"))
     return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

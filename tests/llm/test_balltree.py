@@ -67,3 +67,16 @@ def test_bounds_hold_for_all_nodes():
         for c, r, leaves in zip(centres, radii, per, strict=True):
             own = x[tree.order[ends[leaves[0]] - tree.leaf_sizes[leaves[0]]:ends[leaves[-1]]]]
             assert np.sqrt(((own - c) ** 2).sum(axis=1)).max() <= r + 1e-6
+
+
+def test_components_beyond_32_bits(spark, small):
+    rows = [(10, [1.0e7, 1.0]), (1, [1.0, 2.0e7]), (2, [1.0e7, 0.0]), (3, [-1.0e7, 5.0]), (20, [1.0e6, -3.0]), (5, [7.5e5, 7.5e5])]
+    got = run(spark, rows)
+    assert got == brute(rows, lambda i: i % 10 == 0, 5)
+    assert max(r[3] for r in got) > 2**53
+    huge = [(10, [3.0e16, 1.0]), (1, [1 / 256, 1.0]), (2, [0.0, 2.0]), (3, [-1 / 256, -1.0])]
+    assert run(spark, huge) == brute(huge, lambda i: i % 10 == 0, 5)
+    with pytest.raises(Exception, match="64 bits"):
+        run(spark, [(10, [3.0e16, 1.0]), (1, [3.0e16, 1.0])])
+    with pytest.raises(Exception, match="64 bits"):
+        run(spark, [(10, [1.0e300, 1.0]), (1, [1.0, 1.0])])

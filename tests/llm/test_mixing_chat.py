@@ -79,3 +79,17 @@ def test_exchanged_answers_share_a_prompt(spark):
     assert "minus one" in got[-2].rejected and "minus two" in got[-1].rejected
     assert (got[8].prompt_turns, got[8].chosen) == (1, "")
     assert chat.exchanged(df.limit(0)).collect() == []
+
+
+def test_many_copies_of_a_row_are_made_in_several_tasks(spark, monkeypatch):
+    """One row of a one-row source: the same copies, cut into ranges that are dealt over tasks."""
+    rows = spark.createDataFrame([(i, "one" if i == 0 else "many", f"t{i}") for i in range(2000)], "doc_id long, source string, part string")
+    got = mixing.mix(rows, total=40000)
+    copies = sorted(r["copy"] for r in got.filter("doc_id = 0").select("copy").collect())
+    assert len(copies) > 19000 and copies == list(range(1, len(copies) + 1))
+    assert got.filter("doc_id = 0").select("part").distinct().collect()[0][0] == "t0"
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2
+    want = sorted(map(tuple, got.select("doc_id", "copy", "shuffle_key").collect()))
+    monkeypatch.setattr(mixing, "RANGE", 1 << 30)
+    assert sorted(map(tuple, mixing.mix(rows, total=40000).select("doc_id", "copy", "shuffle_key").collect())) == want
