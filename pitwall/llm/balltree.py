@@ -183,8 +183,8 @@ def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, shard:
             lo, hi = starts[leaf], starts[leaf + 1]
             if lo == hi:
                 continue
-            scores = _whole(qx[asking] @ floats[lo:hi].T)
             own = ids[lo:hi][None, :] == query_ids[asking][:, None]
+            scores = _whole(np.where(own, 0, qx[asking] @ floats[lo:hi].T))
             scores[own] = none
             all_scores = np.concatenate((best_score[asking], scores), axis=1)
             all_ids = np.concatenate((best_id[asking], np.broadcast_to(ids[lo:hi], scores.shape)), axis=1)

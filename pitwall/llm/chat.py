@@ -47,23 +47,23 @@ def _spans(turns: Column, learned: str) -> Column:
 
 
 def exchanged(turns: DataFrame, id_column: str = "conv_id", learned: str = "assistant") -> DataFrame:
-    """Pairs that share all but one answer, from rows (id, turn, role, text).
+    """Pairs (pair_id, c, r) that share all but one answer, from rows (id, turn, role, text).
 
-    Chosen is each conversation; rejected the same with its last answer of ``learned`` (by turn,
-    then text; repeated rows alike) exchanged for that of its neighbour, whose id differs in the
-    last bit.  Without such a neighbour the answer is empty; a conversation without answer, or
+    Chosen (c) is each conversation; rejected (r) the same with its last answer of ``learned`` (by
+    turn, then text; repeated rows alike) exchanged for that of its neighbour, whose id differs in
+    the last bit.  Without such a neighbour the answer is empty; a conversation without answer, or
     whose neighbour gave the same, has two equal sides.  A null id has no neighbour.
     """
-    turn = F.struct("turn", "role", "text")
-    base = turns.select(F.col(id_column).cast("long").alias("pair_id"), "turn", "role", "text")
-    last = base.where(F.col("role") == learned).groupBy("pair_id").agg(F.max(turn).alias("last"))
-    other = last.select((F.col("pair_id") + 1 - 2 * F.pmod("pair_id", F.lit(2))).alias("id"), F.coalesce("last.text", F.lit("")).alias("other"))
-    ends = last.join(other, F.col("pair_id") == F.col("id"), "left").select(F.col("pair_id").alias("id"), "last", "other")
-    both = base.join(ends, base["pair_id"].eqNullSafe(ends["id"]), "left")
-    instead = F.when(F.col("last").isNotNull() & turn.eqNullSafe(F.col("last")), F.coalesce("other", F.lit(""))).otherwise(F.col("text"))
-    sides = F.array(F.struct(F.lit(True).alias("chosen"), F.col("text").alias("text")),
-                    F.struct(F.lit(False).alias("chosen"), instead.alias("text")))
-    return both.select("pair_id", "turn", "role", F.explode(sides).alias("side")).select("pair_id", "side.chosen", "turn", "role", "side.text")
+    pairs = turns.groupBy(F.col(id_column).cast("long").alias("pair_id")).agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("c"))
+    answers = F.filter("c", lambda x: x["role"] == learned)
+    pairs = pairs.withColumn("last", F.get(answers, F.size(answers) - 1))
+    other = pairs.where("last is not null").select(
+        (F.col("pair_id") + 1 - 2 * F.pmod("pair_id", F.lit(2))).alias("id"), F.coalesce("last.text", F.lit("")).alias("other"))
+    both = pairs.join(other, F.col("pair_id") == F.col("id"), "left")
+    instead = F.transform("c", lambda x: F.when(F.col("last").isNotNull() & x.eqNullSafe(F.col("last")), F.struct(
+        x["turn"].alias("turn"), x["role"].alias("role"), F.coalesce("other", F.lit("")).alias("text"))).otherwise(x))
+    return both.select("pair_id", "c", F.array_sort(instead).alias("r"))
 
 
 def preference_pairs(turns: DataFrame, learned: str = "assistant") -> DataFrame:
@@ -73,7 +73,11 @@ def preference_pairs(turns: DataFrame, learned: str = "assistant") -> DataFrame:
     """
     turn = F.struct("turn", "role", "text")
     side = lambda flag: F.array_sort(F.collect_list(F.when(F.col("chosen") == flag, turn)))
-    pairs = turns.groupBy("pair_id").agg(side(True).alias("c"), side(False).alias("r"))
+    return formatted(turns.groupBy("pair_id").agg(side(True).alias("c"), side(False).alias("r")), learned)
+
+
+def formatted(pairs: DataFrame, learned: str = "assistant") -> DataFrame:
+    """The rows of :func:`preference_pairs` from pairs (pair_id, c, r) with their ordered turns."""
     c, r = F.col("c"), F.col("r")
     both = F.least(F.size(c), F.size(r))
     differs = lambda i: ~(c[i]["role"].eqNullSafe(r[i]["role"]) & c[i]["text"].eqNullSafe(r[i]["text"]))

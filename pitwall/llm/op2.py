@@ -16,7 +16,7 @@ from pitwall.llm.common import table
 
 def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per conversation: prompt, completions and learned spans (as text: start:stop, comma-separated)."""
-    out = chat.preference_pairs(chat.exchanged(table(spark, sf_dir, "conversations")))
+    out = chat.formatted(chat.exchanged(table(spark, sf_dir, "conversations")))
     for side in ("chosen_spans", "rejected_spans"):
         out = out.withColumn(side, F.array_join(F.transform(side, lambda s: F.concat_ws(":", s["start"], s["stop"])), ","))
     return out

@@ -67,7 +67,7 @@ def test_exchanged_answers_share_a_prompt(spark):
             (None, 0, "user", None), (None, 1, "assistant", "five"), (-2, 0, "assistant", "minus two"), (-1, 0, "assistant", "minus one"),
             (8, 0, "assistant", "same"), (9, 0, "assistant", "same"), (2, 3, "assistant", "two")]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, last int, other string")
-    got = {r.pair_id: r for r in chat.preference_pairs(chat.exchanged(df.repartition(3))).collect()}
+    got = {r.pair_id: r for r in chat.formatted(chat.exchanged(df.repartition(3))).collect()}
     assert set(got) == {2, 3, 4, 6, None, -2, -1, 8, 9}
     two = got[2]
     assert (two.prompt_turns, two.prompt) == (3, "<|user|>\nq<|end|>\n<|assistant|>\none<|end|>\n<|user|>\nagain<|end|>\n")
