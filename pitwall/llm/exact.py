@@ -11,8 +11,8 @@
   of their own.
 
 Defined cases: null text counts as empty; among equal texts the smallest non-null
-id stays; a group of null ids alone keeps a null id and all its rows (they can't
-be told apart); rows that repeat an id and text share one fate.
+id stays; a group of null ids alone keeps a null id; of rows that repeat the id that
+stays, one stays.
 """
 
 from __future__ import annotations
@@ -148,17 +148,18 @@ def dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataF
     arrives and is looked up.  A history winner is thus also the smallest id of its group.
     """
     rows = written(text_digests(df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")))
-                   .select("doc_id", "digest"), "digests")
+                   .select("doc_id", "digest", F.monotonically_increasing_id().alias("row")), "digests")
     low, high, total = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     old = F.coalesce(F.col("doc_id") <= F.lit(0 if low is None else (low + high) // 2), F.lit(False))
     per = written(rows.groupBy("digest").agg(
         F.min(F.when(old, F.col("doc_id"))).alias("old_id"), F.sum(old.cast("long")).alias("old_copies"),
-        F.min(F.when(~old, F.col("doc_id"))).alias("new_id"), F.sum((~old).cast("long")).alias("new_copies")), "groups")
+        F.min(F.when(~old, F.col("doc_id"))).alias("new_id"), F.sum((~old).cast("long")).alias("new_copies"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("stays")), "groups")
     buckets = max(1, -(-total // BUCKET_DIGESTS))
     history = per.where("old_copies > 0").selectExpr("digest", "old_id as winner", "old_copies as copies")
     incoming = per.where("new_copies > 0").selectExpr("digest", "new_id as winner", "new_copies as copies")
     found = resolve(incoming, written(build_index(history, buckets), "index"), buckets)
-    return rows.join(found, "digest").select(
+    return rows.join(found, "digest").join(per.select("digest", "stays"), "digest").select(
         "doc_id", F.col("winner").alias("keep_id"), F.col("copies").alias("group_size"),
-        F.col("doc_id").eqNullSafe(F.col("winner")).alias("kept"), "digest", "member")
+        (F.col("row") == F.col("stays")).alias("kept"), "digest", "member")
 

@@ -14,7 +14,7 @@ def brute(rows):
     for ids in groups.values():
         known = [i for i in ids if i is not None]
         keep = min(known) if known else None
-        out += [(i, keep, len(ids), i == keep) for i in ids]
+        out += [(i, keep, len(ids), k == ids.index(keep)) for k, i in enumerate(ids)]
     return sorted(out, key=str)
 
 
@@ -24,6 +24,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert exact.dedup(no_docs).collect() == []
 
 
+def test_one_row_stays_of_rows_that_repeat_an_id(spark):
+    rows = [(1, "a b"), (1, "a  b"), (1, "a b"), (2, "a b"), (None, "alone"), (None, "alone"), (5, "x"), (5, "y"), (None, None), (None, "")]
+    got = exact.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert sum(r.kept for r in got) == 5
+
+
 def test_several_buckets_and_nonmembers(spark, monkeypatch):
     monkeypatch.setattr(exact, "BUCKET_DIGESTS", 7)
     rows = [(i, f"text {i % 60 if i < 130 else i}") for i in range(200)]

@@ -76,3 +76,11 @@ def test_odd_rows_pass_all_stages(spark, odd_docs, no_docs):
             if name == "exact_dedup":
                 assert docs.where("doc_id = 2").count() <= 1
         assert docs.where("not round_trip").count() == 0
+
+
+def test_of_rows_that_repeat_an_id_and_text_the_smallest_stays(spark):
+    rows = [(1, "a  b", "en", "s", 4), (1, "a b", "fr", "t", 3), (1, "a b", "en", "u", 3), (2, "a b", "de", "s", 3), (None, None, "en", None, None), (None, "", "en", "z", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for parts in (1, 5):
+        got = sorted(map(tuple, cp.exact_stage(spark, docs.repartition(parts), SF).collect()), key=str)
+        assert got == sorted([(1, "a  b", "en", "s", 4), (None, None, "en", None, None)], key=str)
