@@ -40,33 +40,48 @@ def _staying(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts, row by row."""
+    """Documents that the quality classifier accepts, row by row.
+
+    A null text is scored as an empty one, and rows without id or with a repeated one are judged by
+    their own text; repeated rows share one fate; an empty table stays empty."""
     docs = _marked(docs)
     scored = quality.classify(docs, table(spark, sf_dir, "labels"), LEAST_QUALITY, mark=MARK)
     return _staying(docs, scored.where("predicted = 1"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
+    """One row of each group of equal texts: of the smallest id (null ids last), and of rows that
+    repeat it the smallest by text, lang, source and n_chars.
+
+    A null text equals an empty one; an empty table stays empty."""
     kept = exact.dedup(docs).where("kept").select("doc_id", "digest").distinct()
     rows = exact.text_digests(docs)
     own = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["digest"] == kept["digest"])
-    return rows.join(kept, own, "left_semi").dropDuplicates(["doc_id", "digest"]).select(*COLUMNS)
+    one = F.min(F.struct(*[c for c in COLUMNS if c != "doc_id"])).alias("row")
+    return rows.join(kept, own, "left_semi").groupBy("doc_id", "digest").agg(one).select("doc_id", "row.*").select(*COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
+    """One document of each component of near copies: the one with the smallest id.
+
+    Texts without words are linked with nothing and stay; rows without id are judged by their own
+    text; an empty table stays empty."""
     docs = _marked(docs)
     return _staying(docs, near.near_components(docs, like=NEAR, mark=MARK).where("kept"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of the documents such that every source has the same weight, globally shuffled."""
+    """Copies of the documents such that every source has the same weight, globally shuffled.
+
+    A null source is a source of its own; rows that repeat an id get the same number of copies; an
+    empty table stays empty."""
     return mixing.mix(docs, seed=SEED).select(*COLUMNS)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every whole text, and whether decoding them gives the text back."""
+    """Token ids of every whole text, and whether decoding them gives the text back.
+
+    A null text has no tokens; every row has its own result, repeated ones too."""
     out = bpe.round_trip(docs, VOCABULARY)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
     return out.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
