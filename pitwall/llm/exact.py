@@ -159,7 +159,9 @@ def dedup(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataF
     history = per.where("old_copies > 0").selectExpr("digest", "old_id as winner", "old_copies as copies")
     incoming = per.where("new_copies > 0").selectExpr("digest", "new_id as winner", "new_copies as copies")
     found = resolve(incoming, written(build_index(history, buckets), "index"), buckets)
-    return rows.join(found, "digest").join(per.select("digest", "stays"), "digest").select(
+    # one join for the rows, so that a large group of copies can be split
+    found = written(found.join(per.select("digest", "stays"), "digest"), "found")
+    return rows.join(found, "digest").select(
         "doc_id", F.col("winner").alias("keep_id"), F.col("copies").alias("group_size"),
         (F.col("row") == F.col("stays")).alias("kept"), "digest", "member")
 
