@@ -1,26 +1,35 @@
 """Operator 3: language model with hashed maximum-entropy features and a class-factored softmax.
 
-A token's probability is that of its class given the history times that of the word
-given its class.
-
-* *Classes.*  The most frequent training words have a class each; the text's end has one;
-  all other words fall into classes by shape (length, final punctuation, accents).
-* *Class softmax.*  A maximum-entropy model over the classes with hashed features of the
-  history: the last class, the last two (n-grams), the one before the last, and the latest
-  telling class however far back, alone and with the last one (skips).
-* *Word softmax.*  Within a shape class, a softmax with one feature a word; its weights have
-  the closed form log(count + 1), with one more unit for unseen words.
-
-Training.  Two aggregations gather everything from the training texts: word counts
-(one row a word, never collected) and counts of (history, class) cells, whose number the
-classes bound.  Gradient updates run distributed over the cells: each of ``PARTS`` tasks
-adds up expected feature counts, the driver adds the partial sums (fixed size) and updates.
-Scoring.  Each block of texts looks up its distinct histories as a sparse batch.  Logarithms of the
-counts of frequent words are broadcast (at most ``FREQUENT`` words); rarer words are joined.
-
-Words are told apart by 64-bit hashes.  Defined cases: null, empty and blank texts are one
-end token; without training tokens all counts are 0 and the class softmax is uniform;
-repeated ids are scored row by row; a null id is never held out.
+A token is predicted by softmaxes over hashed features of ever wider histories; each leaves a
+share of its probability (an escape outcome) to the next one.
+
+* *Word n-grams.*  Given the word before it: a softmax with one hashed feature a (word before, word).
+* *Word skips.*  Given the word two before: the same with (word two before, word).
+* *Class softmax.*  Class given the history times word given class.  The most frequent training
+  words have a class each; the text's end has one; all other words fall into classes by shape
+  (length, final punctuation, accents).  Hashed features of the history: the last class, the last
+  two (n-grams), the one before the last, and the latest telling class however far back, alone and
+  with the last one (skips).
+* *Word softmax of a class.*  Words of the broadcast lexicon have the weight log(count + 1); the
+  rarer words of a shape form a softmax of their own, and all unseen ones share one more unit.
+
+Training.  Word counts and counts of (history, class) cells come from two aggregations; the class
+softmax is trained by full-batch gradient updates over the cells: each of ``PARTS`` tasks adds up
+expected feature counts, the driver adds the partial sums (fixed size) and updates.  Word features
+grow with the corpus and never meet on the driver: texts are packed into chunks, each chunk sends its
+distinct (context, word) features with their training counts to the buckets of their contexts, and
+a bucket trains the weights of all its contexts by gradient updates under an L1 penalty
+(``PENALTY``), whose share of a context goes to the escape outcome.  Contexts of more than
+``HOT`` tokens are cut by word over several buckets, each with a softmax of its own; their
+shares are added up per context.
+
+Scoring.  The buckets answer each chunk with the probabilities of its features, and the chunk is
+scored as a sparse batch.  Counts of frequent words are broadcast (at most ``FREQUENT`` words);
+for the base score rarer words are joined.
+
+Words are told apart by 64-bit hashes, features by 31 bits of the context and 32 of the word.
+Defined cases: null, empty and blank texts are one end token; without training tokens all counts
+are 0 and the class softmax is uniform; repeated ids are scored row by row; a null id is never held out.
 """
 
 from __future__ import annotations
@@ -46,6 +55,15 @@ CELLS = CLASSES * CLASSES * TELLING
 BUCKETS, ACTIVE, UPDATES, PARTS = 8192, 6, 14, 8
 #: Words whose counts are broadcast, at most.
 FREQUENT = 1 << 17
+#: How far before a token the words stand whose (word, token) pairs are features.
+GAPS = (1, 2)
+#: L1 penalty of a feature's weight and updates of the word softmaxes.
+PENALTY, WORD_UPDATES = 0.8, 6
+#: Tokens of a bucket of features, about, and tokens beyond which a context is cut.
+BUCKET_TOKENS, HOT = 1 << 20, 1 << 17
+
+_START, _STOP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+_LOW = np.uint64(0xFFFFFFFF)
 
 _ENDING = np.zeros(256, np.int64)
 _ENDING[[ord(c) for c in ".!?"]] = 2
@@ -79,6 +97,9 @@ class Lexicon(NamedTuple):
     classes: np.ndarray
     shape_words: np.ndarray
     shape_tokens: np.ndarray
+    #: Of these, words and tokens beyond the lexicon.
+    rare_words: np.ndarray
+    rare_tokens: np.ndarray
     texts: int
     tokens: int
     words: int
@@ -188,9 +209,13 @@ def lexicon_of(counts: DataFrame, texts: int) -> Lexicon:
     for shape, n in rows[["shape", "n"]].head(TOP).itertuples(index=False):
         shape_words[shape] -= 1
         shape_tokens[shape] -= n
+    rest = rows.iloc[TOP:]
+    rare_words = shape_words - np.bincount(rest["shape"], minlength=SHAPES)
+    rare_tokens = shape_tokens - np.bincount(rest["shape"], rest["n"], SHAPES).astype(np.int64)
     h = rows["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
-    return Lexicon(h[order], rows["n"].to_numpy(np.int64)[order], classes[order], shape_words, shape_tokens, texts,
+    return Lexicon(h[order], rows["n"].to_numpy(np.int64)[order], classes[order], shape_words, shape_tokens,
+                   rare_words, rare_tokens, texts,
                    int(shape_tokens.sum() + rows["n"].head(TOP).sum()) + texts,
                    int(shape_words.sum() + min(len(rows), TOP)) + (texts > 0))
 
@@ -268,50 +293,281 @@ def train(cells: DataFrame, updates: int = UPDATES) -> np.ndarray:
     return weights
 
 
+# ---------------------------------------------------------------- word features
+
+CHUNK = "chunk long, ids array<long>, held array<boolean>, cuts binary, data binary"
+
+
+def chunks_of(rows: DataFrame) -> DataFrame:
+    """The rows (doc_id, held_out, text) packed by Arrow batch, texts compressed, each chunk with a number."""
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 20
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, off = flat_texts(batch.column(2))
+            packed = pa.compress(pa.py_buffer(np.ascontiguousarray(data)), "zstd", asbytes=True) if len(data) else b""
+            one = [[number], [batch.column(0).to_pylist()], [batch.column(1).to_pylist()], [off.tobytes()], [packed]]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
+            number += 1
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, types, strict=True)],
+                                             ["chunk", "ids", "held", "cuts", "data"])
+
+    return rows.mapInArrow(run, CHUNK)
+
+
+def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the texts of a chunk."""
+    off = np.frombuffer(row["cuts"], np.int64)
+    if not len(row["data"]):
+        return np.zeros(0, np.uint8), off
+    return np.frombuffer(pa.decompress(row["data"], int(off[-1]), "zstd"), np.uint8), off
+
+
+class Features:
+    """The distinct (context, word) features of a block of tokens, by bucket.
+
+    ``keys`` holds the context in its upper half and the word in its lower one; ``of[j]`` gives the
+    feature of each token in softmax j (the gaps, then the rarer words of shapes), -1 where it has none.
+    """
+
+    def __init__(self, tokens: Tokens, lexicon: Lexicon, buckets: int, hot: int, learn: np.ndarray) -> None:
+        n, self.hot = len(tokens.kind), hot
+        word = np.full(n, _STOP)
+        word[tokens.word_at] = tokens.words.hash
+        count = np.full(n, lexicon.texts, np.int64)
+        known = tokens.found >= 0
+        count[tokens.word_at] = 0
+        count[tokens.word_at[known]] = lexicon.counts[tokens.found[known]]
+        place = np.arange(n) - np.concatenate(([0], tokens.end_at[:-1] + 1))[tokens.text] if n else np.zeros(0, np.int64)
+        low = word & _LOW
+        keys, parts, at = [], [], []
+        for j, gap in enumerate(GAPS):
+            inside = place >= gap
+            before, size = np.full(n, _START), np.full(n, lexicon.texts, np.int64)
+            before[inside], size[inside] = word[np.flatnonzero(inside) - gap], count[np.flatnonzero(inside) - gap]
+            at.append(np.arange(n))
+            self._add(keys, parts, before + np.uint64(j), size, low)
+        rare = tokens.word_at[~known]
+        at.append(rare)
+        shape = tokens.kind[rare] - TOP
+        self._add(keys, parts, np.uint64(1 << 20) + shape.astype(np.uint64), lexicon.rare_tokens[shape], low[rare])
+        key, part = np.concatenate(keys), np.concatenate(parts) % np.uint64(buckets)
+        # Sort by (bucket, key): the same order on both sides of the shuffle.
+        _, first, back = np.unique(key, return_index=True, return_inverse=True)
+        order = np.lexsort((key[first], part[first]))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        back = rank[back]
+        self.keys, self.buckets = key[first][order], part[first][order].astype(np.int64)
+        self.counts = np.bincount(back[learn[np.concatenate(at)]], minlength=len(order)).astype(np.uint32)
+        self.of = np.full((len(GAPS) + 1, n), -1)
+        begin = 0
+        for j, where in enumerate(at):
+            self.of[j, where] = back[begin:begin + len(where)]
+            begin += len(where)
+
+    def _add(self, keys: list, parts: list, context: np.ndarray, size: np.ndarray, low: np.ndarray) -> None:
+        """Keys and bucket hashes of features; the context's last bit marks one that is cut."""
+        hot = size > self.hot
+        x = mix64(context) >> np.uint64(33) << np.uint64(1) | hot.astype(np.uint64)
+        cuts = np.left_shift(1, np.ceil(np.log2(np.maximum(size / self.hot, 1))).astype(np.int64)).astype(np.uint64)
+        keys.append(x << np.uint64(32) | low)
+        parts.append(mix64(x << np.uint64(32) | low & (cuts - np.uint64(1))))
+
+
+def contexts(keys: np.ndarray) -> np.ndarray:
+    """Begins of the runs of one bucket and context in the features of a chunk or bucket."""
+    x = keys >> np.uint64(32)
+    return np.flatnonzero(np.concatenate((np.ones(min(len(x), 1), bool), x[1:] != x[:-1])))
+
+
+def fit_words(counts: np.ndarray, begins: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Softmaxes of contexts: probability of each feature, escape and tokens of each context.
+
+    ``counts`` are positive and lie context by context.  A softmax is over the words seen in its
+    context and the escape; each update moves a weight by its gradient, divided by the larger of the
+    observed and the expected count.  The L1 penalty is taken from the observed count of
+    each word and added to that of the escape.
+    """
+    if not len(counts):
+        return np.zeros(0), np.zeros(0), np.zeros(0)
+    size = np.diff(np.append(begins, len(counts)))
+    of = np.repeat(np.arange(len(begins)), size)
+    tokens = np.add.reduceat(counts, begins).astype(np.float64)
+    seen, left = counts - penalty, penalty * size
+    weight, escape = np.log(counts.astype(np.float64)), np.log(size.astype(np.float64))
+    for step in range(WORD_UPDATES + 1):
+        top = np.maximum(np.maximum.reduceat(weight, begins), escape)
+        p, e = np.exp(weight - top[of]), np.exp(escape - top)
+        total = np.add.reduceat(p, begins) + e
+        p, e = p / total[of], e / total
+        if step < WORD_UPDATES:
+            expected, out = p * tokens[of], e * tokens
+            weight += (seen - expected) / np.maximum(seen, expected)
+            escape += (left - out) / np.maximum(left, out)
+    return p, e, tokens
+
+
+def features_of(chunks: DataFrame, lexicon, buckets: int, hot: int) -> DataFrame:
+    """(bucket, chunk, keys, counts): the features of every chunk, one row a bucket."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                data, off = unpacked(row)
+                tokens = Tokens(data, off, lexicon.value)
+                learn = ~np.array(row["held"], bool)[tokens.text]
+                f = Features(tokens, lexicon.value, buckets, hot, learn)
+                cut = np.flatnonzero(np.concatenate(([True], f.buckets[1:] != f.buckets[:-1])))
+                ends = np.append(cut[1:], len(f.keys))
+                pieces = zip(cut.tolist(), ends.tolist(), strict=True)
+                keys, counts = zip(*((f.keys[a:b].tobytes(), f.counts[a:b].tobytes()) for a, b in pieces), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(f.buckets[cut]), pa.array(np.full(len(cut), row["chunk"])), pa.array(keys, pa.binary()),
+                     pa.array(counts, pa.binary())], ["bucket", "chunk", "keys", "counts"])
+
+    return chunks.mapInArrow(run, "bucket long, chunk long, keys binary, counts binary")
+
+
+ANSWERS = "chunk long, bucket long, mass binary, shares binary, context long, tokens double, escaped double"
+
+
+def answers_of(features: DataFrame, penalty: float) -> DataFrame:
+    """Train every bucket's softmaxes and answer its chunks.
+
+    ``mass`` is the probability of each feature times the tokens of its context in the bucket, ``shares`` the
+    escape and the tokens of each context.  Cut contexts have a row each (chunk null) besides.
+    """
+
+    def fit(table: pa.Table) -> pa.Table:
+        slices = [(c, np.frombuffer(k, np.uint64), np.frombuffer(n, np.uint32)) for c, k, n in
+                  zip(table["chunk"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)]
+        bucket = table["bucket"][0].as_py()
+        keys, back = np.unique(np.concatenate([k for _, k, _ in slices]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([n for _, _, n in slices]), len(keys)).astype(np.int64)
+        learnt = np.flatnonzero(counts)
+        begins = contexts(keys[learnt])
+        p, escape, tokens = fit_words(counts[learnt], begins, penalty)
+        names = keys[learnt][begins] >> np.uint64(32)
+        mass = np.zeros(len(keys), np.float32)
+        mass[learnt] = p * np.repeat(tokens, np.diff(np.append(begins, len(learnt)))) if len(learnt) else p
+        out, at = [], 0
+        for chunk, k, _ in slices:
+            here = back[at:at + len(k)]
+            at += len(k)
+            x = k[contexts(k)] >> np.uint64(32)
+            spot = np.minimum(np.searchsorted(names, x), max(len(names) - 1, 0))
+            shares = np.ones((len(x), 2), np.float32)
+            if len(names):
+                same = names[spot] == x
+                shares[same, 0], shares[same, 1] = escape[spot[same]], tokens[spot[same]]
+            out.append((chunk, bucket, mass[here].tobytes(), shares.tobytes(), None, None, None))
+        cut = np.flatnonzero(names & np.uint64(1)) if len(names) else []
+        out += [(None, bucket, None, None, int(names[i]), float(tokens[i]), float(escape[i] * tokens[i])) for i in cut]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                        [f.split()[0] for f in ANSWERS.split(", ")])
+
+    return features.groupBy("bucket").applyInArrow(fit, ANSWERS)
+
+
+class Cut(NamedTuple):
+    """Cut contexts (at most the lexicon's words a gap, and the shapes): tokens and escape."""
+
+    names: np.ndarray
+    tokens: np.ndarray
+    escape: np.ndarray
+
+
+def cut_contexts(answers: DataFrame) -> Cut:
+    rows = answers.where("chunk is null").groupBy("context").agg(F.sum("tokens"), F.sum("escaped")).orderBy("context").collect()
+    names, tokens, escaped = (np.array([r[i] for r in rows], np.float64) for i in range(3))
+    return Cut(names.astype(np.uint64), tokens, escaped / np.maximum(tokens, 1))
+
+
+def word_chances(features: Features, mass: np.ndarray, shares: np.ndarray, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
+    """Probability and escape of every feature of a chunk, from the buckets' answers."""
+    key = features.keys
+    x = key >> np.uint64(32)
+    new = np.ones(len(key), bool)
+    new[1:] = (x[1:] != x[:-1]) | (features.buckets[1:] != features.buckets[:-1])
+    run = np.cumsum(new) - 1
+    escape, tokens = shares[run, 0].astype(np.float64), shares[run, 1].astype(np.float64)
+    hot = np.flatnonzero(x & np.uint64(1))
+    if len(hot):
+        escape[hot], tokens[hot] = 1.0, 1.0
+        if len(cut.names):
+            spot = np.minimum(np.searchsorted(cut.names, x[hot]), len(cut.names) - 1)
+            same = cut.names[spot] == x[hot]
+            escape[hot[same]], tokens[hot[same]] = cut.escape[spot[same]], cut.tokens[spot[same]]
+    return mass / tokens, escape
+
+
 # ---------------------------------------------------------------- scoring
 
 SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
           "h long, tf long")
 
 
-def scored(rows: DataFrame, lexicon, weights) -> DataFrame:
-    """Per text, its sums over frequent words and classes; and a row per (text, rarer word)."""
-
-    def run(batches):
-        row = TaskContext.get().partitionId() << 36
+def token_chances(tokens: Tokens, lexicon: Lexicon, weights: np.ndarray, of: np.ndarray, p: np.ndarray,
+                  escape: np.ndarray) -> np.ndarray:
+    """The model's probability of every token of a block."""
+    history, back = np.unique(tokens.history, return_inverse=True)
+    chance = np.empty(len(tokens.kind))
+    for a in range(0, len(history), 16384):
+        some = np.flatnonzero((back >= a) & (back < a + 16384)) if len(history) > 16384 else slice(None)
+        logs = log_softmax(weights, history[a:a + 16384])
+        chance[some] = np.exp(logs[back[some] - a, tokens.kind[some]])
+    kind = tokens.kind[tokens.word_at] - TOP
+    known = tokens.found >= 0
+    shaped = np.flatnonzero((kind >= 0) & known)
+    whole = lexicon.shape_words + lexicon.shape_tokens + 1.0
+    chance[tokens.word_at[shaped]] *= (lexicon.counts[tokens.found[shaped]] + 1.0) / whole[kind[shaped]]
+    at, shape = tokens.word_at[~known], kind[~known]
+    units = lexicon.rare_words + 1.0
+    own = p[of[-1, at]] + escape[of[-1, at]] / units[shape]
+    chance[at] *= (lexicon.rare_tokens + units)[shape] / whole[shape] * own
+    for j in reversed(range(len(GAPS))):
+        chance = p[of[j]] + escape[of[j]] * chance
+    return chance
+
+
+def scored(chunks: DataFrame, answers: DataFrame, lexicon, weights, cut, buckets: int, hot: int) -> DataFrame:
+    """Per text, its sums over frequent words and the model's score; and a row per (text, rarer word)."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         lex = lexicon.value
         log_counts = np.log10(lex.counts + 1.0)
-        within = np.log10(lex.shape_words + lex.shape_tokens + 1.0)
-        end_log = np.log10(lex.texts + 1.0)
-        for batch in batches:
-            data, off = flat_texts(batch.column(2))
-            for a, b, part, cuts in text_blocks(data, off):
-                n = b - a
-                t = Tokens(part, cuts, lex)
-                history, back = np.unique(t.history, return_inverse=True)
-                logs = log_softmax(weights.value, history)
-                model = np.bincount(t.text, logs[back, t.kind].astype(np.float64) / np.log(10), n)
-                kind, owner = t.kind[t.word_at], t.words.text
-                in_shape = kind >= TOP
-                model -= np.bincount(owner[in_shape], within[kind[in_shape] - TOP], n)
-                known = t.found >= 0
-                logs = log_counts[t.found[known]]
-                base = np.bincount(owner[known], logs, n) + end_log
-                model += np.bincount(owner[known], np.where(in_shape[known], logs, 0.0), n)
-                n_known = np.bincount(owner[known], minlength=n) + (lex.texts > 0)
-                ids = row + np.arange(n)
-                row += n
-                yield _rows(ids, batch.column(0).slice(a, n), batch.column(1).slice(a, n), t.words.counts + 1, n_known,
-                            base, model, None, None)
-                h, owner = t.words.hash[~known], owner[~known]
-                if len(h):
-                    order = np.lexsort((h, owner))
-                    h, owner = h[order], owner[order]
-                    at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))))
-                    tf = np.diff(np.append(at, len(h)))
-                    yield _rows(ids[owner[at]], None, None, None, None, None, None, h[at].view(np.int64), tf)
-
-    return rows.mapInArrow(run, SCORED)
+        out = []
+        for row in left.to_pylist():
+            data, off = unpacked(row)
+            n = len(off) - 1
+            t = Tokens(data, off, lex)
+            f = Features(t, lex, buckets, hot, np.zeros(len(t.kind), bool))
+            order = np.argsort(right["bucket"].to_numpy())
+            join = lambda name: np.frombuffer(b"".join(right[name][i].as_py() for i in order), np.float32)  # noqa: B023, E731
+            p, escape = word_chances(f, join("mass"), join("shares").reshape(-1, 2), cut.value)
+            chance = token_chances(t, lex, weights.value, f.of, p, escape)
+            model = np.bincount(t.text, np.log10(np.minimum(chance, 1.0)), n)
+            owner, known = t.words.text, t.found >= 0
+            base = np.bincount(owner[known], log_counts[t.found[known]], n) + np.log10(lex.texts + 1.0)
+            n_known = np.bincount(owner[known], minlength=n) + (lex.texts > 0)
+            ids = (row["chunk"] << 20) + np.arange(n)
+            out.append(_rows(ids, pa.array(row["ids"], pa.int64()), pa.array(row["held"], pa.bool_()), t.words.counts + 1,
+                             n_known, base, model, None, None))
+            h, owner = t.words.hash[~known], owner[~known]
+            if len(h):
+                order = np.lexsort((h, owner))
+                h, owner = h[order], owner[order]
+                at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))))
+                tf = np.diff(np.append(at, len(h)))
+                out.append(_rows(ids[owner[at]], None, None, None, None, None, None, h[at].view(np.int64), tf))
+        return pa.Table.from_batches(out)
+
+    right = answers.where("chunk is not null").select("chunk", "bucket", "mass", "shares")
+    return chunks.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(run, SCORED)
 
 
 def _rows(*columns) -> pa.RecordBatch:
@@ -332,7 +588,11 @@ def score_texts(df: DataFrame, folds: int = 7, fold: int = 2, text: str = "text"
     lexicon = lexicon_of(counts, rows.where(~F.col("held_out")).count())
     shared = sc.broadcast(lexicon)
     weights = sc.broadcast(train(written(cell_counts(teach, shared), "cells")))
-    out = written(scored(rows, shared, weights), "scored")
+    buckets = 1 + lexicon.tokens // BUCKET_TOKENS
+    chunks = written(chunks_of(rows), "chunks")
+    answers = written(answers_of(features_of(chunks, shared, buckets, HOT), PENALTY), "answers")
+    cut = sc.broadcast(cut_contexts(answers))
+    out = written(scored(chunks, answers, shared, weights, cut, buckets, HOT), "scored")
     rare = out.where("h is not null").select("row", "h", "tf").join(counts.select("h", "n"), "h", "left")
     rare = rare.groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("logs"),
                                    F.sum(F.when(F.col("n") > 0, F.col("tf"))).alias("known"))
@@ -342,4 +602,4 @@ def score_texts(df: DataFrame, folds: int = 7, fold: int = 2, text: str = "text"
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + known).alias("n_known"),
         F.lit(lexicon.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + logs - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        (F.col("model") + logs).alias("score"))
+        F.col("model").alias("score"))
