@@ -59,6 +59,8 @@ FREQUENT = 1 << 17
 GAPS = (1, 2)
 #: L1 penalty of a feature's weight and updates of the word softmaxes.
 PENALTY, WORD_UPDATES = 0.8, 6
+#: Bytes of the texts of a chunk, about (a longer text is a chunk of its own).
+CHUNK_BYTES = 2 << 20
 #: Tokens of a bucket of features, about, and tokens beyond which a context is cut.
 BUCKET_TOKENS, HOT = 1 << 20, 1 << 17
 
@@ -299,20 +301,20 @@ CHUNK = "chunk long, ids array<long>, held array<boolean>, cuts binary, data bin
 
 
 def chunks_of(rows: DataFrame) -> DataFrame:
-    """The rows (doc_id, held_out, text) packed by Arrow batch, texts compressed, each chunk with a number."""
+    """The rows (doc_id, held_out, text) in numbered chunks of whole texts, compressed."""
 
     def run(batches):
         number = TaskContext.get().partitionId() << 20
         for batch in batches:
-            if not batch.num_rows:
-                continue
             data, off = flat_texts(batch.column(2))
-            packed = pa.compress(pa.py_buffer(np.ascontiguousarray(data)), "zstd", asbytes=True) if len(data) else b""
-            one = [[number], [batch.column(0).to_pylist()], [batch.column(1).to_pylist()], [off.tobytes()], [packed]]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
-            number += 1
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, types, strict=True)],
-                                             ["chunk", "ids", "held", "cuts", "data"])
+            for a, b, part, cuts in text_blocks(data, off, CHUNK_BYTES):
+                packed = pa.compress(pa.py_buffer(np.ascontiguousarray(part)), "zstd", asbytes=True) if len(part) else b""
+                ids, held = (batch.column(i).slice(a, b - a).to_pylist() for i in (0, 1))
+                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
+                one = [[number], [ids], [held], [cuts.tobytes()], [packed]]
+                number += 1
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(one, types, strict=True)],
+                                                 ["chunk", "ids", "held", "cuts", "data"])
 
     return rows.mapInArrow(run, CHUNK)
 
@@ -354,15 +356,17 @@ class Features:
         shape = tokens.kind[rare] - TOP
         self._add(keys, parts, np.uint64(1 << 20) + shape.astype(np.uint64), lexicon.rare_tokens[shape], low[rare])
         key, part = np.concatenate(keys), np.concatenate(parts) % np.uint64(buckets)
+        del keys, parts
         # Sort by (bucket, key): the same order on both sides of the shuffle.
-        _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        order = np.lexsort((key[first], part[first]))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        some, first, back = np.unique(key, return_index=True, return_inverse=True)
+        part = part[first]
+        order = np.lexsort((some, part))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         back = rank[back]
-        self.keys, self.buckets = key[first][order], part[first][order].astype(np.int64)
+        self.keys, self.buckets = some[order], part[order].astype(np.int64)
         self.counts = np.bincount(back[learn[np.concatenate(at)]], minlength=len(order)).astype(np.uint32)
-        self.of = np.full((len(GAPS) + 1, n), -1)
+        self.of = np.full((len(GAPS) + 1, n), -1, np.int32)
         begin = 0
         for j, where in enumerate(at):
             self.of[j, where] = back[begin:begin + len(where)]
@@ -415,7 +419,8 @@ def features_of(chunks: DataFrame, lexicon, buckets: int, hot: int) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 data, off = unpacked(row)
                 tokens = Tokens(data, off, lexicon.value)
                 learn = ~np.array(row["held"], bool)[tokens.text]
