@@ -27,7 +27,8 @@ Scoring.  The buckets answer each chunk with the probabilities of its features,
 scored as a sparse batch.  Counts of frequent words are broadcast (at most ``FREQUENT`` words);
 for the base score rarer words are joined.
 
-Words are told apart by 64-bit hashes, features by 31 bits of the context and 32 of the word.
+Words are told apart by 64-bit hashes, features of rare words by 28 bits in the context and
+31 in the word.
 Defined cases: null, empty and blank texts are one end token; without training tokens all counts
 are 0 and the class softmax is uniform; repeated ids are scored row by row; a null id is never held out.
 """
@@ -58,14 +59,16 @@ FREQUENT = 1 << 17
 #: How far before a token the words stand whose (word, token) pairs are features.
 GAPS = (1, 2)
 #: L1 penalty of a feature's weight and updates of the word softmaxes.
-PENALTY, WORD_UPDATES = 0.8, 6
+PENALTY, WORD_UPDATES = 0.8, 9
 #: Bytes of the texts of a chunk, about (a longer text is a chunk of its own).
 CHUNK_BYTES = 2 << 20
 #: Tokens of a bucket of features, about, and tokens beyond which a context is cut.
 BUCKET_TOKENS, HOT = 1 << 20, 1 << 17
+#: Bit of a context that is cut.
+CUT = 1 << 29
 
-_START, _STOP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _LOW = np.uint64(0xFFFFFFFF)
+_TEXTS = pa.Codec("zstd", compression_level=7)
 
 _ENDING = np.zeros(256, np.int64)
 _ENDING[[ord(c) for c in ".!?"]] = 2
@@ -95,6 +98,7 @@ class Lexicon(NamedTuple):
     """Frequent words by hash with their counts, the class of each, and the totals."""
 
     hashes: np.ndarray
+    ranks: np.ndarray
     counts: np.ndarray
     classes: np.ndarray
     shape_words: np.ndarray
@@ -216,7 +220,7 @@ def lexicon_of(counts: DataFrame, texts: int) -> Lexicon:
     rare_tokens = shape_tokens - np.bincount(rest["shape"], rest["n"], SHAPES).astype(np.int64)
     h = rows["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
-    return Lexicon(h[order], rows["n"].to_numpy(np.int64)[order], classes[order], shape_words, shape_tokens,
+    return Lexicon(h[order], order, rows["n"].to_numpy(np.int64)[order], classes[order], shape_words, shape_tokens,
                    rare_words, rare_tokens, texts,
                    int(shape_tokens.sum() + rows["n"].head(TOP).sum()) + texts,
                    int(shape_words.sum() + min(len(rows), TOP)) + (texts > 0))
@@ -308,7 +312,7 @@ def chunks_of(rows: DataFrame) -> DataFrame:
         for batch in batches:
             data, off = flat_texts(batch.column(2))
             for a, b, part, cuts in text_blocks(data, off, CHUNK_BYTES):
-                packed = pa.compress(pa.py_buffer(np.ascontiguousarray(part)), "zstd", asbytes=True) if len(part) else b""
+                packed = _TEXTS.compress(np.ascontiguousarray(part), asbytes=True) if len(part) else b""
                 ids, held = (batch.column(i).slice(a, b - a).to_pylist() for i in (0, 1))
                 types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
                 one = [[number], [ids], [held], [cuts.tobytes()], [packed]]
@@ -336,25 +340,23 @@ class Features:
 
     def __init__(self, tokens: Tokens, lexicon: Lexicon, buckets: int, hot: int, learn: np.ndarray) -> None:
         n, self.hot = len(tokens.kind), hot
-        word = np.full(n, _STOP)
-        word[tokens.word_at] = tokens.words.hash
-        count = np.full(n, lexicon.texts, np.int64)
         known = tokens.found >= 0
-        count[tokens.word_at] = 0
-        count[tokens.word_at[known]] = lexicon.counts[tokens.found[known]]
+        where, rare = tokens.word_at[known], tokens.word_at[~known]
+        # Codes: the rank of a listed word, FREQUENT for an end (or begin), a marked hash for the rest.
+        word, count = np.full(n, FREQUENT, np.uint64), np.full(n, lexicon.texts, np.int64)
+        word[where], count[where] = lexicon.ranks[tokens.found[known]], lexicon.counts[tokens.found[known]]
+        word[rare], count[rare] = tokens.words.hash[~known] & _LOW | np.uint64(1 << 31), 0
         place = np.arange(n) - np.concatenate(([0], tokens.end_at[:-1] + 1))[tokens.text] if n else np.zeros(0, np.int64)
-        low = word & _LOW
         keys, parts, at = [], [], []
         for j, gap in enumerate(GAPS):
-            inside = place >= gap
-            before, size = np.full(n, _START), np.full(n, lexicon.texts, np.int64)
-            before[inside], size[inside] = word[np.flatnonzero(inside) - gap], count[np.flatnonzero(inside) - gap]
+            inside = np.flatnonzero(place >= gap)
+            before, size = np.full(n, FREQUENT, np.uint64), np.full(n, lexicon.texts, np.int64)
+            before[inside], size[inside] = word[inside - gap], count[inside - gap]
             at.append(np.arange(n))
-            self._add(keys, parts, before + np.uint64(j), size, low)
-        rare = tokens.word_at[~known]
+            self._add(keys, parts, j, before, size, word)
         at.append(rare)
         shape = tokens.kind[rare] - TOP
-        self._add(keys, parts, np.uint64(1 << 20) + shape.astype(np.uint64), lexicon.rare_tokens[shape], low[rare])
+        self._add(keys, parts, len(GAPS), shape.astype(np.uint64), lexicon.rare_tokens[shape], word[rare])
         key, part = np.concatenate(keys), np.concatenate(parts) % np.uint64(buckets)
         del keys, parts
         # Sort by (bucket, key): the same order on both sides of the shuffle.
@@ -372,13 +374,33 @@ class Features:
             self.of[j, where] = back[begin:begin + len(where)]
             begin += len(where)
 
-    def _add(self, keys: list, parts: list, context: np.ndarray, size: np.ndarray, low: np.ndarray) -> None:
-        """Keys and bucket hashes of features; the context's last bit marks one that is cut."""
+    def _add(self, keys: list, parts: list, kind: int, context: np.ndarray, size: np.ndarray, word: np.ndarray) -> None:
+        """Keys and bucket hashes of features; ``CUT`` in the context marks one that is cut."""
         hot = size > self.hot
-        x = mix64(context) >> np.uint64(33) << np.uint64(1) | hot.astype(np.uint64)
+        x = context & np.uint64((1 << 28) - 1) | (context >> np.uint64(31)) << np.uint64(28)
+        x |= hot.astype(np.uint64) * np.uint64(CUT) | np.uint64(kind << 30)
         cuts = np.left_shift(1, np.ceil(np.log2(np.maximum(size / self.hot, 1))).astype(np.int64)).astype(np.uint64)
-        keys.append(x << np.uint64(32) | low)
-        parts.append(mix64(x << np.uint64(32) | low & (cuts - np.uint64(1))))
+        keys.append(x << np.uint64(32) | word)
+        parts.append(mix64(x << np.uint64(32) | mix64(word + np.uint64(1)) & (cuts - np.uint64(1))))
+
+
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays of 4-byte values, equally long, as compressed byte planes."""
+    planes = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes() for a in arrays)
+    return pa.compress(planes, "zstd", asbytes=True) if planes else b""
+
+
+def opened(packed: bytes, n: int, *types) -> list[np.ndarray]:
+    """The arrays of ``n`` values that ``squeezed`` packed."""
+    planes = np.frombuffer(pa.decompress(packed, 4 * n * len(types), "zstd"), np.uint8) if n else np.zeros(0, np.uint8)
+    planes = planes.reshape(len(types), 4, n)
+    return [np.ascontiguousarray(planes[i].T).view(t).reshape(-1) for i, t in enumerate(types)]
+
+
+def rounded(values: np.ndarray) -> np.ndarray:
+    """Floats of 12 significant bits (equal ones compress well)."""
+    bits = np.ascontiguousarray(values, np.float32).view(np.uint32)
+    return ((bits + np.uint32(0x800)) & np.uint32(0xFFFFF000)).view(np.float32)
 
 
 def contexts(keys: np.ndarray) -> np.ndarray:
@@ -415,7 +437,7 @@ def fit_words(counts: np.ndarray, begins: np.ndarray, penalty: float) -> tuple[n
 
 
 def features_of(chunks: DataFrame, lexicon, buckets: int, hot: int) -> DataFrame:
-    """(bucket, chunk, keys, counts): the features of every chunk, one row a bucket."""
+    """(bucket, chunk, n, packed): the features of every chunk, one row a bucket."""
 
     def run(batches):
         for batch in batches:
@@ -428,15 +450,16 @@ def features_of(chunks: DataFrame, lexicon, buckets: int, hot: int) -> DataFrame
                 cut = np.flatnonzero(np.concatenate(([True], f.buckets[1:] != f.buckets[:-1])))
                 ends = np.append(cut[1:], len(f.keys))
                 pieces = zip(cut.tolist(), ends.tolist(), strict=True)
-                keys, counts = zip(*((f.keys[a:b].tobytes(), f.counts[a:b].tobytes()) for a, b in pieces), strict=True)
+                x, w = (f.keys >> np.uint64(32)).astype(np.uint32), f.keys.astype(np.uint32)
+                packed = [squeezed(np.diff(x[a:b], prepend=np.uint32(0)), w[a:b], f.counts[a:b]) for a, b in pieces]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(f.buckets[cut]), pa.array(np.full(len(cut), row["chunk"])), pa.array(keys, pa.binary()),
-                     pa.array(counts, pa.binary())], ["bucket", "chunk", "keys", "counts"])
+                    [pa.array(f.buckets[cut]), pa.array(np.full(len(cut), row["chunk"])), pa.array(ends - cut),
+                     pa.array(packed, pa.binary())], ["bucket", "chunk", "n", "packed"])
 
-    return chunks.mapInArrow(run, "bucket long, chunk long, keys binary, counts binary")
+    return chunks.mapInArrow(run, "bucket long, chunk long, n long, packed binary")
 
 
-ANSWERS = "chunk long, bucket long, mass binary, shares binary, context long, tokens double, escaped double"
+ANSWERS = "chunk long, bucket long, n long, mass binary, m long, shares binary, context long, tokens double, escaped double"
 
 
 def answers_of(features: DataFrame, penalty: float) -> DataFrame:
@@ -447,8 +470,10 @@ def answers_of(features: DataFrame, penalty: float) -> DataFrame:
     """
 
     def fit(table: pa.Table) -> pa.Table:
-        slices = [(c, np.frombuffer(k, np.uint64), np.frombuffer(n, np.uint32)) for c, k, n in
-                  zip(table["chunk"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)]
+        slices = []
+        for chunk, n, packed in zip(*(table[c].to_pylist() for c in ("chunk", "n", "packed")), strict=True):
+            x, w, counts = opened(packed, n, np.uint32, np.uint32, np.uint32)
+            slices.append((chunk, np.cumsum(x, dtype=np.uint32).astype(np.uint64) << np.uint64(32) | w, counts))
         bucket = table["bucket"][0].as_py()
         keys, back = np.unique(np.concatenate([k for _, k, _ in slices]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([n for _, _, n in slices]), len(keys)).astype(np.int64)
@@ -457,7 +482,7 @@ def answers_of(features: DataFrame, penalty: float) -> DataFrame:
         p, escape, tokens = fit_words(counts[learnt], begins, penalty)
         names = keys[learnt][begins] >> np.uint64(32)
         mass = np.zeros(len(keys), np.float32)
-        mass[learnt] = p * np.repeat(tokens, np.diff(np.append(begins, len(learnt)))) if len(learnt) else p
+        mass[learnt] = rounded(p * np.repeat(tokens, np.diff(np.append(begins, len(learnt))))) if len(learnt) else p
         out, at = [], 0
         for chunk, k, _ in slices:
             here = back[at:at + len(k)]
@@ -468,10 +493,12 @@ def answers_of(features: DataFrame, penalty: float) -> DataFrame:
             if len(names):
                 same = names[spot] == x
                 shares[same, 0], shares[same, 1] = escape[spot[same]], tokens[spot[same]]
-            out.append((chunk, bucket, mass[here].tobytes(), shares.tobytes(), None, None, None))
-        cut = np.flatnonzero(names & np.uint64(1)) if len(names) else []
-        out += [(None, bucket, None, None, int(names[i]), float(tokens[i]), float(escape[i] * tokens[i])) for i in cut]
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.float64()]
+            shares = rounded(shares)
+            out.append((chunk, bucket, len(k), squeezed(mass[here]), len(x),
+                        squeezed(*(np.ascontiguousarray(c) for c in shares.T)), None, None, None))
+        cut = np.flatnonzero(names & np.uint64(CUT)) if len(names) else []
+        out += [(None, bucket, None, None, None, None, int(names[i]), float(tokens[i]), float(escape[i] * tokens[i])) for i in cut]
+        types = [pa.int64()] * 3 + [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                         [f.split()[0] for f in ANSWERS.split(", ")])
 
@@ -500,7 +527,7 @@ def word_chances(features: Features, mass: np.ndarray, shares: np.ndarray, cut:
     new[1:] = (x[1:] != x[:-1]) | (features.buckets[1:] != features.buckets[:-1])
     run = np.cumsum(new) - 1
     escape, tokens = shares[run, 0].astype(np.float64), shares[run, 1].astype(np.float64)
-    hot = np.flatnonzero(x & np.uint64(1))
+    hot = np.flatnonzero(x & np.uint64(CUT))
     if len(hot):
         escape[hot], tokens[hot] = 1.0, 1.0
         if len(cut.names):
@@ -552,8 +579,12 @@ def scored(chunks: DataFrame, answers: DataFrame, lexicon, weights, cut, buckets
             t = Tokens(data, off, lex)
             f = Features(t, lex, buckets, hot, np.zeros(len(t.kind), bool))
             order = np.argsort(right["bucket"].to_numpy())
-            join = lambda name: np.frombuffer(b"".join(right[name][i].as_py() for i in order), np.float32)  # noqa: B023, E731
-            p, escape = word_chances(f, join("mass"), join("shares").reshape(-1, 2), cut.value)
+            right = right.take(order)
+            mass, shares = [], []
+            for n_of, packed, m, pairs in zip(*(right[c].to_pylist() for c in ("n", "mass", "m", "shares")), strict=True):
+                mass += opened(packed, n_of, np.float32)
+                shares.append(np.stack(opened(pairs, m, np.float32, np.float32), axis=1))
+            p, escape = word_chances(f, np.concatenate(mass), np.concatenate(shares), cut.value)
             chance = token_chances(t, lex, weights.value, f.of, p, escape)
             model = np.bincount(t.text, np.log10(np.minimum(chance, 1.0)), n)
             owner, known = t.words.text, t.found >= 0
@@ -571,7 +602,7 @@ def scored(chunks: DataFrame, answers: DataFrame, lexicon, weights, cut, buckets
                 out.append(_rows(ids[owner[at]], None, None, None, None, None, None, h[at].view(np.int64), tf))
         return pa.Table.from_batches(out)
 
-    right = answers.where("chunk is not null").select("chunk", "bucket", "mass", "shares")
+    right = answers.where("chunk is not null").select("chunk", "bucket", "n", "mass", "m", "shares")
     return chunks.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(run, SCORED)
 
 

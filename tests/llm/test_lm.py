@@ -65,7 +65,7 @@ def test_probabilities_sum_to_one():
 
 def test_histories_stay_within_their_text():
     none = np.zeros(lm.SHAPES, np.int64)
-    lexicon = lm.Lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), none, none, none, none, 0, 0, 0)
+    lexicon = lm.Lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), none, none, none, none, 0, 0, 0)
     texts = ["eins zwei drei, vier.", "", "ñandú x", "a", "  "]
     together = lm.Tokens(*flat_texts(pa.array(texts)), lexicon)
     alone = [lm.Tokens(*flat_texts(pa.array([t])), lexicon) for t in texts]
