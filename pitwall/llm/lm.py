@@ -68,7 +68,6 @@ BUCKET_TOKENS, HOT = 1 << 20, 1 << 17
 CUT = 1 << 29
 
 _LOW = np.uint64(0xFFFFFFFF)
-_TEXTS = pa.Codec("zstd", compression_level=7)
 
 _ENDING = np.zeros(256, np.int64)
 _ENDING[[ord(c) for c in ".!?"]] = 2
@@ -309,10 +308,11 @@ def chunks_of(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         number = TaskContext.get().partitionId() << 20
+        codec = pa.Codec("zstd", compression_level=7)
         for batch in batches:
             data, off = flat_texts(batch.column(2))
             for a, b, part, cuts in text_blocks(data, off, CHUNK_BYTES):
-                packed = _TEXTS.compress(np.ascontiguousarray(part), asbytes=True) if len(part) else b""
+                packed = codec.compress(np.ascontiguousarray(part), asbytes=True) if len(part) else b""
                 ids, held = (batch.column(i).slice(a, b - a).to_pylist() for i in (0, 1))
                 types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
                 one = [[number], [ids], [held], [cuts.tobytes()], [packed]]
