@@ -1,10 +1,10 @@
 """Operator 3: language model with hashed maximum-entropy features and a class-factored softmax.
 
-A token is predicted by softmaxes over hashed features of ever wider histories; each leaves a
+A token is predicted by a chain of softmaxes over hashed features; each leaves a
 share of its probability (an escape outcome) to the next one.
 
 * *Word n-grams.*  Given the word before it: a softmax with one hashed feature a (word before, word).
-* *Word skips.*  Given the word two before: the same with (word two before, word).
+  ``GAPS`` can add word skips: the same with the word two before, after the n-grams.
 * *Class softmax.*  Class given the history times word given class.  The most frequent training
   words have a class each; the text's end has one; all other words fall into classes by shape
   (length, final punctuation, accents).  Hashed features of the history: the last class, the last
@@ -57,7 +57,7 @@ BUCKETS, ACTIVE, UPDATES, PARTS = 8192, 6, 14, 8
 #: Words whose counts are broadcast, at most.
 FREQUENT = 1 << 17
 #: How far before a token the words stand whose (word, token) pairs are features.
-GAPS = (1, 2)
+GAPS = (1,)
 #: L1 penalty of a feature's weight and updates of the word softmaxes.
 PENALTY, WORD_UPDATES = 0.8, 9
 #: Bytes of the texts of a chunk, about (a longer text is a chunk of its own).
