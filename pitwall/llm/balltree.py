@@ -7,8 +7,9 @@ nodes whose bound  q.c + |q| r  is below a query's current k-th score are cut of
 leaves that remain are visited by falling bound, and the k-th score rises on the way.
 
 Shards are searched in two waves: a first shard for every block, and then all others, which
-start from the k-th scores that the first wave found.  Blocks and shards meet in an
-equi-join on the shard's number; only each pair's best rows leave it.
+start from the k-th scores that the first wave found.  For that, shards are dealt over *parts*
+of bounded size: a task holds the trees of one part while the blocks pass by, so that trees move
+once, blocks once per part, and neither is broadcast.  Only each pair's best rows leave it.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite component take no
 part; vectors are compared with those of the same length; ties go to the smaller id; a
@@ -25,11 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.common import written
+from pitwall.llm.common import bounded_batches, written
 
 SCALE = 256
 #: Vectors of a shard and queries of a block, on average; vectors of a leaf, at most.
 SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 512, 64
+#: Vectors of a part, at most, in bytes; parts that a search is dealt over, if there are shards for them.
+PART_BYTES, PARTS = 32 << 20, 64
 
 
 def scaled(df: DataFrame, vector: str, id_column: str) -> DataFrame:
@@ -201,23 +204,43 @@ def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, shard:
     return out
 
 
-def wave(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
-    """Search the blocks' shards: ``asked`` has a block's columns and a column shard."""
+def wave(asked: DataFrame, trees: DataFrame, k: int, tasks: int, first: bool) -> DataFrame:
+    """Search the trees of each block's part: of the block's own shard only (``first``), or of all others.
+
+    ``asked`` has a block's columns, a shard and a part, ``trees`` a tree's columns and a part.
+    """
+
+    def answers(r: dict, held: list[dict]):
+        ids = np.frombuffer(r["ids"], np.int64)
+        q, least = np.frombuffer(r["queries"], np.int64).reshape(len(ids), -1), np.frombuffer(r["least"], np.int64).copy()
+        for tree in held:
+            if (tree["shard"] == r["shard"]) != first:
+                continue
+            found = search(q, ids, least, tree, k)
+            for i, _, scores in found:
+                if len(scores) == k:
+                    least[i] = max(least[i], scores[-1])
+            if found:
+                yield pd.DataFrame({"dim": r["dim"], "block": r["block"],
+                                    "query_id": np.repeat(ids[[i for i, _, _ in found]], [len(x) for _, x, _ in found]),
+                                    "vec_id": np.concatenate([x for _, x, _ in found]),
+                                    "score": np.concatenate([s for _, _, s in found])})
 
     def run(frames):
+        held, part = [], None
         for rows in frames:
             for r in rows.to_dict("records"):
-                ids = np.frombuffer(r["q_ids"], np.int64)
-                q = np.frombuffer(r["queries"], np.int64).reshape(len(ids), -1)
-                found = search(q, ids, np.frombuffer(r["least"], np.int64), r, k)
-                if found:
-                    yield pd.DataFrame({"dim": r["dim"], "block": r["block"],
-                                        "query_id": np.repeat(ids[[i for i, _, _ in found]], [len(x) for _, x, _ in found]),
-                                        "vec_id": np.concatenate([x for _, x, _ in found]),
-                                        "score": np.concatenate([s for _, _, s in found])})
+                if (r["dim"], r["part"]) != part:
+                    held, part = [], (r["dim"], r["part"])
+                if r["block"] < 0:
+                    held.append(r)
+                else:
+                    yield from answers(r, held)
 
-    # The join deals by shard: a tree moves once and meets all its blocks in that task.
-    return asked.withColumnRenamed("ids", "q_ids").join(trees, ["dim", "shard"]).mapInPandas(run, FOUND)
+    # In each part the trees come first, then the blocks.
+    rows = trees.withColumn("block", F.lit(-1)).unionByName(asked, allowMissingColumns=True)
+    dealt = rows.repartition(tasks, "dim", "part").sortWithinPartitions("dim", "part", "block", "shard")
+    return bounded_batches(dealt).mapInPandas(run, FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -228,15 +251,18 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def top_k(df: DataFrame, is_query, k: int = 5, vector: str = "embedding", id_column: str = "vec_id") -> DataFrame:
     """query_id, rank, vec_id and score of the best k of every query."""
     points = written(scaled(df, vector, id_column), "points")
-    total = points.count()
-    n_shards = max(1, -(-total // SHARD_ROWS))
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(1)).alias("dim")).first()
+    n_shards = max(1, -(-size["n"] // SHARD_ROWS))
+    n_parts = min(n_shards, max(PARTS, -(-n_shards * SHARD_ROWS * size["dim"] * 8 // PART_BYTES)))
     asked = points.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = written(asked, "queries")
     n_blocks = max(1, -(-asked.count() // BLOCK_ROWS))
     trees = written(shards(points, n_shards), "trees")
     groups = written(blocks(asked, n_blocks), "blocks")
-    first = F.pmod(F.xxhash64("block"), F.lit(n_shards)).cast("int")
-    found = written(wave(groups.withColumn("shard", first), trees, k), "first")
+    groups = groups.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(n_shards)).cast("int"))
+    asked = groups.withColumn("part", F.col("shard"))
+    wanted = trees.join(asked.select("dim", "shard").distinct(), ["dim", "shard"], "left_semi").withColumn("part", F.col("shard"))
+    found = written(wave(asked, wanted, k, n_parts, first=True), "first")
     # The k-th scores of the first wave, in the order of each block's queries.
     kth = _best(found, k).where(F.col("rank") == k).select("dim", "block", "query_id", "score")
     kth = kth.groupBy("dim", "block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("kth"))
@@ -250,9 +276,10 @@ def top_k(df: DataFrame, is_query, k: int = 5, vector: str = "embedding", id_col
             rows["least"] = out
             yield rows.drop(columns=["kth"])
 
-    columns = ["dim", "block", "ids", "queries", "least"]
-    groups = groups.join(kth, ["dim", "block"], "left").select(*columns, "kth").mapInPandas(raise_least, BLOCK)
-    others = F.filter(F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda s: s != first)
-    rest = groups.withColumn("shard", F.explode(others))
-    found = found.unionByName(wave(rest, trees, k))
+    # Estimates see no long binaries and no explode, so the joined sides are sorted, never broadcast.
+    columns = ["dim", "block", "ids", "queries", "least", "shard"]
+    groups = groups.join(kth.hint("merge"), ["dim", "block"], "left").select(*columns, "kth").mapInPandas(raise_least, BLOCK + ", shard int")
+    rest = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    dealt = trees.withColumn("part", F.pmod("shard", F.lit(n_parts)))
+    found = found.unionByName(wave(rest, dealt, k, n_parts, first=False))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

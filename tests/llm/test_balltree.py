@@ -80,3 +80,15 @@ def test_components_beyond_32_bits(spark, small):
         run(spark, [(10, [3.0e16, 1.0]), (1, [3.0e16, 1.0])])
     with pytest.raises(Exception, match="64 bits"):
         run(spark, [(10, [1.0e300, 1.0]), (1, [1.0, 1.0])])
+
+
+def test_trees_and_blocks_are_not_broadcast(spark, small, monkeypatch):
+    """Every block meets every shard: neither may go through the driver, whatever the optimizer takes them for."""
+    monkeypatch.setattr(balltree, "PARTS", 3, raising=False)
+    monkeypatch.setattr(balltree, "PART_BYTES", 60 * 8 * 8 * 2, raising=False)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = balltree.top_k(df, F.col("vec_id") % 10 == 0, 5)
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, found.collect())) == brute(rows, lambda i: i % 10 == 0, 5)
