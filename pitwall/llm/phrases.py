@@ -1,7 +1,7 @@
 """Operator 13: phrase collocations by set-oriented relational mining (SETM).
 
 The occurrence relation R1 holds one entry (piece and position, word) per word, sorted, packed
-by *chunk*: the texts of one language among a few megabytes.  Each round merge-joins the sorted
+by *chunk*: a few megabytes of one language's texts.  Each round merge-joins the sorted
 relation of frequent k-word phrases with itself one position on, which gives the occurrences of
 k + 1 words with the codes of their first and last k words.  The distinct keys of a chunk with
 their counts are cut into slices by a hash of the key; the slices of a *bucket* come together,
@@ -23,7 +23,8 @@ rows; an empty table gives an empty result; further columns are not read.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,12 @@ from pitwall.llm.common import Rolling, bounded_batches, flat_texts, mix64, unio
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 #: Words of the longest phrase; the least count; rows of a language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Text bytes of a chunk (a longer text makes one of its own).
-CHUNK_BYTES = 4 << 20
+#: Text bytes of a chunk (a longer text makes one of its own), and of all languages' chunks that a task has begun.
+CHUNK_BYTES, HELD_BYTES = 4 << 20, 16 << 20
 #: Entries of a bucket, about.
 BUCKET = 1 << 20
+#: Keys that are unpacked, sorted or looked up together, at least.
+GATHERED = 1 << 17
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[list(PIECE_ENDS)] = True
@@ -70,15 +73,26 @@ def occurrences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.Array
     return slots, words
 
 
+@cache
+def _packer() -> zstandard.ZstdCompressor:
+    """One for each process: slices are many and small."""
+    return zstandard.ZstdCompressor(level=1)
+
+
+@cache
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def packed(x: np.ndarray, kind: str = "<i4") -> bytes:
     """Whole numbers as compressed byte planes."""
     width = np.dtype(kind).itemsize
     planes = np.ascontiguousarray(x.astype(kind)).view(np.uint8).reshape(-1, width).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return _packer().compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(_unpacker().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
@@ -107,19 +121,20 @@ class Words:
     def take(self, at: np.ndarray) -> Words:
         return Words(self.words.take(pa.array(at)), self.lang)
 
-    def sliced(self) -> tuple[Words, np.ndarray]:
-        return self, np.arange(len(self))
+    def sliced(self, bucket: np.ndarray) -> np.ndarray:
+        """Places by bucket, each bucket's keys as its slice has them."""
+        return self.order()
 
     def payload(self) -> bytes:
         lang = self.lang.encode()
         # no word holds a line end
         words = "\n".join(self.words.to_pylist()).encode()
-        return len(lang).to_bytes(4, "little") + lang + zstandard.ZstdCompressor(level=1).compress(words)
+        return len(lang).to_bytes(4, "little") + lang + _packer().compress(words)
 
     @staticmethod
     def load(data: bytes) -> Words:
         cut = 4 + int.from_bytes(data[:4], "little")
-        words = zstandard.ZstdDecompressor().decompress(data[cut:]).decode().split("\n")
+        words = _unpacker().decompress(data[cut:]).decode().split("\n")
         return Words(pa.array(words, pa.string()), data[4:cut].decode())
 
 
@@ -142,10 +157,9 @@ class Pairs:
     def take(self, at: np.ndarray) -> Pairs:
         return Pairs(self.first[at], self.last[at])
 
-    def sliced(self) -> tuple[Pairs, np.ndarray]:
-        """The ascending keys of a slice, which are smaller, and where each was."""
-        at = np.lexsort((self.last, self.first))
-        return self.take(at), at
+    def sliced(self, bucket: np.ndarray) -> np.ndarray:
+        """Places by bucket, then key: ascending keys are smaller."""
+        return np.lexsort((self.last, self.first, bucket))
 
     def payload(self) -> bytes:
         first = packed(np.diff(self.first, prepend=0), "<i8")
@@ -178,33 +192,35 @@ def _row(chunk: str, lang: str | None, keys: Words | Pairs, counts: np.ndarray,
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The whole occurrence relation: per chunk its distinct words, their counts, and slot and word of each occurrence."""
 
-    def emit(texts: list[pa.Array], langs: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-        column, kinds = pa.concat_arrays(texts), pa.concat_arrays(langs).dictionary_encode()
-        for k, name in enumerate(kinds.dictionary.to_pylist()):
-            slots, words = occurrences(*flat_texts(column.filter(pa.array(kinds.indices.to_numpy() == k))))
+    def run(batches):
+        held: dict[str, tuple[list[pa.Array], list[int]]] = {}
+
+        def emit(name: str) -> Iterator[pa.RecordBatch]:
+            slots, words = occurrences(*flat_texts(pa.concat_arrays(held.pop(name)[0])))
             if len(words):
                 coded = words.dictionary_encode()
                 index = coded.indices.to_numpy()
                 yield _row(uuid.uuid4().hex, name, Words(coded.dictionary, name), np.bincount(index), slots, index)
 
-    def run(batches):
-        texts, langs, size = [], [], 0
         for batch in batches:
-            t, l = batch.column(0), batch.column(1)
-            row = 0
-            while row < batch.num_rows:
-                # rows up to about CHUNK_BYTES, one at least
-                sizes = np.cumsum(np.diff(flat_texts(t.slice(row))[1]))
-                rows = min(max(1, int(np.searchsorted(sizes, CHUNK_BYTES - size, "right"))), batch.num_rows - row)
-                texts.append(t.slice(row, rows).fill_null(""))
-                langs.append(l.slice(row, rows))
-                size += int(sizes[rows - 1])
-                row += rows
-                if size >= CHUNK_BYTES or row < batch.num_rows:
-                    yield from emit(texts, langs)
-                    texts, langs, size = [], [], 0
-        if texts:
-            yield from emit(texts, langs)
+            kinds = batch.column(1).dictionary_encode()
+            for k, name in enumerate(kinds.dictionary.to_pylist()):
+                own = batch.column(0).filter(pa.array(kinds.indices.to_numpy() == k)).fill_null("")
+                row = 0
+                while row < len(own):
+                    texts, sizes = held.setdefault(name, ([], []))
+                    # rows up to about CHUNK_BYTES, one at least
+                    reach = np.cumsum(np.diff(flat_texts(own.slice(row))[1]))
+                    rows = min(max(1, int(np.searchsorted(reach, CHUNK_BYTES - sum(sizes), "right"))), len(own) - row)
+                    texts.append(own.slice(row, rows))
+                    sizes.append(int(reach[rows - 1]))
+                    row += rows
+                    if sum(sizes) >= CHUNK_BYTES or row < len(own):
+                        yield from emit(name)
+            while sum(sum(sizes) for _, sizes in held.values()) > HELD_BYTES:
+                yield from emit(max(held, key=lambda x: sum(held[x][1])))
+        for name in list(held):
+            yield from emit(name)
 
     rows = bounded_batches(docs).select(F.col(text).cast("string").alias("text"),
                                         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
@@ -231,13 +247,13 @@ def _slices(relation: DataFrame, kind: type, buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = kind.load(row["keys"]), unpacked(row["counts"])
-                order = keys.order()
-                bucket = bucket_of(keys.hashes()[order], buckets)
-                own, lead = np.unique(bucket, return_index=True)
+                bucket = bucket_of(keys.hashes(), buckets)
+                order = keys.sliced(bucket)
+                own, lead = np.unique(bucket[order], return_index=True)
                 out = []
                 for b, x, y in zip(own.tolist(), lead.tolist(), [*lead[1:].tolist(), len(keys)], strict=True):
-                    part, at = keys.take(order[x:y]).sliced()
-                    out.append({"bucket": b, "chunk": row["chunk"], "place": x, "keys": part.payload(), "counts": packed(counts[order[x:y]][at])})
+                    at = order[x:y]
+                    out.append({"bucket": b, "chunk": row["chunk"], "place": x, "keys": keys.take(at).payload(), "counts": packed(counts[at])})
                 for i in range(0, len(out), 512):
                     yield pa.RecordBatch.from_pylist(out[i:i + 512], _SLICE)
 
@@ -254,27 +270,25 @@ def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> It
     """Add up the slices of a bucket: the frequent groups, then per slice the codes of its keys in
     the order of its chunk (-1: not frequent)."""
     if kind is Words:
+        # a blank is in no word, so that word and language stay apart
+        joined_up = lambda parts: pa.concat_arrays([pa.compute.binary_join_element_wise(w.words, w.lang, " ") for w in parts])
         keys, counts = pa.array([], pa.string()), np.zeros(0, np.int64)
-        for row in _gathered(rows):
-            # a blank is in no word, so that word and language stay apart
-            own = pa.concat_arrays([pa.compute.binary_join_element_wise(w.words, w.lang, " ") for w in map(Words.load, row["keys"])])
-            coded = pa.concat_arrays([keys, own]).dictionary_encode()
-            total = np.concatenate([counts, *[unpacked(c) for c in row["counts"]]]).astype(np.int64)
+        for own, of in _gathered(rows, kind, lambda: len(counts)):
+            coded = pa.concat_arrays([keys, joined_up(own)]).dictionary_encode()
+            total = np.concatenate([counts, *[unpacked(r["counts"]) for r in of]]).astype(np.int64)
             keys, counts = coded.dictionary, np.bincount(coded.indices.to_numpy(), total).astype(np.int64)
         kept = np.flatnonzero(counts >= least)
         keys = keys.take(pa.array(kept))
         names = [k.split(" ", 1) for k in keys.to_pylist()]
         parts = {"word": [w for w, _ in names], "lang": [x for _, x in names]}
 
-        def place(data):
-            own = Words.load(data)
-            return pa.compute.index_in(pa.compute.binary_join_element_wise(own.words, own.lang, " "), keys).fill_null(-1).to_numpy(zero_copy_only=False)
+        def place(own):
+            return pa.compute.index_in(joined_up(own), keys).fill_null(-1).to_numpy(zero_copy_only=False)
     else:
         pairs, counts = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-        for row in _gathered(rows):
-            own = [Pairs.load(k) for k in row["keys"]]
+        for own, of in _gathered(rows, kind, lambda: len(counts)):
             first, last = (np.concatenate([pairs[:, i], *[getattr(p, n) for p in own]]) for i, n in ((0, "first"), (1, "last")))
-            total = np.concatenate([counts, *[unpacked(c) for c in row["counts"]]])
+            total = np.concatenate([counts, *[unpacked(r["counts"]) for r in of]])
             order = np.lexsort((last, first))
             first, last = first[order], last[order]
             lead = np.flatnonzero(_changes(first, last))
@@ -283,19 +297,20 @@ def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> It
         pairs = pairs[kept]
         parts = {"first": pairs[:, 0], "last": pairs[:, 1]}
 
-        def place(data):
-            own = Pairs.load(data)
-            # both sides ascend, so the place of a key is found by sorting them together
-            first, last = np.concatenate((pairs[:, 0], own.first)), np.concatenate((pairs[:, 1], own.last))
-            side = np.repeat((0, 1), (len(pairs), len(own)))
+        def place(own):
+            mine = Pairs(*(np.concatenate([getattr(p, n) for p in own]) for n in ("first", "last")))
+            # both sides are sorted together: a key's place is that of the group it falls in
+            first, last = np.concatenate((pairs[:, 0], mine.first)), np.concatenate((pairs[:, 1], mine.last))
+            side = np.repeat((0, 1), (len(pairs), len(mine)))
             order = np.lexsort((side, last, first))
             group = np.cumsum(_changes(first[order], last[order])) - 1
             known = np.full(int(group[-1]) + 1 if len(group) else 0, -1, np.int64)
             at = order < len(pairs)
             known[group[at]] = order[at]
-            out = np.empty(len(own), np.int64)
+            out = np.empty(len(mine), np.int64)
             out[order[~at] - len(pairs)] = known[group[~at]]
-            return out[own.order()]
+            # each slice in the order of its chunk
+            return out[np.lexsort((mine.last, mine.first, mine.hashes(), np.repeat(np.arange(len(own)), list(map(len, own)))))]
 
     n = len(kept)
     if not n:
@@ -306,11 +321,13 @@ def _added(rows: list[dict], kind: type, code: int, step: int, least: int) -> It
     whole = pa.RecordBatch.from_arrays([cells[name] for name in _FOUND.names], schema=_FOUND)
     for i in range(0, n, 1 << 16):
         yield whole.slice(i, 1 << 16)
-    for row in rows:
-        at = place(row["keys"])
+    for own, of in _gathered(rows, kind, lambda: n):
+        at = place(own)
         found = np.where(at >= 0, codes[np.maximum(at, 0)], -1)
-        if (found >= 0).any():
-            yield pa.RecordBatch.from_pylist([{"chunk": row["chunk"], "place": row["place"], "keys": packed(found, "<i8")}], _FOUND)
+        back = [{"chunk": row["chunk"], "place": row["place"], "keys": packed(part, "<i8")}
+                for row, part in zip(of, np.split(found, np.cumsum(list(map(len, own)))[:-1]), strict=True) if (part >= 0).any()]
+        for i in range(0, len(back), 512):
+            yield pa.RecordBatch.from_pylist(back[i:i + 512], _FOUND)
 
 
 def _changes(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -319,10 +336,20 @@ def _changes(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return fresh
 
 
-def _gathered(rows: list[dict], size: int = 64) -> Iterator[dict[str, list]]:
-    """Some slices at a time, so that no more is unpacked than the distinct keys and these."""
-    for i in range(0, len(rows), size):
-        yield {k: [r[k] for r in rows[i:i + size]] for k in ("keys", "counts")}
+def _gathered(rows: list[dict], kind: type, held: Callable[[], int]) -> Iterator[tuple[list[Words | Pairs], list[dict]]]:
+    """Slices unpacked some at a time, with their rows: as many keys as ``held()`` at that point (GATHERED
+    at least), so that what is held is gone through again only as often as it doubles, however small
+    the slices are, and no more is unpacked than that."""
+    own, of, n = [], [], 0
+    for row in rows:
+        own.append(kind.load(row["keys"]))
+        of.append(row)
+        n += len(own[-1])
+        if n >= max(GATHERED, held()):
+            yield own, of
+            own, of, n = [], [], 0
+    if own:
+        yield own, of
 
 
 def _groups(relation: DataFrame, kind: type, least: int, name: str) -> DataFrame:

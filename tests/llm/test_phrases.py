@@ -93,3 +93,37 @@ def test_packed_numbers():
     words = phrases.Words(pa.array(["a", "é", "漢"]), "two\nlines")
     again = phrases.Words.load(words.payload())
     assert (again.words.to_pylist(), again.lang) == (["a", "é", "漢"], "two\nlines")
+
+
+def test_chunks_are_of_one_language(spark, monkeypatch):
+    """Languages that take turns make no more chunks than their texts fill."""
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 2000)
+    rows = [(["en", "de", "fr", "es"][i % 4], "one two three four " * 5) for i in range(400)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found = phrases.chunks(docs).groupBy("lang").count().collect()
+    assert all(r["count"] <= -(-100 * 95 // 1900) + 1 for r in found) and len(found) == 4
+
+
+def test_small_slices_are_added_together(monkeypatch):
+    """A bucket's keys are sorted a few times, however many slices they come in."""
+    monkeypatch.setattr(phrases, "GATHERED", 1000, raising=False)
+    sorts, changes = [], phrases._changes
+    monkeypatch.setattr(phrases, "_changes", lambda f, l: sorts.append(len(f)) or changes(f, l))
+    rnd = np.random.default_rng(2)
+    rows, total = [], {}
+    for chunk in range(800):
+        keys = np.unique(rnd.integers(0, 40, (8, 2)), axis=0)
+        counts = rnd.integers(1, 5, len(keys))
+        for k, c in zip(map(tuple, keys.tolist()), counts.tolist(), strict=True):
+            total[k] = total.get(k, 0) + c
+        rows.append({"bucket": 3, "chunk": str(chunk), "place": 0, "keys": phrases.Pairs(keys[:, 0].copy(), keys[:, 1].copy()).payload(),
+                     "counts": phrases.packed(counts)})
+    out = [r for b in phrases._added(rows, phrases.Pairs, 3, 7, 12) for r in b.to_pylist()]
+    groups = {(r["first"], r["last"]): r for r in out if r["chunk"] is None}
+    assert {k: r["f"] for k, r in groups.items()} == {k: f for k, f in total.items() if f >= 12}
+    for r in (r for r in out if r["chunk"] is not None):
+        own = phrases.Pairs.load(rows[int(r["chunk"])]["keys"])
+        own = own.take(own.order())
+        codes = [groups[k]["code"] if k in groups else -1 for k in zip(own.first.tolist(), own.last.tolist(), strict=True)]
+        assert phrases.unpacked(r["keys"], "<i8").tolist() == codes
+    assert len(sorts) < 40
