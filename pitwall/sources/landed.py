@@ -316,7 +316,7 @@ def _race_table(season: Column, races: Column) -> Column:
 
 
 def _write(df: DataFrame, doc: Column, path: str) -> None:
-    df.select(doc.alias("value")).write.mode("overwrite").text(path)
+    df.select(doc.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def _driver(c: str = "driverId") -> Column:
@@ -329,13 +329,16 @@ def _constructor(c: str = "constructorId") -> Column:
                     F.concat(F.lit("Team "), F.col(c)).alias("name"))
 
 
-def land(t, root: str) -> dict[str, str]:
-    """Write API-shaped pages for every endpoint below ``root``; return the folders."""
+ENDPOINTS = ("races", "qualifying", "results", "laps", "laps_overlap", "pit_stops", "driver_standings",
+             "constructor_standings", "circuits", "seasons", "weather")
+
+
+def land(t, root: str, endpoints: tuple[str, ...] = ENDPOINTS) -> dict[str, str]:
+    """Write API-shaped pages for the endpoints below ``root``; return the folders.  Of the race
+    tables only those that an endpoint shows are read."""
     from pitwall.sources.fixtures import format_ms
 
-    paths = {k: os.path.join(root, k) for k in (
-        "races", "qualifying", "results", "laps", "laps_overlap", "pit_stops",
-        "driver_standings", "constructor_standings", "circuits", "seasons", "weather")}
+    paths = {k: os.path.join(root, k) for k in endpoints}
     races, circuits = t.races, t.circuits
     race_info = races.join(circuits, "circuitId", "left")
     loc = F.struct(F.col("lat").cast("string").alias("lat"), F.col("long").cast("string").alias("long"),
@@ -345,9 +348,10 @@ def land(t, root: str) -> dict[str, str]:
                     F.col("round").cast("string").alias("round"), "raceName",
                     circuit.alias("Circuit"), race_date(F.col("season"), F.col("round")).alias("date"),
                     F.when(F.col("round") % 2 == 0, F.lit("14:00:00Z")).alias("time"))
-    # races: one page per season (a season has a bounded number of rounds)
-    rp = race_info.groupBy("season").agg(F.collect_list(race).alias("rs"))
-    _write(rp, _race_table(F.col("season"), F.col("rs")), paths["races"])
+    if "races" in paths:
+        # races: one page per season (a season has a bounded number of rounds)
+        rp = race_info.groupBy("season").agg(F.collect_list(race).alias("rs"))
+        _write(rp, _race_table(F.col("season"), F.col("rs")), paths["races"])
 
     def race_pages(items: DataFrame, arr_name: str, item: Column, bucket: Column, out: str):
         g = items.withColumn("__b", bucket).groupBy("season", "round", "__b").agg(
@@ -358,22 +362,23 @@ def land(t, root: str) -> dict[str, str]:
                        F.col("items").alias(arr_name))
         _write(g, _race_table(F.col("season"), F.array(one)), out)
 
-    q = t.qualifying
-    qual = F.struct(F.col("position").cast("string").alias("position"), _driver().alias("Driver"),
-                    _constructor().alias("Constructor"), format_ms(F.col("q1")).alias("Q1"),
-                    format_ms(F.col("q2")).alias("Q2"), format_ms(F.col("q3")).alias("Q3"))
-    race_pages(q, "QualifyingResults", qual, F.floor((F.col("position") - 1) / PAGE),
-               paths["qualifying"])
-
-    rr = row_number_by(t.race_results, ["season", "round"], [Key("driverId")], "__rn",
-                       slices=[prefix_slice(Key("driverId"), 4)])
-    res = F.struct(F.col("position").alias("position"), F.col("position").alias("positionText"),
-                   F.col("points").cast("string").alias("points"), _driver().alias("Driver"),
-                   _constructor().alias("Constructor"), F.col("laps").cast("string").alias("laps"),
-                   F.when(F.col("position") == "R", "Retired").otherwise("Finished").alias("status"))
-    race_pages(rr, "Results", res, F.floor((F.col("__rn") - 1) / PAGE), paths["results"])
-
-    lt = t.lap_times.withColumn("__b", F.floor((F.col("position") - 1) / PAGE))
+    if "qualifying" in paths:
+        q = t.qualifying
+        qual = F.struct(F.col("position").cast("string").alias("position"), _driver().alias("Driver"),
+                        _constructor().alias("Constructor"), format_ms(F.col("q1")).alias("Q1"),
+                        format_ms(F.col("q2")).alias("Q2"), format_ms(F.col("q3")).alias("Q3"))
+        race_pages(q, "QualifyingResults", qual, F.floor((F.col("position") - 1) / PAGE),
+                   paths["qualifying"])
+
+    if "results" in paths:
+        rr = row_number_by(t.race_results, ["season", "round"], [Key("driverId")], "__rn",
+                           slices=[prefix_slice(Key("driverId"), 4)])
+        res = F.struct(F.col("position").alias("position"), F.col("position").alias("positionText"),
+                       F.col("points").cast("string").alias("points"), _driver().alias("Driver"),
+                       _constructor().alias("Constructor"), F.col("laps").cast("string").alias("laps"),
+                       F.when(F.col("position") == "R", "Retired").otherwise("Finished").alias("status"))
+        race_pages(rr, "Results", res, F.floor((F.col("__rn") - 1) / PAGE), paths["results"])
+
     timing = F.struct("driverId", F.col("position").cast("string").alias("position"), "time")
 
     def lap_pages(src: DataFrame, out: str):
@@ -383,21 +388,24 @@ def land(t, root: str) -> dict[str, str]:
                        F.col("round").cast("string").alias("round"), F.array(lap).alias("Laps"))
         _write(g, _race_table(F.col("season"), F.array(one)), out)
 
-    lap_pages(lt, paths["laps"])
-    # overlapping pages: the last OVERLAP rows of a page repeat at the start of the next
-    tail = lt.filter((F.col("position") - 1) % PAGE >= PAGE - OVERLAP) \
-             .withColumn("__b", F.col("__b") + 1)
-    lap_pages(lt.unionByName(tail), paths["laps_overlap"])
-
-    ps = t.pit_stops.join(t.lap_times.select("season", "round", "driverId", "lap", "position"),
-                          ["season", "round", "driverId", "lap"], "left")
-    pit = F.struct("driverId", F.col("lap").cast("string").alias("lap"),
-                   F.col("stop").cast("string").alias("stop"), "duration")
-    g = ps.withColumn("__b", F.floor((F.coalesce("position", F.lit(1)) - 1) / PAGE)) \
-          .groupBy("season", "round", "lap", "__b").agg(F.collect_list(pit).alias("ps"))
-    one = F.struct(F.col("season").cast("string").alias("season"),
-                   F.col("round").cast("string").alias("round"), F.col("ps").alias("PitStops"))
-    _write(g, _race_table(F.col("season"), F.array(one)), paths["pit_stops"])
+    paged = lambda: t.lap_times.withColumn("__b", F.floor((F.col("position") - 1) / PAGE))
+    if "laps" in paths:
+        lap_pages(paged(), paths["laps"])
+    if "laps_overlap" in paths:
+        # overlapping pages: the last OVERLAP rows of a page repeat at the start of the next
+        tail = paged().filter((F.col("position") - 1) % PAGE >= PAGE - OVERLAP).withColumn("__b", F.col("__b") + 1)
+        lap_pages(paged().unionByName(tail), paths["laps_overlap"])
+
+    if "pit_stops" in paths:
+        ps = t.pit_stops.join(t.lap_times.select("season", "round", "driverId", "lap", "position"),
+                              ["season", "round", "driverId", "lap"], "left")
+        pit = F.struct("driverId", F.col("lap").cast("string").alias("lap"),
+                       F.col("stop").cast("string").alias("stop"), "duration")
+        g = ps.withColumn("__b", F.floor((F.coalesce("position", F.lit(1)) - 1) / PAGE)) \
+              .groupBy("season", "round", "lap", "__b").agg(F.collect_list(pit).alias("ps"))
+        one = F.struct(F.col("season").cast("string").alias("season"),
+                       F.col("round").cast("string").alias("round"), F.col("ps").alias("PitStops"))
+        _write(g, _race_table(F.col("season"), F.array(one)), paths["pit_stops"])
 
     def standings_pages(src: DataFrame, arr: str, item: Column, out: str):
         last = t.races.groupBy("season").agg(F.max("round").alias("last_round"))
@@ -408,50 +416,68 @@ def land(t, root: str) -> dict[str, str]:
                       F.col("last_round").cast("string").alias("round"), F.col("items").alias(arr))
         _write(g, _page_doc("StandingsTable", F.struct(F.array(sl).alias("StandingsLists"))), out)
 
-    ds = F.struct(F.col("position").cast("string").alias("position"),
-                  F.col("points").cast("string").alias("points"),
-                  F.col("wins").cast("string").alias("wins"), _driver().alias("Driver"),
-                  F.array().cast(_arr(CONSTRUCTOR)).alias("Constructors"))
-    standings_pages(t.driver_standings, "DriverStandings", ds, paths["driver_standings"])
-    cs = F.struct(F.col("position").cast("string").alias("position"),
-                  F.col("points").cast("string").alias("points"),
-                  F.col("wins").cast("string").alias("wins"), _constructor().alias("Constructor"))
-    standings_pages(t.constructor_standings, "ConstructorStandings", cs,
-                    paths["constructor_standings"])
-
-    # circuits per season: the circuits raced that season (bounded by the calendar)
-    cps = races.select("season", "circuitId").distinct().join(circuits, "circuitId")
-    g = cps.groupBy("season").agg(F.collect_list(circuit).alias("cs"))
-    _write(g, _page_doc("CircuitTable", F.struct(F.col("season").cast("string").alias("season"), F.col("cs").alias("Circuits"))), paths["circuits"])
-
-    seasons = races.select("season").distinct().agg(
-        F.collect_list(F.struct(F.col("season").cast("string").alias("season"))).alias("ss"))
-    _write(seasons, _page_doc("SeasonTable", F.struct(F.col("ss").alias("Seasons"))), paths["seasons"])
-
-    # weather: one document per race day and place; races without weather land empty series
-    w = race_info.join(t.weather, ["season", "round"], "left")
-    daily = F.struct(
-        F.array(F.make_date("season", "round", F.lit(1)).cast("string")).alias("time"),
-        F.when(F.col("mean_temp").isNotNull(), F.array("mean_temp")).otherwise(F.array().cast(_arr(T.DoubleType()))).alias("temperature_2m_mean"),
-        F.when(F.col("precipitation_sum").isNotNull(), F.array("precipitation_sum")).otherwise(F.array().cast(_arr(T.DoubleType()))).alias("precipitation_sum"),
-        F.when(F.col("windspeed_mean").isNotNull(), F.array("windspeed_mean")).otherwise(F.array().cast(_arr(T.DoubleType()))).alias("windspeed_10m_mean"))
-    doc = F.to_json(F.struct(F.col("lat").alias("latitude"), F.col("long").alias("longitude"),
-                             daily.alias("daily")))
-    _write(w, doc, paths["weather"])
+    if "driver_standings" in paths:
+        ds = F.struct(F.col("position").cast("string").alias("position"),
+                      F.col("points").cast("string").alias("points"),
+                      F.col("wins").cast("string").alias("wins"), _driver().alias("Driver"),
+                      F.array().cast(_arr(CONSTRUCTOR)).alias("Constructors"))
+        standings_pages(t.driver_standings, "DriverStandings", ds, paths["driver_standings"])
+
+    if "constructor_standings" in paths:
+        cs = F.struct(F.col("position").cast("string").alias("position"),
+                      F.col("points").cast("string").alias("points"),
+                      F.col("wins").cast("string").alias("wins"), _constructor().alias("Constructor"))
+        standings_pages(t.constructor_standings, "ConstructorStandings", cs,
+                        paths["constructor_standings"])
+
+    if "circuits" in paths:
+        # circuits per season: the circuits raced that season (bounded by the calendar)
+        cps = races.select("season", "circuitId").distinct().join(circuits, "circuitId")
+        g = cps.groupBy("season").agg(F.collect_list(circuit).alias("cs"))
+        _write(g, _page_doc("CircuitTable", F.struct(F.col("season").cast("string").alias("season"), F.col("cs").alias("Circuits"))), paths["circuits"])
+
+    if "seasons" in paths:
+        seasons = races.select("season").distinct().agg(
+            F.collect_list(F.struct(F.col("season").cast("string").alias("season"))).alias("ss"))
+        _write(seasons, _page_doc("SeasonTable", F.struct(F.col("ss").alias("Seasons"))), paths["seasons"])
+
+    if "weather" in paths:
+        # weather: one document per race day and place; races without weather land empty series
+        w = race_info.join(t.weather, ["season", "round"], "left")
+        daily = F.struct(
+            F.array(F.make_date("season", "round", F.lit(1)).cast("string")).alias("time"),
+            F.when(F.col("mean_temp").isNotNull(), F.array("mean_temp")).otherwise(F.array().cast(_arr(T.DoubleType()))).alias("temperature_2m_mean"),
+            F.when(F.col("precipitation_sum").isNotNull(), F.array("precipitation_sum")).otherwise(F.array().cast(_arr(T.DoubleType()))).alias("precipitation_sum"),
+            F.when(F.col("windspeed_mean").isNotNull(), F.array("windspeed_mean")).otherwise(F.array().cast(_arr(T.DoubleType()))).alias("windspeed_10m_mean"))
+        doc = F.to_json(F.struct(F.col("lat").alias("latitude"), F.col("long").alias("longitude"),
+                                 daily.alias("daily")))
+        _write(w, doc, paths["weather"])
     return paths
 
 
-_LANDED: dict[tuple[str, str], dict[str, str]] = {}
+class Landed:
+    """The landed pages of one input: an endpoint's folder is written when it is first asked for."""
+
+    def __init__(self, t, root: str) -> None:
+        self.t, self.root, self.done = t, root, {}
+
+    def __getitem__(self, endpoint: str) -> str:
+        if endpoint not in self.done:
+            self.done |= land(self.t, self.root, (endpoint,))
+        return self.done[endpoint]
+
+
+_LANDED: dict[tuple[str, str], Landed] = {}
 
 
-def landed_paths(t) -> dict[str, str]:
+def landed_paths(t) -> Landed:
     """Pages landed once per application and dataset, below the shared folder."""
     from pitwall.session import input_stamp, scratch_path
     from pitwall.sources.conform import INPUTS
 
     key = (t.spark.sparkContext.applicationId, input_stamp(t.spark, t.sf_dir, INPUTS))
     if key not in _LANDED:
-        _LANDED[key] = land(t, scratch_path(t.spark, "landed"))
+        _LANDED[key] = Landed(t, scratch_path(t.spark, "landed"))
     return _LANDED[key]
 
 
