@@ -31,7 +31,7 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,7 +179,7 @@ def lap_estimators(cols: list[str]) -> dict[str, Pipeline]:
         "lap_forest": Pipeline(stages=[a, RandomForestRegressor(
             numTrees=50, maxDepth=10, featureSubsetStrategy="sqrt",
             minInstancesPerNode=min_instances(5), seed=SEED)]),
-        "lap_gbt": Pipeline(stages=[a, GBTRegressor(
+        "lap_gbt": Pipeline(stages=[a, BoostedTrees(
             maxIter=50, stepSize=0.1, maxDepth=5, subsamplingRate=0.8,
             minInstancesPerNode=min_instances(10), seed=SEED)]),
     }
