@@ -41,7 +41,7 @@ from pitwall.plans import evaluate as ev
 from pitwall.plans import features as ft
 from pitwall.plans import notebook as nb
 from pitwall.plans.base_tables import RaceTables
-from pitwall.plans.boosting import BoostedTrees
+from pitwall.plans.boosting import BoostedTrees, LevelForest
 from pitwall.plans.fitted import FeatureModel
 from pitwall.plans.forest import DeepForest
 from pitwall.plans.registry import ModelRegistry
@@ -164,7 +164,7 @@ def nb_estimators(cols: list[str]) -> dict[str, Pipeline]:
     a = _assembler(cols)
     return {
         "nb_linear": Pipeline(stages=[a, LinearRegression(solver="normal", regParam=0.0)]),
-        "nb_forest": Pipeline(stages=[a, RandomForestRegressor(
+        "nb_forest": Pipeline(stages=[a, LevelForest(
             numTrees=50, maxDepth=10, featureSubsetStrategy="sqrt", minInstancesPerNode=min_instances(5), seed=SEED)]),
         "nb_gbt": Pipeline(stages=[a, BoostedTrees(
             maxIter=50, stepSize=0.1, maxDepth=5, subsamplingRate=0.8, minInstancesPerNode=min_instances(10), seed=SEED)]),
