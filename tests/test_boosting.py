@@ -86,6 +86,7 @@ def test_what_an_executor_keeps_is_bytes_a_row(rows):
     assert isinstance(md.nb_estimators(["a"])["nb_gbt"].getStages()[-1], bo.BoostedTrees)
     assert isinstance(md.lap_estimators(["a"])["lap_gbt"].getStages()[-1], bo.BoostedTrees)
     assert isinstance(md.nb_estimators(["a"])["nb_forest"].getStages()[-1], bo.LevelForest)
+    assert isinstance(md.lap_estimators(["a"])["lap_forest"].getStages()[-1], bo.LevelForest)
 
 
 def test_saved_trees_say_the_same(rows, tmp_path):
