@@ -52,3 +52,14 @@ def test_season_validation_skips_short_podiums(spark):
     val = ev.season_validation(df).collect()
     assert [r["round"] for r in val] == [1]
     assert val[0]["podium_matches"] == 3 and val[0]["winner_match"]
+
+
+def test_bands_carry_the_rank_tag_of_the_top_three(spark):
+    """Every entry is there; the first three of each race are tagged by rank, if they are called."""
+    from pitwall.plans import reports as rp
+    rows = [(1, 1, "a", 0.9, True), (1, 1, "c", 0.5, True), (1, 1, "b", 0.5, True), (1, 1, "d", 0.5, True), (1, 1, "e", None, None),
+            (1, 2, "a", 0.1, False), (1, 2, "b", 0.6, True)]
+    got = rp.probability_bands(spark.createDataFrame(rows, "season int, round int, driverId string, p double, predicted boolean"))
+    assert {(r["round"], r["driverId"]): r["rank_icon"] for r in got.collect()} == {
+        (1, "a"): "[1]", (1, "b"): "[2]", (1, "c"): "[3]", (1, "d"): "   ", (1, "e"): "   ", (2, "a"): "   ", (2, "b"): "[1]"}
+    assert got.count() == len(rows)
