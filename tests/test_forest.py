@@ -84,3 +84,32 @@ def test_classes_and_empty_scoring(rows):
     assert got.filter("p < 0 or p > 1 or prediction != cast(p > 0.5 as double)").count() == 0 and got.count() == df.count()
     assert got.filter("prediction = label").count() > 0.95 * df.count()
     assert model.transform(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("binary", [False, True])
+def test_a_smaller_forest_is_a_part_of_the_larger(rows, monkeypatch, binary):
+    """Fewer trees or levels of one fit say what forests fitted so say; subtrees come in many groups."""
+    monkeypatch.setattr(fo, "LOCAL_ROWS", 700)
+    monkeypatch.setattr(fo, "GROUP_BYTES", 500)
+    df = rows.withColumn("label", (F.col("a0") > 5).cast("double")) if binary else rows
+    fit = lambda trees, depth: fo.DeepForest(numTrees=trees, maxDepth=depth, minInstancesPerNode=2, weightCol="weight",
+                                             binary=binary, seed=5).fit(df)
+    views = [(6, 9), (2, 9), (6, 3), (4, 1)]
+    whole = fit(*views[0])
+    assert len(list(whole.groups(rows.sparkSession))) > 6
+    names = [f"a{i}" for i in range(5)]
+    scored = whole.scored(df, views).select(*names, "scores").cache()
+    assert scored.count() == df.count()
+    for v, view in enumerate(views):
+        p = F.col("probability") if binary else None
+        alone = fit(*view).transform(df).select(*names, (md.vector_to_array(p)[1] if binary else F.col("prediction")).alias("p"))
+        assert scored.join(alone, names).filter(F.abs(F.col("scores")[v] - F.col("p")) > 1e-9).count() == 0
+
+
+def test_rows_of_one_class_go_to_no_task(rows, monkeypatch):
+    """Nodes without anything to split are leaves at once, so their rows are not dealt."""
+    monkeypatch.setattr(fo, "LOCAL_ROWS", 5000)
+    df = rows.select(md.vector_to_array("features").alias("x"), F.col("a4").cast("double").alias("y"), F.lit(1.0).alias("w"))
+    blocks = fo.packed(df, fo.cuts_of(df, 5))
+    top = fo.DeepForest(numTrees=3, maxDepth=6, featureSubsetStrategy="all", binary=True)._top(blocks, 5, 5)
+    assert len(top["feature"]) == 3 * 3 and not top["open"].any() and set(top["value"][3:]) == {0.0, 1.0}
