@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pitwall.plans import forest as fo
 from pitwall.plans import models as md
+from pitwall.plans.search import Search
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +114,28 @@ def test_rows_of_one_class_go_to_no_task(rows, monkeypatch):
     blocks = fo.packed(df, fo.cuts_of(df, 5))
     top = fo.DeepForest(numTrees=3, maxDepth=6, featureSubsetStrategy="all", binary=True)._top(blocks, 5, 5)
     assert len(top["feature"]) == 3 * 3 and not top["open"].any() and set(top["value"][3:]) == {0.0, 1.0}
+
+
+def test_a_search_fits_points_that_are_parts_of_one_model_once(rows, tmp_path):
+    train = rows.withColumn("fold", (F.col("a0") > 5).cast("int"))
+    fits, score = [], md.RegressionEvaluator(metricName="mse")
+
+    def make(point):
+        fits.append(point)
+        return md.Pipeline(stages=[md.VectorAssembler(inputCols=[f"a{i}" for i in range(5)], outputCol="features"),
+                                   fo.DeepForest(featureSubsetStrategy="all", seed=1, **point)])
+
+    points = md.grid_points({"numTrees": [2, 4], "maxDepth": [2, 6], "minInstancesPerNode": [1, 3]})
+    got = Search(rows.sparkSession, str(tmp_path / "one")).run(train.drop("features"), make, points, score, nested=fo.DeepForest.nested)
+    assert len(fits) == 4 and all(p["numTrees"] == 4 and p["maxDepth"] == 6 for p in fits)
+    some = points[1:7:2]  # each by itself
+    alone = Search(rows.sparkSession, str(tmp_path / "two")).run(train.drop("features"), make, some, score)
+    assert np.allclose(got[1:7:2], alone) and len(fits) == 4 + 2 * len(some)
+
+
+def test_trees_are_dealt_in_batches(rows, monkeypatch):
+    whole = fo.DeepForest(numTrees=5, maxDepth=4, seed=3).fit(rows)
+    monkeypatch.setattr(fo, "DEALT_BYTES", 200_000)
+    assert [list(b) for b in fo.in_batches(np.array([1.0, 1.0, 3.0, 1.0]), 2)] == [[0, 1], [2], [3]]
+    parted = fo.DeepForest(numTrees=5, maxDepth=4, seed=3).fit(rows)
+    assert abs(error(whole, rows) - error(parted, rows)) < 1e-12 and parted.subtrees(rows.sparkSession).count() == 5
