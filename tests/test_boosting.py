@@ -102,3 +102,28 @@ def test_constant_labels_and_few_rows(spark, rows):
     for est in (bo.BoostedTrees(maxIter=2, maxDepth=2), bo.LevelForest(numTrees=2, maxDepth=2)):
         assert {r[0] for r in est.fit(flat).transform(flat).select("prediction").distinct().collect()} == {2.5}
         assert est.fit(rows.limit(1)).transform(rows).count() == 6000
+
+
+def test_one_tree_from_its_smaller_sides(spark, monkeypatch):
+    """What is left of the node above is what counting both sides gives; rows are counted about half as often."""
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 9, (3, 900)).astype(np.uint8), rng.normal(size=900)
+    parts = [(i, x[:, p], y[p]) for i, p in enumerate(np.array_split(np.arange(900), 5))]
+    every = lambda t, block, n: (np.arange(n), None)
+    for limit in (64, 1):
+        monkeypatch.setattr(bo, "COLLECTED", limit)
+        trees = bo.Trees(1, 5)
+        bo.grow_one(spark.sparkContext.parallelize(parts, 3), trees, 0, 3, 4, 1, every)
+        assert np.allclose(trees.scores(0, x), plain(x, y, 5, 4))
+
+
+def test_models_of_packed_rows_share_them(rows, monkeypatch):
+    made = []
+    monkeypatch.setattr(md, "Packed", lambda df: made.append(1) or bo.Packed(df))
+    train = rows.drop("features")
+    pipelines = {k: md.Pipeline(stages=[VectorAssembler(inputCols=[f"a{i}" for i in range(5)], outputCol="features"), e]) for k, e in (
+        ("linear", md.LinearRegression()), ("forest", bo.LevelForest(numTrees=2, maxDepth=3)), ("gbt", bo.BoostedTrees(maxIter=2, maxDepth=2)))}
+    fitted = md.fit_all(pipelines, train)
+    assert len(made) == 1
+    for name, pipeline in pipelines.items():
+        assert abs(error(fitted[name], train) - error(pipeline.fit(train), train)) < 1e-9

@@ -111,7 +111,7 @@ def test_rows_of_one_class_go_to_no_task(rows, monkeypatch):
     """Nodes without anything to split are leaves at once, so their rows are not dealt."""
     monkeypatch.setattr(fo, "LOCAL_ROWS", 5000)
     df = rows.select(md.vector_to_array("features").alias("x"), F.col("a4").cast("double").alias("y"), F.lit(1.0).alias("w"))
-    blocks = fo.packed(df, fo.cuts_of(df, 5))
+    blocks = fo.packed(df, fo.cuts_of(df)[0])
     top = fo.DeepForest(numTrees=3, maxDepth=6, featureSubsetStrategy="all", binary=True)._top(blocks, 5, 5)
     assert len(top["feature"]) == 3 * 3 and not top["open"].any() and set(top["value"][3:]) == {0.0, 1.0}
 
